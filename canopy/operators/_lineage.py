@@ -1,38 +1,50 @@
-"""Materialising intermediate frames of the level loops.
-
-If the session names a checkpoint folder (``spark.checkpoint.dir``, a shared
-path on a cluster) intermediate frames are checkpointed there, which cuts
-lineage and survives executor loss without recomputation.  If none is set
-the frame is persisted (memory, spilling to disk); the loops built on this
-are at most ``len(attributes) + 1`` levels deep, so recomputing a lost block
-replays a bounded lineage.  The library never invents a folder of its own.
+"""Materialising the frames of the level loops.
+
+Every frame a level loop carries to the next round is written with a
+reliable ``checkpoint`` into the session's ``spark.checkpoint.dir``.  That
+cuts the logical plan *and* the RDD lineage: each round plans against
+stored data only, and a lost executor costs no recomputation of earlier
+rounds (or of the one big pass over the input that produced the cells).
+
+Only persisting would not be enough: a round's plan would then contain the
+plans of all earlier rounds, and measured on Spark 4.1 each round got
+slower than the last as earlier rounds were re-run inside adaptive plans.
+
+The folder comes from the session.  Only when none is configured *and*
+the master is local (tests, a laptop) is a scratch folder created; on a
+cluster the library refuses to invent a machine-local path and asks for
+``spark.checkpoint.dir`` to be set to a shared folder.
 """
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 
 
-def checkpoint_dir(spark: SparkSession) -> str | None:
+def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    if configured:
-        sc.setCheckpointDir(configured)
-        return configured
-    return None
+    if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before growing trees on a cluster"
+            )
+        configured = tempfile.mkdtemp(prefix="canopy-ckpt-")
+    sc.setCheckpointDir(configured)
+    return configured
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once and return a frame that reads the stored result."""
-    if checkpoint_dir(df.sparkSession):
-        return df.checkpoint(eager=True)
-    stored = df.persist(StorageLevel.MEMORY_AND_DISK)
-    stored.count()
-    return stored
+def durable(df: DataFrame, count: bool = False) -> tuple[DataFrame, int | None]:
+    """Checkpoint ``df`` (one job: compute and write) and return the stored
+    frame, plus its row count when asked (read back from the stored files)."""
+    checkpoint_dir(df.sparkSession)
+    stored = df.checkpoint(eager=True)
+    return stored, (stored.count() if count else None)
 
 
 def broadcast_row_limit(spark: SparkSession, explicit: int | None = None, row_bytes: int = 256) -> int:
@@ -44,11 +56,9 @@ def broadcast_row_limit(spark: SparkSession, explicit: int | None = None, row_by
     """
     if explicit is not None:
         return max(int(explicit), 0)
-    raw = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760"
-    raw = raw.strip().lower()
+    raw = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760").strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
-    number = raw
-    factor = 1
+    number, factor = raw, 1
     for suffix in sorted(units, key=len, reverse=True):
         if raw.endswith(suffix):
             number, factor = raw[: -len(suffix)], units[suffix]

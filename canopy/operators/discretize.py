@@ -15,9 +15,9 @@ BIN_LABELS = ("(0,Q1]", "(Q1,Q2]", "(Q2,Q3]", "Q3")
 CUT_NAMES = ("q1", "q2", "q3")
 
 
-def quartile_cuts(df: DataFrame, value: str = "body_len", by: Sequence[str] = ()) -> DataFrame:
+def quartile_cuts(df: DataFrame, value: str = "body_len", by: Sequence[str] = (), weight=None) -> DataFrame:
     """Exact quartiles (``percentile_disc``) per group → ``by..., q1, q2, q3``."""
-    return exact_quantiles(df, value, QUARTILES, CUT_NAMES, by=by)
+    return exact_quantiles(df, value, QUARTILES, CUT_NAMES, by=by, weight=weight)
 
 
 def quartile_cuts_approx(df: DataFrame, value: str = "body_len", relative_error: float = 0.3) -> tuple:

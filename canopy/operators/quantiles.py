@@ -26,6 +26,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from canopy.operators._lineage import durable
+
 DEFAULT_BUCKETS = 64
 
 
@@ -53,21 +55,27 @@ def exact_quantiles(
     probs: Sequence[float],
     names: Sequence[str] | None = None,
     by: Sequence[str] = (),
+    weight: str | Column | None = None,
     buckets: int = DEFAULT_BUCKETS,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Value = smallest ``v`` whose cumulative count reaches ``ceil(p·n)``
     (``percentile_disc``); nulls are ignored; groups without values do not
-    appear.
+    appear.  ``weight`` (a non-negative integer column) lets pre-aggregated
+    input count each row that many times.
     """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
     gcols = by if by else ["_g"]
-    src = df.select(*[F.col(c) for c in by], F.col(value).cast("double").alias("_v"))
+    w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
+    src = df.select(*[F.col(c) for c in by], F.col(value).cast("double").alias("_v"), w.cast("bigint").alias("_w"))
     if not by:
         src = src.withColumn("_g", F.lit(0))
-    freq = src.where(F.col("_v").isNotNull()).groupBy(*gcols, "_v").agg(F.count(F.lit(1)).alias("_w"))
+    # The distinct-value table is read three times below; store it once so
+    # the input is scanned once (plans that prune differently cannot share
+    # a shuffle).
+    freq, _ = durable(src.where(F.col("_v").isNotNull()).groupBy(*gcols, "_v").agg(F.sum("_w").alias("_w")))
 
     if by:
         bounds = freq.groupBy(*gcols).agg(

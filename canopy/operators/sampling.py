@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from canopy.functions.columns import hash_bucket
 
@@ -22,6 +23,14 @@ def split_train_test(
     return df.where(b < train_percent), df.where(b >= train_percent)
 
 
+def with_side(
+    df: DataFrame, key: str | Column, train_percent: int = 70, modulus: int = 100, name: str = "side"
+) -> DataFrame:
+    """Tag each row ``'train'`` / ``'test'`` by the same rule as ``split_train_test``."""
+    b = hash_bucket(key, modulus)
+    return df.withColumn(name, F.when(b < train_percent, F.lit("train")).otherwise(F.lit("test")))
+
+
 def random_split(df: DataFrame, weights=(0.7, 0.3), seed: int = SPLIT_SEED) -> list[DataFrame]:
     """Spark's ``randomSplit`` (compatibility option; depends on partitioning)."""
     return df.randomSplit(list(weights), seed)

@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.functions.columns import child_id, entropy, value_of
-from canopy.operators._lineage import broadcast_row_limit, materialize
+from canopy.operators._lineage import broadcast_row_limit, durable
 from canopy.operators.contingency import cells as build_cells
 from canopy.operators.impurity import TIE_DECIMALS, attr_order
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
@@ -99,12 +99,12 @@ def grow_tree(
     spark = cells.sparkSession
     limit = broadcast_row_limit(spark, broadcast_rows)
 
-    base = materialize(
+    base, _ = durable(
         cells.select(*[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs], "pos", "neg")
     )
     empty_used = F.array().cast(T.ArrayType(T.StringType()))
     open_cells = base.select(F.lit(ROOT_ID).alias("node_id"), empty_used.alias("used"), *attrs, "pos", "neg")
-    nodes = materialize(
+    nodes, _ = durable(
         base.agg(
             F.coalesce(F.sum("pos"), F.lit(0)).cast("bigint").alias("pos"),
             F.coalesce(F.sum("neg"), F.lit(0)).cast("bigint").alias("neg"),
@@ -122,10 +122,9 @@ def grow_tree(
     )
     n_open = 1
     levels: list[DataFrame] = []
-    stash: list[DataFrame] = [base]
 
     while n_open > 0:
-        cand = materialize(
+        cand, _ = durable(
             open_cells.unpivot(["node_id", "used", "pos", "neg"], attrs, "attr", "value")
             .where(~F.array_contains(F.col("used"), F.col("attr")))
             .groupBy("node_id", "attr", "value")
@@ -175,7 +174,7 @@ def grow_tree(
             .when(F.col("best_zero"), F.lit("zero_gain"))
             .otherwise(F.lit("split"))
         )
-        decided = materialize(
+        decided, _ = durable(
             nodes.join(_maybe_broadcast(best, n_open, limit), "node_id", "left")
             .withColumn("kind", kind)
             .withColumn("split_attr", F.when(F.col("kind") == "split", F.col("best_attr")))
@@ -183,12 +182,11 @@ def grow_tree(
             .withColumn("label", F.col("pos") > F.col("neg"))
         )
         levels.append(decided.select(*TREE_COLUMNS))
-        stash += [cand, decided]
 
         splits = decided.where(F.col("kind") == "split").select("node_id", "split_attr", "used", "rule", "depth")
         s = _maybe_broadcast(splits, n_open, limit).alias("s")
         c = cand.alias("c")
-        next_nodes = materialize(
+        next_nodes, n_next = durable(
             c.join(s, (F.col("c.node_id") == F.col("s.node_id")) & (F.col("c.attr") == F.col("s.split_attr"))).select(
                 child_id(F.col("c.node_id"), F.col("c.attr"), F.col("c.value")).alias("node_id"),
                 F.col("c.node_id").alias("parent_id"),
@@ -199,14 +197,14 @@ def grow_tree(
                 F.array_append(F.col("s.used"), F.col("c.attr")).alias("used"),
                 F.col("c.pos").alias("pos"),
                 F.col("c.neg").alias("neg"),
-            )
+            ),
+            count=True,
         )
-        n_next = next_nodes.count()
         if n_next == 0:
             break
         moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open, limit)
         picked = value_of(F.col("split_attr"), attrs)
-        open_cells = materialize(
+        open_cells, _ = durable(
             open_cells.join(moves, "node_id").select(
                 child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
                 F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
@@ -215,10 +213,9 @@ def grow_tree(
                 "neg",
             )
         )
-        stash += [nodes, open_cells]
         nodes, n_open = next_nodes, n_next
 
-    return reduce(DataFrame.unionByName, levels)
+    return durable(reduce(DataFrame.unionByName, levels))[0]
 
 
 def tree_rules(tree: DataFrame) -> DataFrame:

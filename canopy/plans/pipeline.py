@@ -1,43 +1,104 @@
-"""The end-to-end pipeline over a prepared frame:
-split → per-side quartile cuts → bins → cells → tree → predict → score."""
+"""The end-to-end pipeline over a prepared frame, reading the input once.
+
+1. **Fine cells** -- one pass over all rows: class counts per
+   ``(side, attributes except the binned one, raw value)``; the side comes
+   from the keyed split.  Map-side partial aggregation collapses hot
+   combinations before the shuffle.  Stored with a checkpoint.
+2. **Cuts** -- exact quartiles of the raw value per side, weighted by the
+   fine cells' counts (same answer as over the rows).
+3. **Cells** -- the fine cells binned with their side's cuts and summed:
+   the training cells feed the tree, the test cells score it.
+4. **Score** -- the tree is applied to the test *cells* and errors are
+   counted with the cells' weights: the mean squared error of all test rows
+   without a second pass over them.
+
+Row-level frames (``Sides.train`` / ``Sides.test``) stay available, lazily,
+for per-row prediction and the single-operator queries.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from canopy.operators._lineage import durable
 from canopy.operators.discretize import bin_quartiles, collect_cuts, quartile_cuts
-from canopy.operators.evaluate import mean_squared_error
 from canopy.operators.predict import predict
-from canopy.operators.prepare import ATTRIBUTES, LABEL
-from canopy.operators.sampling import split_train_test
+from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
+from canopy.operators.sampling import split_train_test, with_side
 from canopy.operators.tree import grow_tree
 
+BINNED = "review_body"
+VALUE = "body_len"
+
 
 @dataclass
 class Sides:
-    train: DataFrame
-    test: DataFrame
+    train: DataFrame  # row level, binned with the training cuts
+    test: DataFrame  # row level, binned with the test cuts (or training cuts)
     train_cuts: tuple
     test_cuts: tuple
+    train_cells: DataFrame  # attrs..., pos, neg
+    test_cells: DataFrame
+
 
+def _cells_of(fine: DataFrame, side: str, cuts: tuple, attrs) -> DataFrame:
+    part = bin_quartiles(fine.where(F.col("side") == F.lit(side)), cuts, VALUE, BINNED)
+    return part.groupBy(*attrs).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
-def binned_sides(prepared: DataFrame, key: str = "key", cuts: str = "per_side") -> Sides:
-    """Split on ``key`` and bin ``body_len`` into ``review_body``.
+
+def binned_sides(
+    prepared: DataFrame,
+    key: str = "key",
+    cuts: str = "per_side",
+    attrs=ATTRIBUTES,
+    label: str = LABEL,
+    token: str = FILL_TOKEN,
+) -> Sides:
+    """Split on ``key``; bin ``body_len`` into ``review_body``.
 
     ``cuts='per_side'`` bins each side with its own quartiles (the original
     behaviour); ``cuts='train'`` bins the test side with the training cuts.
     """
+    attrs = list(attrs)
+    plain = [a for a in attrs if a != BINNED]
+    fine, _ = durable(
+        with_side(prepared, key)
+        .groupBy("side", *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in plain], VALUE)
+        .agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
+    )
+    per_side = {
+        r["side"]: (r["q1"], r["q2"], r["q3"])
+        for r in quartile_cuts(fine, VALUE, by=["side"], weight=F.col("pos") + F.col("neg")).collect()  # ≤ 2 rows
+    }
+    train_cuts = per_side.get("train", (None, None, None))
+    test_cuts = per_side.get("test", (None, None, None)) if cuts == "per_side" else train_cuts
     train, test = split_train_test(prepared, key)
-    train_cuts = collect_cuts(quartile_cuts(train))
-    test_cuts = collect_cuts(quartile_cuts(test)) if cuts == "per_side" else train_cuts
-    return Sides(bin_quartiles(train, train_cuts), bin_quartiles(test, test_cuts), train_cuts, test_cuts)
+    return Sides(
+        train=bin_quartiles(train, train_cuts, VALUE, BINNED),
+        test=bin_quartiles(test, test_cuts, VALUE, BINNED),
+        train_cuts=train_cuts,
+        test_cuts=test_cuts,
+        train_cells=_cells_of(fine, "train", train_cuts, attrs),
+        test_cells=_cells_of(fine, "test", test_cuts, attrs),
+    )
+
+
+def train_tree(sides: Sides, attrs=ATTRIBUTES, **kw) -> DataFrame:
+    return grow_tree(None, attrs, cells=sides.train_cells, **kw)
 
 
-def train_tree(sides: Sides, attrs=ATTRIBUTES, label: str = LABEL, **kw) -> DataFrame:
-    return grow_tree(sides.train, attrs, label, **kw)
+def score_cells(test_cells: DataFrame, tree: DataFrame, attrs=ATTRIBUTES) -> DataFrame:
+    """Mean squared error (= error rate) of ``tree`` over the rows the cells
+    stand for: a cell predicted ``true`` contributes its ``neg`` count as
+    errors, one predicted ``false`` its ``pos`` count.  One row: ``mse, n_rows``."""
+    p = predict(test_cells, tree, attrs)
+    errors = F.sum(F.when(F.col("prediction") == "true", F.col("neg")).otherwise(F.col("pos")))
+    n = F.sum(F.col("pos") + F.col("neg"))
+    return p.agg(F.try_divide(errors.cast("double"), n.cast("double")).alias("mse"), n.cast("bigint").alias("n_rows"))
 
 
-def evaluate(sides: Sides, tree: DataFrame, attrs=ATTRIBUTES, label: str = LABEL) -> DataFrame:
-    return mean_squared_error(predict(sides.test, tree, attrs), label)
+def evaluate(sides: Sides, tree: DataFrame, attrs=ATTRIBUTES) -> DataFrame:
+    return score_cells(sides.test_cells, tree, attrs)

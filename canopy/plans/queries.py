@@ -17,7 +17,6 @@ from pyspark.sql import functions as F
 from canopy.functions.columns import (
     entropy,
     flag_to_boolean,
-    hash_bucket,
     rating_bucket,
     ratio_above,
     squared_error,
@@ -37,10 +36,10 @@ from canopy.operators.evaluate import mean_squared_error, prediction_truth_join
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, LABEL, row_index
-from canopy.operators.sampling import split_train_test
+from canopy.operators.sampling import split_train_test, with_side
 from canopy.operators.tree import TREE_COLUMNS, grow_tree, tree_rules
 from canopy.plans.fixtures import fixture_d, fixture_l, vowel_count
-from canopy.plans.pipeline import binned_sides
+from canopy.plans.pipeline import binned_sides, evaluate, train_tree
 from canopy.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -118,10 +117,6 @@ def q_row_index(spark: SparkSession, d: str) -> DataFrame:
 # --- split and discretisation ------------------------------------------------------------
 
 
-def _with_side(df: DataFrame) -> DataFrame:
-    return df.withColumn("side", F.when(hash_bucket("key") < 70, F.lit("train")).otherwise(F.lit("test")))
-
-
 def q_split_train_test(spark: SparkSession, d: str) -> DataFrame:
     train, test = split_train_test(fixture_l(spark, d), "key")
 
@@ -137,7 +132,7 @@ def q_split_train_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_quartile_cuts(spark: SparkSession, d: str) -> DataFrame:
-    return quartile_cuts(_with_side(fixture_l(spark, d)), "body_len", by=["side"])
+    return quartile_cuts(with_side(fixture_l(spark, d), "key"), "body_len", by=["side"])
 
 
 def q_quartile_cuts_approx(spark: SparkSession, d: str) -> DataFrame:
@@ -203,16 +198,16 @@ def q_domain_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_cells(spark: SparkSession, d: str) -> DataFrame:
-    return cells(_sides_l(spark, d).train, ATTRIBUTES)
+    return _sides_l(spark, d).train_cells
 
 
 def q_entropy(spark: SparkSession, d: str) -> DataFrame:
-    counts = long_counts(cells(_sides_l(spark, d).train, ATTRIBUTES), ATTRIBUTES)
+    counts = long_counts(_sides_l(spark, d).train_cells, ATTRIBUTES)
     return counts.select("attr", "value", _r(entropy("pos", "neg"), "entropy"))
 
 
 def _root_gains(spark, d):
-    return info_gain(long_counts(cells(_sides_d(spark, d).train, ATTRIBUTES), ATTRIBUTES))
+    return info_gain(long_counts(_sides_d(spark, d).train_cells, ATTRIBUTES))
 
 
 def q_info_gain(spark: SparkSession, d: str) -> DataFrame:
@@ -225,7 +220,7 @@ def q_best_attribute(spark: SparkSession, d: str) -> DataFrame:
 
 def _root_split(spark, d):
     """Cells of the D training side and the root's split attribute (one name)."""
-    c = cells(_sides_d(spark, d).train, ATTRIBUTES)
+    c = _sides_d(spark, d).train_cells
     root = best_attribute(info_gain(long_counts(c, ATTRIBUTES)), ATTRIBUTES).first()["attr"]
     return c, root
 
@@ -273,20 +268,20 @@ def _tree_out(tree: DataFrame) -> DataFrame:
 
 
 def q_id3_tree(spark: SparkSession, d: str) -> DataFrame:
-    return _tree_out(grow_tree(_sides_d(spark, d).train))
+    return _tree_out(train_tree(_sides_d(spark, d)))
 
 
 def q_id3_tree_lineitem(spark: SparkSession, d: str) -> DataFrame:
-    return _tree_out(grow_tree(_sides_l(spark, d).train))
+    return _tree_out(train_tree(_sides_l(spark, d)))
 
 
 def q_tree_rules(spark: SparkSession, d: str) -> DataFrame:
-    return tree_rules(grow_tree(_sides_d(spark, d).train))
+    return tree_rules(train_tree(_sides_d(spark, d)))
 
 
 def _predicted_d(spark, d):
     s = _sides_d(spark, d)
-    return predict(s.test, grow_tree(s.train))
+    return predict(s.test, train_tree(s))
 
 
 def q_predict(spark: SparkSession, d: str) -> DataFrame:
@@ -310,14 +305,14 @@ def q_mean_squared_error(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_mean_squared_error_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    # scored on the test side's cells: same figure, no second pass over the rows
     s = _sides_l(spark, d)
-    m = mean_squared_error(predict(s.test, grow_tree(s.train)))
-    return m.select(_r(F.col("mse"), "mse"), "n_rows")
+    return evaluate(s, train_tree(s)).select(_r(F.col("mse"), "mse"), "n_rows")
 
 
 def q_prediction_truth_join(spark: SparkSession, d: str) -> DataFrame:
     s = _sides_d(spark, d)
-    predicted = predict(s.test.drop(LABEL), grow_tree(s.train))
+    predicted = predict(s.test.drop(LABEL), train_tree(s))
     return prediction_truth_join(s.test, predicted, "doc_id")
 
 

@@ -17,6 +17,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", os.environ.get("CANOPY_DRIVER_MEMORY", "8g"))
     )
@@ -26,6 +27,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
     return spark
 
 
+def scratch_dir(prefix: str = "canopy-") -> str:
+    return tempfile.mkdtemp(prefix=prefix)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's ``spark.checkpoint.dir``; only when none is set
     (local tests) create a fresh scratch folder for it."""
