@@ -39,6 +39,15 @@ def predict(
     small = tree.select("node_id", "split_attr", "label", "depth")
     stats = small.agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("d")).first()
     n_nodes, max_depth = int(stats["n"]), stats["d"]
+    root = small.where(F.col("node_id") == F.lit(ROOT_ID)).first()  # one row
+    if root is None:  # empty tree: nothing learned, predict the default class
+        return df.select(
+            "*",
+            F.lit("false").alias(prediction),
+            F.lit(None).cast("string").alias("leaf_id"),
+            F.lit(None).cast("int").alias("matched_depth"),
+            F.lit(False).alias("reached_leaf"),
+        )
     lookup = small.select(
         F.col("node_id").alias("_t_id"),
         F.col("split_attr").alias("_t_split"),
@@ -48,25 +57,31 @@ def predict(
     if n_nodes <= broadcast_row_limit(spark, broadcast_rows):
         lookup = F.broadcast(lookup)
 
+    # The root is the same for every row, so it is applied as literals; the
+    # walk's joins then always key on a per-row child id (an equi-join, never
+    # a nested loop on a constant).
+    root_split = root["split_attr"]
+    first = (
+        child_id(F.lit(ROOT_ID), F.lit(root_split), F.coalesce(value_of(F.lit(root_split), attrs), F.lit(token)))
+        if root_split is not None
+        else F.lit(None).cast("string")
+    )
     out = df.select(
         "*",
-        F.lit(ROOT_ID).alias("_cur"),
-        F.lit(None).cast("string").alias("_node"),
-        F.lit(None).cast("string").alias("_split"),
-        F.lit(None).cast("boolean").alias("_label"),
-        F.lit(None).cast("int").alias("_depth"),
+        first.alias("_cur"),
+        F.lit(ROOT_ID).alias("_node"),
+        F.lit(root_split).cast("string").alias("_split"),
+        F.lit(root["label"]).cast("boolean").alias("_label"),
+        F.lit(0).alias("_depth"),
     )
     keep = [c for c in out.columns if c not in ("_cur", "_node", "_split", "_label", "_depth")]
-    for _ in range(0 if max_depth is None else max_depth + 1):
+    for _ in range(max_depth or 0):
         hit = F.col("_t_id").isNotNull()
         step = out.join(lookup, F.col("_cur") == F.col("_t_id"), "left")
         value = F.coalesce(value_of(F.col("_t_split"), attrs), F.lit(token))
         out = step.select(
             *keep,
-            F.when(
-                hit & F.col("_t_split").isNotNull(),
-                child_id(F.col("_cur"), F.col("_t_split"), value),
-            ).alias("_cur"),
+            F.when(hit & F.col("_t_split").isNotNull(), child_id(F.col("_cur"), F.col("_t_split"), value)).alias("_cur"),
             F.when(hit, F.col("_t_id")).otherwise(F.col("_node")).alias("_node"),
             F.when(hit, F.col("_t_split")).otherwise(F.col("_split")).alias("_split"),
             F.when(hit, F.col("_t_label")).otherwise(F.col("_label")).alias("_label"),

@@ -99,27 +99,53 @@ def grow_tree(
     spark = cells.sparkSession
     limit = broadcast_row_limit(spark, broadcast_rows)
 
+    empty_used = F.array().cast(T.ArrayType(T.StringType()))
+    # The root id is stored as a column of the checkpointed cells: a literal
+    # id would be constant-folded and turn the re-keying join into a nested loop.
     base, _ = durable(
-        cells.select(*[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs], "pos", "neg")
+        cells.select(
+            F.lit(ROOT_ID).alias("node_id"),
+            empty_used.alias("used"),
+            *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs],
+            "pos",
+            "neg",
+        )
     )
-    empty_used = F.array().cast(T.ArrayType(T.StringType()))
-    open_cells = base.select(F.lit(ROOT_ID).alias("node_id"), empty_used.alias("used"), *attrs, "pos", "neg")
+    open_cells = base
     nodes, _ = durable(
-        base.agg(
+        base.groupBy("node_id", "used")
+        .agg(
             F.coalesce(F.sum("pos"), F.lit(0)).cast("bigint").alias("pos"),
             F.coalesce(F.sum("neg"), F.lit(0)).cast("bigint").alias("neg"),
-        ).select(
-            F.lit(ROOT_ID).alias("node_id"),
+        )
+        .select(
+            "node_id",
             F.lit(None).cast("string").alias("parent_id"),
             F.lit(0).alias("depth"),
             F.lit(None).cast("string").alias("edge_attr"),
             F.lit(None).cast("string").alias("edge_value"),
             F.lit("").alias("rule"),
-            empty_used.alias("used"),
+            "used",
             "pos",
             "neg",
         )
     )
+    if nodes.isEmpty():  # no training rows: a single empty root leaf
+        empty_root = base.sparkSession.range(1).select(
+            F.lit(ROOT_ID).alias("node_id"),
+            F.lit(None).cast("string").alias("parent_id"),
+            F.lit(0).alias("depth"),
+            F.lit(None).cast("string").alias("edge_attr"),
+            F.lit(None).cast("string").alias("edge_value"),
+            F.lit("").alias("rule"),
+            F.lit(None).cast("string").alias("split_attr"),
+            F.lit(None).cast("double").alias("gain"),
+            F.lit(0).cast("bigint").alias("pos"),
+            F.lit(0).cast("bigint").alias("neg"),
+            F.lit("pure").alias("kind"),
+            F.lit(False).alias("label"),
+        )
+        return durable(empty_root)[0]
     n_open = 1
     levels: list[DataFrame] = []
 
