@@ -33,6 +33,7 @@ from canopy.operators.quantiles import exact_quantiles
 from canopy.operators.sampling import random_split, split_train_test
 from canopy.operators.tree import grow_tree, tree_rules
 from canopy.sources.reviews import REVIEW_COLUMNS, read_review_lines, read_reviews
+from canopy.sources.trees import load_tree, save_tree
 
 __all__ = [
     "REVIEW_COLUMNS",
@@ -51,6 +52,7 @@ __all__ = [
     "grow_tree",
     "hash_bucket",
     "info_gain",
+    "load_tree",
     "mean_squared_error",
     "path_filter",
     "predict",
@@ -64,6 +66,7 @@ __all__ = [
     "read_review_lines",
     "read_reviews",
     "row_index",
+    "save_tree",
     "split_train_test",
     "squared_error",
     "text_length",

@@ -67,7 +67,7 @@ def prepare_reviews(
     return fill_missing(prepared, ["marketplace", "verified_purchase", "vine", "product_category"], token)
 
 
-def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: int = 64) -> DataFrame:
+def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
     """Consecutive 0-based index in ``order_by`` order, computed distributed.
 
     A global ``row_number()`` window would pull every row into one task.
@@ -75,8 +75,13 @@ def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: in
     quantiles (a bounded sketch), the per-range counts (``buckets`` numbers)
     give each range its offset, and ``row_number`` runs *within* each range
     in parallel.  Ties in ``order_by`` are numbered in an unspecified order.
+    The number of ranges grows with the row count (up to 10,000), so one
+    range holds about two million rows or fewer up to 2·10^10 rows.
     """
-    from canopy.operators.quantiles import approx_bounds, bucket_of
+    from canopy.operators.quantiles import DEFAULT_BUCKETS, MAX_BUCKETS, RANGE_LIMIT, approx_bounds, bucket_of
+
+    if buckets is None:
+        buckets = min(max(DEFAULT_BUCKETS, -(-df.count() // RANGE_LIMIT)), MAX_BUCKETS)
 
     bounds = approx_bounds(df, order_by, buckets)
     keyed = df.withColumn("_rb", bucket_of(F.col(order_by), bounds))

@@ -9,7 +9,9 @@ holding a whole group in one place:
    partial (map-side) aggregation, so a value held by a third of all rows
    is one row after the combine.
 2. Range bounds per group from ``percentile_approx`` over the *distinct*
-   values (a fixed-size sketch), so each range holds about 1/B of them.
+   values (a fixed-size sketch), so each range holds about 1/B of them;
+   B grows with the number of distinct values (one stored count) so that a
+   range never holds more than about two million of them.
 3. Weight per (group, range) and a running sum over at most B ranges gives
    each range's rank interval; the range containing rank ``ceil(p·n)`` is
    the only one that needs looking at.
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 from canopy.operators._lineage import durable
 
 DEFAULT_BUCKETS = 64
+RANGE_LIMIT = 2_000_000  # distinct values one task may sort in the last step
+MAX_BUCKETS = 10_000
 
 
 def _probs(buckets: int) -> list[float]:
@@ -56,7 +60,7 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     by: Sequence[str] = (),
     weight: str | Column | None = None,
-    buckets: int = DEFAULT_BUCKETS,
+    buckets: int | None = None,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
@@ -75,7 +79,12 @@ def exact_quantiles(
     # The distinct-value table is read three times below; store it once so
     # the input is scanned once (plans that prune differently cannot share
     # a shuffle).
-    freq, _ = durable(src.where(F.col("_v").isNotNull()).groupBy(*gcols, "_v").agg(F.sum("_w").alias("_w")))
+    freq, n_distinct = durable(
+        src.where(F.col("_v").isNotNull()).groupBy(*gcols, "_v").agg(F.sum("_w").alias("_w")), count=True
+    )
+    if buckets is None:
+        # enough ranges that the final step sorts at most ~RANGE_LIMIT values per task
+        buckets = min(max(DEFAULT_BUCKETS, -(-n_distinct // RANGE_LIMIT)), MAX_BUCKETS)
 
     if by:
         bounds = freq.groupBy(*gcols).agg(

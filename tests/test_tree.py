@@ -195,3 +195,34 @@ def test_literal_join_counts_equal_fast_counts(spark):
     b = sorted(map(tuple, attr_value_counts_join(df, W_ATTRS, "play").collect()))
     assert a == b
     assert tuple(class_counts(df, "play").first()) == (9, 5, 14)
+
+
+def test_save_and_load_tree_round_trip(spark, tmp_path):
+    from canopy.sources.trees import load_tree, save_tree
+
+    df = weather(spark)
+    tree = grow_tree(df, W_ATTRS, "play")
+    save_tree(tree, str(tmp_path / "tree"))
+    loaded = load_tree(spark, str(tmp_path / "tree"))
+    assert sorted(map(tuple, loaded.collect())) == sorted(map(tuple, tree.collect()))
+    a = sorted((r.outlook, r.humidity, r.wind, r.temperature, r.prediction) for r in predict(df, tree, W_ATTRS).collect())
+    b = sorted((r.outlook, r.humidity, r.wind, r.temperature, r.prediction) for r in predict(df, loaded, W_ATTRS).collect())
+    assert a == b
+
+
+def test_hot_combination_with_shuffled_joins(spark):
+    # one attribute combination holds a third of the rows; force every node
+    # table through shuffled joins (no broadcast) and compare with brute force
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for i in range(600):
+        if i % 3 == 0:
+            rows.append(("hot", "h", "h", rnd.random() < 0.7))
+        else:
+            vals = (f"a{rnd.randrange(4)}", f"b{rnd.randrange(3)}", f"c{rnd.randrange(5)}")
+            rows.append(vals + (rnd.random() < (0.9 if vals[1] == "b0" else 0.3),))
+    df = spark.createDataFrame(rows, "a string, b string, c string, y boolean").repartition(6)
+    got = {r.rule: (r.split_attr, r.kind, r.label, r.pos, r.neg) for r in grow_tree(df, ["a", "b", "c"], "y", broadcast_rows=0).collect()}
+    assert got == brute_id3(rows, ["a", "b", "c"])
