@@ -39,8 +39,10 @@ def main() -> None:
     spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="canopy-bench")
     # warm-up: JVM start, parquet footers, codegen caches
     QUERIES["row_count"](spark, sf_dir).collect()
-    timings = {}
+    timings, jobs = {}, {}
+    sc = spark.sparkContext
     for name in names:
+        sc.setJobGroup(f"bench-{name}", name)
         t0 = time.perf_counter()
         df = QUERIES[name](spark, sf_dir)
         if name in ROW_LEVEL:
@@ -48,6 +50,7 @@ def main() -> None:
         else:
             df.collect()
         timings[name] = round(time.perf_counter() - t0, 3)
+        jobs[name] = len(sc.statusTracker().getJobIdsForGroup(f"bench-{name}"))
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(
         json.dumps(
@@ -56,6 +59,7 @@ def main() -> None:
                 "value": round(sum(timings.values()), 3),
                 "unit": "sec",
                 "queries": timings,
+                "spark_jobs": jobs,
                 "sf": float(m.group(1)) if m else sf_dir,
                 "cpus": cpus,
             }
