@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.operators._lineage import durable
-from canopy.operators.discretize import bin_quartiles, collect_cuts, quartile_cuts
+from canopy.operators.discretize import bin_quartiles, quartile_cuts
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
 from canopy.operators.sampling import split_train_test, with_side

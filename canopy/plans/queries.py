@@ -24,7 +24,6 @@ from canopy.functions.columns import (
 from canopy.operators.contingency import (
     attr_value_counts,
     attr_value_counts_join,
-    cells,
     class_counts,
     distinct_values,
     domain_violations,

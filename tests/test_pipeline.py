@@ -37,3 +37,15 @@ def test_entry_smoke(spark):
     assert df.columns == ["doc_id", "prediction", "matched_depth", "reached_leaf"]
     assert df.count() >= 0
     assert set(oracle_sql()) <= set(queries())
+
+
+def test_train_cuts_option(spark):
+    fx = fixture_d(spark, SF001)
+    per_side = binned_sides(fx)
+    shared = binned_sides(fx, cuts="train")
+    assert shared.test_cuts == shared.train_cuts == per_side.train_cuts
+    # test cells with the training cuts cover exactly the test rows
+    n_rows = shared.test.count()
+    assert shared.test_cells.agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == n_rows
+    binned = {r.review_body for r in shared.test.select("review_body").distinct().collect()}
+    assert binned <= {"(0,Q1]", "(Q1,Q2]", "(Q2,Q3]", "Q3"}
