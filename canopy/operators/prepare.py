@@ -74,7 +74,8 @@ def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: in
     Instead the key range is cut into ``buckets`` ranges at approximate
     quantiles (a bounded sketch), the per-range counts (``buckets`` numbers)
     give each range its offset, and ``row_number`` runs *within* each range
-    in parallel.  Ties in ``order_by`` are numbered in an unspecified order.
+    in parallel.  Ties in ``order_by`` are broken by the other (orderable)
+    columns, so a recomputed task numbers rows exactly as before.
     The number of ranges grows with the row count (up to 10,000), so one
     range holds about two million rows or fewer up to 2·10^10 rows.
     """
@@ -91,7 +92,9 @@ def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: in
         offsets.append(running)
         running += counts.get(b, 0)
     offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets])
-    w = Window.partitionBy("_rb").orderBy(F.col(order_by))
+    orderable = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
+    ties = [F.col(f.name) for f in df.schema.fields if f.name != order_by and isinstance(f.dataType, orderable)]
+    w = Window.partitionBy("_rb").orderBy(F.col(order_by), *ties)
     return keyed.withColumn(
         name, (F.element_at(offset_arr, F.col("_rb") + 1) + F.row_number().over(w) - 1).cast("bigint")
     ).drop("_rb")

@@ -169,8 +169,8 @@ def grow_tree(
             .groupBy("node_id", "attr")
             .agg(
                 F.sum(t * entropy("pos", "neg")).alias("_wh"),
-                F.first("node_pos").alias("node_pos"),
-                F.first("node_neg").alias("node_neg"),
+                F.max("node_pos").alias("node_pos"),  # constant per node
+                F.max("node_neg").alias("node_neg"),
                 F.bool_and(same_ratio).alias("zero"),
             )
         )
