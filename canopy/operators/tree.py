@@ -172,6 +172,7 @@ def grow_tree(
                 F.max("node_pos").alias("node_pos"),  # constant per node
                 F.max("node_neg").alias("node_neg"),
                 F.bool_and(same_ratio).alias("zero"),
+                F.count(F.lit(1)).alias("n_values"),
             )
         )
         node_total = (F.col("node_pos") + F.col("node_neg")).cast("double")
@@ -187,10 +188,17 @@ def grow_tree(
                         F.col("attr").alias("attr"),
                         F.col("gain").alias("gain"),
                         F.col("zero").alias("zero"),
+                        F.col("n_values").alias("n_values"),
                     )
                 ).alias("b")
             )
-            .select("node_id", F.col("b.attr").alias("best_attr"), F.col("b.gain").alias("best_gain"), F.col("b.zero").alias("best_zero"))
+            .select(
+                "node_id",
+                F.col("b.attr").alias("best_attr"),
+                F.col("b.gain").alias("best_gain"),
+                F.col("b.zero").alias("best_zero"),
+                F.col("b.n_values").alias("best_values"),
+            )
         )
         has_best = F.col("best_attr").isNotNull()
         kind = (
@@ -209,25 +217,25 @@ def grow_tree(
         )
         levels.append(decided.select(*TREE_COLUMNS))
 
+        # children of this level = values of the chosen attribute under each split node
+        n_next = decided.agg(F.sum(F.when(F.col("kind") == "split", F.col("best_values")))).first()[0] or 0
+        if n_next == 0:
+            break
         splits = decided.where(F.col("kind") == "split").select("node_id", "split_attr", "used", "rule", "depth")
         s = _maybe_broadcast(splits, n_open, limit).alias("s")
         c = cand.alias("c")
-        next_nodes, n_next = durable(
-            c.join(s, (F.col("c.node_id") == F.col("s.node_id")) & (F.col("c.attr") == F.col("s.split_attr"))).select(
-                child_id(F.col("c.node_id"), F.col("c.attr"), F.col("c.value")).alias("node_id"),
-                F.col("c.node_id").alias("parent_id"),
-                (F.col("s.depth") + 1).alias("depth"),
-                F.col("c.attr").alias("edge_attr"),
-                F.col("c.value").alias("edge_value"),
-                _rule(F.col("s.rule"), F.col("c.attr"), F.col("c.value")).alias("rule"),
-                F.array_append(F.col("s.used"), F.col("c.attr")).alias("used"),
-                F.col("c.pos").alias("pos"),
-                F.col("c.neg").alias("neg"),
-            ),
-            count=True,
+        # a join of two stored frames; planned again (cheaply) by the next level
+        next_nodes = c.join(s, (F.col("c.node_id") == F.col("s.node_id")) & (F.col("c.attr") == F.col("s.split_attr"))).select(
+            child_id(F.col("c.node_id"), F.col("c.attr"), F.col("c.value")).alias("node_id"),
+            F.col("c.node_id").alias("parent_id"),
+            (F.col("s.depth") + 1).alias("depth"),
+            F.col("c.attr").alias("edge_attr"),
+            F.col("c.value").alias("edge_value"),
+            _rule(F.col("s.rule"), F.col("c.attr"), F.col("c.value")).alias("rule"),
+            F.array_append(F.col("s.used"), F.col("c.attr")).alias("used"),
+            F.col("c.pos").alias("pos"),
+            F.col("c.neg").alias("neg"),
         )
-        if n_next == 0:
-            break
         moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open, limit)
         picked = value_of(F.col("split_attr"), attrs)
         open_cells, _ = durable(
