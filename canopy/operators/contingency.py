@@ -62,11 +62,17 @@ def attr_value_counts_join(df: DataFrame, attrs: Sequence[str], label: str = LAB
     """Same result in the literal form: per attribute, positive and negative
     counts grouped separately, full outer joined on the value, gaps filled
     with 0.  Kept for fidelity; ``attr_value_counts`` is the fast path.
+
+    The rows are read once: both sides of every join are aggregated from
+    the stored cells (one pass), not from the input.
     """
+    from canopy.operators._lineage import durable
+
+    c, _ = durable(cells(df, attrs, label))
     parts = []
     for a in attrs:
-        pos = df.where(F.col(label)).groupBy(a).agg(F.count(F.lit(1)).alias("helpful_count"))
-        neg = df.where(~F.col(label)).groupBy(a).agg(F.count(F.lit(1)).alias("not_helpful_count"))
+        pos = c.where(F.col("pos") > 0).groupBy(a).agg(F.sum("pos").alias("helpful_count"))
+        neg = c.where(F.col("neg") > 0).groupBy(a).agg(F.sum("neg").alias("not_helpful_count"))
         joined = pos.join(neg, [a], "full_outer").na.fill(0, ["helpful_count", "not_helpful_count"])
         parts.append(
             joined.select(

@@ -251,7 +251,8 @@ def oracle_sql() -> dict[str, str]:
     sq["row_index"] = "SELECT doc_id, CAST(row_number() OVER (ORDER BY doc_id) - 1 AS BIGINT) AS row_index FROM documents"
     sq["split_train_test"] = _with(f"base AS ({L_BASE})") + (
         f"SELECT CASE WHEN {bucket('key')} < 70 THEN 'train' ELSE 'test' END AS side, count(*) AS n_rows, "
-        "count_if(is_vote_helpful) AS n_pos, count_if(NOT is_vote_helpful) AS n_neg FROM base GROUP BY 1"
+        "CAST(count_if(is_vote_helpful) AS BIGINT) AS n_pos, CAST(count_if(NOT is_vote_helpful) AS BIGINT) AS n_neg "
+        "FROM base GROUP BY 1"
     )
     sq["quartile_cuts"] = _with(SL) + (
         "SELECT 'train' AS side, q1, q2, q3 FROM cut_tr UNION ALL SELECT 'test' AS side, q1, q2, q3 FROM cut_te"
@@ -263,7 +264,8 @@ def oracle_sql() -> dict[str, str]:
     sq["discretize_train"] = _with(SL) + "SELECT l_orderkey, l_linenumber, body_len, review_body FROM train"
     sq["discretize_test"] = _with(SL) + "SELECT l_orderkey, l_linenumber, body_len, review_body FROM test"
     sq["class_counts"] = _with(SL) + (
-        "SELECT count_if(is_vote_helpful) AS pos, count_if(NOT is_vote_helpful) AS neg, count(*) AS total FROM train"
+        "SELECT CAST(count_if(is_vote_helpful) AS BIGINT) AS pos, CAST(count_if(NOT is_vote_helpful) AS BIGINT) AS neg, "
+        "count(*) AS total FROM train"
     )
     sq["path_filter"] = _with(SL) + f"SELECT l_orderkey, l_linenumber, is_vote_helpful FROM train WHERE {path}"
     sq["distinct_values"] = _with(SD) + "SELECT DISTINCT product_category FROM train"
