@@ -149,7 +149,22 @@ def grow_tree(
     n_open = 1
     levels: list[DataFrame] = []
 
+    level = 0
     while n_open > 0:
+        if level == len(attrs):
+            # every open node has used all attributes: no candidates, so the
+            # node counts alone decide (pure or exhausted) -- no aggregation needed
+            last, _ = durable(
+                nodes.select(
+                    *[c for c in TREE_COLUMNS if c not in ("split_attr", "gain", "kind", "label")],
+                    F.lit(None).cast("string").alias("split_attr"),
+                    F.lit(None).cast("double").alias("gain"),
+                    F.when((F.col("pos") == 0) | (F.col("neg") == 0), F.lit("pure")).otherwise(F.lit("exhausted")).alias("kind"),
+                    (F.col("pos") > F.col("neg")).alias("label"),
+                )
+            )
+            levels.append(last.select(*TREE_COLUMNS))
+            break
         cand, _ = durable(
             open_cells.unpivot(["node_id", "used", "pos", "neg"], attrs, "attr", "value")
             .where(~F.array_contains(F.col("used"), F.col("attr")))
@@ -236,18 +251,20 @@ def grow_tree(
             F.col("c.pos").alias("pos"),
             F.col("c.neg").alias("neg"),
         )
-        moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open, limit)
-        picked = value_of(F.col("split_attr"), attrs)
-        open_cells, _ = durable(
-            open_cells.join(moves, "node_id").select(
-                child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
-                F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
-                *attrs,
-                "pos",
-                "neg",
+        if level + 1 < len(attrs):  # the last level is decided from node counts alone
+            moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open, limit)
+            picked = value_of(F.col("split_attr"), attrs)
+            open_cells, _ = durable(
+                open_cells.join(moves, "node_id").select(
+                    child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
+                    F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
+                    *attrs,
+                    "pos",
+                    "neg",
+                )
             )
-        )
         nodes, n_open = next_nodes, n_next
+        level += 1
 
     return durable(reduce(DataFrame.unionByName, levels))[0]
 
