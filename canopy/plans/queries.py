@@ -38,7 +38,7 @@ from canopy.operators.prepare import ATTRIBUTES, LABEL, row_index
 from canopy.operators.sampling import split_train_test, with_side
 from canopy.operators.tree import TREE_COLUMNS, grow_tree, tree_rules
 from canopy.plans.fixtures import fixture_d, fixture_l, vowel_count
-from canopy.plans.pipeline import binned_sides, evaluate, train_tree
+from canopy.plans.end_to_end import binned_sides, evaluate, train_tree
 from canopy.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from canopy.operators.predict import predict
 from canopy.plans.fixtures import fixture_d, fixture_l
-from canopy.plans.pipeline import binned_sides, evaluate, train_tree
+from canopy.plans.end_to_end import binned_sides, evaluate, train_tree
 
 from .conftest import SF001, SF01
 

@@ -31,7 +31,7 @@ def recorded(monkeypatch):
 
     import canopy.operators.quantiles as q
     import canopy.operators.tree as t
-    import canopy.plans.pipeline as p
+    import canopy.plans.end_to_end as p
 
     for mod in (_lineage, q, t, p):
         monkeypatch.setattr(mod, "durable", spy)

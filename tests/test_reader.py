@@ -55,3 +55,42 @@ def test_prepare_reviews(spark, tmp_path):
     assert out["C"].is_vote_helpful is False and out["C"].star_rating == "bad"
     # empty field is read as null and filled with the text 'false'
     assert out["C"].marketplace == "false"
+
+
+def test_end_to_end_on_review_files(spark, tmp_path):
+    """The original workflow: review TSV → prepare → split → bins → tree → score → store."""
+    import random
+
+    from canopy.__main__ import run
+    from canopy.sources.trees import load_tree
+
+    rnd = random.Random(5)
+    lines = [HEADER]
+    for i in range(400):
+        vine = rnd.choice("YN")
+        helpful = rnd.randint(0, 5)
+        total = helpful + (rnd.randint(0, 2) if vine == "Y" else rnd.randint(0, 8))
+        lines.append(
+            line(
+                review_id=f"R{i}",
+                marketplace=rnd.choice(["US", "UK", "DE"]),
+                product_category=rnd.choice(["Books", "Toys", "Music"]),
+                vine=vine,
+                verified_purchase=rnd.choice("YN"),
+                star_rating=str(rnd.randint(1, 5)),
+                helpful_votes=str(helpful),
+                total_votes=str(total),
+                review_body="x" * rnd.randint(0, 300),
+            )
+        )
+    d = tmp_path / "in"
+    d.mkdir()
+    (d / "part1.tsv").write_text("\n".join(lines[:200]) + "\n")
+    (d / "part2.tsv").write_text("\n".join([HEADER] + lines[200:]) + "\n")
+    tree, score = run(spark, [str(d)], str(tmp_path / "tree"), show=0)
+    assert score["n_rows"] > 0 and 0.0 <= score["mse"] <= 1.0
+    leaves = tree.where("split_attr IS NULL")
+    train_rows = leaves.agg({"pos": "sum", "neg": "sum"}).first()
+    assert sum(train_rows) + score["n_rows"] == 400
+    stored = load_tree(spark, str(tmp_path / "tree"))
+    assert stored.count() == tree.count()

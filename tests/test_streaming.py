@@ -1,6 +1,6 @@
 
 from canopy.plans.fixtures import fixture_d
-from canopy.plans.pipeline import binned_sides, train_tree
+from canopy.plans.end_to_end import binned_sides, train_tree
 from canopy.streaming import predict_stream, running_error
 
 from .conftest import SF001

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from canopy.operators.predict import predict  # noqa: E402
 from canopy.operators.sampling import with_side  # noqa: E402
 from canopy.plans.fixtures import fixture_l  # noqa: E402
-from canopy.plans.pipeline import binned_sides, score_cells, train_tree  # noqa: E402
+from canopy.plans.end_to_end import binned_sides, score_cells, train_tree  # noqa: E402
 from canopy.session import local_session  # noqa: E402
 
 
