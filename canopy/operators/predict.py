@@ -7,6 +7,13 @@ rounds run inside one map-only stage) and computes the id of the child its
 own attribute value leads to.  A row whose value was never seen under that
 node simply finds no match in the next round and keeps the majority label
 of the deepest node it reached; no row loops or is dropped.
+
+A tree too large to broadcast would turn every round into a shuffle of all
+rows.  For batch input the walk then runs over the rows' distinct attribute
+combinations instead (a partially aggregated, usually tiny table), and the
+rows are joined back to their combination's result once -- broadcast if the
+counted combinations fit, otherwise one shuffle join whose hot keys AQE
+splits.  Streaming input always walks directly (stateless stream-static joins).
 """
 
 from __future__ import annotations
@@ -30,10 +37,16 @@ def predict(
     prediction: str = "prediction",
     broadcast_rows: int | None = None,
     token: str = FILL_TOKEN,
+    strategy: str = "auto",
 ) -> DataFrame:
     """``df`` plus ``prediction`` ('true'/'false'), ``leaf_id``,
     ``matched_depth`` and ``reached_leaf`` (false when an unseen value
-    stopped the walk at an inner node)."""
+    stopped the walk at an inner node).
+
+    ``strategy``: ``'walk'`` (rows walk the tree), ``'combos'`` (distinct
+    attribute combinations walk it, rows join back) or ``'auto'`` (walk when
+    the tree can be broadcast or the input is a stream, else combos).
+    """
     attrs = list(attrs)
     spark = df.sparkSession
     small = tree.select("node_id", "split_attr", "label", "depth")
@@ -54,9 +67,31 @@ def predict(
         F.col("label").alias("_t_label"),
         F.col("depth").alias("_t_depth"),
     )
-    if n_nodes <= broadcast_row_limit(spark, broadcast_rows):
+    limit = broadcast_row_limit(spark, broadcast_rows)
+    if n_nodes <= limit:
         lookup = F.broadcast(lookup)
+    if strategy == "auto":
+        strategy = "walk" if (n_nodes <= limit or df.isStreaming) else "combos"
+    if strategy == "combos":
+        return _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token)
+    return _walk(df, lookup, root, max_depth, attrs, prediction, token)
+
+
+def _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token) -> DataFrame:
+    from canopy.operators._lineage import durable
+
+    keys = [f"_k{i}" for i in range(len(attrs))]
+    keyed = df.select("*", *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(k) for a, k in zip(attrs, keys)])
+    combos, n_combos = durable(keyed.select(*[F.col(k).alias(a) for k, a in zip(keys, attrs)]).distinct(), count=True)
+    walked = _walk(combos, lookup, root, max_depth, attrs, prediction, token).select(
+        *[F.col(a).alias(k) for a, k in zip(attrs, keys)], prediction, "leaf_id", "matched_depth", "reached_leaf"
+    )
+    if n_combos <= limit:
+        walked = F.broadcast(walked)
+    return keyed.join(walked, keys).drop(*keys)
+
 
+def _walk(df, lookup, root, max_depth, attrs, prediction, token) -> DataFrame:
     # The root is the same for every row, so it is applied as literals; the
     # walk's joins then always key on a per-row child id (an equi-join, never
     # a nested loop on a constant).

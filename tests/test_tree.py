@@ -241,3 +241,9 @@ def test_predict_with_shuffled_joins_equals_broadcast(spark):
     slow_df = predict(test, tree, ["a", "b"], broadcast_rows=0)
     slow = sorted(map(tuple, slow_df.select(*cols).collect()), key=str)
     assert fast == slow  # (AQE may still broadcast the tree from its measured size; results must not change)
+    for kw in ({"strategy": "combos"}, {"strategy": "combos", "broadcast_rows": 0}):
+        combos = sorted(map(tuple, predict(test, tree, ["a", "b"], **kw).select(*cols).collect()), key=str)
+        assert combos == fast, kw
+    # a too-large tree switches to the combinations route on its own
+    auto = predict(test, tree, ["a", "b"], broadcast_rows=0)
+    assert sorted(map(tuple, auto.select(*cols).collect()), key=str) == fast
