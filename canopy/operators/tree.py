@@ -17,8 +17,11 @@ aggregations:
 * the next level's nodes are the candidate children of the chosen split,
   and the next level's cells are the cells re-keyed to those children.
 
-A level needs one small action (the number of open child nodes, to stop the
-loop) and at most ``len(attrs) + 1`` levels exist.  The per-node tables are
+A level needs one small action (the number of child nodes, read off the
+stored decisions, to stop the loop) and at most ``len(attrs) + 1`` levels
+exist; the last one has no candidates and is decided from node counts
+alone.  Every frame carried to the next level is checkpointed (see
+``_lineage``), so each level plans against stored data.  The per-node tables are
 broadcast only when the node count -- known exactly from the previous level
 -- is under the session's broadcast limit; otherwise they are shuffled like
 any join, and AQE handles a node that owns most of the cells.
