@@ -66,3 +66,22 @@ def test_row_index_is_consecutive(spark):
     got = sorted((r.row_index, r.k) for r in row_index(df, "k", buckets=16).collect())
     assert [i for i, _ in got] == list(range(5000))
     assert [k for _, k in got] == sorted(keys)
+
+
+def test_exact_quantiles_property(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    @settings(max_examples=8, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(
+        st.lists(st.tuples(st.integers(-50, 50), st.integers(1, 5)), min_size=1, max_size=60),
+        st.lists(st.floats(0.01, 1.0), min_size=1, max_size=4),
+        st.integers(2, 9),
+    )
+    def check(pairs, probs, buckets):
+        df = spark.createDataFrame([(float(v), w) for v, w in pairs], "v double, w long")
+        got = list(exact_quantiles(df, "v", probs, weight="w", buckets=buckets).first())
+        flat = [float(v) for v, w in pairs for _ in range(w)]
+        assert got == [disc(flat, p) for p in probs]
+
+    check()
