@@ -50,9 +50,13 @@ def predict(
     attrs = list(attrs)
     spark = df.sparkSession
     small = tree.select("node_id", "split_attr", "label", "depth")
-    stats = small.agg(F.count(F.lit(1)).alias("n"), F.max("depth").alias("d")).first()
-    n_nodes, max_depth = int(stats["n"]), stats["d"]
-    root = small.where(F.col("node_id") == F.lit(ROOT_ID)).first()  # one row
+    # size (for the broadcast check), depth and the root row, in one small job
+    stats = small.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.max("depth").alias("d"),
+        F.max(F.when(F.col("node_id") == F.lit(ROOT_ID), F.struct("split_attr", "label"))).alias("root"),
+    ).first()
+    n_nodes, max_depth, root = int(stats["n"]), stats["d"], stats["root"]
     if root is None:  # empty tree: nothing learned, predict the default class
         return df.select(
             "*",
