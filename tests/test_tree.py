@@ -247,3 +247,9 @@ def test_predict_with_shuffled_joins_equals_broadcast(spark):
     # a too-large tree switches to the combinations route on its own
     auto = predict(test, tree, ["a", "b"], broadcast_rows=0)
     assert sorted(map(tuple, auto.select(*cols).collect()), key=str) == fast
+
+
+def test_force_root_option(spark):
+    df = spark.createDataFrame([("u", "1", True), ("v", "2", True)], "a string, b string, y boolean")
+    closed = grow_tree(df, ["a", "b"], "y", force_root=False).collect()
+    assert len(closed) == 1 and closed[0].kind == "pure" and closed[0].label is True
