@@ -9,9 +9,10 @@ aggregations:
 
 * ``cand``   : cells unpivoted to ``(node, attr, value)`` for the attributes
   not yet used on the node's path, summed -- the candidate children;
-* ``stats``  : per ``(node, attr)`` the information gain, and an exact
-  integer test of "gain is zero" (every child has the parent's class ratio);
-* ``best``   : arg-max gain per node, ties to the earlier attribute;
+* ``best``   : per node and attribute the information gain and an exact
+  integer test of "gain is zero" (every child has the parent's class
+  ratio), then the arg-max gain, ties to the earlier attribute -- one
+  aggregation per node;
 * ``decided``: the node's kind (split / pure / exhausted / zero_gain) and
   majority label;
 * the next level's nodes are the candidate children of the chosen split,
@@ -43,7 +44,7 @@ from pyspark.sql import types as T
 from canopy.functions.columns import child_id, entropy, value_of
 from canopy.operators._lineage import broadcast_row_limit, durable
 from canopy.operators.contingency import cells as build_cells
-from canopy.operators.impurity import TIE_DECIMALS, attr_order
+from canopy.operators.impurity import TIE_DECIMALS
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
 
 ROOT_ID = "root"
@@ -182,41 +183,47 @@ def grow_tree(
             F.col("neg").cast(big) * F.col("node_pos").cast(big)
         )
         t = (F.col("pos") + F.col("neg")).cast("double")
-        stats = (
+        # One aggregation per node, with the per-attribute sums as conditional
+        # aggregates (the attribute list is small and fixed): partial
+        # aggregation still collapses a node that owns everything to one row
+        # per task, and the arg-max is a row-wise `greatest`, not another shuffle.
+        per_attr = []
+        for i, a in enumerate(attrs):
+            on = F.col("attr") == F.lit(a)
+            per_attr += [
+                F.sum(F.when(on, t * entropy("pos", "neg"))).alias(f"_wh{i}"),
+                F.bool_and(F.when(on, same_ratio)).alias(f"_z{i}"),
+                F.count(F.when(on, F.lit(1))).alias(f"_n{i}"),
+            ]
+        per_node = (
             cand.join(totals, "node_id")
-            .groupBy("node_id", "attr")
-            .agg(
-                F.sum(t * entropy("pos", "neg")).alias("_wh"),
-                F.max("node_pos").alias("node_pos"),  # constant per node
-                F.max("node_neg").alias("node_neg"),
-                F.bool_and(same_ratio).alias("zero"),
-                F.count(F.lit(1)).alias("n_values"),
-            )
+            .groupBy("node_id")
+            .agg(F.max("node_pos").alias("node_pos"), F.max("node_neg").alias("node_neg"), *per_attr)  # totals constant per node
         )
         node_total = (F.col("node_pos") + F.col("node_neg")).cast("double")
-        gain = entropy("node_pos", "node_neg") - F.try_divide(F.col("_wh"), node_total)
-        best = (
-            stats.withColumn("gain", gain)
-            .groupBy("node_id")
-            .agg(
-                F.max(
+        options = []
+        for i, a in enumerate(attrs):
+            gain = entropy("node_pos", "node_neg") - F.try_divide(F.col(f"_wh{i}"), node_total)
+            options.append(
+                F.when(
+                    F.col(f"_n{i}") > 0,
                     F.struct(
-                        F.round("gain", TIE_DECIMALS).alias("g"),
-                        (-attr_order(attrs)).alias("o"),
-                        F.col("attr").alias("attr"),
-                        F.col("gain").alias("gain"),
-                        F.col("zero").alias("zero"),
-                        F.col("n_values").alias("n_values"),
-                    )
-                ).alias("b")
-            )
-            .select(
-                "node_id",
-                F.col("b.attr").alias("best_attr"),
-                F.col("b.gain").alias("best_gain"),
-                F.col("b.zero").alias("best_zero"),
-                F.col("b.n_values").alias("best_values"),
+                        F.round(gain, TIE_DECIMALS).alias("g"),
+                        F.lit(-i).alias("o"),  # ties go to the attribute listed first
+                        F.lit(a).alias("attr"),
+                        gain.alias("gain"),
+                        F.col(f"_z{i}").alias("zero"),
+                        F.col(f"_n{i}").alias("n_values"),
+                    ),
+                )
             )
+        pick = F.greatest(*options) if len(options) > 1 else options[0]
+        best = per_node.select("node_id", pick.alias("b")).select(
+            "node_id",
+            F.col("b.attr").alias("best_attr"),
+            F.col("b.gain").alias("best_gain"),
+            F.col("b.zero").alias("best_zero"),
+            F.col("b.n_values").alias("best_values"),
         )
         has_best = F.col("best_attr").isNotNull()
         kind = (
