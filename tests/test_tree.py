@@ -253,3 +253,15 @@ def test_force_root_option(spark):
     df = spark.createDataFrame([("u", "1", True), ("v", "2", True)], "a string, b string, y boolean")
     closed = grow_tree(df, ["a", "b"], "y", force_root=False).collect()
     assert len(closed) == 1 and closed[0].kind == "pure" and closed[0].label is True
+
+
+def test_nulls_in_every_attribute_are_the_false_category(spark):
+    rows = [(None, None, True), (None, None, True), ("x", "1", False), ("x", None, False), (None, "1", True)]
+    df = spark.createDataFrame(rows, "a string, b string, y boolean")
+    tree = grow_tree(df, ["a", "b"], "y")
+    by_rule = {r.rule: r for r in tree.collect()}
+    assert "a=false" in by_rule and by_rule["a=false"].pos == 3
+    filled = grow_tree(df.na.fill("false"), ["a", "b"], "y")
+    assert sorted(map(tuple, tree.collect())) == sorted(map(tuple, filled.collect()))
+    p = {(r.a, r.b): r.prediction for r in predict(df, tree, ["a", "b"]).collect()}
+    assert p[(None, None)] == "true" and p[("x", "1")] == "false"
