@@ -46,11 +46,44 @@ def approx_bounds(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) ->
     return sorted(bounds) if bounds else []
 
 
-def bucket_of(value: Column, bounds: list[float] | Column) -> Column:
-    """Range index of ``value``: the number of bounds strictly below it."""
-    arr = bounds if isinstance(bounds, Column) else F.array(*[F.lit(float(b)) for b in bounds])
+TREE_LOOKUP_LIMIT = 1024  # up to this many bounds the lookup is a comparison tree
+
+
+def bucket_of(value: Column, bounds: list[float] | Column, n_bounds: int | None = None) -> Column:
+    """Range index of ``value``: the number of bounds strictly below it.
+
+    For up to ``TREE_LOOKUP_LIMIT`` bounds this is a balanced tree of
+    comparisons -- a plain ``CASE`` expression, ``log2(n)`` comparisons per
+    row, compiled by whole-stage codegen.  Longer lists fall back to
+    ``size(filter(bounds, b -> b < v))``.
+    """
     v = value.cast("double")
-    return F.size(F.filter(arr, lambda b: b < v))
+    if isinstance(bounds, Column):
+        if n_bounds is None:
+            raise ValueError("n_bounds is needed with an array column of bounds")
+        count = n_bounds
+
+        def at(i):
+            return F.element_at(bounds, i + 1)
+    else:
+        count = len(bounds)
+        lits = [F.lit(float(b)) for b in bounds]
+
+        def at(i):
+            return lits[i]
+
+    if count > TREE_LOOKUP_LIMIT:
+        arr = bounds if isinstance(bounds, Column) else F.array(*[F.lit(float(b)) for b in bounds])
+        return F.size(F.filter(arr, lambda b: b < v))
+
+    def first_not_below(lo: int, hi: int) -> Column:
+        # number of bounds < v, knowing it lies in [lo, hi] (bounds ascending)
+        if lo == hi:
+            return F.lit(lo)
+        mid = (lo + hi) // 2
+        return F.when(v > at(mid), first_not_below(mid + 1, hi)).otherwise(first_not_below(lo, mid))
+
+    return first_not_below(0, count)
 
 
 def exact_quantiles(
@@ -90,7 +123,9 @@ def exact_quantiles(
         bounds = freq.groupBy(*gcols).agg(
             F.percentile_approx("_v", _probs(buckets), 10 * buckets).alias("_bounds")
         )
-        fb = freq.join(bounds, gcols).withColumn("_bk", bucket_of(F.col("_v"), F.col("_bounds"))).drop("_bounds")
+        fb = freq.join(bounds, gcols).withColumn(
+            "_bk", bucket_of(F.col("_v"), F.col("_bounds"), buckets - 1)
+        ).drop("_bounds")
     else:
         fb = freq.withColumn("_bk", bucket_of(F.col("_v"), approx_bounds(freq, "_v", buckets)))
 

@@ -85,3 +85,18 @@ def test_exact_quantiles_property(spark):
         assert got == [disc(flat, p) for p in probs]
 
     check()
+
+
+def test_bucket_lookup_tree_equals_filter_form(spark):
+    from canopy.operators.quantiles import bucket_of
+
+    rnd = random.Random(9)
+    bounds = sorted(rnd.choice([1.0, 2.0, 2.0, 5.5, 7.0, 7.0, 7.0, 10.0]) for _ in range(13))
+    vals = [0.0, 1.0, 2.0, 2.5, 7.0, 7.0001, 10.0, 11.0, float("nan")] + [rnd.uniform(-1, 12) for _ in range(200)]
+    df = spark.createDataFrame([(v, bounds) for v in vals], "v double, b array<double>")
+    arr = F.array(*[F.lit(b) for b in bounds])
+    slow = F.size(F.filter(arr, lambda b: b < F.col("v")))
+    got = df.select(
+        bucket_of(F.col("v"), bounds).alias("lit"), bucket_of(F.col("v"), F.col("b"), len(bounds)).alias("col"), slow.alias("ref")
+    ).collect()
+    assert all(r.lit == r.ref == r.col for r in got)
