@@ -36,7 +36,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or list(HEADLINE)
-    spark = local_session(cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")), app="canopy-bench")
+    spark = local_session(
+        cpus,
+        shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "16")),
+        app="canopy-bench",
+        event_log_dir=os.environ.get("BENCH_EVENT_LOG_DIR"),
+    )
     # warm-up (JVM start, JIT, codegen caches): the same queries on the
     # smallest provided scale factor next to the measured one, if present
     small = os.path.join(os.path.dirname(sf_dir.rstrip("/")), "sf0.001")
