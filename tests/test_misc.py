@@ -34,3 +34,24 @@ def test_sql_users_can_query_cells_through_a_view(spark):
     assert [tuple(r) for r in got] == [("x", 1, 1), ("y", 1, 0)]
     # values with quotes are literals, never SQL text
     assert path_filter(df.union(spark.createDataFrame([("o'k", "1", True)], df.schema)), [("a", "o'k")]).count() == 1
+
+
+def test_results_do_not_depend_on_ansi_mode(spark):
+    from canopy.functions.columns import ratio_above, rating_bucket
+    from canopy.operators.tree import grow_tree
+
+    rows = [("3", "4", "5"), ("1", "0", "x"), (None, "2", None), ("2", "y", "3"), ("5", "3", "2")]
+    df = spark.createDataFrame(rows, "h string, t string, r string")
+    exprs = [ratio_above("h", "t").alias("y"), rating_bucket("r").alias("b")]
+    tree_in = df.select(*exprs)
+
+    def run():
+        return sorted(map(tuple, df.select(*exprs).collect())), sorted(map(tuple, grow_tree(tree_in, ["b"], "y").collect()))
+
+    before = run()
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        after = run()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert before == after
