@@ -32,6 +32,7 @@ from canopy.operators.prepare import fill_missing, prepare_reviews, row_index
 from canopy.operators.quantiles import exact_quantiles
 from canopy.operators.sampling import random_split, split_train_test
 from canopy.operators.tree import grow_tree, tree_rules
+from canopy.plans.end_to_end import binned_sides, evaluate, score_cells, train_tree
 from canopy.sources.reviews import REVIEW_COLUMNS, read_review_lines, read_reviews
 from canopy.sources.trees import load_tree, save_tree
 
@@ -40,12 +41,14 @@ __all__ = [
     "attr_value_counts",
     "attr_value_counts_join",
     "best_attribute",
+    "binned_sides",
     "bin_quartiles",
     "cells",
     "class_counts",
     "distinct_values",
     "domain_violations",
     "entropy",
+    "evaluate",
     "exact_quantiles",
     "fill_missing",
     "flag_to_boolean",
@@ -67,8 +70,10 @@ __all__ = [
     "read_reviews",
     "row_index",
     "save_tree",
+    "score_cells",
     "split_train_test",
     "squared_error",
     "text_length",
+    "train_tree",
     "tree_rules",
 ]
