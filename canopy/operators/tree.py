@@ -96,6 +96,10 @@ def grow_tree(
     is its majority class, ties to ``false``.
     """
     attrs = list(attrs)
+    bad = [a for a in attrs if "=" in a or "|" in a]
+    if bad or len(set(attrs)) != len(attrs):
+        # node ids hash "parent|attr=value"; these characters would make two paths collide
+        raise ValueError(f"attribute names must be distinct and contain no '=' or '|': {bad or attrs}")
     if cells is None:
         if train is None:
             raise ValueError("give train or cells")

@@ -265,3 +265,11 @@ def test_nulls_in_every_attribute_are_the_false_category(spark):
     assert sorted(map(tuple, tree.collect())) == sorted(map(tuple, filled.collect()))
     p = {(r.a, r.b): r.prediction for r in predict(df, tree, ["a", "b"]).collect()}
     assert p[(None, None)] == "true" and p[("x", "1")] == "false"
+
+
+def test_attribute_names_are_validated(spark):
+    import pytest
+
+    df = spark.createDataFrame([("x", True)], "`a=b` string, y boolean")
+    with pytest.raises(ValueError):
+        grow_tree(df, ["a=b"], "y")
