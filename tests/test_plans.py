@@ -58,3 +58,30 @@ def test_scan_pruning_and_pushdown(spark):
     # predicate pushdown at the lineitem scan: only the needed columns are read
     text = plan_text(q_path_filter(spark, SF001))
     assert "l_comment" not in text and "PushedFilters" in text
+
+
+def test_tree_jobs_depend_on_levels_not_nodes(spark):
+    import random
+
+    from canopy.operators.tree import grow_tree
+
+    sc = spark.sparkContext
+
+    def jobs_for(card, seed):
+        rnd = random.Random(seed)
+        rows = [tuple(f"v{rnd.randrange(card)}" for _ in range(3)) + (rnd.random() < 0.5,) for _ in range(3000)]
+        df = spark.createDataFrame(rows, "a string, b string, c string, y boolean")
+        group = f"jobs-{card}"
+        sc.setJobGroup(group, group)
+        tree = grow_tree(df, ["a", "b", "c"], "y")
+        n_nodes = tree.count()
+        depth = tree.agg({"depth": "max"}).first()[0]
+        n_jobs = len(sc.statusTracker().getJobIdsForGroup(group))
+        sc.setJobGroup("", "")
+        return n_nodes, depth, n_jobs
+
+    small = jobs_for(2, 1)
+    large = jobs_for(9, 2)
+    assert small[1] == large[1] == 3  # same number of levels
+    assert large[0] > 20 * small[0]  # far more nodes
+    assert abs(large[2] - small[2]) <= 4  # about the same number of jobs
