@@ -55,3 +55,16 @@ def test_results_do_not_depend_on_ansi_mode(spark):
     finally:
         spark.conf.unset("spark.sql.ansi.enabled")
     assert before == after
+
+
+def test_domain_distinct_and_path_operators(spark):
+    from canopy.operators.contingency import distinct_values, domain_violations
+
+    df = spark.createDataFrame(
+        [("US", "Y", True), ("UK", "N", False), ("XX", "Y", True), ("US", None, False)], "m string, v string, y boolean"
+    )
+    bad = {(r.attr, r.value): r.n_rows for r in domain_violations(df, {"m": ["US", "UK"], "v": ["Y", "N"]}).collect()}
+    assert bad == {("m", "XX"): 1, ("v", None): 1}
+    assert sorted(r.m for r in distinct_values(df, "m").collect()) == ["UK", "US", "XX"]
+    assert path_filter(df, [("m", "US"), ("v", "Y")]).count() == 1
+    assert path_filter(df, []).count() == 4
