@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from canopy.llm import byte_bpe, deobfuscate, language_id, quality_rules
 from canopy.llm.common import documents
 from canopy.llm.token_count import count_tokens
 
@@ -18,6 +20,37 @@ def q_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path(JSON_50K))
 
 
+def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = language_id.fit(docs.where(~language_id.held_out()))
+    return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
+
+
+def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_bpe.round_trip_digests(
+        documents(spark, sf_dir), public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN
+    )
+
+
+def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    judged = quality_rules.judge(documents(spark, sf_dir), labels)
+    counts = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
+
+
+def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = deobfuscate.find(documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s.base)
+    counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in deobfuscate.KINDS]
+    digest = F.sha2(deobfuscate.span_list(base).cast("binary"), 256)
+    return found.select("doc_id", *counts, digest.alias("base_sha256"), deobfuscate.span_list(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": q_token_count,
+    "op3_language_id": q_language_id,
+    "op5_byte_bpe": q_byte_bpe,
+    "op8_quality_rules": q_quality_rules,
+    "op10_deobfuscate": q_deobfuscate,
 }
