@@ -42,7 +42,11 @@ def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deobfuscate.find(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s.base)
-    counts = [F.size(F.filter(base, lambda s, k=k: s.kind == k)).cast("long").alias(f"n_{k}") for k in deobfuscate.KINDS]
+
+    def count(kind):
+        return F.size(F.filter(base, lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in deobfuscate.KINDS]
     digest = F.sha2(deobfuscate.span_list(base).cast("binary"), 256)
     return found.select("doc_id", *counts, digest.alias("base_sha256"), deobfuscate.span_list(F.col("spans")).alias("spans"))
 
