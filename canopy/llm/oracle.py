@@ -1,5 +1,72 @@
-"""DuckDB SQL of the registered queries that SQL can express."""
+"""DuckDB SQL of the registered queries that SQL can express.
+
+Each is written from the result's definition and shares only fixed parameters
+(seeds, block and shard sizes) with the Spark code.
+"""
 
 from __future__ import annotations
 
-ORACLE_SQL: dict[str, str] = {}
+WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+
+def draw(seed: int, text: str) -> str:
+    return f"('0x' || substr(md5(concat_ws(':', '{seed}', {text})), 1, 15))::BIGINT"
+
+
+ID = "coalesce(CAST(doc_id AS VARCHAR), '')"
+
+#: Seats by highest quotients, as a list of every seat's quotient; per source, then per shard.
+MIXING = f"""
+WITH RECURSIVE sized AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS key,
+         CAST(len({WORDS}) AS BIGINT) AS size, {draw(11, ID)} AS d1, {draw(13, ID)} AS d2
+  FROM documents),
+src AS (
+  SELECT key, count(*) AS n_docs, CAST(sum(size) AS BIGINT) AS source_size,
+         CASE (row_number() OVER (ORDER BY key) - 1) % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight
+  FROM sized GROUP BY key),
+fill AS (  -- share the rest by weight until no target is above its cap
+  SELECT 0 AS round, key, source_size, weight, n_docs, FALSE AS stops FROM src
+  UNION ALL
+  SELECT round + 1, key, source_size, weight, n_docs,
+         stops OR 3.0::DOUBLE * source_size <= weight * CAST(rest AS DOUBLE) / open_weight
+  FROM (SELECT *, sum(source_size) OVER () - coalesce(sum(3 * source_size) FILTER (stops) OVER (), 0) AS rest,
+               sum(weight) FILTER (NOT stops) OVER () AS open_weight FROM fill)
+  WHERE round < 64),
+target AS (
+  SELECT key, n_docs, source_size, CAST(sum(source_size) OVER () AS BIGINT) AS all_size,
+         CASE WHEN stops THEN CAST(3 * source_size AS DOUBLE) ELSE weight *
+           CAST(sum(source_size) OVER () - coalesce(sum(3 * source_size) FILTER (stops) OVER (), 0) AS DOUBLE)
+           / sum(weight) FILTER (NOT stops) OVER () END AS target
+  FROM fill WHERE round = 64),
+seat AS (
+  SELECT key, count(*) AS seats FROM (
+    SELECT key, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, key) AS r, all_size
+    FROM target, unnest(range(CAST(target / 4 AS BIGINT) + 2 + CAST(all_size / 400 AS BIGINT))) AS u(k) WHERE target > 0)
+  WHERE r <= CAST(round(all_size / 4) AS BIGINT) GROUP BY key),
+dealt AS (
+  SELECT s.*, t.source_size, t.target, d1 % CAST(ceil(t.n_docs / 2000) AS BIGINT) AS shard
+  FROM sized s JOIN target t USING (key)),
+shard AS (
+  SELECT key, shard, CAST(sum(size) AS BIGINT) AS shard_size FROM dealt GROUP BY key, shard),
+quota AS (
+  SELECT key, shard, count(*) AS quota FROM (
+    SELECT key, shard, seats, row_number() OVER (PARTITION BY key ORDER BY shard_size::DOUBLE / (2 * k + 1) DESC, shard) AS r
+    FROM shard JOIN seat USING (key), unnest(range(seats)) AS u(k) WHERE shard_size > 0)
+  WHERE r <= seats GROUP BY key, shard),
+plan AS (
+  SELECT key, shard, shard_size, n_blocks, least(coalesce(quota, 0), 3 * n_blocks) AS quota,
+         {draw(12, "key, CAST(shard AS VARCHAR)")} % greatest(n_blocks, 1) AS first_block
+  FROM (SELECT *, CAST(ceil(shard_size / 4) AS BIGINT) AS n_blocks FROM shard) LEFT JOIN quota USING (key, shard)),
+line AS (
+  SELECT d.*, p.* EXCLUDE (key, shard), quota // greatest(n_blocks, 1) AS turns, quota % greatest(n_blocks, 1) AS extra,
+         CAST(sum(size) OVER (PARTITION BY key, shard ORDER BY d2, doc_id, size ROWS UNBOUNDED PRECEDING) AS BIGINT) - size AS start
+  FROM dealt d JOIN plan p USING (key, shard))
+SELECT doc_id, size, source_size, target,
+       CAST(turns * size
+       + greatest(least(start + size, (first_block + extra) * 4, shard_size) - greatest(start, first_block * 4), 0)
+       + greatest(least(start + size, (first_block + extra - n_blocks) * 4, shard_size) - start, 0) AS BIGINT) AS taken
+FROM line
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_source_mix": MIXING}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, quality_rules
+from canopy.llm import byte_bpe, deobfuscate, language_id, mixing, quality_rules
 from canopy.llm.common import documents
 from canopy.llm.token_count import count_tokens
 
@@ -32,6 +32,10 @@ def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.shares(documents(spark, sf_dir))
+
+
 def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     judged = quality_rules.judge(documents(spark, sf_dir), labels)
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": q_token_count,
     "op3_language_id": q_language_id,
     "op5_byte_bpe": q_byte_bpe,
+    "op7_source_mix": q_source_mix,
     "op8_quality_rules": q_quality_rules,
     "op10_deobfuscate": q_deobfuscate,
 }
