@@ -74,7 +74,9 @@ def apportion(df: DataFrame, by: list[str], party: str, votes: str, seats: str,
     divisor = F.when(more, 2 * (F.col("_base") + F.col("_k")) + 1).otherwise(2 * (F.col("_base") - F.col("_k")) - 1)
     quotient = F.col(votes).cast("double") / divisor
     near = near.where(more | (F.col("_k") < F.col("_base"))).withColumn("_order", F.when(more, -quotient).otherwise(quotient))
-    rank = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_order", party)
+    # of equal quotients the first party's comes first, so the last party's seat goes first
+    ties = F.when(F.col("_missing") > 0, F.col(party)).asc(), F.when(F.col("_missing") < 0, F.col(party)).desc()
+    rank = Window.partitionBy(*(by or [F.lit(0)])).orderBy("_order", *ties)
     chosen = near.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= F.abs("_missing"))
     moved = chosen.groupBy(*by, party).agg(F.sum(F.signum("_missing")).cast("long").alias("_moved"))
     joined = start.join(moved, [*by, party], "left")
