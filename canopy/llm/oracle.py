@@ -69,4 +69,26 @@ SELECT doc_id, size, source_size, target,
 FROM line
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_source_mix": MIXING}
+#: Links from counts of common shingles; then the smallest id that can be reached.
+MINHASH = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, [translate(x, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FOR x IN {WORDS}] AS words
+  FROM documents),
+shingle AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(words) = 1 THEN words[1] ELSE words[i] || ' ' || words[i + 1] END AS s
+  FROM w, unnest(range(1, greatest(len(words), 2))) AS u(i) WHERE len(words) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+link AS (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingle a JOIN shingle b ON a.s = b.s AND a.doc_id <> b.doc_id
+  JOIN size x ON x.doc_id = a.doc_id JOIN size y ON y.doc_id = b.doc_id
+  GROUP BY a.doc_id, b.doc_id, x.n, y.n HAVING 100 * count(*) >= 80 * (x.n + y.n - count(*))),
+reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM w
+  UNION
+  SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a)
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, min(reach.b) AS component_id, min(reach.b) = w.doc_id AS kept
+FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, n
+"""
+
+ORACLE_SQL: dict[str, str] = {"op7_source_mix": MIXING, "op9_minhash": MINHASH}

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, mixing, quality_rules
+from canopy.llm import byte_bpe, deobfuscate, language_id, minhash, mixing, quality_rules
 from canopy.llm.common import documents
 from canopy.llm.token_count import count_tokens
 
@@ -43,6 +43,11 @@ def q_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *counts, "base_failed", "kept", "rule")
 
 
+def q_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(documents(spark, sf_dir), shingle_words=2)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = deobfuscate.find(documents(spark, sf_dir))
     base = F.filter("spans", lambda s: s.base)
@@ -61,5 +66,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_byte_bpe": q_byte_bpe,
     "op7_source_mix": q_source_mix,
     "op8_quality_rules": q_quality_rules,
+    "op9_minhash": q_minhash,
     "op10_deobfuscate": q_deobfuscate,
 }
