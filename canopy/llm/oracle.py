@@ -91,4 +91,25 @@ SELECT w.doc_id, coalesce(n, 0) AS n_shingles, min(reach.b) AS component_id, min
 FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, n
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_source_mix": MIXING, "op9_minhash": MINHASH}
+#: A window is repeated if its words start earlier anywhere.
+LZ_DEDUP = f"""
+WITH w AS (SELECT doc_id, {WORDS} AS words FROM documents),
+win AS (
+  SELECT doc_id, s, list_slice(words, s, s + 19) AS win FROM w, unnest(range(1, len(words) - 18)) AS u(s)),
+again AS (
+  SELECT doc_id, s FROM (
+    SELECT doc_id, s, row_number() OVER (PARTITION BY win ORDER BY doc_id, s) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, s + k AS i FROM again, unnest(range(20)) AS u(k)),
+word AS (SELECT doc_id, i, words[i] AS word FROM w, unnest(range(1, len(words) + 1)) AS u(i)),
+kept AS (
+  SELECT doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_lz_dedup": LZ_DEDUP,
+    "op7_source_mix": MIXING,
+    "op9_minhash": MINHASH,
+}

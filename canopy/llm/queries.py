@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, minhash, mixing, quality_rules
+from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, quality_rules
 from canopy.llm.common import documents
 from canopy.llm.token_count import count_tokens
 
@@ -20,6 +20,10 @@ def q_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return count_tokens(documents(spark, sf_dir), public_tokenizers.path(JSON_50K))
 
 
+def q_lz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lz_dedup.remove_repeats(documents(spark, sf_dir)).drop("n_factors")
+
+
 def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = language_id.fit(docs.where(~language_id.held_out()))
@@ -62,6 +66,7 @@ def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": q_token_count,
+    "op2_lz_dedup": q_lz_dedup,
     "op3_language_id": q_language_id,
     "op5_byte_bpe": q_byte_bpe,
     "op7_source_mix": q_source_mix,
