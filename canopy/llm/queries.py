@@ -8,9 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, quality_rules
-from canopy.llm.common import documents
+from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, nn_descent, quality_rules
+from canopy.llm.common import documents, stored
 from canopy.llm.token_count import count_tokens
+from canopy.llm.token_files import encode_segments, read_token_files
 
 JSON_50K = "byte_bpe_50k.json"
 RANKS_50K = "byte_bpe_multi_50k.tiktoken"
@@ -30,12 +31,21 @@ def q_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.predict(docs, model).withColumn("held_out", language_id.held_out())
 
 
+def q_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    segments = encode_segments(documents(spark, sf_dir), public_tokenizers.path(JSON_50K))
+    return read_token_files(stored(segments, "token-files"))
+
+
 def q_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip_digests(
         documents(spark, sf_dir), public_tokenizers.path(RANKS_50K), public_tokenizers.PATTERN
     )
 
 
+def q_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nn_descent.nearest(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), lambda i: i % 20 == 0)
+
+
 def q_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(documents(spark, sf_dir))
 
@@ -68,7 +78,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": q_token_count,
     "op2_lz_dedup": q_lz_dedup,
     "op3_language_id": q_language_id,
+    "op4_token_files": q_token_files,
     "op5_byte_bpe": q_byte_bpe,
+    "op6_nn_descent": q_nn_descent,
     "op7_source_mix": q_source_mix,
     "op8_quality_rules": q_quality_rules,
     "op9_minhash": q_minhash,
