@@ -209,10 +209,10 @@ def decode_ids(df: DataFrame, path: str, pattern: str, *, id_col="doc_id", ids_c
     return arrow_map(df, [id_col, ids_col], rows, "doc_id long, data binary")
 
 
-def round_trip_digests(df: DataFrame, path: str, pattern: str, *, id_col="doc_id", text_col="text") -> DataFrame:
+def round_trip_digests(df: DataFrame, path: str, pattern: str, *, id_col="doc_id", text_col="text", with_ids: bool = False) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256``: the ids of each text
     (decimal, joined by commas) and the bytes decoded from them, as digests,
-    so that neither leaves the task."""
+    so that neither leaves the task; ``with_ids`` also returns ``ids``."""
 
     def rows(given):
         coder = load_ranks(path, pattern)
@@ -223,7 +223,10 @@ def round_trip_digests(df: DataFrame, path: str, pattern: str, *, id_col="doc_id
             n.append(sum([len(k[0]) for k in known]))
             ids.append(hashlib.sha256(",".join([k[1] for k in known]).encode()).hexdigest())
             data.append(hashlib.sha256(b"".join([k[2] for k in known])).hexdigest())
-        yield {"doc_id": given[id_col], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": data}
+        out = {"doc_id": given[id_col], "n_tokens": n, "ids_sha256": ids, "decoded_sha256": data}
+        if with_ids:
+            out["ids"] = [list(chain.from_iterable([cache[w][0] for w in words])) for words in split]
+        yield out
 
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
+    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
     return arrow_map(df, [id_col, text_col], rows, schema)
