@@ -144,32 +144,40 @@ class Decision:
 
 
 class Digits:
-    """Adaptive frequencies of a 4-bit digit in each of ``contexts`` contexts."""
+    """Adaptive frequencies of a 4-bit digit in each of ``contexts`` contexts, held as running sums."""
 
     def __init__(self, lanes: int, contexts: int):
-        self.table = np.ones((lanes, contexts, 16), np.uint16)
+        self.contexts = contexts
+        self.table = np.tile(np.arange(1, 17, dtype=np.uint16), (lanes * contexts, 1))
 
     def code(self, coder, lanes, context, known):
-        frequency = self.table[lanes, context]
-        upto = np.zeros((len(lanes), 17), np.uint32)
-        np.cumsum(frequency, axis=1, dtype=np.uint32, out=upto[:, 1:])
-        rows = np.arange(len(lanes))
+        at = lanes * self.contexts + context
+        upto = self.table[at]
+        first = np.arange(0, 16 * len(lanes), 16)
+        flat = upto.ravel()
 
         def bounds(digit):
-            return upto[rows, digit], frequency[rows, digit].astype(np.uint32)
+            where = first + digit
+            low = np.where(digit == 0, 0, flat[where - 1]).astype(np.uint32)
+            return low, flat[where] - low
 
         def find(place):
-            return (upto[:, 1:] <= place[:, None]).sum(axis=1)
-
-        digit = coder.pick(lanes, upto[:, 16], known if known is not None else find, bounds)
-        frequency[rows, digit] += STEP
-        full = upto[:, 16] > FULL
-        if full.any():
-            frequency[full] = (frequency[full] + 1) >> 1
-        self.table[lanes, context] = frequency
+            return (upto <= place.astype(np.uint16)[:, None]).sum(axis=1, dtype=np.uint8)
+
+        digit = coder.pick(lanes, upto[:, 15].astype(np.uint32), known if known is not None else find, bounds)
+        upto += AT_LEAST[digit]
+        full = np.flatnonzero(upto[:, 15] > FULL)
+        if len(full):
+            frequency = np.diff(upto[full], axis=1, prepend=np.uint16(0))
+            upto[full] = np.cumsum((frequency + 1) >> 1, axis=1, dtype=np.uint16)
+        self.table[at] = upto
         return digit
 
 
+#: Row d: what seeing digit d adds to the running sums.
+AT_LEAST = np.where(np.arange(16)[None, :] >= np.arange(16)[:, None], STEP, 0).astype(np.uint16)
+
+
 def code_lanes(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray:
     """Code the lanes (``ids``: lanes x steps when encoding, None when decoding); lengths descend."""
     lanes, steps = len(lengths), int(lengths.max(initial=0))
