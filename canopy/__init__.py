@@ -22,6 +22,9 @@ from canopy.operators.contingency import (
     class_counts,
     distinct_values,
     domain_violations,
+    leaf_labels,
+    node_counts,
+    node_split,
     path_filter,
 )
 from canopy.operators.discretize import bin_quartiles, quartile_cuts, quartile_cuts_approx
@@ -55,8 +58,11 @@ __all__ = [
     "grow_tree",
     "hash_bucket",
     "info_gain",
+    "leaf_labels",
     "load_tree",
     "mean_squared_error",
+    "node_counts",
+    "node_split",
     "path_filter",
     "predict",
     "prediction_truth_join",

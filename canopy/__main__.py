@@ -18,13 +18,12 @@ from canopy.operators.predict import predict
 from canopy.operators.prepare import THRESHOLD, prepare_reviews
 from canopy.operators.tree import tree_rules
 from canopy.plans.end_to_end import binned_sides, evaluate, train_tree
-from canopy.sources.reviews import read_reviews
+from canopy.sources.reviews import PIPELINE_COLUMNS, read_reviews
 from canopy.sources.trees import save_tree
 
 
 def run(spark: SparkSession, paths: list[str], tree_out: str | None = None, threshold: float = THRESHOLD, show: int = 20):
-    raw = read_reviews(spark, paths, columns=("review_id", "marketplace", "verified_purchase", "star_rating", "vine",
-                                              "product_category", "review_body", "total_votes", "helpful_votes"))
+    raw = read_reviews(spark, paths, columns=("review_id", *PIPELINE_COLUMNS))
     prepared = prepare_reviews(raw, threshold=threshold, keep=("review_id",)).withColumnRenamed("review_id", "key")
     sides = binned_sides(prepared, key="key")
     tree = train_tree(sides)

@@ -55,8 +55,9 @@ def hash_bucket(key: ColumnLike, modulus: int = 100) -> Column:
 
     Unlike ``randomSplit`` it depends only on the key, not on partitioning
     or task order, so a lost executor recomputes exactly the same split.
+    A null key counts as the empty text, so it has a bucket like any other.
     """
-    hexa = F.substring(F.md5(col(key).cast("string")), 1, 8)
+    hexa = F.substring(F.md5(F.coalesce(col(key).cast("string"), F.lit(""))), 1, 8)
     return F.conv(hexa, 16, 10).cast("bigint") % F.lit(modulus)
 
 

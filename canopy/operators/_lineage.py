@@ -1,27 +1,27 @@
-"""Materialising the frames of the level loops.
+"""Storing the frames of the level loops, and the size check before a broadcast.
 
-Every frame a level loop carries to the next round is written with a
-reliable ``checkpoint`` into the session's ``spark.checkpoint.dir``.  That
-cuts the logical plan *and* the RDD lineage: each round plans against
-stored data only, and a lost executor costs no recomputation of earlier
-rounds (or of the one big pass over the input that produced the cells).
+Every frame a loop carries to the next round is written as a table below the
+session's ``spark.checkpoint.dir`` and read back.  That cuts the logical plan
+*and* the lineage: each round plans against stored data only, a lost executor
+costs no recomputation of earlier rounds, and a later reader can prune columns.
+``release`` deletes a table that no later round needs.
 
 Only persisting would not be enough: a round's plan would then contain the
-plans of all earlier rounds, and measured on Spark 4.1 each round got
-slower than the last as earlier rounds were re-run inside adaptive plans.
+plans of all earlier rounds, and measured on Spark 4.1 each round got slower
+than the last as earlier rounds were re-run inside adaptive plans.
 
-The folder comes from the session.  Only when none is configured *and*
-the master is local (tests, a laptop) is a scratch folder created; on a
-cluster the library refuses to invent a machine-local path and asks for
-``spark.checkpoint.dir`` to be set to a shared folder.
+The folder comes from the session and must be shared by all executors; the
+library never invents one (``session.local_session`` does, for tests).
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+DEFAULT_BROADCAST_BYTES = 10 << 20
+
 
 def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
@@ -30,33 +30,38 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError(
-                "set spark.checkpoint.dir to a shared folder (HDFS/S3/...) before growing trees on a cluster"
-            )
-        configured = tempfile.mkdtemp(prefix="canopy-ckpt-")
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share (HDFS, S3, ...)")
     sc.setCheckpointDir(configured)
-    return configured
+    return sc.getCheckpointDir()
 
 
 def durable(df: DataFrame, count: bool = False) -> tuple[DataFrame, int | None]:
-    """Checkpoint ``df`` (one job: compute and write) and return the stored
-    frame, plus its row count when asked (read back from the stored files)."""
-    checkpoint_dir(df.sparkSession)
-    stored = df.checkpoint(eager=True)
+    """Store ``df`` (computed once) and return the stored frame, plus its row
+    count when asked (from the stored files)."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    stored = spark.read.schema(df.schema).parquet(path)
+    stored._canopy_path = path
     return stored, (stored.count() if count else None)
 
 
-def broadcast_row_limit(spark: SparkSession, explicit: int | None = None, row_bytes: int = 256) -> int:
-    """Largest row count we are willing to broadcast.
+def release(*frames: DataFrame | None) -> None:
+    """Delete the tables behind frames from ``durable`` (others are left alone)."""
+    for df in frames:
+        path = getattr(df, "_canopy_path", None)
+        if path:
+            sc = df.sparkSession.sparkContext
+            target = sc._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(sc._jsc.hadoopConfiguration()).delete(target, True)
+
 
-    Derived from ``spark.sql.autoBroadcastJoinThreshold`` (bytes) with a
-    conservative per-row size, so the session's own limit governs.  A
-    threshold of -1 disables broadcasting (limit 0).
-    """
+def broadcast_bytes(spark: SparkSession, explicit: int | None = None) -> int:
+    """Largest measured size we are willing to broadcast: the session's
+    ``spark.sql.autoBroadcastJoinThreshold`` (-1 disables: 0 bytes)."""
     if explicit is not None:
         return max(int(explicit), 0)
-    raw = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760") or "10485760").strip().lower()
+    raw = (spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None) or str(DEFAULT_BROADCAST_BYTES)).strip().lower()
     units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
     number, factor = raw, 1
     for suffix in sorted(units, key=len, reverse=True):
@@ -64,9 +69,6 @@ def broadcast_row_limit(spark: SparkSession, explicit: int | None = None, row_by
             number, factor = raw[: -len(suffix)], units[suffix]
             break
     try:
-        threshold = int(float(number) * factor)
+        return max(int(float(number) * factor), 0)
     except ValueError:
-        threshold = 10 << 20
-    if threshold < 0:
-        return 0
-    return threshold // row_bytes
+        return DEFAULT_BROADCAST_BYTES

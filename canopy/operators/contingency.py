@@ -12,11 +12,12 @@ from canopy.operators.prepare import FILL_TOKEN, LABEL
 
 
 def _pos(label: str):
-    return F.count_if(F.col(label))
+    return F.count_if(F.coalesce(F.col(label), F.lit(False)))
 
 
 def _neg(label: str):
-    return F.count_if(~F.col(label))
+    """A null label counts as ``false``, like in the prepared frame."""
+    return F.count_if(~F.coalesce(F.col(label), F.lit(False)))
 
 
 def class_counts(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -43,13 +44,15 @@ def long_counts(cells_df: DataFrame, attrs: Sequence[str], ids: Sequence[str] =
     return long.groupBy(*ids, "attr", "value").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
 
 
-def attr_value_counts(df: DataFrame, attrs: Sequence[str], label: str = LABEL) -> DataFrame:
+def attr_value_counts(
+    df: DataFrame | None, attrs: Sequence[str], label: str = LABEL, *, cells_df: DataFrame | None = None
+) -> DataFrame:
     """``attr, value, helpful_count, not_helpful_count, total`` for every attribute.
 
-    One scan for all attributes: rows are compressed to cells first, then
-    the (small) cells are unpivoted and summed.
+    One scan for all attributes: rows are compressed to cells first (or given
+    as ``cells_df``), then the cells are unpivoted and summed.
     """
-    return long_counts(cells(df, attrs, label), attrs).select(
+    return long_counts(cells(df, attrs, label) if cells_df is None else cells_df, attrs).select(
         "attr",
         "value",
         F.col("pos").alias("helpful_count"),
@@ -58,7 +61,9 @@ def attr_value_counts(df: DataFrame, attrs: Sequence[str], label: str = LABEL) -
     )
 
 
-def attr_value_counts_join(df: DataFrame, attrs: Sequence[str], label: str = LABEL) -> DataFrame:
+def attr_value_counts_join(
+    df: DataFrame | None, attrs: Sequence[str], label: str = LABEL, *, cells_df: DataFrame | None = None
+) -> DataFrame:
     """Same result in the literal form: per attribute, positive and negative
     counts grouped separately, full outer joined on the value, gaps filled
     with 0.  Kept for fidelity; ``attr_value_counts`` is the fast path.
@@ -68,7 +73,7 @@ def attr_value_counts_join(df: DataFrame, attrs: Sequence[str], label: str = LAB
     """
     from canopy.operators._lineage import durable
 
-    c, _ = durable(cells(df, attrs, label))
+    c = durable(cells(df, attrs, label))[0] if cells_df is None else cells_df
     parts = []
     for a in attrs:
         pos = c.where(F.col("pos") > 0).groupBy(a).agg(F.sum("pos").alias("helpful_count"))
@@ -86,6 +91,31 @@ def attr_value_counts_join(df: DataFrame, attrs: Sequence[str], label: str = LAB
     return reduce(DataFrame.unionByName, parts)
 
 
+def node_counts(cells_df: DataFrame, path: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """One row ``pos, neg, total``: the class counts of the node at ``path``."""
+    counts = path_filter(cells_df, path).agg(
+        F.coalesce(F.sum("pos"), F.lit(0)).alias("pos"), F.coalesce(F.sum("neg"), F.lit(0)).alias("neg")
+    )
+    return counts.withColumn("total", F.col("pos") + F.col("neg"))
+
+
+def node_split(cells_df: DataFrame, attr: str, path: Sequence[tuple[str, str]] = ()) -> DataFrame:
+    """The children of the node at ``path`` when it is split by ``attr``: ``attr, value, pos, neg``."""
+    children = path_filter(cells_df, path).groupBy(F.col(attr).alias("value"))
+    counts = children.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    return counts.select(F.lit(attr).alias("attr"), "value", "pos", "neg")
+
+
+def leaf_labels(cells_df: DataFrame, path: Sequence[tuple[str, str]] = (), by: str | None = None) -> DataFrame:
+    """The distinct labels found under ``path`` (``label``), or under each child by ``by`` (``parent_value, label``)."""
+    inside = path_filter(cells_df, path)
+    keys = [F.col(by).alias("parent_value")] if by else []
+    per = inside.groupBy(*keys).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    labels = F.array(F.when(F.col("pos") > 0, F.lit(True)), F.when(F.col("neg") > 0, F.lit(False)))
+    names = ["parent_value"] if by else []
+    return per.select(*names, F.explode(labels).alias("label")).where(F.col("label").isNotNull())
+
+
 def distinct_values(df: DataFrame, attr: str) -> DataFrame:
     return df.select(attr).distinct()
 
@@ -97,7 +127,7 @@ def path_filter(df: DataFrame, path: Sequence[tuple[str, str]]) -> DataFrame:
 
 
 def domain_violations(df: DataFrame, domains: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Values outside each attribute's declared domain: ``attr, value, n_rows``."""
+    """Values outside each attribute's declared domain: ``attr, value, n_rows``; a null is outside every domain."""
     attrs = list(domains)
     long = df.select(*[F.col(a).cast("string").alias(a) for a in attrs]).unpivot([], attrs, "attr", "value")
     outside = None

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from canopy.operators.quantiles import exact_quantiles
@@ -35,18 +35,26 @@ def collect_cuts(cuts: DataFrame) -> tuple:
     return tuple(row) if row is not None else (None, None, None)
 
 
-def bin_quartiles(df: DataFrame, cuts: Sequence[float | None], value: str = "body_len", out: str = "review_body") -> DataFrame:
-    """Label each value with its quartile bin: ``<=q1``, ``<=q2``, ``<=q3``, else ``Q3``.
+def quartile_bin(value: Column, cuts: Sequence[float | None]) -> Column:
+    """The quartile bin of a value: ``<=q1``, ``<=q2``, ``<=q3``, else ``Q3``.
 
-    The cuts are literals in the expression (no join), so the binning is a
-    projection inside the scan stage.
+    A null or NaN value has no bin (null), which the counting operators fill
+    like any other missing attribute.
     """
     q1, q2, q3 = (F.lit(None).cast("double") if q is None else F.lit(float(q)) for q in cuts)
-    v = F.col(value)
-    label = (
-        F.when(v <= q1, F.lit(BIN_LABELS[0]))
-        .when(v <= q2, F.lit(BIN_LABELS[1]))
-        .when(v <= q3, F.lit(BIN_LABELS[2]))
+    return (
+        F.when(value.isNull() | F.isnan(value), F.lit(None).cast("string"))
+        .when(value <= q1, F.lit(BIN_LABELS[0]))
+        .when(value <= q2, F.lit(BIN_LABELS[1]))
+        .when(value <= q3, F.lit(BIN_LABELS[2]))
         .otherwise(F.lit(BIN_LABELS[3]))
     )
-    return df.withColumn(out, label)
+
+
+def bin_quartiles(df: DataFrame, cuts: Sequence[float | None], value: str = "body_len", out: str = "review_body") -> DataFrame:
+    """``df`` with the quartile bin of ``value`` as column ``out``.
+
+    The cuts are literals in the expression (no join), so the binning is a
+    projection inside the scan stage.
+    """
+    return df.withColumn(out, quartile_bin(F.col(value), cuts))

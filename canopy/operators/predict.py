@@ -2,7 +2,7 @@
 
 Each row starts at the root; one round per tree level looks the row's
 current node up in the tree (a broadcast hash join when the tree's size --
-checked by counting it -- is under the session's broadcast limit, so the
+measured in bytes -- is under the session's broadcast limit, so the
 rounds run inside one map-only stage) and computes the id of the child its
 own attribute value leads to.  A row whose value was never seen under that
 node simply finds no match in the next round and keeps the majority label
@@ -12,7 +12,7 @@ A tree too large to broadcast would turn every round into a shuffle of all
 rows.  For batch input the walk then runs over the rows' distinct attribute
 combinations instead (a partially aggregated, usually tiny table), and the
 rows are joined back to their combination's result once -- broadcast if the
-counted combinations fit, otherwise one shuffle join whose hot keys AQE
+bytes of the combinations fit, otherwise one shuffle join whose hot keys AQE
 splits.  Streaming input always walks directly (stateless stream-static joins).
 """
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.functions.columns import child_id, value_of
-from canopy.operators._lineage import broadcast_row_limit
+from canopy.operators._lineage import broadcast_bytes, durable
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN
 from canopy.operators.tree import ROOT_ID
 
@@ -35,13 +35,14 @@ def predict(
     attrs: Sequence[str] = ATTRIBUTES,
     *,
     prediction: str = "prediction",
-    broadcast_rows: int | None = None,
+    broadcast_limit: int | None = None,
     token: str = FILL_TOKEN,
     strategy: str = "auto",
 ) -> DataFrame:
     """``df`` plus ``prediction`` ('true'/'false'), ``leaf_id``,
     ``matched_depth`` and ``reached_leaf`` (false when an unseen value
-    stopped the walk at an inner node).
+    stopped the walk at an inner node).  Columns of ``df`` with one of these
+    four names are replaced; other names are free to use.
 
     ``strategy``: ``'walk'`` (rows walk the tree), ``'combos'`` (distinct
     attribute combinations walk it, rows join back) or ``'auto'`` (walk when
@@ -49,14 +50,18 @@ def predict(
     """
     attrs = list(attrs)
     spark = df.sparkSession
+    outputs = {prediction.lower(), "leaf_id", "matched_depth", "reached_leaf"}
+    if outputs & {a.lower() for a in attrs}:
+        raise ValueError("an attribute has the name of an output column")
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in outputs])
     small = tree.select("node_id", "split_attr", "label", "depth")
     # size (for the broadcast check), depth and the root row, in one small job
     stats = small.agg(
-        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length("node_id") + F.coalesce(F.octet_length("split_attr"), F.lit(0)) + F.lit(64)).alias("bytes"),
         F.max("depth").alias("d"),
         F.max(F.when(F.col("node_id") == F.lit(ROOT_ID), F.struct("split_attr", "label"))).alias("root"),
     ).first()
-    n_nodes, max_depth, root = int(stats["n"]), stats["d"], stats["root"]
+    size, max_depth, root = stats["bytes"], stats["d"], stats["root"]
     if root is None:  # empty tree: nothing learned, predict the default class
         return df.select(
             "*",
@@ -65,71 +70,84 @@ def predict(
             F.lit(None).cast("int").alias("matched_depth"),
             F.lit(False).alias("reached_leaf"),
         )
-    lookup = small.select(
-        F.col("node_id").alias("_t_id"),
-        F.col("split_attr").alias("_t_split"),
-        F.col("label").alias("_t_label"),
-        F.col("depth").alias("_t_depth"),
-    )
-    limit = broadcast_row_limit(spark, broadcast_rows)
-    if n_nodes <= limit:
+    limit = broadcast_bytes(spark, broadcast_limit)
+    state = _free_name(df, "_walk")
+    lookup = small.select(F.struct("node_id", "split_attr", "label", "depth").alias(_free_name(df, "_tree")))
+    if size <= limit:
         lookup = F.broadcast(lookup)
     if strategy == "auto":
-        strategy = "walk" if (n_nodes <= limit or df.isStreaming) else "combos"
+        strategy = "walk" if (size <= limit or df.isStreaming) else "combos"
     if strategy == "combos":
-        return _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token)
-    return _walk(df, lookup, root, max_depth, attrs, prediction, token)
+        return _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token, state)
+    return _walk(df, lookup, root, max_depth, attrs, prediction, token, state)
 
 
-def _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token) -> DataFrame:
-    from canopy.operators._lineage import durable
+def _free_name(df: DataFrame, stem: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
 
-    keys = [f"_k{i}" for i in range(len(attrs))]
-    keyed = df.select("*", *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(k) for a, k in zip(attrs, keys)])
-    combos, n_combos = durable(keyed.select(*[F.col(k).alias(a) for k, a in zip(keys, attrs)]).distinct(), count=True)
-    walked = _walk(combos, lookup, root, max_depth, attrs, prediction, token).select(
-        *[F.col(a).alias(k) for a, k in zip(attrs, keys)], prediction, "leaf_id", "matched_depth", "reached_leaf"
-    )
-    if n_combos <= limit:
+
+def _predict_by_combinations(df, lookup, root, max_depth, attrs, prediction, limit, token, state) -> DataFrame:
+    key = _free_name(df, "_key")
+    combination = F.struct(*[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs])
+    keyed = df.withColumn(key, combination)
+    combos, _ = durable(keyed.select(f"{key}.*").distinct())
+    width = sum((F.octet_length(a) for a in attrs), F.lit(96))
+    size = combos.agg(F.sum(width)).first()[0] or 0
+    walked = _walk(combos, lookup, root, max_depth, attrs, prediction, token, state)
+    outputs = [prediction, "leaf_id", "matched_depth", "reached_leaf"]
+    walked = walked.select(F.struct(*attrs).alias(key), F.struct(*outputs).alias(state))
+    if size <= limit:
         walked = F.broadcast(walked)
-    return keyed.join(walked, keys).drop(*keys)
+    joined = keyed.join(walked, key)
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *[F.col(f"{state}.{c}").alias(c) for c in outputs])
 
 
-def _walk(df, lookup, root, max_depth, attrs, prediction, token) -> DataFrame:
+def _walk(df, lookup, root, max_depth, attrs, prediction, token, state) -> DataFrame:
     # The root is the same for every row, so it is applied as literals; the
     # walk's joins then always key on a per-row child id (an equi-join, never
-    # a nested loop on a constant).
+    # a nested loop on a constant).  The state of the walk is one struct under a
+    # name the input doesn't have.
+    node = lookup.columns[0]
     root_split = root["split_attr"]
     first = (
         child_id(F.lit(ROOT_ID), F.lit(root_split), F.coalesce(value_of(F.lit(root_split), attrs), F.lit(token)))
         if root_split is not None
         else F.lit(None).cast("string")
     )
+    keep = [F.col(f"`{c}`") for c in df.columns]
+
+    def at(cur, node_id, split, label, depth):
+        return F.struct(
+            cur.alias("cur"), node_id.alias("node"), split.alias("split"), label.alias("label"), depth.alias("depth")
+        ).alias(state)
+
     out = df.select(
-        "*",
-        first.alias("_cur"),
-        F.lit(ROOT_ID).alias("_node"),
-        F.lit(root_split).cast("string").alias("_split"),
-        F.lit(root["label"]).cast("boolean").alias("_label"),
-        F.lit(0).alias("_depth"),
+        *keep,
+        at(first, F.lit(ROOT_ID), F.lit(root_split).cast("string"), F.lit(root["label"]).cast("boolean"), F.lit(0)),
     )
-    keep = [c for c in out.columns if c not in ("_cur", "_node", "_split", "_label", "_depth")]
     for _ in range(max_depth or 0):
-        hit = F.col("_t_id").isNotNull()
-        step = out.join(lookup, F.col("_cur") == F.col("_t_id"), "left")
-        value = F.coalesce(value_of(F.col("_t_split"), attrs), F.lit(token))
+        old, new = F.col(state), F.col(node)
+        hit = new["node_id"].isNotNull()
+        step = out.join(lookup, old["cur"] == new["node_id"], "left")
+        value = F.coalesce(value_of(new["split_attr"], attrs), F.lit(token))
         out = step.select(
             *keep,
-            F.when(hit & F.col("_t_split").isNotNull(), child_id(F.col("_cur"), F.col("_t_split"), value)).alias("_cur"),
-            F.when(hit, F.col("_t_id")).otherwise(F.col("_node")).alias("_node"),
-            F.when(hit, F.col("_t_split")).otherwise(F.col("_split")).alias("_split"),
-            F.when(hit, F.col("_t_label")).otherwise(F.col("_label")).alias("_label"),
-            F.when(hit, F.col("_t_depth")).otherwise(F.col("_depth")).alias("_depth"),
+            at(
+                F.when(hit & new["split_attr"].isNotNull(), child_id(old["cur"], new["split_attr"], value)),
+                F.when(hit, new["node_id"]).otherwise(old["node"]),
+                F.when(hit, new["split_attr"]).otherwise(old["split"]),
+                F.when(hit, new["label"]).otherwise(old["label"]),
+                F.when(hit, new["depth"]).otherwise(old["depth"]),
+            ),
         )
+    end = F.col(state)
     return out.select(
         *keep,
-        F.when(F.coalesce(F.col("_label"), F.lit(False)), F.lit("true")).otherwise(F.lit("false")).alias(prediction),
-        F.col("_node").alias("leaf_id"),
-        F.col("_depth").alias("matched_depth"),
-        F.col("_split").isNull().alias("reached_leaf"),
+        F.when(F.coalesce(end["label"], F.lit(False)), F.lit("true")).otherwise(F.lit("false")).alias(prediction),
+        end["node"].alias("leaf_id"),
+        end["depth"].alias("matched_depth"),
+        end["split"].isNull().alias("reached_leaf"),
     )

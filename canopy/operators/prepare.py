@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.functions.columns import ratio_above, rating_bucket, text_length
+from canopy.operators._lineage import durable
 
 # Attribute order (also the tie-break order), target name,
 # helpfulness threshold and the token that replaces missing strings.
@@ -17,10 +18,10 @@ FILL_TOKEN = "false"
 
 
 def fill_missing(df: DataFrame, columns: list[str] | None = None, token: str = FILL_TOKEN) -> DataFrame:
-    """Replace nulls the way a boolean ``false`` fill does, per column type.
+    """Replace nulls and NaN the way a boolean ``false`` fill does, per column type.
 
     Strings get the text ``token`` (default ``'false'``, which then acts as
-    an ordinary category), numbers get 0 and booleans get ``false``.
+    an ordinary category), numbers (NaN included) get 0, booleans ``false``.
     Columns of other types are left alone.
     """
     wanted = set(columns) if columns is not None else None
@@ -35,6 +36,8 @@ def fill_missing(df: DataFrame, columns: list[str] | None = None, token: str = F
             out.append(F.coalesce(c, F.lit(token)).alias(field.name))
         elif isinstance(dt, T.BooleanType):
             out.append(F.coalesce(c, F.lit(False)).alias(field.name))
+        elif isinstance(dt, (T.FloatType, T.DoubleType)):
+            out.append(F.coalesce(F.nanvl(c, F.lit(None).cast(dt)), F.lit(0).cast(dt)).alias(field.name))
         elif isinstance(dt, T.NumericType):
             out.append(F.coalesce(c, F.lit(0).cast(dt)).alias(field.name))
         else:
@@ -67,34 +70,37 @@ def prepare_reviews(
     return fill_missing(prepared, ["marketplace", "verified_purchase", "vine", "product_category"], token)
 
 
-def row_index(df: DataFrame, order_by: str, name: str = "row_index", buckets: int | None = None) -> DataFrame:
-    """Consecutive 0-based index in ``order_by`` order, computed distributed.
+def _free_name(df: DataFrame, stem: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    while stem in taken:
+        stem += "_"
+    return stem
 
-    A global ``row_number()`` window would pull every row into one task.
-    Instead the key range is cut into ``buckets`` ranges at approximate
-    quantiles (a bounded sketch), the per-range counts (``buckets`` numbers)
-    give each range its offset, and ``row_number`` runs *within* each range
-    in parallel.  Ties in ``order_by`` are broken by the other (orderable)
-    columns, so a recomputed task numbers rows exactly as before.
-    The number of ranges grows with the row count (up to 10,000), so one
-    range holds about two million rows or fewer up to 2·10^10 rows.
-    """
-    from canopy.operators.quantiles import DEFAULT_BUCKETS, MAX_BUCKETS, RANGE_LIMIT, approx_bounds, bucket_of
 
-    if buckets is None:
-        buckets = min(max(DEFAULT_BUCKETS, -(-df.count() // RANGE_LIMIT)), MAX_BUCKETS)
+def row_index(df: DataFrame, order_by: str, name: str = "row_index") -> DataFrame:
+    """Consecutive 0-based index in ``order_by`` order (any orderable type), computed distributed.
 
-    bounds = approx_bounds(df, order_by, buckets)
-    keyed = df.withColumn("_rb", bucket_of(F.col(order_by), bounds))
-    counts = dict(keyed.groupBy("_rb").count().collect())  # at most `buckets` rows
-    offsets, running = [], 0
-    for b in range(len(bounds) + 1):
-        offsets.append(running)
-        running += counts.get(b, 0)
-    offset_arr = F.array(*[F.lit(o).cast("bigint") for o in offsets])
-    orderable = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType)
-    ties = [F.col(f.name) for f in df.schema.fields if f.name != order_by and isinstance(f.dataType, orderable)]
-    w = Window.partitionBy("_rb").orderBy(F.col(order_by), *ties)
-    return keyed.withColumn(
-        name, (F.element_at(offset_arr, F.col("_rb") + 1) + F.row_number().over(w) - 1).cast("bigint")
-    ).drop("_rb")
+    A global ``row_number()`` window would pull every row into one task.
+    Instead the rows are dealt out by ranges of ``order_by`` and, so that a
+    key held by many rows is cut as well, of the other orderable columns; each
+    range is sorted and stored with its rows' positions, and the ranges'
+    sizes (one number each) give every range its offset.  Only rows equal in
+    all orderable columns have to stay together.
+    """
+    orderable = (T.StringType, T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BinaryType)
+    ties = [F.col(f"`{f.name}`") for f in df.schema.fields if f.name != order_by and isinstance(f.dataType, orderable)]
+    keys = [F.col(f"`{order_by}`"), *ties]
+    place = _free_name(df, "_place")
+    ordered = df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # the id holds the range's number above bit 33 and the row's position in it below
+    stored, _ = durable(ordered.withColumn(place, F.monotonically_increasing_id()))
+    part = F.shiftright(F.col(place), 33)
+    sizes = stored.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_size"))
+    before = Window.partitionBy(F.lit(0)).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
+    offsets = offsets.toDF(_free_name(df, "_part"), _free_name(df, "_offset"))
+    part_name, offset_name = offsets.columns
+    position = F.col(place).bitwiseAND(F.lit((1 << 33) - 1))
+    # one row for each range of the shuffle above: as many as it had partitions
+    joined = stored.join(F.broadcast(offsets), part == F.col(part_name))
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col(offset_name) + position).cast("bigint").alias(name))

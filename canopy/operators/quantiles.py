@@ -2,23 +2,21 @@
 
 ``percentile_disc`` keeps a map of every distinct value of a group in one
 task.  For text lengths that map is small, but for a continuous column at
-scale it is unbounded.  This operator gets the same answer without ever
-holding a whole group in one place:
-
-1. ``freq``: one row per (group, distinct value) with its weight -- a
-   partial (map-side) aggregation, so a value held by a third of all rows
-   is one row after the combine.
-2. Range bounds per group from ``percentile_approx`` over the *distinct*
-   values (a fixed-size sketch), so each range holds about 1/B of them;
-   B grows with the number of distinct values (one stored count) so that a
-   range never holds more than about two million of them.
-3. Weight per (group, range) and a running sum over at most B ranges gives
-   each range's rank interval; the range containing rank ``ceil(p·n)`` is
-   the only one that needs looking at.
-4. A running sum *inside* that range (a window partitioned by group and
-   quantile, so ranges are processed in parallel) finds the exact value.
-
-The approximate step only decides how the work is cut; the result is exact.
+scale it is unbounded.  This operator narrows down instead:
+
+1. One aggregation gives each group its weight, its number of rows and, from
+   a sketch of fixed size, cut values of about equal ranges.
+2. While the range that holds a wanted rank has more than ``range_rows`` rows,
+   rows are counted per range (a map-side combine, so a few numbers per task),
+   the range holding the rank becomes the new search range, and a sketch of
+   the rows inside gives its cuts.  A cut value is a range of its own, so a
+   value held by many rows is found at once and never sorted.
+3. The rows of the last ranges -- and only they -- are summed by value and a
+   running sum finds the rank.
+
+Nothing is capped: more rows take more rounds (each divides a range by about
+``RANGES``), and no task sorts more than about ``range_rows`` values.  The
+sketch only decides how the work is cut; the result is exact.
 """
 
 from __future__ import annotations
@@ -28,34 +26,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from canopy.operators._lineage import durable
+from canopy.operators._lineage import durable, release
 
-DEFAULT_BUCKETS = 64
-RANGE_LIMIT = 2_000_000  # distinct values one task may sort in the last step
-MAX_BUCKETS = 10_000
-
-
-def _probs(buckets: int) -> list[float]:
-    return [i / buckets for i in range(1, buckets)]
-
-
-def approx_bounds(df: DataFrame, value: str, buckets: int = DEFAULT_BUCKETS) -> list[float]:
-    """``buckets - 1`` ascending cut values (a bounded list on the driver)."""
-    row = df.agg(F.percentile_approx(F.col(value).cast("double"), _probs(buckets), 10 * buckets).alias("b")).first()
-    bounds = row["b"] if row is not None else None
-    return sorted(bounds) if bounds else []
-
-
-TREE_LOOKUP_LIMIT = 1024  # up to this many bounds the lookup is a comparison tree
+RANGES = 256
+RANGE_ROWS = 2_000_000  # rows one task may have to sort in the last step
 
 
 def bucket_of(value: Column, bounds: list[float] | Column, n_bounds: int | None = None) -> Column:
     """Range index of ``value``: the number of bounds strictly below it.
 
-    For up to ``TREE_LOOKUP_LIMIT`` bounds this is a balanced tree of
-    comparisons -- a plain ``CASE`` expression, ``log2(n)`` comparisons per
-    row, compiled by whole-stage codegen.  Longer lists fall back to
-    ``size(filter(bounds, b -> b < v))``.
+    A balanced tree of comparisons -- a plain ``CASE`` expression, ``log2(n)``
+    comparisons per row, compiled by whole-stage codegen.
     """
     v = value.cast("double")
     if isinstance(bounds, Column):
@@ -67,14 +48,10 @@ def bucket_of(value: Column, bounds: list[float] | Column, n_bounds: int | None
             return F.element_at(bounds, i + 1)
     else:
         count = len(bounds)
-        lits = [F.lit(float(b)) for b in bounds]
+        literals = [F.lit(float(b)) for b in bounds]
 
         def at(i):
-            return lits[i]
-
-    if count > TREE_LOOKUP_LIMIT:
-        arr = bounds if isinstance(bounds, Column) else F.array(*[F.lit(float(b)) for b in bounds])
-        return F.size(F.filter(arr, lambda b: b < v))
+            return literals[i]
 
     def first_not_below(lo: int, hi: int) -> Column:
         # number of bounds < v, knowing it lies in [lo, hi] (bounds ascending)
@@ -93,63 +70,70 @@ def exact_quantiles(
     names: Sequence[str] | None = None,
     by: Sequence[str] = (),
     weight: str | Column | None = None,
-    buckets: int | None = None,
+    ranges: int = RANGES,
+    range_rows: int = RANGE_ROWS,
 ) -> DataFrame:
     """One row per group of ``by`` with one column per probability.
 
     Value = smallest ``v`` whose cumulative count reaches ``ceil(p·n)``
-    (``percentile_disc``); nulls are ignored; groups without values do not
-    appear.  ``weight`` (a non-negative integer column) lets pre-aggregated
-    input count each row that many times.
+    (``percentile_disc``); nulls and NaN are ignored; groups without values do
+    not appear; a null in ``by`` is a group of its own.  ``weight`` (a
+    non-negative integer column) lets pre-aggregated input count each row that
+    many times.
     """
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
-    gcols = by if by else ["_g"]
     w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    src = df.select(*[F.col(c) for c in by], F.col(value).cast("double").alias("_v"), w.cast("bigint").alias("_w"))
-    if not by:
-        src = src.withColumn("_g", F.lit(0))
-    # The distinct-value table is read three times below; store it once so
-    # the input is scanned once (plans that prune differently cannot share
-    # a shuffle).
-    freq, n_distinct = durable(
-        src.where(F.col("_v").isNotNull()).groupBy(*gcols, "_v").agg(F.sum("_w").alias("_w")), count=True
-    )
-    if buckets is None:
-        # enough ranges that the final step sorts at most ~RANGE_LIMIT values per task
-        buckets = min(max(DEFAULT_BUCKETS, -(-n_distinct // RANGE_LIMIT)), MAX_BUCKETS)
-
-    if by:
-        bounds = freq.groupBy(*gcols).agg(
-            F.percentile_approx("_v", _probs(buckets), 10 * buckets).alias("_bounds")
-        )
-        fb = freq.join(bounds, gcols).withColumn(
-            "_bk", bucket_of(F.col("_v"), F.col("_bounds"), buckets - 1)
-        ).drop("_bounds")
-    else:
-        fb = freq.withColumn("_bk", bucket_of(F.col("_v"), approx_bounds(freq, "_v", buckets)))
-
-    per_group = Window.partitionBy(*gcols)
-    running = per_group.orderBy("_bk").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranges = (
-        fb.groupBy(*gcols, "_bk")
-        .agg(F.sum("_w").alias("_bw"))
-        .withColumn("_end", F.sum("_bw").over(running))
-        .withColumn("_n", F.sum("_bw").over(per_group))
-    )
+    group = F.to_json(F.struct(*by)) if by else F.lit("")  # one non-null key for any number of columns
+    src = df.select(*by, group.alias("_g"), F.col(value).cast("double").alias("_v"), w.cast("bigint").alias("_w"))
+    src = src.where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0))
+    cut = F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("_cuts")
+    size = [F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), cut]
+
     wanted = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    targets = (
-        ranges.select(*gcols, "_bk", "_bw", "_end", "_n", F.explode(wanted).alias("_pp"))
-        .withColumn("_k", F.greatest(F.ceil(F.col("_pp.p") * F.col("_n")), F.lit(1)))
-        .where((F.col("_end") - F.col("_bw") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
-        .select(*gcols, "_bk", F.col("_pp.pi").alias("_pi"), "_k", (F.col("_end") - F.col("_bw")).alias("_start"))
+    rank = F.greatest(F.ceil(F.col("_pp.p") * F.col("_n")), F.lit(1))
+    search, _ = durable(
+        src.groupBy(*by, "_g")
+        .agg(*size)
+        .select(*by, "_g", "_n", "_rows", "_lo", "_hi", "_cuts", F.explode(wanted).alias("_pp"))
+        .select(*by, "_g", F.col("_pp.pi").alias("_pi"), rank.alias("_k"), F.lit(0).cast("bigint").alias("_start"),
+                "_lo", "_hi", "_rows", "_cuts")
     )
-    inside = Window.partitionBy(*gcols, "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    picked = (
-        fb.join(targets, [*gcols, "_bk"])
-        .withColumn("_rank", F.col("_start") + F.sum("_w").over(inside))
-        .where(F.col("_rank") >= F.col("_k"))
-        .groupBy(*gcols)
-        .agg(*[F.min(F.when(F.col("_pi") == i, F.col("_v"))).alias(n) for i, n in enumerate(names)])
+    narrow = src.select("_g", "_v", "_w")
+    while (search.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_rows")))).first()[0] or 0) > range_rows:
+        last, search = search, durable(_narrowed(narrow, search, ranges, cut))[0]
+        release(last)
+
+    # a search range of one value is the answer; the others are sorted
+    state = search.drop("_cuts")
+    open_ = state.where(F.col("_lo") < F.col("_hi")).select("_g", "_pi", "_k", "_start", "_lo", "_hi")
+    inside = narrow.join(open_, "_g").where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    freq = inside.groupBy("_g", "_pi", "_v").agg(F.sum("_w").alias("_w"), F.first("_k").alias("_k"), F.first("_start").alias("_start"))
+    upto = Window.partitionBy("_g", "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = freq.withColumn("_rank", F.col("_start") + F.sum("_w").over(upto)).where(F.col("_rank") >= F.col("_k"))
+    found = found.groupBy("_g", "_pi").agg(F.min("_v").alias("_found"))
+    answers = state.join(found, ["_g", "_pi"], "left").withColumn("_a", F.coalesce("_found", "_lo"))
+    picked = [F.min(F.when(F.col("_pi") == i, F.col("_a"))).alias(n) for i, n in enumerate(names)]
+    return answers.groupBy(*by, "_g").agg(*picked).select(*by, *names)
+
+
+def _narrowed(narrow: DataFrame, search: DataFrame, ranges: int, cut: Column) -> DataFrame:
+    """The search table after one round: each open range replaced by its part that holds the rank."""
+    keep = [c for c in search.columns if c not in ("_start", "_lo", "_hi", "_rows", "_cuts")]
+    done = search.where(F.col("_lo") >= F.col("_hi"))
+    open_ = search.where(F.col("_lo") < F.col("_hi"))
+    rows = narrow.join(open_.select("_g", "_pi", "_lo", "_hi", "_cuts"), "_g")
+    rows = rows.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    below = bucket_of(F.col("_v"), F.col("_cuts"), ranges - 1)
+    equal = (below < ranges - 1) & (F.element_at("_cuts", F.least(below + 1, F.lit(ranges - 1))) == F.col("_v"))
+    rows = rows.withColumn("_part", 2 * below + equal.cast("int"))  # a cut value is a part of its own
+    parts = rows.groupBy("_g", "_pi", "_part").agg(
+        F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), cut
     )
-    return picked.select(*by, *names)
+    upto = Window.partitionBy("_g", "_pi").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_end", F.sum("_n").over(upto))
+    old = open_.select(*keep, F.col("_start").alias("_before"))
+    held = parts.join(old, ["_g", "_pi"]).withColumn("_end", F.col("_before") + F.col("_end"))
+    held = held.withColumn("_start", F.col("_end") - F.col("_n"))
+    held = held.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
+    return done.unionByName(held.select(*search.columns))

@@ -11,8 +11,8 @@ aggregations:
   not yet used on the node's path, summed -- the candidate children;
 * ``best``   : per node and attribute the information gain and an exact
   integer test of "gain is zero" (every child has the parent's class
-  ratio), then the arg-max gain, ties to the earlier attribute -- one
-  aggregation per node;
+  ratio), then the arg-max gain among the attributes that separate at all,
+  ties to the earlier attribute -- one aggregation per node;
 * ``decided``: the node's kind (split / pure / exhausted / zero_gain) and
   majority label;
 * the next level's nodes are the candidate children of the chosen split,
@@ -21,11 +21,13 @@ aggregations:
 A level needs one small action (the number of child nodes, read off the
 stored decisions, to stop the loop) and at most ``len(attrs) + 1`` levels
 exist; the last one has no candidates and is decided from node counts
-alone.  Every frame carried to the next level is checkpointed (see
-``_lineage``), so each level plans against stored data.  The per-node tables are
-broadcast only when the node count -- known exactly from the previous level
--- is under the session's broadcast limit; otherwise they are shuffled like
-any join, and AQE handles a node that owns most of the cells.
+alone.  Every frame carried to the next level is stored (see ``_lineage``), so
+each level plans against stored data, and released when no level needs it any
+more.  The per-node tables are
+broadcast only when their measured size -- node count and bytes of the rules,
+known exactly from the previous level -- is under the session's broadcast
+limit; otherwise they are shuffled like any join, and AQE handles a node that
+owns most of the cells.
 
 Node ids: the root is ``'root'``; a child is ``md5(parent || '|' || attr ||
 '=' || value)`` (see ``functions.columns.child_id``), so prediction can
@@ -42,9 +44,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from canopy.functions.columns import child_id, entropy, value_of
-from canopy.operators._lineage import broadcast_row_limit, durable
+from canopy.operators._lineage import broadcast_bytes, durable, release
 from canopy.operators.contingency import cells as build_cells
-from canopy.operators.impurity import TIE_DECIMALS
+from canopy.operators.impurity import gain_error
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
 
 ROOT_ID = "root"
@@ -66,8 +68,12 @@ TREE_COLUMNS = (
 )
 
 
-def _maybe_broadcast(df: DataFrame, rows: int, limit: int) -> DataFrame:
-    return F.broadcast(df) if rows <= limit else df
+def _maybe_broadcast(df: DataFrame, size: int, limit: int) -> DataFrame:
+    return F.broadcast(df) if size <= limit else df
+
+
+#: Bytes of a node in a lookup besides its texts: four numbers, flags and their row.
+NODE_BYTES = 160
 
 
 def _rule(parent_rule, attr, value):
@@ -82,7 +88,7 @@ def grow_tree(
     *,
     cells: DataFrame | None = None,
     force_root: bool = True,
-    broadcast_rows: int | None = None,
+    broadcast_limit: int | None = None,
     token: str = FILL_TOKEN,
 ) -> DataFrame:
     """Grow the tree; return the flat node table (``TREE_COLUMNS``).
@@ -105,10 +111,11 @@ def grow_tree(
             raise ValueError("give train or cells")
         cells = build_cells(train, attrs, label, token)
     spark = cells.sparkSession
-    limit = broadcast_row_limit(spark, broadcast_rows)
+    limit = broadcast_bytes(spark, broadcast_limit)
+    widest = max(map(len, attrs), default=0)
 
     empty_used = F.array().cast(T.ArrayType(T.StringType()))
-    # The root id is stored as a column of the checkpointed cells: a literal
+    # The root id is stored as a column of the written cells: a literal
     # id would be constant-folded and turn the re-keying join into a nested loop.
     base, _ = durable(
         cells.select(
@@ -156,6 +163,8 @@ def grow_tree(
         return durable(empty_root)[0]
     n_open = 1
     levels: list[DataFrame] = []
+    stored_levels: list[DataFrame] = []
+    first_nodes, last_cand = nodes, None
 
     level = 0
     while n_open > 0:
@@ -172,6 +181,7 @@ def grow_tree(
                 )
             )
             levels.append(last.select(*TREE_COLUMNS))
+            stored_levels.append(last)
             break
         cand, _ = durable(
             open_cells.unpivot(["node_id", "used", "pos", "neg"], attrs, "attr", "value")
@@ -180,7 +190,7 @@ def grow_tree(
             .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
         )
         totals = _maybe_broadcast(
-            nodes.select("node_id", F.col("pos").alias("node_pos"), F.col("neg").alias("node_neg")), n_open, limit
+            nodes.select("node_id", F.col("pos").alias("node_pos"), F.col("neg").alias("node_neg")), n_open * NODE_BYTES, limit
         )
         big = "decimal(38,0)"
         same_ratio = (F.col("pos").cast(big) * F.col("node_neg").cast(big)) == (
@@ -205,23 +215,22 @@ def grow_tree(
             .agg(F.max("node_pos").alias("node_pos"), F.max("node_neg").alias("node_neg"), *per_attr)  # totals constant per node
         )
         node_total = (F.col("node_pos") + F.col("node_neg")).cast("double")
-        options = []
-        for i, a in enumerate(attrs):
-            gain = entropy("node_pos", "node_neg") - F.try_divide(F.col(f"_wh{i}"), node_total)
-            options.append(
-                F.when(
-                    F.col(f"_n{i}") > 0,
-                    F.struct(
-                        F.round(gain, TIE_DECIMALS).alias("g"),
-                        F.lit(-i).alias("o"),  # ties go to the attribute listed first
-                        F.lit(a).alias("attr"),
-                        gain.alias("gain"),
-                        F.col(f"_z{i}").alias("zero"),
-                        F.col(f"_n{i}").alias("n_values"),
-                    ),
-                )
+        gains = [entropy("node_pos", "node_neg") - F.try_divide(F.col(f"_wh{i}"), node_total) for i in range(len(attrs))]
+        # an attribute that separates the classes at all (exact test) before any that doesn't;
+        # of those the highest gain, and of gains equal but for rounding the attribute listed first
+        real = [F.when((F.col(f"_n{i}") > 0) & ~F.col(f"_z{i}"), g) for i, g in enumerate(gains)]
+        highest = F.greatest(*real) if len(real) > 1 else real[0]
+        values = [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(attrs))]
+        slack = gain_error(F.greatest(*values) if len(values) > 1 else values[0])
+
+        def option(i):
+            return F.struct(
+                F.lit(attrs[i]).alias("attr"), gains[i].alias("gain"), F.col(f"_z{i}").alias("zero"), F.col(f"_n{i}").alias("n_values")
             )
-        pick = F.greatest(*options) if len(options) > 1 else options[0]
+
+        separating = [F.when(g >= highest - slack, option(i)) for i, g in enumerate(real)]
+        any_left = [F.when(F.col(f"_n{i}") > 0, option(i)) for i in range(len(attrs))]
+        pick = F.coalesce(*separating, *any_left)
         best = per_node.select("node_id", pick.alias("b")).select(
             "node_id",
             F.col("b.attr").alias("best_attr"),
@@ -238,20 +247,26 @@ def grow_tree(
             .otherwise(F.lit("split"))
         )
         decided, _ = durable(
-            nodes.join(_maybe_broadcast(best, n_open, limit), "node_id", "left")
+            nodes.join(_maybe_broadcast(best, n_open * (NODE_BYTES + widest), limit), "node_id", "left")
             .withColumn("kind", kind)
             .withColumn("split_attr", F.when(F.col("kind") == "split", F.col("best_attr")))
             .withColumn("gain", F.when(F.col("kind") == "split", F.col("best_gain")))
             .withColumn("label", F.col("pos") > F.col("neg"))
         )
         levels.append(decided.select(*TREE_COLUMNS))
+        stored_levels.append(decided)
 
         # children of this level = values of the chosen attribute under each split node
-        n_next = decided.agg(F.sum(F.when(F.col("kind") == "split", F.col("best_values")))).first()[0] or 0
+        splitting = F.col("kind") == "split"
+        grown = decided.agg(
+            F.sum(F.when(splitting, F.col("best_values"))).alias("n"), F.sum(F.when(splitting, F.octet_length("rule"))).alias("bytes")
+        ).first()
+        n_next, rule_bytes = grown["n"] or 0, grown["bytes"] or 0  # rules hold attribute values of any length
         if n_next == 0:
+            release(cand)
             break
         splits = decided.where(F.col("kind") == "split").select("node_id", "split_attr", "used", "rule", "depth")
-        s = _maybe_broadcast(splits, n_open, limit).alias("s")
+        s = _maybe_broadcast(splits, n_open * (NODE_BYTES + widest * (2 + level)) + rule_bytes, limit).alias("s")
         c = cand.alias("c")
         # a join of two stored frames; planned again (cheaply) by the next level
         next_nodes = c.join(s, (F.col("c.node_id") == F.col("s.node_id")) & (F.col("c.attr") == F.col("s.split_attr"))).select(
@@ -266,9 +281,9 @@ def grow_tree(
             F.col("c.neg").alias("neg"),
         )
         if level + 1 < len(attrs):  # the last level is decided from node counts alone
-            moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open, limit)
+            moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open * (NODE_BYTES + widest), limit)
             picked = value_of(F.col("split_attr"), attrs)
-            open_cells, _ = durable(
+            moved, _ = durable(
                 open_cells.join(moves, "node_id").select(
                     child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
                     F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
@@ -277,10 +292,16 @@ def grow_tree(
                     "neg",
                 )
             )
+            release(open_cells)
+            open_cells = moved
+        release(last_cand)
+        last_cand = cand  # the next level's nodes are read from it
         nodes, n_open = next_nodes, n_next
         level += 1
 
-    return durable(reduce(DataFrame.unionByName, levels))[0]
+    tree, _ = durable(reduce(DataFrame.unionByName, levels))
+    release(open_cells, last_cand, first_nodes, *stored_levels)
+    return tree
 
 
 def tree_rules(tree: DataFrame) -> DataFrame:

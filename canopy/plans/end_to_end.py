@@ -1,30 +1,31 @@
-"""The end-to-end pipeline over a prepared frame, reading the input once.
-
-1. **Fine cells** -- one pass over all rows: class counts per
-   ``(side, attributes except the binned one, raw value)``; the side comes
-   from the keyed split.  Map-side partial aggregation collapses hot
-   combinations before the shuffle.  Stored with a checkpoint.
-2. **Cuts** -- exact quartiles of the raw value per side, weighted by the
-   fine cells' counts (same answer as over the rows).
-3. **Cells** -- the fine cells binned with their side's cuts and summed:
-   the training cells feed the tree, the test cells score it.
-4. **Score** -- the tree is applied to the test *cells* and errors are
+"""The end-to-end pipeline over a prepared frame.
+
+1. **Cuts** -- exact quartiles of the raw value per side (``quantiles``): each
+   pass is one aggregation over the three columns it needs.
+2. **Cells** -- one pass with the cuts as literals: class counts per ``(side,
+   attributes, bin)``.  The raw value is binned before the grouping, so the
+   map-side combine leaves at most one row per combination and task, however
+   many rows there are.  Stored; the training cells feed the tree, the test
+   cells score it.
+3. **Score** -- the tree is applied to the test *cells* and errors are
    counted with the cells' weights: the mean squared error of all test rows
-   without a second pass over them.
+   without another pass over them.
 
-Row-level frames (``Sides.train`` / ``Sides.test``) stay available, lazily,
-for per-row prediction and the single-operator queries.
+Cuts and cells are computed when first asked for.  Row-level frames
+(``Sides.train`` / ``Sides.test``) are plain projections of the input.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Sequence
+from functools import cached_property
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from canopy.operators._lineage import durable
-from canopy.operators.discretize import bin_quartiles, quartile_cuts
+from canopy.operators.contingency import cells
+from canopy.operators.discretize import bin_quartiles, quartile_bin, quartile_cuts
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
 from canopy.operators.sampling import split_train_test, with_side
@@ -32,21 +33,57 @@ from canopy.operators.tree import grow_tree
 
 BINNED = "review_body"
 VALUE = "body_len"
+NO_CUTS = (None, None, None)
 
 
-@dataclass
 class Sides:
-    train: DataFrame  # row level, binned with the training cuts
-    test: DataFrame  # row level, binned with the test cuts (or training cuts)
-    train_cuts: tuple
-    test_cuts: tuple
-    train_cells: DataFrame  # attrs..., pos, neg
-    test_cells: DataFrame
+    """The two sides of a prepared frame, binned, as rows and as cells (``attrs..., pos, neg``)."""
 
+    def __init__(self, prepared: DataFrame, key: str, cuts: str, attrs: Sequence[str], label: str, token: str):
+        self._prepared, self._key, self._cuts = prepared, key, cuts
+        self._attrs, self._label, self._token = list(attrs), label, token
+        self._train_rows, self._test_rows = split_train_test(prepared, key)
 
-def _cells_of(fine: DataFrame, side: str, cuts: tuple, attrs) -> DataFrame:
-    part = bin_quartiles(fine.where(F.col("side") == F.lit(side)), cuts, VALUE, BINNED)
-    return part.groupBy(*attrs).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    @cached_property
+    def _per_side(self) -> dict[str, tuple]:
+        found = quartile_cuts(with_side(self._prepared.select(self._key, VALUE), self._key), VALUE, by=["side"])
+        return {r["side"]: (r["q1"], r["q2"], r["q3"]) for r in found.collect()}  # at most two rows
+
+    @property
+    def train_cuts(self) -> tuple:
+        return self._per_side.get("train", NO_CUTS)
+
+    @property
+    def test_cuts(self) -> tuple:
+        return self._per_side.get("test", NO_CUTS) if self._cuts == "per_side" else self.train_cuts
+
+    @property
+    def train(self) -> DataFrame:
+        """Training rows, binned with the training cuts."""
+        return bin_quartiles(self._train_rows, self.train_cuts, VALUE, BINNED)
+
+    @property
+    def test(self) -> DataFrame:
+        """Test rows, binned with the test cuts (or the training cuts)."""
+        return bin_quartiles(self._test_rows, self.test_cuts, VALUE, BINNED)
+
+    @cached_property
+    def _cells(self) -> DataFrame:
+        sided = with_side(self._prepared, self._key)
+        own, other = (quartile_bin(F.col(VALUE), c) for c in (self.train_cuts, self.test_cuts))
+        binned = sided.withColumn(BINNED, F.when(F.col("side") == "train", own).otherwise(other))
+        return durable(cells(binned, ["side", *self._attrs], self._label, self._token))[0]
+
+    def _cells_of(self, side: str) -> DataFrame:
+        return self._cells.where(F.col("side") == F.lit(side)).select(*self._attrs, "pos", "neg")
+
+    @property
+    def train_cells(self) -> DataFrame:
+        return self._cells_of("train")
+
+    @property
+    def test_cells(self) -> DataFrame:
+        return self._cells_of("test")
 
 
 def binned_sides(
@@ -62,28 +99,7 @@ def binned_sides(
     ``cuts='per_side'`` bins each side with its own quartiles (the original
     behaviour); ``cuts='train'`` bins the test side with the training cuts.
     """
-    attrs = list(attrs)
-    plain = [a for a in attrs if a != BINNED]
-    fine, _ = durable(
-        with_side(prepared, key)
-        .groupBy("side", *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in plain], VALUE)
-        .agg(F.count_if(F.col(label)).alias("pos"), F.count_if(~F.col(label)).alias("neg"))
-    )
-    per_side = {
-        r["side"]: (r["q1"], r["q2"], r["q3"])
-        for r in quartile_cuts(fine, VALUE, by=["side"], weight=F.col("pos") + F.col("neg")).collect()  # ≤ 2 rows
-    }
-    train_cuts = per_side.get("train", (None, None, None))
-    test_cuts = per_side.get("test", (None, None, None)) if cuts == "per_side" else train_cuts
-    train, test = split_train_test(prepared, key)
-    return Sides(
-        train=bin_quartiles(train, train_cuts, VALUE, BINNED),
-        test=bin_quartiles(test, test_cuts, VALUE, BINNED),
-        train_cuts=train_cuts,
-        test_cuts=test_cuts,
-        train_cells=_cells_of(fine, "train", train_cuts, attrs),
-        test_cells=_cells_of(fine, "test", test_cuts, attrs),
-    )
+    return Sides(prepared, key, cuts, attrs, label, token)
 
 
 def train_tree(sides: Sides, attrs=ATTRIBUTES, **kw) -> DataFrame:

@@ -86,6 +86,13 @@ def long_union(rel: str, ids: list[str], attrs: list[str]) -> str:
     return " UNION ALL ".join(f"SELECT {id_cols}'{a}' AS attr, {a} AS value, pos, neg FROM {rel}" for a in attrs)
 
 
+#: Separates the classes, and no gain is higher by more than rounding explains (2^-51 a value).
+FIRST = (
+    "(NOT zero AND {gain} >= max({gain}) FILTER (NOT zero) OVER ({by})"
+    " - (max(n_values) OVER ({by}) + 4) * 4.440892098500626e-16)"
+)
+
+
 def attr_ord(c: str) -> str:
     return "CASE " + " ".join(f"WHEN {c} = '{a}' THEN {i}" for i, a in enumerate(A)) + " END"
 
@@ -117,13 +124,13 @@ def tree_ctes(src: str, p: str = "") -> str:
         parts.append(
             f"{p}st{d} AS (SELECT c.node_id, c.attr, "
             f"{H('n.pos', 'n.neg')} - sum(CAST(c.pos + c.neg AS DOUBLE) * {H('c.pos', 'c.neg')}) / CAST(n.pos + n.neg AS DOUBLE) AS gain, "
-            f"bool_and(CAST(c.pos AS HUGEINT) * n.neg = CAST(c.neg AS HUGEINT) * n.pos) AS zero "
+            f"bool_and(CAST(c.pos AS HUGEINT) * n.neg = CAST(c.neg AS HUGEINT) * n.pos) AS zero, count(*) AS n_values "
             f"FROM {p}cand{d} c JOIN {p}n{d} n ON c.node_id = n.node_id GROUP BY c.node_id, c.attr, n.pos, n.neg)"
         )
         parts.append(
             f"{p}b{d} AS (SELECT node_id, attr AS best_attr, gain AS best_gain, zero AS best_zero FROM ("
-            f"SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY round(gain, 12) DESC, {attr_ord('attr')}) AS rn "
-            f"FROM {p}st{d}) WHERE rn = 1)"
+            f"SELECT *, row_number() OVER (PARTITION BY node_id ORDER BY first DESC, {attr_ord('attr')}) AS rn "
+            f"FROM (SELECT *, {FIRST.format(by='PARTITION BY node_id', gain='gain')} AS first FROM {p}st{d})) WHERE rn = 1)"
         )
         parts.append(
             f"{p}dec{d} AS (SELECT n.*, CASE WHEN n.depth = 0 AND b.best_attr IS NOT NULL THEN 'split' "
@@ -187,13 +194,16 @@ SL = sides(L_BASE)
 SD = sides(D_BASE)
 TREE_COLS = "node_id, parent_id, depth, edge_attr, edge_value, rule, split_attr, " + r9("gain") + " AS gain, pos, neg, kind, label"
 ROOT_LONG = f"lc AS (SELECT attr, value, CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(neg) AS BIGINT) AS neg FROM ({long_union('cells', [], A)}) u GROUP BY attr, value)"
+# every value has the parent's class ratio, in whole numbers; p and n are the parent's counts
+ZERO = "bool_and(CAST(pos AS HUGEINT) * n = CAST(neg AS HUGEINT) * p) AS zero, count(*) AS n_values"
 ROOT_GAIN = (
     f"g AS (SELECT attr, {H('sum(pos)', 'sum(neg)')} - sum(CAST(pos + neg AS DOUBLE) * {H('pos', 'neg')}) "
-    f"/ CAST(sum(pos) + sum(neg) AS DOUBLE) AS info_gain FROM lc GROUP BY attr)"
+    f"/ CAST(sum(pos) + sum(neg) AS DOUBLE) AS info_gain, {ZERO} "
+    f"FROM (SELECT *, sum(pos) OVER (PARTITION BY attr) AS p, sum(neg) OVER (PARTITION BY attr) AS n FROM lc) GROUP BY attr)"
 )
 ROOT_BEST = (
-    f"rb AS (SELECT attr, info_gain FROM (SELECT *, row_number() OVER (ORDER BY round(info_gain, 12) DESC, "
-    f"{attr_ord('attr')}) AS rn FROM g) WHERE rn = 1)"
+    f"rb AS (SELECT attr, info_gain FROM (SELECT *, row_number() OVER (ORDER BY first DESC, {attr_ord('attr')}) AS rn "
+    f"FROM (SELECT *, {FIRST.format(by='', gain='info_gain')} AS first FROM g)) WHERE rn = 1)"
 )
 
 
@@ -209,22 +219,22 @@ def _level1() -> str:
         f"l1 AS (SELECT parent_value, attr, value, CAST(sum(pos) AS BIGINT) AS pos, CAST(sum(neg) AS BIGINT) AS neg "
         f"FROM ({rest_unions}) u GROUP BY parent_value, attr, value),\n"
         f"g1 AS (SELECT parent_value, attr, {H('sum(pos)', 'sum(neg)')} - sum(CAST(pos + neg AS DOUBLE) * {H('pos', 'neg')}) "
-        f"/ CAST(sum(pos) + sum(neg) AS DOUBLE) AS info_gain FROM l1 GROUP BY parent_value, attr)"
+        f"/ CAST(sum(pos) + sum(neg) AS DOUBLE) AS info_gain, {ZERO} FROM (SELECT *, "
+        f"sum(pos) OVER (PARTITION BY parent_value, attr) AS p, sum(neg) OVER (PARTITION BY parent_value, attr) AS n FROM l1) "
+        f"GROUP BY parent_value, attr)"
     )
 
 
-def _domain() -> str:
-    from canopy.plans.queries import DOMAINS_L
-
+def _domain(domains: dict, rel: str) -> str:
     parts = []
-    for a, vals in DOMAINS_L.items():
+    for a, vals in domains.items():
         lst = ", ".join("'" + v.replace("'", "''") + "'" for v in vals)
-        parts.append(f"SELECT '{a}' AS attr, {a} AS value FROM train WHERE {a} NOT IN ({lst})")
+        parts.append(f"SELECT '{a}' AS attr, {a} AS value FROM {rel} WHERE {a} IS NULL OR {a} NOT IN ({lst})")
     return " UNION ALL ".join(parts)
 
 
 def oracle_sql() -> dict[str, str]:
-    from canopy.plans.queries import PATH_L, UNSEEN_LANG
+    from canopy.plans.queries import DOMAINS_D, DOMAINS_L, PATH_L, UNSEEN_LANG
 
     path = " AND ".join(f"{a} = '{v}'" for a, v in PATH_L)
     sq: dict[str, str] = {}
@@ -275,7 +285,18 @@ def oracle_sql() -> dict[str, str]:
     sq["attr_value_counts"] = avc
     sq["attr_value_counts_join"] = avc
     sq["domain_check"] = _with(SL) + (
-        f"SELECT attr, value, count(*) AS n_rows FROM ({_domain()}) u GROUP BY attr, value"
+        f"SELECT attr, value, count(*) AS n_rows FROM ({_domain(DOMAINS_L, 'train')}) u GROUP BY attr, value"
+    )
+    sq["domain_check_nulls"] = _with(f"raw AS ({sq['scan_project']})") + (
+        f"SELECT attr, value, count(*) AS n_rows FROM ({_domain(DOMAINS_D, 'raw')}) u GROUP BY attr, value"
+    )
+    sq["node_split_deep"] = _with(SL, cells_cte("train")) + (
+        "SELECT 'product_category' AS attr, product_category AS value, CAST(sum(pos) AS BIGINT) AS pos, "
+        f"CAST(sum(neg) AS BIGINT) AS neg FROM cells WHERE {path} GROUP BY product_category"
+    )
+    sq["leaf_labels_path"] = _with(SL, cells_cte("train")) + (
+        f"SELECT DISTINCT label FROM (SELECT true AS label FROM cells WHERE pos > 0 AND {path} "
+        f"UNION ALL SELECT false AS label FROM cells WHERE neg > 0 AND {path})"
     )
     sq["cells"] = _with(SL, cells_cte("train")) + f"SELECT {', '.join(A)}, pos, neg FROM cells"
     sq["entropy"] = _with(SL, cells_cte("train"), ROOT_LONG) + f"SELECT attr, value, {r9(H('pos', 'neg'))} AS entropy FROM lc"
@@ -291,7 +312,8 @@ def oracle_sql() -> dict[str, str]:
     )
     sq["node_best_attribute"] = _with(SD, cells_cte("train"), ROOT_LONG, ROOT_GAIN, ROOT_BEST, _level1()) + (
         f"SELECT parent_value, attr, {r9('info_gain')} AS info_gain FROM (SELECT *, row_number() OVER "
-        f"(PARTITION BY parent_value ORDER BY round(info_gain, 12) DESC, {attr_ord('attr')}) AS rn FROM g1) WHERE rn = 1"
+        f"(PARTITION BY parent_value ORDER BY first DESC, {attr_ord('attr')}) AS rn FROM (SELECT *, "
+        f"{FIRST.format(by='PARTITION BY parent_value', gain='info_gain')} AS first FROM g1)) WHERE rn = 1"
     )
     sq["leaf_labels"] = _with(SD, cells_cte("train"), ROOT_LONG, ROOT_GAIN, ROOT_BEST) + (
         "SELECT value AS parent_value, true AS label FROM lc WHERE attr = (SELECT attr FROM rb) AND pos > 0 "

@@ -21,13 +21,16 @@ from canopy.functions.columns import (
     ratio_above,
     squared_error,
 )
+from canopy.operators._lineage import durable
 from canopy.operators.contingency import (
     attr_value_counts,
     attr_value_counts_join,
     class_counts,
     distinct_values,
     domain_violations,
+    leaf_labels,
     long_counts,
+    node_split,
     path_filter,
 )
 from canopy.operators.discretize import quartile_cuts, quartile_cuts_approx
@@ -53,6 +56,11 @@ DOMAINS_L = {
     "product_category": ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"),
     "review_body": ("(0,Q1]", "(Q1,Q2]", "(Q2,Q3]", "Q3"),
 }
+DOMAINS_D = {
+    "marketplace": ("de", "en", "fr"),
+    "verified_purchase": ("0", "1"),
+    "vine": ("0",),
+}
 UNSEEN_LANG = "es"
 
 
@@ -117,17 +125,12 @@ def q_row_index(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_split_train_test(spark: SparkSession, d: str) -> DataFrame:
-    train, test = split_train_test(fixture_l(spark, d), "key")
-
-    def side(df, name):
-        return df.agg(
-            F.lit(name).alias("side"),
-            F.count(F.lit(1)).alias("n_rows"),
-            F.count_if(F.col(LABEL)).alias("n_pos"),
-            F.count_if(~F.col(LABEL)).alias("n_neg"),
-        )
-
-    return side(train, "train").unionByName(side(test, "test"))
+    # both sides in one pass: the side is a column, not two filters over the same joins
+    return with_side(fixture_l(spark, d), "key").groupBy("side").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col(LABEL)).alias("n_pos"),
+        F.count_if(~F.col(LABEL)).alias("n_neg"),
+    )
 
 
 def q_quartile_cuts(spark: SparkSession, d: str) -> DataFrame:
@@ -135,9 +138,11 @@ def q_quartile_cuts(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_quartile_cuts_approx(spark: SparkSession, d: str) -> DataFrame:
-    train, test = split_train_test(fixture_l(spark, d), "key")
+    # the joined (side, value) pairs are stored once; sketches and checks read them
+    sided, _ = durable(with_side(fixture_l(spark, d), "key").select("side", "body_len"))
     parts = []
-    for name, df in (("train", train), ("test", test)):
+    for name in ("train", "test"):
+        df = sided.where(F.col("side") == name)
         q1, q2, q3 = quartile_cuts_approx(df, "body_len", 0.3)
         v = F.col("body_len")
         n = F.count(F.lit(1))
@@ -153,6 +158,11 @@ def q_quartile_cuts_approx(spark: SparkSession, d: str) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
+def _train_l(spark, d):
+    """Training rows before binning: for operators that don't look at the bin."""
+    return split_train_test(fixture_l(spark, d), "key")[0]
+
+
 def _sides_l(spark, d):
     return binned_sides(fixture_l(spark, d))
 
@@ -173,29 +183,34 @@ def q_discretize_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_class_counts(spark: SparkSession, d: str) -> DataFrame:
-    return class_counts(_sides_l(spark, d).train)
+    return class_counts(_train_l(spark, d))
 
 
 def q_path_filter(spark: SparkSession, d: str) -> DataFrame:
-    return path_filter(_sides_l(spark, d).train, PATH_L).select("l_orderkey", "l_linenumber", LABEL)
+    return path_filter(_train_l(spark, d), PATH_L).select("l_orderkey", "l_linenumber", LABEL)
 
 
 def q_distinct_values(spark: SparkSession, d: str) -> DataFrame:
-    return distinct_values(_sides_d(spark, d).train, "product_category")
+    return distinct_values(split_train_test(fixture_d(spark, d), "key")[0], "product_category")
 
 
 def q_attr_value_counts(spark: SparkSession, d: str) -> DataFrame:
-    return attr_value_counts(_sides_l(spark, d).train, ATTRIBUTES)
+    return attr_value_counts(None, ATTRIBUTES, cells_df=_sides_l(spark, d).train_cells)
 
 
 def q_attr_value_counts_join(spark: SparkSession, d: str) -> DataFrame:
-    return attr_value_counts_join(_sides_l(spark, d).train, ATTRIBUTES)
+    return attr_value_counts_join(None, ATTRIBUTES, cells_df=_sides_l(spark, d).train_cells)
 
 
 def q_domain_check(spark: SparkSession, d: str) -> DataFrame:
     return domain_violations(_sides_l(spark, d).train, DOMAINS_L)
 
 
+def q_domain_check_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Raw columns with nulls: unlabelled documents are outside every domain."""
+    return domain_violations(q_scan_project(spark, d), DOMAINS_D)
+
+
 def q_cells(spark: SparkSession, d: str) -> DataFrame:
     return _sides_l(spark, d).train_cells
 
@@ -226,11 +241,7 @@ def _root_split(spark, d):
 
 def q_node_split(spark: SparkSession, d: str) -> DataFrame:
     c, root = _root_split(spark, d)
-    return (
-        c.groupBy(F.col(root).alias("value"))
-        .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        .select(F.lit(root).alias("attr"), "value", "pos", "neg")
-    )
+    return node_split(c, root)
 
 
 def _level1_gains(spark, d):
@@ -253,9 +264,16 @@ def q_node_best_attribute(spark: SparkSession, d: str) -> DataFrame:
 
 def q_leaf_labels(spark: SparkSession, d: str) -> DataFrame:
     c, root = _root_split(spark, d)
-    per = c.groupBy(F.col(root).alias("parent_value")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    labels = F.array(F.when(F.col("pos") > 0, F.lit(True)), F.when(F.col("neg") > 0, F.lit(False)))
-    return per.select("parent_value", F.explode(labels).alias("label")).where(F.col("label").isNotNull())
+    return leaf_labels(c, by=root)
+
+
+def q_node_split_deep(spark: SparkSession, d: str) -> DataFrame:
+    """Children of an inner node two tests below the root."""
+    return node_split(_sides_l(spark, d).train_cells, "product_category", PATH_L)
+
+
+def q_leaf_labels_path(spark: SparkSession, d: str) -> DataFrame:
+    return leaf_labels(_sides_l(spark, d).train_cells, PATH_L)
 
 
 # --- tree, prediction, evaluation ---------------------------------------------------------
@@ -335,6 +353,7 @@ QUERIES: dict[str, Query] = {
     "attr_value_counts": q_attr_value_counts,
     "attr_value_counts_join": q_attr_value_counts_join,
     "domain_check": q_domain_check,
+    "domain_check_nulls": q_domain_check_nulls,
     "cells": q_cells,
     "entropy": q_entropy,
     "info_gain": q_info_gain,
@@ -343,6 +362,8 @@ QUERIES: dict[str, Query] = {
     "node_info_gain": q_node_info_gain,
     "node_best_attribute": q_node_best_attribute,
     "leaf_labels": q_leaf_labels,
+    "node_split_deep": q_node_split_deep,
+    "leaf_labels_path": q_leaf_labels_path,
     "id3_tree": q_id3_tree,
     "id3_tree_lineitem": q_id3_tree_lineitem,
     "tree_rules": q_tree_rules,

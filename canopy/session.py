@@ -32,10 +32,6 @@ def local_session(
     return spark
 
 
-def scratch_dir(prefix: str = "canopy-") -> str:
-    return tempfile.mkdtemp(prefix=prefix)
-
-
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's ``spark.checkpoint.dir``; only when none is set
     (local tests) create a fresh scratch folder for it."""

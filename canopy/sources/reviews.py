@@ -36,7 +36,7 @@ REVIEW_COLUMNS = (
     "review_date",
 )
 
-# The eight columns the tree pipeline reads; Catalyst prunes the rest.
+# The eight columns the tree pipeline reads; Catalyst prunes the rest.
 PIPELINE_COLUMNS = (
     "marketplace",
     "verified_purchase",
@@ -72,22 +72,33 @@ def read_reviews(
 ) -> DataFrame:
     """Read one or more review files (file, list, glob or directory).
 
-    Every column is read as a string with an explicit schema (no schema
-    inference pass over the data).  Short or long lines are kept in
-    PERMISSIVE mode: missing fields become null and the raw line lands in
-    ``_corrupt_record`` when ``keep_corrupt`` is set.
+    Columns are taken by the names in the header, wherever they stand; files
+    read together must have the same header (Spark checks each file's and
+    raises), and a header without a wanted column is an error.  Every column
+    is read as a string (no inference pass over the data).  Short or long
+    lines are kept in PERMISSIVE mode: missing fields become null and the raw
+    line lands in ``_corrupt_record`` when ``keep_corrupt`` is set.
     """
-    reader = spark.read.schema(review_schema(with_corrupt=True)).options(
-        sep="\t",
-        header=True,
-        quote="",
-        escape="",
-        mode="PERMISSIVE",
-        columnNameOfCorruptRecord=CORRUPT_COLUMN,
-        encoding="UTF-8",
-    )
-    df = reader.csv(_paths(path))
+    options = {
+        "sep": "\t",
+        "header": True,
+        "quote": "",
+        "escape": "",
+        "mode": "PERMISSIVE",
+        "columnNameOfCorruptRecord": CORRUPT_COLUMN,
+        "encoding": "UTF-8",
+        "enforceSchema": False,  # each file's header is held against the schema
+    }
+    # only the first line of a file is looked at for the names
+    names = spark.read.options(**options, inferSchema=False).csv(_paths(path)).columns
     wanted = list(columns) if columns is not None else list(REVIEW_COLUMNS)
+    missing = [c for c in wanted if c not in names]
+    if missing:
+        raise ValueError(f"the header has no column {missing}")
+    fields = [T.StructField(c, T.StringType(), True) for c in names]
+    if keep_corrupt:
+        fields.append(T.StructField(CORRUPT_COLUMN, T.StringType(), True))
+    df = spark.read.schema(T.StructType(fields)).options(**options).csv(_paths(path))
     if keep_corrupt:
         wanted.append(CORRUPT_COLUMN)
     df = df.select(*wanted)

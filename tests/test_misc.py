@@ -68,3 +68,42 @@ def test_domain_distinct_and_path_operators(spark):
     assert sorted(r.m for r in distinct_values(df, "m").collect()) == ["UK", "US", "XX"]
     assert path_filter(df, [("m", "US"), ("v", "Y")]).count() == 1
     assert path_filter(df, []).count() == 4
+
+
+def test_null_keys_and_labels_are_lost_nowhere(spark):
+    import random
+
+    from canopy.plans.end_to_end import binned_sides, evaluate, train_tree
+    from canopy.operators.predict import predict
+    from canopy.operators.prepare import ATTRIBUTES
+
+    rnd = random.Random(3)
+    rows = [
+        (None if i % 5 == 0 else f"k{i}", *(rnd.choice(["a", "b", None]) for _ in range(4)), rnd.choice([float(i), None]), rnd.choice([True, False, None]))
+        for i in range(400)
+    ]
+    df = spark.createDataFrame(rows, "key string, marketplace string, verified_purchase string, vine string, product_category string, body_len double, is_vote_helpful boolean")
+    train, test = split_train_test(df, "key")
+    assert train.count() + test.count() == 400
+    s = binned_sides(df)
+    n_test = predict(s.test, tree := train_tree(s)).count()
+    assert evaluate(s, tree).first()["n_rows"] == n_test == test.count()
+    assert s.train_cells.agg(F.sum(F.col("pos") + F.col("neg"))).first()[0] == train.count()
+    assert tree.where("pos + neg = 0").count() == 0
+    assert set(ATTRIBUTES) >= {r.edge_attr for r in tree.collect() if r.edge_attr}
+
+
+def test_null_labels_count_as_false(spark):
+    from canopy.operators.contingency import class_counts
+    from canopy.operators.tree import grow_tree
+
+    rows = [("p", True), ("p", False), ("p", True), ("q", None), ("q", None)]
+    df = spark.createDataFrame(rows, "a string, y boolean")
+    assert tuple(class_counts(df, "y").first()) == (2, 3, 5)
+    nodes = {r.rule: (r.pos, r.neg) for r in grow_tree(df, ["a"], "y").collect()}
+    assert nodes == {"": (2, 3), "a=p": (2, 1), "a=q": (0, 2)}
+
+
+def test_fill_missing_replaces_nan(spark):
+    df = spark.createDataFrame([(float("nan"), None, 3)], "a double, b float, c long")
+    assert tuple(fill_missing(df).first()) == (0.0, 0.0, 3)

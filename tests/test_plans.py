@@ -29,19 +29,21 @@ def recorded(monkeypatch):
         seen.append(plan_text(df))
         return real(df, count)
 
+    import canopy.operators.predict as r
+    import canopy.operators.prepare as i
     import canopy.operators.quantiles as q
     import canopy.operators.tree as t
     import canopy.plans.end_to_end as p
 
-    for mod in (_lineage, q, t, p):
+    for mod in (_lineage, q, t, p, r, i):
         monkeypatch.setattr(mod, "durable", spy)
     return seen
 
 
 def test_no_cross_joins_in_any_query(spark, recorded):
-    from __spark_entry__ import queries
+    from canopy.plans.queries import QUERIES
 
-    for name, fn in queries().items():
+    for name, fn in QUERIES.items():
         text = plan_text(fn(spark, SF001))
         assert not any(b in text for b in BAD), name
     assert recorded, "level loops were exercised"
@@ -49,15 +51,37 @@ def test_no_cross_joins_in_any_query(spark, recorded):
         assert not any(b in text for b in BAD), text[:2000]
 
 
+def scans(df) -> str:
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain("formatted")
+    return buf.getvalue()
+
+
 def test_scan_pruning_and_pushdown(spark):
-    from canopy.plans.queries import q_path_filter, q_text_length
+    from canopy.plans.queries import q_class_counts, q_path_filter, q_text_length
 
-    text = plan_text(q_text_length(spark, SF001))
     # only the two columns the length needs are read from documents
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
-    # predicate pushdown at the lineitem scan: only the needed columns are read
-    text = plan_text(q_path_filter(spark, SF001))
-    assert "l_comment" not in text and "PushedFilters" in text
+    text = scans(q_text_length(spark, SF001))
+    assert "ReadSchema: struct<doc_id:bigint,text:string>" in text and text.count("ReadSchema") == 1
+    # the path's equality on o_orderstatus and r_name reaches the scans of orders and region
+    text = scans(q_path_filter(spark, SF001))
+    assert "EqualTo(o_orderstatus,F)" in text and "EqualTo(r_name,ASIA)" in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string>" in text
+    # counting classes reads no column of customer but its keys, and nothing of the value that is binned
+    text = scans(q_class_counts(spark, SF001))
+    assert "ReadSchema: struct<c_custkey:bigint,c_nationkey:bigint>" in text and "l_extendedprice" not in text
+
+
+def test_lean_queries_start_few_jobs(spark):
+    from canopy.plans.queries import q_class_counts, q_distinct_values
+
+    sc = spark.sparkContext
+    for fn in (q_class_counts, q_distinct_values):
+        sc.setJobGroup(fn.__name__, fn.__name__)
+        fn(spark, SF001)
+        assert not sc.statusTracker().getJobIdsForGroup(fn.__name__)  # nothing runs before the result is asked for
+        sc.setJobGroup("", "")
 
 
 def test_tree_jobs_depend_on_levels_not_nodes(spark):

@@ -26,7 +26,7 @@ def test_exact_quantiles_match_percentile_disc(spark, seed):
     rows = [(rnd.choice("ab"), v) for v in vals]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.1, 0.25, 0.5, 0.75, 0.99]
-    got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, "v", probs, by=["g"], buckets=8).collect()}
+    got = {r["g"]: [r[f"q{i}"] for i in range(len(probs))] for r in exact_quantiles(df, "v", probs, by=["g"], ranges=8, range_rows=20).collect()}
     for g in "ab":
         vs = [v for gg, v in rows if gg == g]
         if vs:
@@ -63,7 +63,7 @@ def test_row_index_is_consecutive(spark):
     rnd = random.Random(7)
     keys = rnd.sample(range(10**9), 5000)
     df = spark.createDataFrame([(k,) for k in keys], "k long").repartition(7)
-    got = sorted((r.row_index, r.k) for r in row_index(df, "k", buckets=16).collect())
+    got = sorted((r.row_index, r.k) for r in row_index(df, "k").collect())
     assert [i for i, _ in got] == list(range(5000))
     assert [k for _, k in got] == sorted(keys)
 
@@ -80,7 +80,7 @@ def test_exact_quantiles_property(spark):
     )
     def check(pairs, probs, buckets):
         df = spark.createDataFrame([(float(v), w) for v, w in pairs], "v double, w long")
-        got = list(exact_quantiles(df, "v", probs, weight="w", buckets=buckets).first())
+        got = list(exact_quantiles(df, "v", probs, weight="w", ranges=buckets, range_rows=3).first())
         flat = [float(v) for v, w in pairs for _ in range(w)]
         assert got == [disc(flat, p) for p in probs]
 
@@ -100,3 +100,37 @@ def test_bucket_lookup_tree_equals_filter_form(spark):
         bucket_of(F.col("v"), bounds).alias("lit"), bucket_of(F.col("v"), F.col("b"), len(bounds)).alias("col"), slow.alias("ref")
     ).collect()
     assert all(r.lit == r.ref == r.col for r in got)
+
+
+def test_quantiles_narrow_down_without_limits(spark):
+    rnd = random.Random(3)
+    vals = [rnd.gauss(0, 1) for _ in range(4000)] + [0.5] * 3000 + [None, float("nan")]
+    df = spark.createDataFrame([(v, None) for v in vals], "v double, g string")
+    probs = [0.01, 0.25, 0.5, 0.7, 0.999, 1.0]
+    want = [disc(vals[:7000], p) for p in probs]
+    # two ranges a round and at most one row to sort: every answer is narrowed down to its own value
+    assert list(exact_quantiles(df, "v", probs, ranges=2, range_rows=1).first()) == want
+    assert list(exact_quantiles(df, "v", probs, ranges=16, range_rows=50).first()) == want
+    # a null group is a group
+    assert list(exact_quantiles(df, "v", probs, by=["g"], ranges=16, range_rows=50).first()) == [None, *want]
+    assert exact_quantiles(df.where("v > 99 and not isnan(v)"), "v", probs).collect() == []
+
+
+def test_null_and_nan_values_have_no_bin(spark):
+    df = spark.createDataFrame([(None,), (float("nan"),), (5.0,)], "body_len double")
+    got = [r.review_body for r in bin_quartiles(df, (1.0, 2.0, 3.0)).collect()]
+    assert got == [None, None, BIN_LABELS[3]]
+
+
+def test_row_index_of_text_date_and_hot_keys(spark):
+    import datetime
+
+    rnd = random.Random(5)
+    n = 6000
+    rows = [("hot" if rnd.random() < 0.6 else f"k{rnd.randrange(10**6)}", datetime.date(2000, 1, 1) + datetime.timedelta(rnd.randrange(3000)), i) for i in range(n)]
+    df = spark.createDataFrame(rows, "k string, d date, _place long").repartition(5)
+    for key in ("k", "d"):
+        got = sorted((r.row_index, r[key]) for r in row_index(df, key).collect())
+        assert [i for i, _ in got] == list(range(n)) and [k for _, k in got] == sorted(r[0 if key == "k" else 1] for r in rows)
+    spread = df.repartitionByRange(8, "k", "d", "_place").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r["count"] for r in spread) < 0.3 * n  # the hot key is cut by the other columns

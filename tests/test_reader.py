@@ -94,3 +94,26 @@ def test_end_to_end_on_review_files(spark, tmp_path):
     assert sum(train_rows) + score["n_rows"] == 400
     stored = load_tree(spark, str(tmp_path / "tree"))
     assert stored.count() == tree.count()
+
+
+def test_columns_are_found_by_name(spark, tmp_path):
+    import pytest
+
+    swapped = list(REVIEW_COLUMNS)
+    a, b = swapped.index("helpful_votes"), swapped.index("total_votes")
+    swapped[a], swapped[b] = swapped[b], swapped[a]
+    values = dict.fromkeys(swapped, "x") | {"helpful_votes": "9", "total_votes": "10"}
+    one = tmp_path / "one.tsv"
+    one.write_text("\t".join(swapped) + "\n" + "\t".join(values[c] for c in swapped) + "\n")
+    row = read_reviews(spark, str(one)).first()
+    assert (row.helpful_votes, row.total_votes) == ("9", "10")
+    # files of different headers read together are refused, not mixed up
+    two = tmp_path / "two.tsv"
+    two.write_text(HEADER + "\n" + line() + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_reviews(spark, [str(one), str(two)]).collect()
+    short = tmp_path / "short.tsv"
+    short.write_text("marketplace\tvine\nUS\tN\n")
+    with pytest.raises(ValueError, match="star_rating"):
+        read_reviews(spark, str(short))
+    assert read_reviews(spark, str(short), columns=("vine",)).first().vine == "N"

@@ -73,7 +73,7 @@ def test_grow_from_rows_equals_from_cells_and_partitioning(spark):
     df = weather(spark)
     a = sorted(map(tuple, grow_tree(df, W_ATTRS, "play").collect()))
     b = sorted(map(tuple, grow_tree(None, W_ATTRS, "play", cells=cells(df, W_ATTRS, "play")).collect()))
-    c = sorted(map(tuple, grow_tree(df.repartition(5), W_ATTRS, "play", broadcast_rows=0).collect()))
+    c = sorted(map(tuple, grow_tree(df.repartition(5), W_ATTRS, "play", broadcast_limit=0).collect()))
     assert a == b == c
 
 
@@ -224,7 +224,7 @@ def test_hot_combination_with_shuffled_joins(spark):
             vals = (f"a{rnd.randrange(4)}", f"b{rnd.randrange(3)}", f"c{rnd.randrange(5)}")
             rows.append(vals + (rnd.random() < (0.9 if vals[1] == "b0" else 0.3),))
     df = spark.createDataFrame(rows, "a string, b string, c string, y boolean").repartition(6)
-    got = {r.rule: (r.split_attr, r.kind, r.label, r.pos, r.neg) for r in grow_tree(df, ["a", "b", "c"], "y", broadcast_rows=0).collect()}
+    got = {r.rule: (r.split_attr, r.kind, r.label, r.pos, r.neg) for r in grow_tree(df, ["a", "b", "c"], "y", broadcast_limit=0).collect()}
     assert got == brute_id3(rows, ["a", "b", "c"])
 
 
@@ -238,14 +238,14 @@ def test_predict_with_shuffled_joins_equals_broadcast(spark):
     test = spark.createDataFrame(rows + [("a9", "b0", True), ("a0", "b9", False)], df.schema).repartition(4)
     cols = ["a", "b", "y", "prediction", "leaf_id", "matched_depth", "reached_leaf"]
     fast = sorted(map(tuple, predict(test, tree, ["a", "b"]).select(*cols).collect()), key=str)
-    slow_df = predict(test, tree, ["a", "b"], broadcast_rows=0)
+    slow_df = predict(test, tree, ["a", "b"], broadcast_limit=0)
     slow = sorted(map(tuple, slow_df.select(*cols).collect()), key=str)
     assert fast == slow  # (AQE may still broadcast the tree from its measured size; results must not change)
-    for kw in ({"strategy": "combos"}, {"strategy": "combos", "broadcast_rows": 0}):
+    for kw in ({"strategy": "combos"}, {"strategy": "combos", "broadcast_limit": 0}):
         combos = sorted(map(tuple, predict(test, tree, ["a", "b"], **kw).select(*cols).collect()), key=str)
         assert combos == fast, kw
     # a too-large tree switches to the combinations route on its own
-    auto = predict(test, tree, ["a", "b"], broadcast_rows=0)
+    auto = predict(test, tree, ["a", "b"], broadcast_limit=0)
     assert sorted(map(tuple, auto.select(*cols).collect()), key=str) == fast
 
 
@@ -273,3 +273,94 @@ def test_attribute_names_are_validated(spark):
     df = spark.createDataFrame([("x", True)], "`a=b` string, y boolean")
     with pytest.raises(ValueError):
         grow_tree(df, ["a=b"], "y")
+
+
+def test_a_tiny_gain_beats_no_gain_at_any_size(spark):
+    # a is exactly useless; b separates the classes by one record in ten million
+    n = 10_000_000
+    cells_ = [("x", "u", n, n), ("x", "v", n, n), ("y", "u", n + 1, n), ("y", "v", n - 1, n)]
+    for scale in (1, 10**6):
+        rows = [(a, b, p * scale, q * scale) for a, b, p, q in cells_]
+        df = spark.createDataFrame(rows, "a string, b string, pos long, neg long")
+        for force_root in (True, False):
+            tree = {r.rule: r for r in grow_tree(None, ["a", "b"], cells=df, force_root=force_root).collect()}
+            assert tree[""].split_attr == "b" and tree[""].kind == "split"
+        from canopy.operators.contingency import long_counts
+        from canopy.operators.impurity import best_attribute, info_gain
+
+        gains = info_gain(long_counts(df, ["a", "b"]))
+        assert best_attribute(gains, ["a", "b"]).first()["attr"] == "b"
+    flat = spark.createDataFrame([("x", "u", n, n), ("y", "v", n, n)], "a string, b string, pos long, neg long")
+    only = grow_tree(None, ["a", "b"], cells=flat, force_root=False).collect()
+    assert [(r.kind, r.split_attr) for r in only] == [("zero_gain", None)]
+
+
+def test_equal_gains_go_to_the_first_attribute(spark):
+    rows = [("x", "1", 7, 3), ("y", "2", 1, 9), ("z", "3", 4, 4)]
+    df = spark.createDataFrame(rows, "a string, b string, pos long, neg long")
+    for attrs in (["a", "b"], ["b", "a"]):
+        assert [r.split_attr for r in grow_tree(None, attrs, cells=df).collect() if r.depth == 0] == [attrs[0]]
+
+
+def test_predict_leaves_other_names_alone(spark):
+    df = spark.createDataFrame([("x", True, "l", 1), ("y", False, "m", 2)], "a string, y boolean, _label string, _walk int")
+    tree = grow_tree(df, ["a"], "y")
+    for strategy in ("walk", "combos"):
+        once = predict(df, tree, ["a"], strategy=strategy)
+        twice = predict(once, tree, ["a"], strategy=strategy)
+        assert twice.columns == once.columns and sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
+        assert {r["_label"]: r.prediction for r in once.collect()} == {"l": "true", "m": "false"}
+
+
+def test_wide_values_are_never_broadcast_past_the_limit(spark):
+    import contextlib
+    import io
+
+    rows = [(str(k) * 10_000, f"b{k % 7}", k % 3 == 0) for k in range(60)]
+    df = spark.createDataFrame(rows, "a string, b string, y boolean")
+    tree = grow_tree(df, ["a", "b"], "y", broadcast_limit=100_000)
+    assert tree.count() >= 60
+    out = predict(df, tree, ["a", "b"], broadcast_limit=2_000)
+    text = io.StringIO()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        with contextlib.redirect_stdout(text):
+            out.explain()
+        assert "BroadcastHashJoin" not in text.getvalue()
+        assert sorted(r.prediction for r in out.collect()) == sorted(r.prediction for r in predict(df, tree, ["a", "b"]).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_public_node_operators(spark):
+    from canopy.operators.contingency import leaf_labels, node_counts, node_split
+
+    rows = [("x", "1", 2, 0), ("x", "2", 1, 3), ("y", "1", 0, 5)]
+    df = spark.createDataFrame(rows, "a string, b string, pos long, neg long")
+    assert sorted(map(tuple, node_split(df, "b", [("a", "x")]).collect())) == [("b", "1", 2, 0), ("b", "2", 1, 3)]
+    assert [r.label for r in leaf_labels(df, [("a", "y")]).collect()] == [False]
+    assert sorted(map(tuple, leaf_labels(df, by="a").collect())) == [("x", False), ("x", True), ("y", False)]
+    assert tuple(node_counts(df, [("a", "x")]).first()) == (3, 3, 6) and tuple(node_counts(df, [("a", "q")]).first()) == (0, 0, 0)
+    assert leaf_labels(df, [("a", "q")]).collect() == []
+
+
+def test_loop_tables_are_released(spark, tmp_path):
+    import os
+
+    from canopy.operators import _lineage
+
+    made = []
+    real = _lineage.durable
+    import canopy.operators.tree as t
+
+    def spy(df, count=False):
+        out = real(df, count)
+        made.append(out[0]._canopy_path.removeprefix("file:"))
+        return out
+
+    t.durable = spy
+    try:
+        tree = grow_tree(spark.createDataFrame([("x", "1", True), ("x", "2", False), ("y", "1", True)], "a string, b string, y boolean"), ["a", "b"], "y")
+    finally:
+        t.durable = real
+    assert [p for p in made if os.path.exists(p)] == [tree._canopy_path.removeprefix("file:")]
