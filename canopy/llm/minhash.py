@@ -14,9 +14,10 @@ Large groups never become all pairs:
 * in every bucket the classes are compared with one of them, the one that
   shares most buckets with others (the text the copies were made of), then with
   a second one of another component;
-* what is left are pairs of one bucket in *different* components; all of these
-  are compared, each once, so no link is lost.  Pairs inside a component can
-  not change the result and are never made.
+* what is left are pairs of one bucket without those two that are not yet linked
+  through a common class; all of them are compared, so no link is lost: classes
+  with the same most frequent leader as exact tiles of sets that return a
+  forest of links, others pair by pair.
 
 Links are confirmed on the full word sets of both texts.
 
@@ -33,6 +34,7 @@ from __future__ import annotations
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,50 +164,178 @@ def classes_and_components(
     entries = stored(entries.join(sizes, "bucket"), "minhash-buckets")
     # how many others a class meets, over all its buckets
     weight = entries.groupBy("rep").agg(F.sum("m").alias("weight"))
-    entries = stored(entries.drop("m").join(weight, "rep"), "minhash-entries")
+    entries = entries.drop("m").join(weight, "rep")
+    entries = stored(entries.join(leader_of(entries), "bucket"), "minhash-entries")
     # texts of the classes that share a bucket with another one
-    shared = weight.select(F.col("rep").alias("id"))
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    texts = stored(texts.join(shared, "id", "left_semi").dropDuplicates(["id"]), "minhash-texts")
-
-    def near(a: str, b: str):
-        """Sets whose sizes alone rule the similarity out are no pair."""
-        return 100 * F.least(a, b) >= percent * F.greatest(a, b)
-
-    def star(members: DataFrame, leaders: DataFrame) -> DataFrame:
-        met = members.join(leaders, "bucket").where((F.col("rep") != F.col("leader")) & near("n", "leader_n"))
-        return met.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
-
-    def leader_of(members: DataFrame, *more) -> DataFrame:
-        first = F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "n", *more)).alias("x")
-        return members.groupBy("bucket").agg(first).select(
-            "bucket", (-F.col("x.minus")).alias("leader"), F.col("x.n").alias("leader_n"), *[f"x.{c}" for c in more]
-        )
-
-    links = stored(linked(star(entries, leader_of(entries)), texts, shingle_words, percent), "minhash-links")
-    found = components(links)
-    spread = mixed_buckets(entries, found)
-    # in buckets of several components, every class against the best of another component than the first leader's
-    first = leader_of(spread, "component").withColumnRenamed("component", "first")
-    others = spread.join(first.select("bucket", "first"), "bucket").where("component <> first")
-    second = stored(linked(star(spread, leader_of(others)), texts, shingle_words, percent), "minhash-links")
-    found = components(links.union(second))
-    # the rest: pairs of one bucket in different components, made from the components that meet
-    spread = stored(mixed_buckets(entries, found), "minhash-rest")
-    side = spread.select("bucket", "component").distinct()
-    meet = side.join(side.select("bucket", F.col("component").alias("other")), "bucket").where("component < other")
-    left = spread.select("bucket", "component", F.col("rep").alias("a"), F.col("n").alias("n_a"))
-    right = spread.select("bucket", F.col("component").alias("other"), F.col("rep").alias("b"), F.col("n").alias("n_b"))
-    rest = meet.join(left, ["bucket", "component"]).join(right, ["bucket", "other"]).where(near("n_a", "n_b"))
-    rest = rest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    third = stored(linked(rest, texts, shingle_words, percent), "minhash-links")
-    return signed, classes.select("s1", "s2", "rep"), components(links.union(second).union(third))
+    texts = texts.join(weight.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    texts = stored(texts, "minhash-texts")
+
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return stored(linked(pairs, texts, shingle_words, percent), "minhash-links")
+
+    home = entries.groupBy("rep", "leader").count().groupBy("rep")
+    home = home.agg(F.max(F.struct("count", (-F.col("leader")).alias("minus"))).alias("x"))
+    home = stored(home.select("rep", (-F.col("x.minus")).alias("home")), "minhash-homes")
+
+    links = confirmed(star(entries, percent))
+    # in buckets of several groups, every class against the best of another group than the leader's
+    group = stored(grouped(links, home), "minhash-groups")
+    spread = stored(mixed_buckets(entries, group), "minhash-spread")
+    first = spread.where("rep = leader").select("bucket", F.col("component").alias("first"))
+    others = spread.join(first, "bucket").where("component <> first").drop("leader", "leader_n")
+    seconds = leader_of(others)
+    links = links.union(confirmed(star(spread.drop("leader", "leader_n").join(seconds, "bucket"), percent)))
+    # what is left: pairs of one bucket in different groups without one of the two
+    rest = spread.where("rep <> leader").drop("component").join(seconds.select("bucket", F.col("leader").alias("second")), "bucket")
+    rest = mixed_buckets(rest.where("rep <> second").drop("second"), grouped(links, home))
+    rest = stored(rest.join(home, "rep").select("bucket", "rep", "n", "component", "home"), "minhash-rest")
+    tiled = stored(linked_tiles(rest, texts, shingle_words, percent), "minhash-links")
+    links = links.union(tiled).union(confirmed(between_homes(rest, percent)))
+    return signed, classes.select("s1", "s2", "rep"), components(links)
+
+
+def grouped(links: DataFrame, home: DataFrame) -> DataFrame:
+    """``id, component``: of each linked class one class it is linked with, its home if it can be.
+
+    Not the whole components, but classes of one label are linked through
+    it, which is all that comparisons may be left out for.
+    """
+    named = links.join(home.withColumnRenamed("rep", "a"), "a")
+    chosen = named.groupBy("a").agg(F.max(F.struct((F.col("b") == F.col("home")).alias("is_home"), (-F.col("b")).alias("minus"))).alias("x"))
+    chosen = chosen.select(F.col("a").alias("id"), (-F.col("x.minus")).alias("component"), F.col("x.is_home"))
+    # a class that leads its own home keeps its own label, so that those it leads share it
+    own = home.where("rep = home").select(F.col("rep").alias("id"))
+    return chosen.join(own, "id", "left_anti").select("id", "component")
+
+
+def near_sizes(a: str, b: str, percent: int):
+    """False for sets whose sizes alone rule the similarity out."""
+    return 100 * F.least(a, b) >= percent * F.greatest(a, b)
+
+
+def star(members: DataFrame, percent: int) -> DataFrame:
+    """Every class with the leader of its bucket."""
+    met = members.where((F.col("rep") != F.col("leader")) & near_sizes("n", "leader_n", percent))
+    return met.select(F.col("rep").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def leader_of(members: DataFrame) -> DataFrame:
+    """``bucket, leader, leader_n``: of every bucket the class of most weight, of equal ones the smallest id."""
+    first = members.groupBy("bucket").agg(F.max(F.struct("weight", (-F.col("rep")).alias("minus"), "n")).alias("x"))
+    return first.select("bucket", (-F.col("x.minus")).alias("leader"), F.col("x.n").alias("leader_n"))
+
+
+def between_homes(rest: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one bucket with different homes (each class's most frequent leader) and components."""
+    side = rest.select("bucket", "home").distinct()
+    meet = side.join(side.select("bucket", F.col("home").alias("other")), "bucket").where("home < other")
+    left = rest.select("bucket", "home", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("c_a"))
+    right = rest.select(
+        "bucket", F.col("home").alias("other"), F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("c_b")
+    )
+    pairs = meet.join(left, ["bucket", "home"]).join(right, ["bucket", "other"])
+    pairs = pairs.where(near_sizes("n_a", "n_b", percent) & (F.col("c_a") != F.col("c_b")))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def linked_tiles(rest: DataFrame, texts: DataFrame, shingle_words: int, percent: int, tile: int = 256, tile_shingles: int = 400_000) -> DataFrame:
+    """Links among classes of one home, exact, as a forest.
+
+    Only classes outside the home's largest group are open.  Open ones
+    and all are cut into parts of about ``tile`` classes and ``tile_shingles``
+    shingles; a tile is one open part against one part of all, whose
+    intersections are counted by a matrix product.  A tile returns at most
+    as many links as it has classes, whatever the number of linked pairs.
+    """
+    own = rest.select("rep", "n", "component", "home").distinct()
+    largest = own.groupBy("home", "component").count().groupBy("home")
+    largest = largest.agg(F.max(F.struct("count", "component")).alias("x")).select("home", F.col("x.component").alias("main"))
+    own = own.join(largest, "home").withColumn("open", F.col("component") != F.col("main"))
+
+    def parts(which):
+        of = F.when(which, F.lit(1)), F.when(which, F.col("n"))
+        return F.greatest(F.ceil(F.count(of[0]) / tile), F.ceil(F.coalesce(F.sum(of[1]), F.lit(0)) / tile_shingles))
+
+    counts = own.groupBy("home").agg(parts(F.col("open")).alias("open_parts"), parts(F.lit(True)).alias("all_parts"))
+    own = own.join(counts.where("open_parts > 0"), "home")
+    draw = F.xxhash64("rep")
+    every = own.select(
+        "home", "rep", "component", F.lit(0).alias("side"), F.pmod(draw, "all_parts").alias("j"),
+        F.explode(F.sequence(F.lit(0).cast("long"), F.col("open_parts") - 1)).alias("i"),
+    )
+    opened = own.where("open").select(
+        "home", "rep", "component", F.lit(1).alias("side"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("all_parts") - 1)).alias("j"),
+        F.pmod(draw, "open_parts").alias("i"),
+    )
+    rows = every.unionByName(opened).withColumn("tile", F.xxhash64("home", "i", "j"))
+    rows = rows.join(texts.withColumnRenamed("id", "rep"), "rep")
+    ordered = rows.select("tile", "side", "rep", "component", "text").repartition("tile").sortWithinPartitions("tile", "side", "rep")
+
+    def compare(batches):
+        def links_of(group):
+            sides, reps, components_, texts_ = (np.array(x) if k < 3 else x for k, x in enumerate(zip(*group, strict=True)))
+            sets = [shingle_hashes(words_of(t), shingle_words) for t in texts_]
+            sizes = np.array([len(x) for x in sets], np.int64)
+            a, b = np.flatnonzero(sides == 1), np.flatnonzero(sides == 0)
+            common = intersections([sets[k] for k in a], [sets[k] for k in b])
+            near = 100 * common >= percent * (sizes[a][:, None] + sizes[b][None, :] - common)
+            near &= components_[a][:, None] != components_[b][None, :]
+            parent: dict[int, int] = {}
+
+            def root(x):
+                while parent.setdefault(x, x) != x:
+                    parent[x] = parent[parent[x]]
+                    x = parent[x]
+                return x
+
+            for x, y in zip(reps[a[np.nonzero(near)[0]]].tolist(), reps[b[np.nonzero(near)[1]]].tolist(), strict=True):
+                if root(x) != root(y):
+                    parent[root(x)] = root(y)
+                    yield x, y
+
+        def give(group):
+            found = list(links_of(group)) if any(g[0] == 1 for g in group) else []
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        held, key = [], None
+        for batch in batches:
+            for tile_key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if tile_key != key and held:
+                    yield give(held)
+                    held = []
+                key = tile_key
+                held.append(row)
+        if held:
+            yield give(held)
+
+    return ordered.mapInArrow(compare, "a long, b long")
+
+
+def intersections(a: list[np.ndarray], b: list[np.ndarray], width: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of every set of ``a`` with every set of ``b``."""
+    out = np.zeros((len(a), len(b)), np.float32)
+    if not a or not b:
+        return out.astype(np.int64)
+    flat_a, flat_b = np.concatenate(a), np.concatenate(b)
+    row_a, row_b = (np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (a, b))
+    shared = np.intersect1d(flat_a, flat_b)
+    keep_a, keep_b = np.isin(flat_a, shared), np.isin(flat_b, shared)
+    col_a, col_b = np.searchsorted(shared, flat_a[keep_a]), np.searchsorted(shared, flat_b[keep_b])
+    row_a, row_b = row_a[keep_a], row_b[keep_b]
+    for at in range(0, len(shared), width):
+        x, y = np.zeros((len(a), width), np.float32), np.zeros((len(b), width), np.float32)
+        for m, row, col in ((x, row_a, col_a), (y, row_b, col_b)):
+            inside = (col >= at) & (col < at + width)
+            m[row[inside], col[inside] - at] = 1
+        out += x @ y.T
+    return out.astype(np.int64)
 
 
 def mixed_buckets(entries: DataFrame, found: DataFrame) -> DataFrame:
-    """The entries, with their component, of buckets that hold several components."""
+    """The entries, with their label (``component``), of buckets that hold several labels."""
     own = entries.join(found.withColumnRenamed("id", "rep"), "rep", "left")
-    own = own.withColumn("component", F.coalesce("component", "rep"))
+    own = own.withColumn("component", F.coalesce("component", "rep"))  # unlinked: a component of its own
     several = own.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return own.join(several.select("bucket"), "bucket", "left_semi")
 
