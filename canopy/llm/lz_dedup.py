@@ -211,26 +211,38 @@ def look_up(rows: DataFrame) -> DataFrame:
     return ordered.mapInArrow(run, ROWS)
 
 
+def joined_ranges(blocks: list[dict]) -> list[tuple[int, int]]:
+    """The blocks' windows as ranges (first, end), adjoining and repeated ones as one."""
+    out: list[tuple[int, int]] = []
+    for a, b in sorted((x["start"], x["start"] + x["windows"]) for x in blocks):
+        if out and a <= out[-1][1]:
+            out[-1] = out[-1][0], max(b, out[-1][1])
+        else:
+            out.append((a, b))
+    return out
+
+
 def window_rows(df: DataFrame, checked: DataFrame, id_col: str, text_col: str, window: int) -> DataFrame:
     """Each window of the blocks to be checked as an index row of its own."""
     lists = checked.groupBy("doc").agg(F.collect_list(F.struct("start", "windows")).alias("blocks"))
     texts = df.select(F.col(id_col).alias("doc"), F.col(text_col).alias("text"))
 
     def rows(given):
+        out = {c: [] for c in ("g", "e", "doc", "start")}
         for doc, text, blocks in zip(given["doc"], given["text"], given["blocks"], strict=True):
-            hashed = Hashed(words_of(text))
-            at = np.unique(np.concatenate([np.arange(b["start"], b["start"] + b["windows"]) for b in blocks]))
-            n = len(at)
-            halves = hashed.digests(at, window // 2), hashed.digests(at + window // 2, window - window // 2)
-            yield {
-                "g": hashed.digests(at, window).view(np.int64),
-                "e": scrambled(halves[0] + scrambled(halves[1])).view(np.int64),
-                "doc": np.full(n, doc, np.int64),
-                "start": at.astype(np.int32),
-                "windows": np.ones(n, np.int32),
-                "ref_doc": pa.nulls(n, pa.int64()),
-                "ref_start": pa.nulls(n, pa.int32()),
-            }
+            words = words_of(text)
+            for a, b in joined_ranges(blocks):
+                hashed = Hashed(words[a : b + window - 1])  # only the words of these windows are hashed
+                at = np.arange(b - a)
+                halves = hashed.digests(at, window // 2), hashed.digests(at + window // 2, window - window // 2)
+                out["g"].append(hashed.digests(at, window).view(np.int64))
+                out["e"].append(scrambled(halves[0] + scrambled(halves[1])).view(np.int64))
+                out["doc"].append(np.full(len(at), doc, np.int64))
+                out["start"].append((at + a).astype(np.int32))
+        if out["g"]:
+            full = {c: np.concatenate(x) for c, x in out.items()}
+            n = len(full["g"])
+            yield {**full, "windows": np.ones(n, np.int32), "ref_doc": pa.nulls(n, pa.int64()), "ref_start": pa.nulls(n, pa.int32())}
 
     return arrow_map(texts.join(lists, "doc"), ["doc", "text", "blocks"], rows, ROWS)
 

@@ -60,7 +60,7 @@ def brute(rows, k, percent):
         best = new
 
 
-@pytest.mark.parametrize("seed,k", [(1, 2), (2, 5), (3, 2)])
+@pytest.mark.parametrize("seed,k", [(1, 2), (2, 5)])
 def test_equals_brute_force_on_groups_of_copies(docs, seed, k):
     rng = random.Random(seed)
     vocabulary = [f"w{i}" for i in range(400)]
