@@ -35,7 +35,7 @@ from canopy.llm.common import arrow_map
 NO_PAIR = np.int32(2**31 - 1)
 MATRIX_WIDTH = 256
 #: Words whose ids a Python worker keeps between slices; beyond it, it starts again.
-CACHED_WORDS = 250_000
+CACHED_WORDS = 120_000
 
 
 class PairTable:

@@ -44,7 +44,7 @@ from canopy.llm.components import components
 
 RING_BITS = 20
 #: Word hashes a Python worker keeps between slices; beyond it, it starts again.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 120_000
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 
