@@ -3,31 +3,25 @@
 The training rows are read once, into *cells*: class counts per distinct
 combination of the attributes.  Each node of the tree is a conjunction of
 ``attr = value`` tests, so its counts -- and the counts of every candidate
-split -- are sums over the cells it contains.  The tree then grows one
-level per round, with all nodes of a level handled by the same few
-aggregations:
-
-* ``cand``   : cells unpivoted to ``(node, attr, value)`` for the attributes
-  not yet used on the node's path, summed -- the candidate children;
-* ``best``   : per node and attribute the information gain and an exact
-  integer test of "gain is zero" (every child has the parent's class
-  ratio), then the arg-max gain among the attributes that separate at all,
-  ties to the earlier attribute -- one aggregation per node;
-* ``decided``: the node's kind (split / pure / exhausted / zero_gain) and
-  majority label;
-* the next level's nodes are the candidate children of the chosen split,
-  and the next level's cells are the cells re-keyed to those children.
-
-A level needs one small action (the number of child nodes, read off the
-stored decisions, to stop the loop) and at most ``len(attrs) + 1`` levels
-exist; the last one has no candidates and is decided from node counts
-alone.  Every frame carried to the next level is stored (see ``_lineage``), so
-each level plans against stored data, and released when no level needs it any
-more.  The per-node tables are
-broadcast only when their measured size -- node count and bytes of the rules,
-known exactly from the previous level -- is under the session's broadcast
-limit; otherwise they are shuffled like any join, and AQE handles a node that
-owns most of the cells.
+split -- are sums over the cells it contains.  The tree then grows one level
+per round, all nodes of a level at once, from the cells keyed by their node:
+
+* cells unpivoted to ``(node, attr, value)`` and summed: the candidate children
+  for attributes not yet used on the node's path, and the one value of each used;
+* one aggregation per node: for each attribute the information gain, an exact
+  test of "gain is zero" (all children have one class ratio, compared as
+  fractions in lowest terms), then the arg-max gain among the attributes that
+  separate at all, ties to the earlier attribute; the node's kind (split / pure
+  / exhausted / zero_gain), majority label and path -- stored, with the number
+  of children counted on the way;
+* the cells of split nodes keyed anew by their child -- stored.
+
+That is two stored tables and about five small Spark jobs a level, however many
+nodes it has, and at most ``len(attrs) + 1`` levels.  Each level plans against
+stored data, and cells are released when the next level's are there.  The
+decisions are broadcast to the cells only when their size -- known exactly -- is
+under the session's broadcast limit; otherwise they are joined like any table,
+and AQE handles a node that owns most of the cells.
 
 Node ids: the root is ``'root'``; a child is ``md5(parent || '|' || attr ||
 '=' || value)`` (see ``functions.columns.child_id``), so prediction can
@@ -39,7 +33,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -72,13 +66,23 @@ def _maybe_broadcast(df: DataFrame, size: int, limit: int) -> DataFrame:
     return F.broadcast(df) if size <= limit else df
 
 
-#: Bytes of a node in a lookup besides its texts: four numbers, flags and their row.
-NODE_BYTES = 160
+#: Bytes of a decision (node id, attribute name beside its text, row) when it is broadcast.
+NODE_BYTES = 128
+
 
+def _lowest_terms(part, whole):
+    """The fraction part / whole with its greatest common divisor taken out (null for 0 / 0)."""
+    # Euclid's algorithm; its steps are bounded by the logarithm of the larger number
+    steps = F.sequence(F.lit(1), (F.log2(whole + 2) * 1.5 + 2).cast("int"))
+    start = F.struct(whole.cast("bigint").alias("a"), part.cast("bigint").alias("b"))
 
-def _rule(parent_rule, attr, value):
-    cond = F.concat(attr, F.lit("="), value)
-    return F.when(parent_rule == F.lit(""), cond).otherwise(F.concat(parent_rule, F.lit(" AND "), cond))
+    def step(s, _):
+        return F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.try_mod(s["a"], s["b"]).alias("b")))
+
+    divisor = F.aggregate(steps, start, step)["a"].cast("decimal(20,0)")
+    # quotients of decimals are exact here, beyond 2^53 as well
+    exact = [(x.cast("decimal(20,0)") / divisor).cast("decimal(20,0)") for x in (part, whole)]
+    return F.when(whole > 0, F.struct(exact[0].alias("part"), exact[1].alias("whole")))
 
 
 def grow_tree(
@@ -114,196 +118,151 @@ def grow_tree(
     limit = broadcast_bytes(spark, broadcast_limit)
     widest = max(map(len, attrs), default=0)
 
-    empty_used = F.array().cast(T.ArrayType(T.StringType()))
-    # The root id is stored as a column of the written cells: a literal
-    # id would be constant-folded and turn the re-keying join into a nested loop.
-    base, _ = durable(
+    # Ids are stored as columns of the written cells: a literal id would be
+    # constant-folded and turn the re-keying join into a nested loop.
+    open_cells, n_cells = durable(
         cells.select(
             F.lit(ROOT_ID).alias("node_id"),
-            empty_used.alias("used"),
-            *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs],
-            "pos",
-            "neg",
-        )
-    )
-    open_cells = base
-    nodes, _ = durable(
-        base.groupBy("node_id", "used")
-        .agg(
-            F.coalesce(F.sum("pos"), F.lit(0)).cast("bigint").alias("pos"),
-            F.coalesce(F.sum("neg"), F.lit(0)).cast("bigint").alias("neg"),
-        )
-        .select(
-            "node_id",
             F.lit(None).cast("string").alias("parent_id"),
-            F.lit(0).alias("depth"),
-            F.lit(None).cast("string").alias("edge_attr"),
-            F.lit(None).cast("string").alias("edge_value"),
-            F.lit("").alias("rule"),
-            "used",
+            F.array().cast(T.ArrayType(T.StringType())).alias("used"),
+            *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs],
             "pos",
             "neg",
-        )
+        ),
+        count=True,
     )
-    if nodes.isEmpty():  # no training rows: a single empty root leaf
-        empty_root = base.sparkSession.range(1).select(
-            F.lit(ROOT_ID).alias("node_id"),
-            F.lit(None).cast("string").alias("parent_id"),
-            F.lit(0).alias("depth"),
-            F.lit(None).cast("string").alias("edge_attr"),
-            F.lit(None).cast("string").alias("edge_value"),
-            F.lit("").alias("rule"),
-            F.lit(None).cast("string").alias("split_attr"),
-            F.lit(None).cast("double").alias("gain"),
-            F.lit(0).cast("bigint").alias("pos"),
-            F.lit(0).cast("bigint").alias("neg"),
-            F.lit("pure").alias("kind"),
-            F.lit(False).alias("label"),
-        )
-        return durable(empty_root)[0]
-    n_open = 1
+    if not n_cells:  # no training rows: a single empty root leaf
+        release(open_cells)
+        return durable(_empty_root(spark))[0]
+
     levels: list[DataFrame] = []
-    stored_levels: list[DataFrame] = []
-    first_nodes, last_cand = nodes, None
-
-    level = 0
-    while n_open > 0:
-        if level == len(attrs):
-            # every open node has used all attributes: no candidates, so the
-            # node counts alone decide (pure or exhausted) -- no aggregation needed
-            last, _ = durable(
-                nodes.select(
-                    *[c for c in TREE_COLUMNS if c not in ("split_attr", "gain", "kind", "label")],
-                    F.lit(None).cast("string").alias("split_attr"),
-                    F.lit(None).cast("double").alias("gain"),
-                    F.when((F.col("pos") == 0) | (F.col("neg") == 0), F.lit("pure")).otherwise(F.lit("exhausted")).alias("kind"),
-                    (F.col("pos") > F.col("neg")).alias("label"),
-                )
-            )
-            levels.append(last.select(*TREE_COLUMNS))
-            stored_levels.append(last)
-            break
-        cand, _ = durable(
-            open_cells.unpivot(["node_id", "used", "pos", "neg"], attrs, "attr", "value")
-            .where(~F.array_contains(F.col("used"), F.col("attr")))
-            .groupBy("node_id", "attr", "value")
-            .agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-        )
-        totals = _maybe_broadcast(
-            nodes.select("node_id", F.col("pos").alias("node_pos"), F.col("neg").alias("node_neg")), n_open * NODE_BYTES, limit
-        )
-        big = "decimal(38,0)"
-        same_ratio = (F.col("pos").cast(big) * F.col("node_neg").cast(big)) == (
-            F.col("neg").cast(big) * F.col("node_pos").cast(big)
-        )
-        t = (F.col("pos") + F.col("neg")).cast("double")
-        # One aggregation per node, with the per-attribute sums as conditional
-        # aggregates (the attribute list is small and fixed): partial
-        # aggregation still collapses a node that owns everything to one row
-        # per task, and the arg-max is a row-wise `greatest`, not another shuffle.
-        per_attr = []
-        for i, a in enumerate(attrs):
-            on = F.col("attr") == F.lit(a)
-            per_attr += [
-                F.sum(F.when(on, t * entropy("pos", "neg"))).alias(f"_wh{i}"),
-                F.bool_and(F.when(on, same_ratio)).alias(f"_z{i}"),
-                F.count(F.when(on, F.lit(1))).alias(f"_n{i}"),
-            ]
-        per_node = (
-            cand.join(totals, "node_id")
-            .groupBy("node_id")
-            .agg(F.max("node_pos").alias("node_pos"), F.max("node_neg").alias("node_neg"), *per_attr)  # totals constant per node
+    while True:
+        seen = Observation()
+        splitting = F.col("kind") == "split"
+        # the number of children is counted while the level is written
+        decided = _decided(open_cells, attrs, force_root).observe(
+            seen,
+            F.coalesce(F.sum(F.when(splitting, F.col("n_children"))), F.lit(0)).alias("children"),
+            F.count(F.when(splitting, F.lit(1))).alias("splits"),
         )
-        node_total = (F.col("node_pos") + F.col("node_neg")).cast("double")
-        gains = [entropy("node_pos", "node_neg") - F.try_divide(F.col(f"_wh{i}"), node_total) for i in range(len(attrs))]
-        # an attribute that separates the classes at all (exact test) before any that doesn't;
-        # of those the highest gain, and of gains equal but for rounding the attribute listed first
-        real = [F.when((F.col(f"_n{i}") > 0) & ~F.col(f"_z{i}"), g) for i, g in enumerate(gains)]
-        highest = F.greatest(*real) if len(real) > 1 else real[0]
-        values = [F.coalesce(F.col(f"_n{i}"), F.lit(0)) for i in range(len(attrs))]
-        slack = gain_error(F.greatest(*values) if len(values) > 1 else values[0])
-
-        def option(i):
-            return F.struct(
-                F.lit(attrs[i]).alias("attr"), gains[i].alias("gain"), F.col(f"_z{i}").alias("zero"), F.col(f"_n{i}").alias("n_values")
+        decided, _ = durable(decided)
+        levels.append(decided)
+        if not seen.get["children"]:
+            break
+        moves = decided.where(splitting).select("node_id", "split_attr")
+        moves = _maybe_broadcast(moves, seen.get["splits"] * (NODE_BYTES + widest), limit)
+        picked = value_of(F.col("split_attr"), attrs)
+        moved, _ = durable(
+            open_cells.join(moves, "node_id").select(
+                child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
+                F.col("node_id").alias("parent_id"),
+                F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
+                *attrs,
+                "pos",
+                "neg",
             )
-
-        separating = [F.when(g >= highest - slack, option(i)) for i, g in enumerate(real)]
-        any_left = [F.when(F.col(f"_n{i}") > 0, option(i)) for i in range(len(attrs))]
-        pick = F.coalesce(*separating, *any_left)
-        best = per_node.select("node_id", pick.alias("b")).select(
-            "node_id",
-            F.col("b.attr").alias("best_attr"),
-            F.col("b.gain").alias("best_gain"),
-            F.col("b.zero").alias("best_zero"),
-            F.col("b.n_values").alias("best_values"),
-        )
-        has_best = F.col("best_attr").isNotNull()
-        kind = (
-            F.when((F.col("depth") == 0) & F.lit(force_root) & has_best, F.lit("split"))
-            .when((F.col("pos") == 0) | (F.col("neg") == 0), F.lit("pure"))
-            .when(~has_best, F.lit("exhausted"))
-            .when(F.col("best_zero"), F.lit("zero_gain"))
-            .otherwise(F.lit("split"))
         )
-        decided, _ = durable(
-            nodes.join(_maybe_broadcast(best, n_open * (NODE_BYTES + widest), limit), "node_id", "left")
-            .withColumn("kind", kind)
-            .withColumn("split_attr", F.when(F.col("kind") == "split", F.col("best_attr")))
-            .withColumn("gain", F.when(F.col("kind") == "split", F.col("best_gain")))
-            .withColumn("label", F.col("pos") > F.col("neg"))
-        )
-        levels.append(decided.select(*TREE_COLUMNS))
-        stored_levels.append(decided)
+        release(open_cells)
+        open_cells = moved
 
-        # children of this level = values of the chosen attribute under each split node
-        splitting = F.col("kind") == "split"
-        grown = decided.agg(
-            F.sum(F.when(splitting, F.col("best_values"))).alias("n"), F.sum(F.when(splitting, F.octet_length("rule"))).alias("bytes")
-        ).first()
-        n_next, rule_bytes = grown["n"] or 0, grown["bytes"] or 0  # rules hold attribute values of any length
-        if n_next == 0:
-            release(cand)
-            break
-        splits = decided.where(F.col("kind") == "split").select("node_id", "split_attr", "used", "rule", "depth")
-        s = _maybe_broadcast(splits, n_open * (NODE_BYTES + widest * (2 + level)) + rule_bytes, limit).alias("s")
-        c = cand.alias("c")
-        # a join of two stored frames; planned again (cheaply) by the next level
-        next_nodes = c.join(s, (F.col("c.node_id") == F.col("s.node_id")) & (F.col("c.attr") == F.col("s.split_attr"))).select(
-            child_id(F.col("c.node_id"), F.col("c.attr"), F.col("c.value")).alias("node_id"),
-            F.col("c.node_id").alias("parent_id"),
-            (F.col("s.depth") + 1).alias("depth"),
-            F.col("c.attr").alias("edge_attr"),
-            F.col("c.value").alias("edge_value"),
-            _rule(F.col("s.rule"), F.col("c.attr"), F.col("c.value")).alias("rule"),
-            F.array_append(F.col("s.used"), F.col("c.attr")).alias("used"),
-            F.col("c.pos").alias("pos"),
-            F.col("c.neg").alias("neg"),
-        )
-        if level + 1 < len(attrs):  # the last level is decided from node counts alone
-            moves = _maybe_broadcast(splits.select("node_id", "split_attr"), n_open * (NODE_BYTES + widest), limit)
-            picked = value_of(F.col("split_attr"), attrs)
-            moved, _ = durable(
-                open_cells.join(moves, "node_id").select(
-                    child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
-                    F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
-                    *attrs,
-                    "pos",
-                    "neg",
-                )
-            )
-            release(open_cells)
-            open_cells = moved
-        release(last_cand)
-        last_cand = cand  # the next level's nodes are read from it
-        nodes, n_open = next_nodes, n_next
-        level += 1
-
-    tree, _ = durable(reduce(DataFrame.unionByName, levels))
-    release(open_cells, last_cand, first_nodes, *stored_levels)
+    tree, _ = durable(reduce(DataFrame.unionByName, [level.select(*TREE_COLUMNS) for level in levels]))
+    release(open_cells, *levels)
     return tree
 
 
+def _empty_root(spark) -> DataFrame:
+    return spark.range(1).select(
+        F.lit(ROOT_ID).alias("node_id"),
+        F.lit(None).cast("string").alias("parent_id"),
+        F.lit(0).alias("depth"),
+        F.lit(None).cast("string").alias("edge_attr"),
+        F.lit(None).cast("string").alias("edge_value"),
+        F.lit("").alias("rule"),
+        F.lit(None).cast("string").alias("split_attr"),
+        F.lit(None).cast("double").alias("gain"),
+        F.lit(0).cast("bigint").alias("pos"),
+        F.lit(0).cast("bigint").alias("neg"),
+        F.lit("pure").alias("kind"),
+        F.lit(False).alias("label"),
+    )
+
+
+def _decided(open_cells: DataFrame, attrs: Sequence[str], force_root: bool) -> DataFrame:
+    """The nodes of a level (``TREE_COLUMNS`` and ``n_children``) from its cells."""
+    node = ["node_id", "parent_id", "used"]
+    counts = open_cells.unpivot([*node, "pos", "neg"], list(attrs), "attr", "value").groupBy(*node, "attr", "value")
+    counts = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    whole = F.col("pos") + F.col("neg")
+    counts = counts.withColumn("ratio", _lowest_terms(F.col("pos"), whole))
+    # The attribute list is small and fixed, so its sums are conditional
+    # aggregates: partial aggregation still collapses a node that owns
+    # everything to one row per task, and the arg-max is row-wise.
+    per_attr = [F.sum(F.when(F.col("attr") == attrs[0], F.col(c))).cast("bigint").alias(c) for c in ("pos", "neg")]
+    for i, a in enumerate(attrs):
+        on = F.col("attr") == F.lit(a)
+        ratio = F.when(on, F.col("ratio"))
+        per_attr += [
+            F.sum(F.when(on, whole.cast("double") * entropy("pos", "neg"))).alias(f"_wh{i}"),
+            (F.min(ratio) == F.max(ratio)).alias(f"_z{i}"),
+            F.count(F.when(on, F.lit(1))).alias(f"_n{i}"),
+            F.max(F.when(on, F.col("value"))).alias(f"_v{i}"),
+        ]
+    per_node = counts.groupBy(*node).agg(*per_attr)
+
+    total = (F.col("pos") + F.col("neg")).cast("double")
+    free = [~F.array_contains("used", a) for a in attrs]
+    gains = [entropy("pos", "neg") - F.try_divide(F.col(f"_wh{i}"), total) for i in range(len(attrs))]
+    # an attribute that separates the classes at all (exact test) before any that doesn't;
+    # of those the highest gain, and of gains equal but for rounding the attribute listed first
+    zero = [F.coalesce(F.col(f"_z{i}"), F.lit(True)) for i in range(len(attrs))]
+    real = [F.when(free[i] & ~zero[i], g) for i, g in enumerate(gains)]
+    highest = F.greatest(*real) if len(real) > 1 else real[0]
+    values = [F.when(free[i], F.col(f"_n{i}")).otherwise(0) for i in range(len(attrs))]
+    slack = gain_error(F.greatest(*values) if len(values) > 1 else values[0])
+
+    def option(i):
+        return F.struct(
+            F.lit(attrs[i]).alias("attr"), gains[i].alias("gain"), zero[i].alias("zero"), F.col(f"_n{i}").alias("n_values")
+        )
+
+    separating = [F.when(g >= highest - slack, option(i)) for i, g in enumerate(real)]
+    any_left = [F.when(free[i], option(i)) for i in range(len(attrs))]
+
+    def own_value(attr):  # the node's one value of an attribute on its path
+        out = F
+        for i, a in enumerate(attrs):
+            out = out.when(attr == F.lit(a), F.col(f"_v{i}"))
+        return out
+
+    nodes = per_node.withColumn("best", F.coalesce(*separating, *any_left))
+    depth = F.size("used")
+    edge = F.when(depth > 0, F.element_at("used", -1))
+    kind = (
+        F.when((depth == 0) & F.lit(force_root) & F.col("best").isNotNull(), F.lit("split"))
+        .when((F.col("pos") == 0) | (F.col("neg") == 0), F.lit("pure"))
+        .when(F.col("best").isNull(), F.lit("exhausted"))
+        .when(F.col("best.zero"), F.lit("zero_gain"))
+        .otherwise(F.lit("split"))
+    )
+    nodes = nodes.withColumn("kind", kind)
+    splits = F.col("kind") == "split"
+    return nodes.select(
+        "node_id",
+        "parent_id",
+        depth.alias("depth"),
+        edge.alias("edge_attr"),
+        own_value(edge).alias("edge_value"),
+        F.array_join(F.transform("used", lambda u: F.concat(u, F.lit("="), own_value(u))), " AND ").alias("rule"),
+        F.when(splits, F.col("best.attr")).alias("split_attr"),
+        F.when(splits, F.col("best.gain")).alias("gain"),
+        "pos",
+        "neg",
+        "kind",
+        (F.col("pos") > F.col("neg")).alias("label"),
+        F.when(splits, F.col("best.n_values")).alias("n_children"),
+    )
+
+
 def tree_rules(tree: DataFrame) -> DataFrame:
     """Leaves as rules: ``rule`` (path text), ``label``, ``pos``, ``neg``, ``kind``."""
     return tree.where(F.col("split_attr").isNull()).select("rule", "label", "pos", "neg", "kind", "depth")
