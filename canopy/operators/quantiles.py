@@ -107,8 +107,11 @@ def exact_quantiles(
     # a search range of one value is the answer; the others are sorted
     state = search.drop("_cuts")
     open_ = state.where(F.col("_lo") < F.col("_hi")).select("_g", "_pi", "_k", "_start", "_lo", "_hi")
-    inside = narrow.join(open_, "_g").where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    freq = inside.groupBy("_g", "_pi", "_v").agg(F.sum("_w").alias("_w"), F.first("_k").alias("_k"), F.first("_start").alias("_start"))
+    # a row is summed once, however many ranks are looked for in its range
+    held = open_.groupBy("_g").agg(F.collect_list(F.struct("_lo", "_hi")).alias("_in"))
+    inside = narrow.join(held, "_g").where(F.exists("_in", lambda r: (F.col("_v") >= r["_lo"]) & (F.col("_v") <= r["_hi"])))
+    freq = inside.groupBy("_g", "_v").agg(F.sum("_w").alias("_w")).join(open_, "_g")
+    freq = freq.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
     upto = Window.partitionBy("_g", "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     found = freq.withColumn("_rank", F.col("_start") + F.sum("_w").over(upto)).where(F.col("_rank") >= F.col("_k"))
     found = found.groupBy("_g", "_pi").agg(F.min("_v").alias("_found"))
