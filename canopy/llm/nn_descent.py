@@ -4,20 +4,25 @@
 of the longest, so the largest inner product is also the shortest distance.
 A first graph comes from exact search inside blocks of random-projection
 buckets.  Then, round by round, each vertex brings its neighbours and those it
-is a neighbour of together: vertices are joined with their neighbours' codes
+is a neighbour of together: neighbours' vectors meet there
 and every pair of neighbours that is new at this vertex is compared.  A pair
 that beats the worst neighbour of one of the two goes to it, and each keeps its
 best ``degree``.  Rounds end when few lists change.
 
 *Searching.*  All queries search at once.  Each holds a beam of its best
 ``beam`` vertices; a round sends the best ones not looked at yet to the vertices'
-adjacency lists (neighbours in both directions with their codes), where they
-are scored, and those that beat the beam's worst come back.
-
-During both, vectors are 8-bit codes with a scale of their own; the best
-``rescored`` vertices of each beam are scored again in double precision on
-the original vectors.  Equal vectors are one vertex, and its ``k + 1`` smallest
-ids stand for all of them, which is exact for ``k`` neighbours.
+adjacency lists (ids of neighbours in both directions).  What comes back is
+scored block by block of vertices, and what isn't worse than the beam's worst
+goes into the beam.
+
+Vectors are never coded: they go through both as they were given (``float`` as
+float32, all else as float64), arithmetic is double.  The component that makes
+up for the length is kept as its difference to the longest length, small where
+vectors are short, and vertices are compared by distance, so one long vector
+takes no digits from the others.  A vector is sent once to every block of about
+``block`` vertices that needs it, not once to every list it is on.  Equal
+vectors are one vertex, and its ``k + 1`` smallest ids stand for all of them,
+which is exact for ``k`` neighbours.
 
 Lists a vertex gathers are bounded by ``degree`` in either direction; rows of
 a vertex are read in order as a stream and never collected.  Entry points are a
@@ -41,6 +46,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 from pyspark.sql.window import Window
 
 from canopy.llm.common import arrow_map, stored
@@ -105,6 +111,12 @@ def merged_runs(groups: Groups) -> Groups:
 # ------------------------------------------------------------------ vectors
 
 
+def lossless(df: DataFrame, vector_col: str) -> str:
+    """The numpy type that holds every component as it is."""
+    element = getattr(df.schema[vector_col].dataType, "elementType", None)
+    return "<f4" if isinstance(element, FloatType) else "<f8"
+
+
 def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """``id, dims, norm2, d1, d2`` (digest) and ``data`` (doubles) of the vectors that take part."""
 
@@ -130,27 +142,32 @@ def usable_vectors(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return arrow_map(df, [id_col, vector_col], rows, "id long, dims int, norm2 double, d1 long, d2 long, data binary")
 
 
-def coded(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """8-bit codes and scales of the rows."""
-    scale = np.maximum(np.abs(x).max(axis=1), 1e-300) / 127
-    return np.rint(x / scale[:, None]).astype(np.int8), scale.astype(np.float32)
+def vertices(vectors: DataFrame, longest2: float, kind: str, blocks: int) -> DataFrame:
+    """``id, block, point``: the vectors, and by how much their further component is below the longest length."""
+
+    def rows(given):
+        x = np.stack([np.frombuffer(d, "<f8") for d in given["data"]])
+        norm2 = np.array(given["norm2"])
+        below = norm2 / (math.sqrt(longest2) + np.sqrt(np.maximum(longest2 - norm2, 0)))
+        below = np.minimum(below, np.finfo(kind).max)
+        points = np.concatenate([x, below[:, None]], axis=1).astype(kind)
+        block = block_of(np.array(given["id"]), blocks)
+        yield {"id": given["id"], "block": block.tolist(), "point": [p.tobytes() for p in points]}
 
+    return arrow_map(vectors, ["id", "norm2", "data"], rows, "id long, block long, point binary")
 
-def decoded(code: list[bytes], scale: list[float]) -> np.ndarray:
-    x = np.frombuffer(b"".join(code), np.int8).reshape(len(code), -1).astype(np.float32)
-    return x * np.array(scale, np.float32)[:, None]
 
+def points_of(data: list[bytes], kind: str) -> np.ndarray:
+    return np.frombuffer(b"".join(data), kind).reshape(len(data), -1).astype(np.float64)
 
-def vertices(vectors: DataFrame, longest2: float) -> DataFrame:
-    """``id, code, scale``: the lengthened vectors as codes."""
 
-    def rows(given):
-        x = np.stack([np.frombuffer(d, "<f8") for d in given["data"]])
-        rest = np.sqrt(np.maximum(longest2 - np.array(given["norm2"]), 0))
-        code, scale = coded(np.concatenate([x, rest[:, None]], axis=1))
-        yield {"id": given["id"], "code": [c.tobytes() for c in code], "scale": scale.tolist()}
+def closeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Minus half the squared distances, which order like inner products of the lengthened vectors."""
+    return np.minimum(a @ b.T - (a * a).sum(axis=1)[:, None] / 2 - (b * b).sum(axis=1) / 2, 0)
 
-    return arrow_map(vectors, ["id", "norm2", "data"], rows, "id long, code binary, scale float")
+
+def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    return (((ids.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
 
 
 # ---------------------------------------------------------------- the graph
@@ -169,51 +186,48 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
 CANDIDATES = "id long, ids binary, scores binary"
 
 
-def candidate(i: int, ids: np.ndarray, scores: np.ndarray) -> dict:
-    return {"id": i, "ids": ids.astype("<i8").tobytes(), "scores": scores.astype("<f4").tobytes()}
+def candidate(i: int, ids: np.ndarray, scores: np.ndarray, kind: str = "<f4") -> dict:
+    return {"id": i, "ids": ids.astype("<i8").tobytes(), "scores": scores.astype(kind).tobytes()}
 
 
-def first_candidates(nodes: DataFrame, n: int, sample: np.ndarray, degree: int, leaf: int, tables: int, seed: int) -> DataFrame:
+def first_candidates(nodes: DataFrame, n: int, sample: np.ndarray, kind: str, degree: int, leaf: int, tables: int, seed: int) -> DataFrame:
     """Neighbours inside blocks of at most about ``leaf`` vertices of random-projection buckets."""
     bits = max(0, math.ceil(math.log2(max(n, 1) / leaf)))
-    planes = np.random.default_rng(seed).standard_normal((sample.shape[1], tables * bits)).astype(np.float32)
+    planes = np.random.default_rng(seed).standard_normal((sample.shape[1], tables * bits))
     middle = np.median(sample @ planes, axis=0)  # halves the vertices, as far as the sample tells
 
     def place(given):
-        x = decoded(given["code"], given["scale"])
+        x = points_of(given["point"], kind)
         side = (x @ planes > middle).reshape(len(x), tables, bits)
         bucket = (side * (1 << np.arange(bits, dtype=np.int64))).sum(axis=2) * tables + np.arange(tables)
-        yield {
-            "bucket": bucket.ravel().tolist(),
-            **{c: [v for v in given[c] for _ in range(tables)] for c in ("id", "code", "scale")},
-        }
+        yield {"bucket": bucket.ravel().tolist(), **{c: [v for v in given[c] for _ in range(tables)] for c in ("id", "point")}}
 
-    placed = arrow_map(nodes, ["id", "code", "scale"], place, "bucket long, id long, code binary, scale float")
+    placed = arrow_map(nodes, ["id", "point"], place, "bucket long, id long, point binary")
     sizes = placed.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / leaf).alias("parts"))
     dealt = placed.join(sizes, "bucket").withColumn("part", F.pmod(F.xxhash64("id", "bucket"), F.col("parts")))
     dealt = dealt.withColumn("block", F.xxhash64("bucket", "part"))
 
     def search(groups: Groups) -> Iterator[dict]:
         for _, rows in merged_runs(groups):
-            x, ids = decoded(rows["code"], rows["scale"]), np.array(rows["id"])
+            x, ids = points_of(rows["point"], kind), np.array(rows["id"])
             for at in range(0, len(ids), 512):
-                scores = x[at : at + 512] @ x.T
+                scores = closeness(x[at : at + 512], x)
                 scores[np.arange(len(scores)), np.arange(at, at + len(scores))] = -np.inf
                 for k, row in enumerate(scores):
                     top = best(ids, row, min(degree, len(ids) - 1))
                     if len(top):
                         yield candidate(int(ids[at + k]), ids[top], row[top])
 
-    return streamed(dealt, "block", ["id"], ["block", "id", "code", "scale"], search, CANDIDATES)
+    return streamed(dealt, "block", ["id"], ["block", "id", "point"], search, CANDIDATES)
 
 
-GRAPH = "id long, code binary, scale float, ids binary, scores binary, fresh binary, changed int"
+GRAPH = "id long, ids binary, scores binary, fresh binary, changed int"
 
 
 def kept_neighbours(graph: DataFrame, candidates: DataFrame, degree: int) -> DataFrame:
     """Each vertex's best ``degree`` of its list and the candidates; what was not in the list is fresh."""
-    rows = graph.select("id", "code", "scale", "ids", "scores").unionByName(candidates, allowMissingColumns=True)
-    rows = rows.withColumn("kind", F.col("code").isNull().cast("int"))
+    rows = graph.select("id", "ids", "scores", F.lit(0).alias("kind"))
+    rows = rows.unionByName(candidates.withColumn("kind", F.lit(1)))
 
     def merge(groups: Groups) -> Iterator[dict]:
         own = None
@@ -221,7 +235,7 @@ def kept_neighbours(graph: DataFrame, candidates: DataFrame, degree: int) -> Dat
         def row():
             ids, scores, fresh = own["list"]
             return {
-                "id": own["id"], "code": own["code"], "scale": own["scale"], "changed": int(fresh.sum()),
+                "id": own["id"], "changed": int(fresh.sum()),
                 "ids": ids.astype("<i8").tobytes(), "scores": scores.astype("<f4").tobytes(), "fresh": fresh.tobytes(),
             }
 
@@ -229,7 +243,7 @@ def kept_neighbours(graph: DataFrame, candidates: DataFrame, degree: int) -> Dat
             if own is None or own["id"] != i:
                 if own is not None:
                     yield row()
-                own = {"id": i, "code": rows["code"][0], "scale": rows["scale"][0], "list": (np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, bool))}
+                own = {"id": i, "list": (np.zeros(0, np.int64), np.zeros(0, np.float32), np.zeros(0, bool))}
             old_ids, old_scores, old_fresh = own["list"]
             ids = np.frombuffer(b"".join(rows["ids"]), "<i8")
             scores = np.frombuffer(b"".join(rows["scores"]), "<f4")
@@ -243,11 +257,11 @@ def kept_neighbours(graph: DataFrame, candidates: DataFrame, degree: int) -> Dat
         if own is not None:
             yield row()
 
-    return streamed(rows, "id", ["kind"], ["id", "kind", "code", "scale", "ids", "scores"], merge, GRAPH)
+    return streamed(rows, "id", ["kind"], ["id", "kind", "ids", "scores"], merge, GRAPH)
 
 
-def neighbourhoods(graph: DataFrame, degree: int) -> DataFrame:
-    """``v, u, fresh, code, scale, worst``: each vertex with its neighbours and the best ``degree`` it is a neighbour of."""
+def neighbourhoods(graph: DataFrame, degree: int, blocks: int) -> DataFrame:
+    """``v, block, ids, fresh``: each vertex with its neighbours and the best ``degree`` it is a neighbour of."""
 
     def edges(given):
         v, u, s, f, way = [], [], [], [], []
@@ -266,142 +280,207 @@ def neighbourhoods(graph: DataFrame, degree: int) -> DataFrame:
 
     def choose(groups: Groups) -> Iterator[dict]:
         vertex, back, seen = None, 0, {}
+
+        def row():
+            block = int(block_of(np.array([vertex]), blocks)[0])
+            return {"v": vertex, "block": block, "ids": np.array(list(seen), "<i8").tobytes(), "fresh": bytes(seen.values())}
+
         for v, rows in groups:
             if v != vertex:
-                vertex, back, seen = v, 0, set()
+                if vertex is not None:
+                    yield row()
+                vertex, back, seen = v, 0, {}
             for way, u, fresh in zip(rows["way"], rows["u"], rows["fresh"], strict=True):
                 back += way
-                if back <= degree and u not in seen:
-                    seen.add(u)
-                    yield {"v": v, "u": u, "fresh": fresh}
+                if back <= degree:
+                    seen.setdefault(u, fresh)
+        if vertex is not None:
+            yield row()
 
     order = [F.col("way"), F.col("score").desc(), F.col("u")]
-    members = streamed(both, "v", order, ["v", "way", "score", "u", "fresh"], choose, "v long, u long, fresh boolean")
-    full = F.length("ids") >= 8 * degree
-    last = F.when(full, F.substring("scores", -4, 4))  # a list that isn't full takes everything
-    codes = graph.select(F.col("id").alias("u"), "code", "scale", last.alias("worst"))
-    return members.join(codes, "u")
+    return streamed(both, "v", order, ["v", "way", "score", "u", "fresh"], choose, "v long, block long, ids binary, fresh binary")
 
 
-def compared(graph: DataFrame, degree: int, sent: int) -> DataFrame:
+def compared(graph: DataFrame, nodes: DataFrame, kind: str, blocks: int, degree: int, sent: int) -> DataFrame:
     """Candidates from comparing, at every vertex, each fresh neighbour with all of its neighbours."""
+    members = stored(neighbourhoods(graph, degree, blocks), "ann-members")
+
+    def needed(given):
+        pairs = {(b, u) for b, ids in zip(given["block"], given["ids"], strict=True) for u in np.frombuffer(ids, "<i8").tolist()}
+        yield {"block": [b for b, _ in pairs], "id": [u for _, u in pairs]}
+
+    needs = arrow_map(members.where(F.length("ids") > 8), ["block", "ids"], needed, "block long, id long").distinct()
+    full = F.length("ids") >= 8 * degree
+    last = F.when(full, F.substring("scores", -4, 4))  # a list that isn't full takes everything
+    known = nodes.drop("block").join(graph.select("id", last.alias("worst")), "id")
+    rows = needs.join(known, "id").withColumn("kind", F.lit(0))
+    rows = rows.unionByName(members.select("block", F.col("v").alias("id"), "ids", "fresh", F.lit(1).alias("kind")), allowMissingColumns=True)
 
     def compare(groups: Groups) -> Iterator[dict]:
-        for _, rows in merged_runs(groups):
-            ids, fresh = np.array(rows["u"]), np.array(rows["fresh"])
-            if not fresh.any() or len(ids) < 2:
-                continue
-            x = decoded(rows["code"], rows["scale"])
-            scores = x @ x.T
-            worst = np.array([np.frombuffer(w, "<f4")[0] if w else -np.inf for w in rows["worst"]], np.float32)
-            usable = (fresh[:, None] | fresh[None, :]) & (scores > worst[:, None])
-            np.fill_diagonal(usable, False)
-            scores = np.where(usable, scores, -np.inf)
-            n = min(sent, len(ids) - 1)
-            top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
-            for k in np.flatnonzero(usable.any(axis=1)).tolist():
-                chosen = top[k][usable[k, top[k]]]
-                yield candidate(int(ids[k]), ids[chosen], scores[k, chosen])
-
-    columns = ["v", "u", "fresh", "code", "scale", "worst"]
-    return streamed(neighbourhoods(graph, degree), "v", ["u"], columns, compare, CANDIDATES)
-
-
-def build_graph(nodes: DataFrame, sample: np.ndarray, *, degree: int, leaf: int, tables: int, sent: int, rounds: int, settled: float, seed: int) -> DataFrame:
+        held = []
+
+        def flush():
+            if not held:
+                return
+            u, w, s = (np.concatenate(x) for x in zip(*held, strict=True))
+            held.clear()
+            order = np.lexsort((w, u))
+            u, w, s = u[order], w[order], s[order]
+            new = np.concatenate([[True], (u[1:] != u[:-1]) | (w[1:] != w[:-1])])
+            u, w, s = u[new], w[new], s[new]
+            cuts = [0, *(np.flatnonzero(u[1:] != u[:-1]) + 1).tolist(), len(u)]
+            for a, b in zip(cuts, cuts[1:], strict=False):
+                yield candidate(int(u[a]), w[a:b], s[a:b])
+
+        block, place = None, {}
+        for b, rows in groups:
+            if b != block:
+                yield from flush()
+                block, place, count = b, {}, 0
+                parts_x, parts_w, x = [], [], None
+            known = rows["kind"].count(0)
+            if known:
+                place.update(zip(rows["id"][:known], range(count, count + known), strict=True))
+                count += known
+                parts_x.append(np.frombuffer(b"".join(rows["point"][:known]), kind).reshape(known, -1))
+                parts_w.append(np.array([np.frombuffer(w, "<f4")[0] if w else -np.inf for w in rows["worst"][:known]], np.float32))
+            for packed, flags in zip(rows["ids"][known:], rows["fresh"][known:], strict=True):
+                ids, fresh = np.frombuffer(packed, "<i8"), np.frombuffer(flags, bool)
+                if not fresh.any() or len(ids) < 2:
+                    continue
+                if x is None:
+                    x, worsts = np.concatenate(parts_x), np.concatenate(parts_w)
+                at = [place[u] for u in ids.tolist()]
+                near = x[at].astype(np.float64)
+                scores = closeness(near, near).astype(np.float32)
+                usable = (fresh[:, None] | fresh[None, :]) & (scores > worsts[at][:, None])
+                np.fill_diagonal(usable, False)
+                scores = np.where(usable, scores, -np.inf)
+                n = min(sent, len(ids) - 1)
+                top = np.argpartition(-scores, n - 1, axis=1)[:, :n]
+                k, chosen = np.nonzero(np.take_along_axis(usable, top, axis=1))
+                chosen = top[k, chosen]
+                held.append((ids[k], ids[chosen], scores[k, chosen]))
+                if len(held) == 256:
+                    yield from flush()
+        yield from flush()
+
+    columns = ["block", "kind", "id", "point", "worst", "ids", "fresh"]
+    return streamed(rows, "block", ["kind", "id"], columns, compare, CANDIDATES)
+
+
+def build_graph(nodes: DataFrame, sample: np.ndarray, kind: str, *, degree: int, leaf: int, tables: int, blocks: int, sent: int, rounds: int, settled: float, seed: int) -> DataFrame:
     n = nodes.count()
-    start = nodes.withColumn("ids", F.lit(b"")).withColumn("scores", F.lit(b""))
-    graph = stored(kept_neighbours(start, first_candidates(nodes, n, sample, degree, leaf, tables, seed), degree), "ann-graph")
+    start = nodes.select("id", F.lit(b"").alias("ids"), F.lit(b"").alias("scores"))
+    graph = stored(kept_neighbours(start, first_candidates(nodes, n, sample, kind, degree, leaf, tables, seed), degree), "ann-graph")
     for _ in range(rounds):
-        graph = stored(kept_neighbours(graph, compared(graph, degree, sent), degree), "ann-graph")
+        graph = stored(kept_neighbours(graph, compared(graph, nodes, kind, blocks, degree, sent), degree), "ann-graph")
         if graph.agg(F.sum("changed")).first()[0] <= settled * degree * n:
             break
     return graph
 
 
-ADJACENCY = "id long, ids binary, codes binary, scales binary"
-
-
-def adjacency(graph: DataFrame, degree: int) -> DataFrame:
-    """Each vertex's neighbours in both directions with their codes, as one row."""
-
-    def pack(groups: Groups) -> Iterator[dict]:
-        for v, rows in merged_runs(groups):
-            yield {
-                "id": v,
-                "ids": np.array(rows["u"], "<i8").tobytes(),
-                "codes": b"".join(rows["code"]),
-                "scales": np.array(rows["scale"], "<f4").tobytes(),
-            }
-
-    return streamed(neighbourhoods(graph, degree), "v", ["u"], ["v", "u", "code", "scale"], pack, ADJACENCY)
+# --------------------------------------------------------------- the search
 
+BEAM = "id long, point binary, ids binary, scores binary, seen binary, open int"
+#: Ids that one row of a block's work may hold.
+ROW_IDS = 512
 
-# --------------------------------------------------------------- the search
 
-BEAM = "id long, code binary, scale float, ids binary, scores binary, seen binary, open int"
+def products(x: np.ndarray, q: np.ndarray) -> np.ndarray:
+    """Inner products that don't depend on what else is scored along."""
+    return (x * q).sum(axis=1)
 
 
-def first_beams(queries: DataFrame, entry_ids: np.ndarray, entries: np.ndarray, beam: int, starts: int) -> DataFrame:
+def first_beams(queries: DataFrame, entry_ids: np.ndarray, entries: np.ndarray, kind: str, beam: int, starts: int) -> DataFrame:
     def rows(given):
-        q = decoded(given["code"], given["scale"])
-        q[:, -1] = 0  # the inner product is that of the vectors as they were
-        scores = q @ entries.T
-        out = {c: [] for c in ("id", "code", "scale", "ids", "scores", "seen", "open")}
+        q = points_of(given["point"], kind)
+        scores = q[:, :-1] @ entries[:, :-1].T  # the inner product is that of the vectors as they were
+        out = {c: [] for c in ("id", "point", "ids", "scores", "seen", "open")}
         for k, i in enumerate(given["id"]):
             other = np.flatnonzero(entry_ids != i)
             top = other[best(entry_ids[other], scores[k, other], min(starts, beam))]
-            code, scale = coded(q[k : k + 1])
+            exact = products(entries[top, :-1], q[k, :-1])
+            top, exact = (z[np.lexsort((entry_ids[top], -exact))] for z in (top, exact))
             for c, x in (
-                ("id", i), ("code", code.tobytes()), ("scale", float(scale[0])), ("open", len(top)),
-                ("ids", entry_ids[top].astype("<i8").tobytes()), ("scores", scores[k, top].astype("<f4").tobytes()),
-                ("seen", bytes(len(top))),
+                ("id", i), ("point", given["point"][k]), ("open", len(top)), ("seen", bytes(len(top))),
+                ("ids", entry_ids[top].astype("<i8").tobytes()), ("scores", exact.astype("<f8").tobytes()),
             ):
                 out[c].append(x)
         yield out
 
-    return arrow_map(queries, ["id", "code", "scale"], rows, BEAM)
+    return arrow_map(queries, ["id", "point"], rows, BEAM)
 
 
-def looked_at(beams: DataFrame, lists: DataFrame, beam: int, width: int) -> DataFrame:
-    """Neighbours of each beam's best unseen vertices that beat the beam's worst."""
+def looked_at(beams: DataFrame, lists: DataFrame, nodes: DataFrame, kind: str, blocks: int, beam: int, width: int) -> DataFrame:
+    """Neighbours of each beam's best unseen vertices that aren't worse than the beam's worst."""
 
     def ask(given):
-        out = {c: [] for c in ("vertex", "kind", "query", "codes", "scale", "worst")}
-        for q, code, scale, ids, scores, seen in zip(*(given[c] for c in ("id", "code", "scale", "ids", "scores", "seen")), strict=True):
+        out = {c: [] for c in ("vertex", "kind", "query")}
+        for q, ids, seen in zip(*(given[c] for c in ("id", "ids", "seen")), strict=True):
             unseen = np.flatnonzero(~np.frombuffer(seen, bool))[:width]
-            scores = np.frombuffer(scores, "<f4")
-            worst = float(scores[-1]) if len(scores) >= beam else -math.inf
-            for v in np.frombuffer(ids, "<i8")[unseen].tolist():
-                for c, x in (("vertex", v), ("kind", 1), ("query", q), ("codes", code), ("scale", scale), ("worst", worst)):
-                    out[c].append(x)
+            out["vertex"] += np.frombuffer(ids, "<i8")[unseen].tolist()
+            out["kind"] += [1] * len(unseen)
+            out["query"] += [q] * len(unseen)
         yield out
 
-    schema = "vertex long, kind int, query long, codes binary, scale float, worst float"
-    asked = arrow_map(beams.where("open > 0"), ["id", "code", "scale", "ids", "scores", "seen"], ask, schema, slice_rows=64)
-    told = lists.select(F.col("id").alias("vertex"), F.lit(0).alias("kind"), "ids", "codes", "scales")
-    rows = asked.unionByName(told, allowMissingColumns=True)
+    asking = beams.where("open > 0")
+    asked = arrow_map(asking, ["id", "ids", "seen"], ask, "vertex long, kind int, query long", slice_rows=64)
+    told = lists.select(F.col("v").alias("vertex"), F.lit(0).alias("kind"), "ids")
 
     def answer(groups: Groups) -> Iterator[dict]:
-        vertex = ids = x = None
+        vertex = ids = None
         for v, rows in groups:
             start = 0
             if rows["kind"][0] == 0:
-                vertex, start = v, 1
-                ids = np.frombuffer(rows["ids"][0], "<i8")
-                packed = np.frombuffer(rows["codes"][0], np.int8).reshape(len(ids), -1)
-                scales, x = np.frombuffer(rows["scales"][0], "<f4"), None
-            if vertex != v or start == len(rows["kind"]):
-                continue  # a vertex without neighbours, or one nobody asks for
-            if x is None:
-                x = packed.astype(np.float32) * scales[:, None]
-            scores = decoded(rows["codes"][start:], rows["scale"][start:]) @ x.T
-            for q, worst, row in zip(rows["query"][start:], rows["worst"][start:], scores, strict=True):
-                better = np.flatnonzero((row > worst) & (ids != q))
+                vertex, ids, start = v, rows["ids"][0], 1
+            if vertex == v:  # or a vertex without neighbours
+                for q in rows["query"][start:]:
+                    yield {"id": q, "ids": ids}
+
+    heard = streamed(asked.unionByName(told, allowMissingColumns=True), "vertex", ["kind"], ["vertex", "kind", "query", "ids"], answer, "id long, ids binary")
+    both = asking.select("id", F.lit(0).alias("kind"), "point", "ids", "scores")
+    both = both.unionByName(heard.withColumn("kind", F.lit(1)), allowMissingColumns=True)
+
+    def gather(groups: Groups) -> Iterator[dict]:
+        for q, rows in merged_runs(groups):  # at most ``width`` lists
+            scores = np.frombuffer(rows["scores"][0], "<f8")
+            worst = float(scores[-1]) if len(scores) >= beam else -math.inf
+            new = np.setdiff1d(np.frombuffer(b"".join(rows["ids"][1:]), "<i8"), np.frombuffer(rows["ids"][0], "<i8"))
+            new = new[new != q]
+            block = block_of(new, blocks)
+            order = np.lexsort((new, block))
+            new, block = new[order], block[order]
+            ends = np.flatnonzero(block[1:] != block[:-1]) + 1
+            for part in np.split(np.arange(len(new)), ends):
+                for at in range(0, len(part), ROW_IDS):
+                    some = part[at : at + ROW_IDS]
+                    yield {"block": int(block[some[0]]), "kind": 1, "id": q, "point": rows["point"][0], "worst": worst, "ids": new[some].tobytes()}
+
+    columns = ["id", "kind", "point", "ids", "scores"]
+    wanted = streamed(both, "id", ["kind"], columns, gather, "block long, kind int, id long, point binary, worst double, ids binary")
+    rows = wanted.unionByName(nodes.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+
+    def score(groups: Groups) -> Iterator[dict]:
+        block = None
+        for b, rows in groups:
+            if b != block:
+                block, parts, parts_x, ids, x = b, [], [], None, None
+            known = rows["kind"].count(0)
+            if known:
+                parts.append(np.array(rows["id"][:known], np.int64))
+                parts_x.append(points_of(rows["point"][:known], kind)[:, :-1])
+            if known < len(rows["id"]) and x is None:
+                ids, x = np.concatenate(parts), np.concatenate(parts_x)
+            for q, point, worst, packed in zip(*(rows[c][known:] for c in ("id", "point", "worst", "ids")), strict=True):
+                near = np.frombuffer(packed, "<i8")
+                scores = products(x[np.searchsorted(ids, near)], points_of([point], kind)[0, :-1])
+                better = np.flatnonzero(scores >= worst)
+                better = better[best(near[better], scores[better], beam)]
                 if len(better):
-                    yield candidate(q, ids[better], row[better])
+                    yield candidate(q, near[better], scores[better], "<f8")
 
-    columns = ["vertex", "kind", "query", "codes", "scale", "worst", "ids", "scales"]
-    return streamed(rows, "vertex", ["kind"], columns, answer, CANDIDATES)
+    return streamed(rows, "block", ["kind", "id"], ["block", "kind", "id", "point", "worst", "ids"], score, CANDIDATES)
 
 
 def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> DataFrame:
@@ -413,13 +492,13 @@ def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> Dat
             if own is None or own["id"] != i:
                 if own is not None:
                     yield own
-                own = {c: rows[c][0] for c in ("id", "code", "scale", "ids", "scores")}
+                own = {c: rows[c][0] for c in ("id", "point", "ids", "scores")}
                 seen = ~np.frombuffer(rows["seen"][0], bool)  # unseen ones, of which the first ``width`` were asked
                 seen = ~(seen & (np.cumsum(seen) > width))
                 own["seen"] = seen.tobytes()
                 rows = {c: x[1:] for c, x in rows.items()}
             ids = np.frombuffer(own["ids"] + b"".join(rows["ids"]), "<i8")
-            scores = np.frombuffer(own["scores"] + b"".join(rows["scores"]), "<f4")
+            scores = np.frombuffer(own["scores"] + b"".join(rows["scores"]), "<f8")
             seen = np.zeros(len(ids), bool)
             seen[: len(own["seen"])] = np.frombuffer(own["seen"], bool)
             _, first = np.unique(ids, return_index=True)
@@ -429,7 +508,7 @@ def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> Dat
         if own is not None:
             yield own
 
-    columns = ["id", "kind", "code", "scale", "ids", "scores", "seen"]
+    columns = ["id", "kind", "point", "ids", "scores", "seen"]
     return streamed(rows, "id", ["kind"], columns, merge, BEAM)
 
 
@@ -451,6 +530,7 @@ def nearest(
     beam: int = 400,
     width: int = 128,
     search_rounds: int = 8,
+    block: int = 4096,
     rescored: int = 64,
     seed: int = 3,
 ) -> DataFrame:
@@ -462,20 +542,22 @@ def nearest(
     classes = vectors.groupBy("d1", "d2").agg(F.min("id").alias("vertex"))
     classes = stored(classes, "ann-classes")
     heads = vectors.join(classes.select(F.col("vertex").alias("id")), "id", "left_semi")
-    nodes = stored(vertices(heads, longest2), "ann-vertices")
+    kind = lossless(df, vector_col)
+    blocks = max(1, math.ceil(classes.count() / block))
+    nodes = stored(vertices(heads, longest2, kind, blocks), "ann-vertices")
     sample = nodes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(entries).collect()
     sample_ids = np.array([r.id for r in sample], np.int64)
-    sample_x = decoded([r.code for r in sample], [r.scale for r in sample]) if sample else np.zeros((0, 1), np.float32)
+    sample_x = points_of([r.point for r in sample], kind) if sample else np.zeros((0, 1))
     member = vectors.join(classes, ["d1", "d2"]).select("vertex", "id")
     asking = member.where(is_query(F.col("id"))).select(F.col("id").alias("query_id"), "vertex")
     found = None
     if len(sample):
-        graph = build_graph(nodes, sample_x, degree=degree, leaf=leaf, tables=tables, sent=sent, rounds=rounds, settled=settled, seed=seed)
-        lists = stored(adjacency(graph, degree), "ann-lists")
+        graph = build_graph(nodes, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, rounds=rounds, settled=settled, seed=seed)
+        lists = stored(neighbourhoods(graph, degree, blocks).select("v", "ids"), "ann-lists")
         queries = nodes.join(asking.select(F.col("vertex").alias("id")).distinct(), "id", "left_semi")
-        beams = stored(first_beams(queries, sample_ids, sample_x, beam, starts), "ann-beams")
+        beams = stored(first_beams(queries, sample_ids, sample_x, kind, beam, starts), "ann-beams")
         for _ in range(search_rounds):
-            beams = stored(next_beams(beams, looked_at(beams, lists, beam, width), beam, width), "ann-beams")
+            beams = stored(next_beams(beams, looked_at(beams, lists, nodes, kind, blocks, beam, width), beam, width), "ann-beams")
             if not beams.agg(F.sum("open")).first()[0]:
                 break
         found = exact_scores(beams, vectors, max(rescored, 2 * k))

@@ -51,6 +51,24 @@ def test_recall_and_exact_scores(spark, scaled):
     assert all(abs(r.score - float((value[r.query_id] * value[r.vec_id]).sum())) < 1e-12 for r in got)
 
 
+def unit(rng, n, dims):
+    x = rng.standard_normal((n, dims))
+    return x / np.linalg.norm(x, axis=1, keepdims=True)
+
+
+def vector_rows(x):
+    return [(i, v.tolist(), 0) for i, v in enumerate(x.astype(np.float32))]
+
+
+@pytest.mark.parametrize("longest", [30, 1000])
+def test_one_long_vector_takes_nothing_from_the_others(spark, longest):
+    x = unit(np.random.default_rng(6), 2000, 24)
+    x[77] *= longest
+    rows = vector_rows(x)
+    got = nearest(spark.createDataFrame(rows, SCHEMA), lambda i: i % 50 == 0, entries=64, starts=8).collect()
+    assert recall(got, brute(rows, 50)) >= 0.97
+
+
 def test_edges(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, []), (7, [0.0, 0.0]), (40, [math.nan, 1.0]), (8, [math.inf, 1.0]), (60, [None, 1.0]), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (80, [-1.0, 0.5]), (80, [-1.0, 0.5])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).selectExpr("*", "1 as query_id", "2 as rank")
