@@ -13,7 +13,8 @@ best ``degree``.  Rounds end when few lists change.
 ``beam`` vertices; a round sends the best ones not looked at yet to the vertices'
 adjacency lists (ids of neighbours in both directions).  What comes back is
 scored block by block of vertices, and what isn't worse than the beam's worst
-goes into the beam.
+goes into the beam.  Scores are those of the vectors as given, so the whole
+beam is exact and near copies are told apart.
 
 Vectors are never coded: they go through both as they were given (``float`` as
 float32, all else as float64), arithmetic is double.  The component that makes
@@ -512,6 +513,21 @@ def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> Dat
     return streamed(rows, "id", ["kind"], columns, merge, BEAM)
 
 
+def scored_pairs(beams: DataFrame) -> DataFrame:
+    """``vertex, near, score``: the whole beams."""
+
+    def pairs(given):
+        out = {"vertex": [], "near": [], "score": []}
+        for q, ids, scores in zip(given["id"], given["ids"], given["scores"], strict=True):
+            near = np.frombuffer(ids, "<i8").tolist()
+            out["vertex"] += [q] * len(near)
+            out["near"] += near
+            out["score"] += np.frombuffer(scores, "<f8").tolist()
+        yield out
+
+    return arrow_map(beams, ["id", "ids", "scores"], pairs, "vertex long, near long, score double", slice_rows=64)
+
+
 def nearest(
     df: DataFrame,
     is_query: Callable[[Column], Column],
@@ -531,7 +547,6 @@ def nearest(
     width: int = 128,
     search_rounds: int = 8,
     block: int = 4096,
-    rescored: int = 64,
     seed: int = 3,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row whose id ``is_query`` holds for."""
@@ -560,7 +575,7 @@ def nearest(
             beams = stored(next_beams(beams, looked_at(beams, lists, nodes, kind, blocks, beam, width), beam, width), "ann-beams")
             if not beams.agg(F.sum("open")).first()[0]:
                 break
-        found = exact_scores(beams, vectors, max(rescored, 2 * k))
+        found = scored_pairs(beams)
     else:
         found = df.sparkSession.createDataFrame([], "vertex long, near long, score double")
     # a query's own vertex is as near as it gets: its other members are candidates as well
@@ -572,26 +587,3 @@ def nearest(
     pairs = found.unionByName(own).join(first, "near").join(asking, "vertex").where("vec_id <> query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def exact_scores(beams: DataFrame, vectors: DataFrame, rescored: int) -> DataFrame:
-    """``vertex, near, score``: the beams' best vertices scored on the original vectors."""
-
-    def pairs(given):
-        out = {"vertex": [], "near": []}
-        for q, ids in zip(given["id"], given["ids"], strict=True):
-            near = np.frombuffer(ids, "<i8")[:rescored].tolist()
-            out["vertex"] += [q] * len(near)
-            out["near"] += near
-        yield out
-
-    chosen = arrow_map(beams, ["id", "ids"], pairs, "vertex long, near long")
-    a = vectors.select(F.col("id").alias("vertex"), F.col("data").alias("x"))
-    b = vectors.select(F.col("id").alias("near"), F.col("data").alias("y"))
-
-    def score(given):
-        x, y = (np.stack([np.frombuffer(d, "<f8") for d in given[c]]) for c in ("x", "y"))
-        yield {"vertex": given["vertex"], "near": given["near"], "score": (x * y).sum(axis=1).tolist()}
-
-    both = chosen.join(a, "vertex").join(b, "near")
-    return arrow_map(both, ["vertex", "near", "x", "y"], score, "vertex long, near long, score double", slice_rows=2048)
