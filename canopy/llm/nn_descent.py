@@ -25,9 +25,15 @@ takes no digits from the others.  A vector is sent once to every block of about
 vectors are one vertex, and its ``k + 1`` smallest ids stand for all of them,
 which is exact for ``k`` neighbours.
 
+*Entry points.*  A beam starts from its query's own vertex, whose list the graph
+holds, and from the best ``starts`` vertices found in a sample of an eighth of
+all, which is searched by a graph of its own in the same way, and so on down to
+a sample of at most ``entries``, the only thing that is broadcast.  Close groups
+that are a closed part of the graph of all have few members in a sample, whose
+lists lead out of the group: these are the long edges.
+
 Lists a vertex gathers are bounded by ``degree`` in either direction; rows of
-a vertex are read in order as a stream and never collected.  Entry points are a
-bounded sample of ``entries`` vertices, the only thing that is broadcast.
+a vertex are read in order as a stream and never collected.
 
 Defined results: a vector that is null, zero or holds a null or non-finite
 component, and one whose length differs from the most frequent length, takes
@@ -384,6 +390,8 @@ def build_graph(nodes: DataFrame, sample: np.ndarray, kind: str, *, degree: int,
 # --------------------------------------------------------------- the search
 
 BEAM = "id long, point binary, ids binary, scores binary, seen binary, open int"
+#: A sample of entry points holds one in so many vertices of the next larger one.
+LEVEL = 8
 #: Ids that one row of a block's work may hold.
 ROW_IDS = 512
 
@@ -413,6 +421,27 @@ def first_beams(queries: DataFrame, entry_ids: np.ndarray, entries: np.ndarray,
     return arrow_map(queries, ["id", "point"], rows, BEAM)
 
 
+def reopened(beams: DataFrame, kind: str) -> DataFrame:
+    """The beams with their query's own vertex, nothing looked at yet."""
+
+    def rows(given):
+        out = {c: [] for c in ("id", "point", "ids", "scores", "seen", "open")}
+        for i, point, ids, scores in zip(*(given[c] for c in ("id", "point", "ids", "scores")), strict=True):
+            ids, scores = np.frombuffer(ids, "<i8"), np.frombuffer(scores, "<f8")
+            if i not in ids:
+                x = points_of([point], kind)[:, :-1]
+                ids, scores = np.append(ids, i), np.append(scores, products(x, x[0]))
+            order = np.lexsort((ids, -scores))
+            for c, x in (
+                ("id", i), ("point", point), ("open", len(ids)), ("seen", bytes(len(ids))),
+                ("ids", ids[order].tobytes()), ("scores", scores[order].tobytes()),
+            ):
+                out[c].append(x)
+        yield out
+
+    return arrow_map(beams, ["id", "point", "ids", "scores"], rows, BEAM)
+
+
 def looked_at(beams: DataFrame, lists: DataFrame, nodes: DataFrame, kind: str, blocks: int, beam: int, width: int) -> DataFrame:
     """Neighbours of each beam's best unseen vertices that aren't worse than the beam's worst."""
 
@@ -514,15 +543,16 @@ def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> Dat
 
 
 def scored_pairs(beams: DataFrame) -> DataFrame:
-    """``vertex, near, score``: the whole beams."""
+    """``vertex, near, score``: the whole beams but for the queries themselves."""
 
     def pairs(given):
         out = {"vertex": [], "near": [], "score": []}
         for q, ids, scores in zip(given["id"], given["ids"], given["scores"], strict=True):
-            near = np.frombuffer(ids, "<i8").tolist()
-            out["vertex"] += [q] * len(near)
-            out["near"] += near
-            out["score"] += np.frombuffer(scores, "<f8").tolist()
+            near, scores = np.frombuffer(ids, "<i8"), np.frombuffer(scores, "<f8")
+            other = near != q
+            out["vertex"] += [q] * int(other.sum())
+            out["near"] += near[other].tolist()
+            out["score"] += scores[other].tolist()
         yield out
 
     return arrow_map(beams, ["id", "ids", "scores"], pairs, "vertex long, near long, score double", slice_rows=64)
@@ -558,7 +588,8 @@ def nearest(
     classes = stored(classes, "ann-classes")
     heads = vectors.join(classes.select(F.col("vertex").alias("id")), "id", "left_semi")
     kind = lossless(df, vector_col)
-    blocks = max(1, math.ceil(classes.count() / block))
+    n = classes.count()
+    blocks = max(1, math.ceil(n / block))
     nodes = stored(vertices(heads, longest2, kind, blocks), "ann-vertices")
     sample = nodes.orderBy(F.xxhash64("id", F.lit(seed)), "id").limit(entries).collect()
     sample_ids = np.array([r.id for r in sample], np.int64)
@@ -567,14 +598,22 @@ def nearest(
     asking = member.where(is_query(F.col("id"))).select(F.col("id").alias("query_id"), "vertex")
     found = None
     if len(sample):
-        graph = build_graph(nodes, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, rounds=rounds, settled=settled, seed=seed)
-        lists = stored(neighbourhoods(graph, degree, blocks).select("v", "ids"), "ann-lists")
         queries = nodes.join(asking.select(F.col("vertex").alias("id")).distinct(), "id", "left_semi")
-        beams = stored(first_beams(queries, sample_ids, sample_x, kind, beam, starts), "ann-beams")
-        for _ in range(search_rounds):
-            beams = stored(next_beams(beams, looked_at(beams, lists, nodes, kind, blocks, beam, width), beam, width), "ann-beams")
-            if not beams.agg(F.sum("open")).first()[0]:
-                break
+        beams = first_beams(queries, sample_ids, sample_x, kind, beam, starts)
+        shares = [1]  # one in so many of the vertices
+        while n / shares[-1] / LEVEL > entries:
+            shares.append(shares[-1] * LEVEL)
+        for share in reversed(shares):
+            some = nodes.where(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(share)) == 0)
+            graph = build_graph(some, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, rounds=rounds, settled=settled, seed=seed)
+            lists = stored(neighbourhoods(graph, degree, blocks).select("v", "ids"), "ann-lists")
+            # all starts are looked at at once, the query's own vertex as well
+            size, first = beam if share == 1 else starts, max(width, starts + 1)
+            beams = stored(reopened(beams, kind), "ann-beams")
+            for _ in range(search_rounds):
+                beams = stored(next_beams(beams, looked_at(beams, lists, some, kind, blocks, size, first), size, first), "ann-beams")
+                if not beams.agg(F.sum("open")).first()[0]:
+                    break
         found = scored_pairs(beams)
     else:
         found = df.sparkSession.createDataFrame([], "vertex long, near long, score double")
