@@ -7,14 +7,15 @@ buckets.  Then, round by round, each vertex brings its neighbours and those it
 is a neighbour of together: neighbours' vectors meet there
 and every pair of neighbours that is new at this vertex is compared.  A pair
 that beats the worst neighbour of one of the two goes to it, and each keeps its
-best ``degree``.  Rounds end when few lists change.
+best ``degree``.  Rounds end when at most ``settled`` of all neighbours change.
 
 *Searching.*  All queries search at once.  Each holds a beam of its best
 ``beam`` vertices; a round sends the best ones not looked at yet to the vertices'
 adjacency lists (ids of neighbours in both directions).  What comes back is
 scored block by block of vertices, and what isn't worse than the beam's worst
 goes into the beam.  Scores are those of the vectors as given, so the whole
-beam is exact and near copies are told apart.
+beam is exact and near copies are told apart.  Rounds end when no beam holds a
+vertex not looked at yet.
 
 Vectors are never coded: they go through both as they were given (``float`` as
 float32, all else as float64), arithmetic is double.  The component that makes
@@ -376,11 +377,11 @@ def compared(graph: DataFrame, nodes: DataFrame, kind: str, blocks: int, degree:
     return streamed(rows, "block", ["kind", "id"], columns, compare, CANDIDATES)
 
 
-def build_graph(nodes: DataFrame, sample: np.ndarray, kind: str, *, degree: int, leaf: int, tables: int, blocks: int, sent: int, rounds: int, settled: float, seed: int) -> DataFrame:
+def build_graph(nodes: DataFrame, sample: np.ndarray, kind: str, *, degree: int, leaf: int, tables: int, blocks: int, sent: int, settled: float, seed: int) -> DataFrame:
     n = nodes.count()
     start = nodes.select("id", F.lit(b"").alias("ids"), F.lit(b"").alias("scores"))
     graph = stored(kept_neighbours(start, first_candidates(nodes, n, sample, kind, degree, leaf, tables, seed), degree), "ann-graph")
-    for _ in range(rounds):
+    while True:  # lists only get better, so this ends
         graph = stored(kept_neighbours(graph, compared(graph, nodes, kind, blocks, degree, sent), degree), "ann-graph")
         if graph.agg(F.sum("changed")).first()[0] <= settled * degree * n:
             break
@@ -569,13 +570,11 @@ def nearest(
     leaf: int = 384,
     tables: int = 3,
     sent: int = 8,
-    rounds: int = 4,
     settled: float = 0.05,
     entries: int = 2048,
     starts: int = 48,
     beam: int = 400,
     width: int = 128,
-    search_rounds: int = 8,
     block: int = 4096,
     seed: int = 3,
 ) -> DataFrame:
@@ -605,12 +604,12 @@ def nearest(
             shares.append(shares[-1] * LEVEL)
         for share in reversed(shares):
             some = nodes.where(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(share)) == 0)
-            graph = build_graph(some, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, rounds=rounds, settled=settled, seed=seed)
+            graph = build_graph(some, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, settled=settled, seed=seed)
             lists = stored(neighbourhoods(graph, degree, blocks).select("v", "ids"), "ann-lists")
             # all starts are looked at at once, the query's own vertex as well
             size, first = beam if share == 1 else starts, max(width, starts + 1)
             beams = stored(reopened(beams, kind), "ann-beams")
-            for _ in range(search_rounds):
+            while True:  # no vertex is looked at twice by a beam, so this ends
                 beams = stored(next_beams(beams, looked_at(beams, lists, some, kind, blocks, size, first), size, first), "ann-beams")
                 if not beams.agg(F.sum("open")).first()[0]:
                     break

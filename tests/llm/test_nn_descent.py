@@ -86,6 +86,12 @@ def test_closed_groups_that_no_entry_point_lies_in(spark):
     assert recall(got, brute(rows, 50)) >= 0.95
 
 
+def test_search_goes_on_until_nothing_is_open(spark):
+    rows = vector_rows(unit(np.random.default_rng(9), 600, 24))
+    got = nearest(spark.createDataFrame(rows, SCHEMA), lambda i: i % 50 == 0, degree=6, leaf=64, beam=60, width=6, entries=4, starts=4).collect()
+    assert recall(got, brute(rows, 50)) >= 0.9
+
+
 def test_edges(spark):
     rows = [(0, [1.0, 0.0]), (20, [1.0, 0.0]), (3, [1.0, 0.0]), (4, [0.0, 1.0]), (5, None), (6, []), (7, [0.0, 0.0]), (40, [math.nan, 1.0]), (8, [math.inf, 1.0]), (60, [None, 1.0]), (9, [1.0, 2.0, 3.0]), (None, [1.0, 1.0]), (80, [-1.0, 0.5]), (80, [-1.0, 0.5])]
     df = spark.createDataFrame([(i, v, 1) for i, v in rows], SCHEMA).selectExpr("*", "1 as query_id", "2 as rank")
