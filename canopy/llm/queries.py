@@ -8,13 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, nn_descent, quality_rules
+from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, nn_descent, packing, quality_rules
 from canopy.llm.common import documents, stored
 from canopy.llm.token_count import count_tokens
 from canopy.llm.token_files import encode_segments, read_token_files
 
 JSON_50K = "byte_bpe_50k.json"
 RANKS_50K = "byte_bpe_multi_50k.tiktoken"
+WORD_49K = "word_bpe_49k.json"
 
 
 def q_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,6 +75,10 @@ def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), deobfuscate.span_list(F.col("spans")).alias("spans"))
 
 
+def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_49K))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_count": q_token_count,
     "op2_lz_dedup": q_lz_dedup,
@@ -85,4 +90,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": q_quality_rules,
     "op9_minhash": q_minhash,
     "op10_deobfuscate": q_deobfuscate,
+    "op13_packing": q_packing,
 }
