@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 
 from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, nn_descent, packing, quality_rules
 from canopy.llm.common import documents, stored
+from canopy.llm.token_alignment import align
 from canopy.llm.token_count import count_tokens
 from canopy.llm.token_files import encode_segments, read_token_files
 
 JSON_50K = "byte_bpe_50k.json"
 RANKS_50K = "byte_bpe_multi_50k.tiktoken"
+PIECES_32K = "piece_bpe_32k.model"
 WORD_49K = "word_bpe_49k.json"
 
 
@@ -75,6 +77,10 @@ def q_deobfuscate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, digest.alias("base_sha256"), deobfuscate.span_list(F.col("spans")).alias("spans"))
 
 
+def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align(documents(spark, sf_dir), public_tokenizers.path(JSON_50K), public_tokenizers.path(PIECES_32K))
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_49K))
 
@@ -90,5 +96,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": q_quality_rules,
     "op9_minhash": q_minhash,
     "op10_deobfuscate": q_deobfuscate,
+    "op11_token_alignment": q_token_alignment,
     "op13_packing": q_packing,
 }
