@@ -108,8 +108,32 @@ SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed,
 FROM w LEFT JOIN kept USING (doc_id)
 """
 
+#: Every anchor with every row; exact inner products of whole numbers.
+HARD_NEGATIVES = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         [floor(256 * x::DOUBLE) FOR x IN embedding] AS e
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, c.vec_id AS other_id, a.label = c.label AS alike,
+         CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+p AS (
+  SELECT * FROM s WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT anchor_id, p.other_id AS positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, p.other_id ORDER BY s.score DESC, s.other_id) AS INTEGER) AS rank,
+       s.other_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s USING (anchor_id)
+WHERE NOT s.alike AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_lz_dedup": LZ_DEDUP,
     "op7_source_mix": MIXING,
     "op9_minhash": MINHASH,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from canopy.llm import byte_bpe, deobfuscate, language_id, lz_dedup, minhash, mixing, nn_descent, packing, quality_rules
+from canopy.llm import byte_bpe, deobfuscate, hard_negatives, language_id, lz_dedup, minhash, mixing, nn_descent, packing, quality_rules
 from canopy.llm.common import documents, stored
 from canopy.llm.token_alignment import align
 from canopy.llm.token_count import count_tokens
@@ -81,6 +81,12 @@ def q_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return align(documents(spark, sf_dir), public_tokenizers.path(JSON_50K), public_tokenizers.path(PIECES_32K))
 
 
+def q_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", wrong), lambda i: i % 50 == 0)
+
+
 def q_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), public_tokenizers.path(WORD_49K))
 
@@ -97,5 +103,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_minhash": q_minhash,
     "op10_deobfuscate": q_deobfuscate,
     "op11_token_alignment": q_token_alignment,
+    "op12_hard_negatives": q_hard_negatives,
     "op13_packing": q_packing,
 }
