@@ -234,10 +234,17 @@ def code_lanes(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray
     return out
 
 
+#: Blocks coded side by side: enough to make numpy's calls cheap, few enough to bound memory (about 29 kB each).
+LANES = 8192
+
+
 def encode_blocks(ids: np.ndarray, block: int) -> list[bytes]:
     """The stream cut in blocks of ``block`` ids (the last may be short), each as bytes of its own."""
-    if not len(ids):
-        return []
+    group = LANES * block
+    return [b for k in range(0, len(ids), group) for b in encode_group(ids[k : k + group], block)]
+
+
+def encode_group(ids: np.ndarray, block: int) -> list[bytes]:
     lengths = np.full(-(-len(ids) // block), block)
     lengths[-1] = len(ids) - block * (len(lengths) - 1)
     table = np.zeros((len(lengths), block), np.uint16)
@@ -248,10 +255,12 @@ def encode_blocks(ids: np.ndarray, block: int) -> list[bytes]:
 
 
 def decode_blocks(blocks: list[bytes], lengths: list[int]) -> np.ndarray:
-    if not blocks:
-        return np.zeros(0, np.uint16)
-    out = code_lanes(Decoder(blocks), np.array(lengths), None)
-    return np.concatenate([out[k, :n] for k, n in enumerate(lengths)])
+    found = [np.zeros(0, np.uint16)]
+    for at in range(0, len(blocks), LANES):
+        own = lengths[at : at + LANES]
+        out = code_lanes(Decoder(blocks[at : at + LANES]), np.array(own), None)
+        found += [out[k, :n] for k, n in enumerate(own)]
+    return np.concatenate(found)
 
 
 # Fixed values of the segment format: name and version, then little-endian fields.

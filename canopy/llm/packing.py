@@ -174,7 +174,7 @@ def pack(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        encode, packer = json_ids(tokenizer_path), Packer(window, open_windows)
+        encode, packer = json_ids(tokenizer_path, kept=1 << 19), Packer(window, open_windows)
         sequence = TaskContext.get().partitionId() * TASK_SEQUENCES
 
         def finished():

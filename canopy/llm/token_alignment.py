@@ -49,7 +49,7 @@ DOC = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
 SLICE = (
     "slice long, "
     + ", ".join(f"{c} array<long>" for c in DOC)
-    + ", groups_sha256 array<string>, pair array<long>, times array<long>, links binary"
+    + ", groups_sha256 array<string>, pair array<long>, times array<long>, links binary, n_pairs int"
 )
 RESULT = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
@@ -176,12 +176,16 @@ def group_text(ids_a: np.ndarray, ids_b: np.ndarray, group_a: np.ndarray, group_
         yield part if k + (1 << 18) < n else part[:-1]
 
 
+def place_type(n: int) -> str:
+    return "<u2" if n <= 1 << 16 else "<u4"
+
+
 def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_path: str, piece: int) -> dict[str, list]:
     """One stored row: the documents of a slice, its distinct pairs and every link as a pair's place."""
     tokens_a, tokens_b = byte_level_tokens(a_path), piece_tokens(b_path)
     long_a, long_b = (np.array([len(t) for t in tokens]) for tokens in (tokens_a, tokens_b))
     spaced = [" " + t if t else "" for t in texts]
-    all_a = json_ids(a_path, True)(spaced)
+    all_a = json_ids(a_path, True, 3 << 17)(spaced)
     all_b = piece_ids(b_path)([t or "" for t in texts])
     kept = []
     for k, text in enumerate(spaced):
@@ -224,7 +228,8 @@ def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_pa
         "groups_sha256": [digests],
         "pair": [distinct],
         "times": [times],
-        "links": [links.astype("<u4").tobytes()],
+        "links": [pa.compress(links.astype(place_type(len(distinct))).tobytes(), "zstd", asbytes=True)],
+        "n_pairs": [len(distinct)],
     }
 
 
@@ -241,7 +246,7 @@ def align_slices(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    slice_chars: int = 4_000_000,
+    slice_chars: int = 2_000_000,
     piece: int = 128,
 ) -> DataFrame:
     """The alignment by slices of documents (``SLICE``): counts and digests of each document, pairs, links."""
@@ -300,7 +305,9 @@ def align(df: DataFrame, a_path: str, b_path: str, **how) -> DataFrame:
             for at in range(batch.num_rows):
                 row = {n: batch.column(k)[at] for k, n in enumerate(batch.schema.names)}
                 n_links = np.array(row["n_links"].values.to_numpy())
-                links = np.frombuffer(row["links"].as_py(), "<u4")
+                kind = np.dtype(place_type(row["n_pairs"].as_py()))
+                n = int(n_links.sum()) * kind.itemsize
+                links = np.frombuffer(pa.decompress(row["links"].as_py(), n, "zstd", asbytes=True) if n else b"", kind)
                 count, best = np.zeros(0, np.int64), np.zeros(0, np.int64)
                 if len(links):
                     told = row["answer"].values

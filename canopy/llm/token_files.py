@@ -27,7 +27,7 @@ from pyspark.sql.window import Window
 
 from canopy.llm.common import arrow_map
 from canopy.llm.context_coder import pack_segment, unpack_segment
-from canopy.llm.token_count import load_json
+from canopy.llm.word_ids import json_ids
 
 SEGMENT = "part int, segment int, n_docs int, n_ids long, data binary"
 
@@ -39,7 +39,7 @@ def encode_segments(
     id_col: str = "doc_id",
     text_col: str = "text",
     end_id: int = 0,
-    block_ids: int = 2048,
+    block_ids: int = 512,
     segment_ids: int = 1 << 22,
 ) -> DataFrame:
     """``part, segment, n_docs, n_ids, data`` in order of document id."""
@@ -57,14 +57,13 @@ def encode_segments(
                 ["part", "segment", "n_docs", "n_ids", "data"],
             )
 
-        tokenizer = load_json(tokenizer_path)
+        encode = json_ids(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 rows = batch.slice(at, 128)
-                texts = [t or "" for t in rows.column(1).to_pylist()]
-                encoded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-                for doc, e in zip(rows.column(0).to_pylist(), encoded, strict=True):
-                    ids = np.array([*e.ids, end_id], np.uint32)
+                encoded = encode([t or "" for t in rows.column(1).to_pylist()])
+                for doc, found in zip(rows.column(0).to_pylist(), encoded, strict=True):
+                    ids = np.append(found, np.uint32(end_id))
                     docs.append(doc)
                     counts.append(len(ids))
                     parts.append(ids)

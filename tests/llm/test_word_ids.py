@@ -34,7 +34,7 @@ def test_equal_to_library(name, stretch):
     path = public_tokenizers.path(name)
     words = piece_ids(path) if name.endswith(".model") else json_ids(path)
     assert words.cut is not None
-    small = WordIds(words.encode, words.cut, words.place, between=words.between, lead=words.lead, kept=50, longest=8, stretch=stretch)
+    small = WordIds(words.encode, words.cut, words.place, between=words.between, lead=words.lead, tails=words.tails, fold=words.fold, kept=50, longest=8, stretch=stretch)
     given = texts()
     found = [ids.tolist() for k in range(0, len(given), 64) for ids in small(given[k : k + 64])]
     assert found == [list(i) for i in library(name)(given)]
