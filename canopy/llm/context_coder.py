@@ -27,7 +27,7 @@ import numpy as np
 #: Ids are 16-bit numbers.
 ID_LIMIT = 1 << 16
 TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-SLOT_BITS = 11
+SLOT_BITS = 10
 ONE = 4096  # probabilities are of so many parts
 STEP, FULL = 24, 1 << 13  # of digit frequencies
 
@@ -44,8 +44,8 @@ class Encoder:
     def pick(self, lanes, total, known, bounds):
         """Code symbol ``known`` of each lane; ``bounds`` gives (low, size) of symbols."""
         low, size = bounds(known)
-        part = self.range[lanes] // total
-        self.low[lanes] += low * part
+        part = self.range.take(lanes) // total
+        self.low[lanes] = self.low.take(lanes) + low * part
         self.range[lanes] = size * part
         settle(self, lanes)
         return known
@@ -75,11 +75,11 @@ class Decoder:
 
     def pick(self, lanes, total, find, bounds):
         """The coded symbol of each lane; ``find`` turns a place below ``total`` into its symbol."""
-        part = self.range[lanes] // total
-        place = np.minimum((self.code[lanes] - self.low[lanes]) // part, total - np.uint32(1))
+        part, start = self.range.take(lanes) // total, self.low.take(lanes)
+        place = np.minimum((self.code.take(lanes) - start) // part, total - np.uint32(1))
         symbol = find(place)
         low, size = bounds(symbol)
-        self.low[lanes] += low * part
+        self.low[lanes] = start + low * part
         self.range[lanes] = size * part
         settle(self, lanes)
         return symbol
@@ -91,55 +91,62 @@ class Decoder:
 
 def settle(coder, lanes) -> None:
     """Shift bytes out (or in) of the lanes whose range got small."""
-    while len(lanes):
-        low, size = coder.low[lanes], coder.range[lanes]
+    low, size = coder.low.take(lanes), coder.range.take(lanes)
+    while True:
         same = (low ^ (low + size)) < TOP
-        tight = ~same & (size < BOTTOM)
-        need = same | tight
-        if not need.any():
+        need = same | (size < BOTTOM)
+        at = np.flatnonzero(need)
+        if not len(at):
             return
-        size = np.where(tight, (np.uint32(0) - low) & (BOTTOM - np.uint32(1)), size)
-        lanes, low, size = lanes[need], low[need], size[need]
+        lanes, low, size, same = lanes.take(at), low.take(at), size.take(at), same.take(at)
+        size = np.where(same, size, (np.uint32(0) - low) & (BOTTOM - np.uint32(1)))
         coder.shift(lanes, low)
-        coder.low[lanes] = low << np.uint32(8)
-        coder.range[lanes] = size << np.uint32(8)
+        low, size = low << np.uint32(8), size << np.uint32(8)
+        coder.low[lanes], coder.range[lanes] = low, size
+
+
+#: How sure a guess is after a miss (first half) or a hit, by how sure it was: up by one to 7, else halved, 1 for a new id.
+NEXT_SURE = np.array([1, 1, *(n >> 1 for n in range(2, 8)), *(min(n + 1, 7) for n in range(8))], np.uint8)
 
 
 class Guess:
     """For each lane a hashed table: context -> the id last seen there and how sure that is (0: none)."""
 
     def __init__(self, lanes: int):
-        self.ids = np.zeros((lanes, 1 << SLOT_BITS), np.uint16)
-        self.sure = np.zeros((lanes, 1 << SLOT_BITS), np.uint8)
+        self.ids = np.zeros(lanes << SLOT_BITS, np.uint16)
+        self.sure = np.zeros(lanes << SLOT_BITS, np.uint8)
 
-    def update(self, lanes, slot, said, sure, ids) -> None:
+    def update(self, at, said, sure, ids) -> None:
         right = said == ids
         lost = ~right & (sure < 2)
-        self.ids[lanes, slot] = np.where(lost, ids, said)
-        self.sure[lanes, slot] = np.where(right, np.minimum(sure + 1, 7), np.where(lost, 1, sure >> 1))
+        self.ids[at] = np.where(lost, ids, said)
+        self.sure[at] = NEXT_SURE[right.astype(np.uint8) * 8 + sure]
 
 
 class Decision:
     """A binary decision: counters by the state of each order, mixed by weights."""
 
     def __init__(self, lanes: int, states: tuple[int, ...]):
-        self.counters = [np.full((lanes, n), ONE // 2, np.int32) for n in states]
+        self.states = states
+        self.counters = [np.full(lanes * n, ONE // 2, np.int32) for n in states]
         self.weights = [np.full(lanes, 1024, np.int32) for _ in states]
 
     def code(self, coder, lanes, states, known):
-        said = [c[lanes, s] for c, s in zip(self.counters, states, strict=True)]
-        weights = [w[lanes] for w in self.weights]
+        at = [lanes * n + s for n, s in zip(self.states, states, strict=True)]
+        said = [c.take(k) for c, k in zip(self.counters, at, strict=True)]
+        weights = [w.take(lanes) for w in self.weights]
         p = sum(x * w for x, w in zip(said, weights, strict=True)) // sum(weights)
-        p = np.clip(p, 16, ONE - 16).astype(np.uint32)
+        p = np.minimum(np.maximum(p, 16), ONE - 16).astype(np.uint32)
 
         def bounds(hit):  # a hit lies below p
             return np.where(hit, np.uint32(0), p), np.where(hit, p, np.uint32(ONE) - p)
 
         hit = coder.pick(lanes, np.uint32(ONE), known if known is not None else (lambda place: place < p), bounds)
         truth = np.where(hit, ONE, 0).astype(np.int32)
-        for c, w, s, x, weight in zip(self.counters, self.weights, states, said, weights, strict=True):
-            c[lanes, s] = x + ((truth - x) >> 4)
-            w[lanes] = np.clip(weight + ((ONE // 2 - np.abs(truth - x)) >> 5), 64, 8192)
+        for c, w, k, x, weight in zip(self.counters, self.weights, at, said, weights, strict=True):
+            off = truth - x
+            c[k] = x + (off >> 4)
+            w[lanes] = np.minimum(np.maximum(weight + ((ONE // 2 - np.abs(off)) >> 5), 64), 8192)
         return hit
 
 
@@ -152,20 +159,20 @@ class Digits:
 
     def code(self, coder, lanes, context, known):
         at = lanes * self.contexts + context
-        upto = self.table[at]
+        upto = self.table.take(at, axis=0)
         first = np.arange(0, 16 * len(lanes), 16)
         flat = upto.ravel()
 
         def bounds(digit):
             where = first + digit
-            low = np.where(digit == 0, 0, flat[where - 1]).astype(np.uint32)
-            return low, flat[where] - low
+            low = np.where(digit == 0, 0, flat.take(where - 1, mode="wrap")).astype(np.uint32)
+            return low, flat.take(where) - low
 
         def find(place):
             return (upto <= place.astype(np.uint16)[:, None]).sum(axis=1, dtype=np.uint8)
 
         digit = coder.pick(lanes, upto[:, 15].astype(np.uint32), known if known is not None else find, bounds)
-        upto += AT_LEAST[digit]
+        upto += AT_LEAST.take(digit, axis=0)
         full = np.flatnonzero(upto[:, 15] > FULL)
         if len(full):
             frequency = np.diff(upto[full], axis=1, prepend=np.uint16(0))
@@ -186,16 +193,18 @@ def code_lanes(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray
     hit2, hit1 = Decision(lanes, (8, 16, 1)), Decision(lanes, (8, 1))
     digits = Digits(lanes, 1), Digits(lanes, 16), Digits(lanes, 256), Digits(lanes, 256)
     before, before2 = np.zeros(lanes, np.uint32), np.zeros(lanes, np.uint32)
+    base, all_lanes = np.arange(lanes) << SLOT_BITS, np.arange(lanes)
     n = lanes
     for step in range(steps):
         while lengths[n - 1] <= step:  # lanes that ended are the last ones
             n -= 1
-        every = np.arange(n)
+        every = all_lanes[:n]
         x1, x2 = before[:n], before2[:n]
         slot1 = (x1 * np.uint32(0x9E3779B1)) >> np.uint32(32 - SLOT_BITS)
         slot2 = ((x1 * np.uint32(0x85EBCA6B)) ^ (x2 * np.uint32(0xC2B2AE35) + np.uint32(0x27D4EB2F))) >> np.uint32(32 - SLOT_BITS)
-        said1, sure1 = first.ids[every, slot1], first.sure[every, slot1]
-        said2, sure2 = second.ids[every, slot2], second.sure[every, slot2]
+        at1, at2 = base[:n] + slot1, base[:n] + slot2
+        said1, sure1 = first.ids.take(at1), first.sure.take(at1)
+        said2, sure2 = second.ids.take(at2), second.sure.take(at2)
         want = None if ids is None else ids[:n, step]
         got = np.zeros(n, np.uint16) if ids is None else want
         todo = every
@@ -225,8 +234,8 @@ def code_lanes(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray
             d = digits[3].code(coder, todo, b * 16 + c, known[3]).astype(np.int64)
             if ids is None:
                 got[todo] = (a << 12) | (b << 8) | (c << 4) | d
-        first.update(every, slot1, said1, sure1, got)
-        second.update(every, slot2, said2, sure2, got)
+        first.update(at1, said1, sure1, got)
+        second.update(at2, said2, sure2, got)
         if ids is None:
             out[:n, step] = got
         before2[:n] = x1
@@ -235,7 +244,7 @@ def code_lanes(coder, lengths: np.ndarray, ids: np.ndarray | None) -> np.ndarray
 
 
 #: Blocks coded side by side: enough to make numpy's calls cheap, few enough to bound memory (about 29 kB each).
-LANES = 8192
+LANES = 4096
 
 
 def encode_blocks(ids: np.ndarray, block: int) -> list[bytes]:
