@@ -6,13 +6,14 @@ scale it is unbounded.  This operator narrows down instead:
 
 1. One aggregation gives each group its weight, its number of rows and, from
    a sketch of fixed size, cut values of about equal ranges.
-2. While the range that holds a wanted rank has more than ``range_rows`` rows,
-   rows are counted per range (a map-side combine, so a few numbers per task),
-   the range holding the rank becomes the new search range, and a sketch of
-   the rows inside gives its cuts.  A cut value is a range of its own, so a
-   value held by many rows is found at once and never sorted.
-3. The rows of the last ranges -- and only they -- are summed by value and a
-   running sum finds the rank.
+2. While a range that holds wanted ranks has more than ``range_rows`` rows,
+   rows are counted per part of it (a map-side combine, so a few numbers per task),
+   once for all ranks in it; the parts that hold ranks become the new search
+   ranges, and a sketch of the rows inside -- of no others -- gives their cuts.
+   A cut value is a part of its own, so a value held by many rows is found
+   at once and never sorted.
+3. The rows of the last ranges -- and only they -- are summed by value and one
+   running sum a range finds all its ranks.
 
 Nothing is capped: more rows take more rounds (each divides a range by about
 ``RANGES``), and no task sorts more than about ``range_rows`` values.  The
@@ -90,53 +91,65 @@ def exact_quantiles(
     cut = F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("_cuts")
     size = [F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), cut]
 
-    wanted = F.array(*[F.struct(F.lit(i).alias("pi"), F.lit(float(p)).alias("p")) for i, p in enumerate(probs)])
-    rank = F.greatest(F.ceil(F.col("_pp.p") * F.col("_n")), F.lit(1))
+    ranks = F.array(*[
+        F.struct(F.lit(i).alias("pi"), F.greatest(F.ceil(F.lit(float(p)) * F.col("_n")), F.lit(1)).cast("bigint").alias("k"))
+        for i, p in enumerate(probs)
+    ])
+    # one row a search range, with all ranks wanted in it
     search, _ = durable(
         src.groupBy(*by, "_g")
         .agg(*size)
-        .select(*by, "_g", "_n", "_rows", "_lo", "_hi", "_cuts", F.explode(wanted).alias("_pp"))
-        .select(*by, "_g", F.col("_pp.pi").alias("_pi"), rank.alias("_k"), F.lit(0).cast("bigint").alias("_start"),
-                "_lo", "_hi", "_rows", "_cuts")
+        .select(*by, "_g", ranks.alias("_ranks"), F.lit(0).cast("bigint").alias("_start"), "_lo", "_hi", "_rows", "_cuts")
     )
     narrow = src.select("_g", "_v", "_w")
     while (search.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_rows")))).first()[0] or 0) > range_rows:
         last, search = search, durable(_narrowed(narrow, search, ranges, cut))[0]
         release(last)
 
-    # a search range of one value is the answer; the others are sorted
-    state = search.drop("_cuts")
-    open_ = state.where(F.col("_lo") < F.col("_hi")).select("_g", "_pi", "_k", "_start", "_lo", "_hi")
-    # a row is summed once, however many ranks are looked for in its range
-    held = open_.groupBy("_g").agg(F.collect_list(F.struct("_lo", "_hi")).alias("_in"))
-    inside = narrow.join(held, "_g").where(F.exists("_in", lambda r: (F.col("_v") >= r["_lo"]) & (F.col("_v") <= r["_hi"])))
-    freq = inside.groupBy("_g", "_v").agg(F.sum("_w").alias("_w")).join(open_, "_g")
-    freq = freq.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
-    upto = Window.partitionBy("_g", "_pi").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = freq.withColumn("_rank", F.col("_start") + F.sum("_w").over(upto)).where(F.col("_rank") >= F.col("_k"))
-    found = found.groupBy("_g", "_pi").agg(F.min("_v").alias("_found"))
+    # a search range of one value is the answer; in the others a running sum serves all ranks
+    open_ = search.where(F.col("_lo") < F.col("_hi")).select("_g", "_ranks", "_start", "_lo", "_hi")
+    freq = _in_ranges(narrow, open_).groupBy("_g", "_lo", "_v").agg(F.sum("_w").alias("_w"))
+    upto = Window.partitionBy("_g", "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = freq.withColumn("_sum", F.sum("_w").over(upto)).join(open_.select("_g", "_lo", "_ranks", "_start"), ["_g", "_lo"])
+    end = F.col("_start") + F.col("_sum")
+    met = F.filter("_ranks", lambda r: (r["k"] <= end) & (r["k"] > end - F.col("_w")))
+    found = summed.select("_g", "_v", F.explode(met).alias("_r")).select("_g", F.col("_r.pi").alias("_pi"), F.col("_v").alias("_found"))
+    state = search.select(*by, "_g", "_lo", F.explode("_ranks").alias("_r")).select(*by, "_g", "_lo", F.col("_r.pi").alias("_pi"))
     answers = state.join(found, ["_g", "_pi"], "left").withColumn("_a", F.coalesce("_found", "_lo"))
     picked = [F.min(F.when(F.col("_pi") == i, F.col("_a"))).alias(n) for i, n in enumerate(names)]
-    return answers.groupBy(*by, "_g").agg(*picked).select(*by, *names)
+    out = answers.groupBy(*by, "_g").agg(*picked)
+    return out.select(*by, *names)
+
+
+def _in_ranges(narrow: DataFrame, open_: DataFrame) -> DataFrame:
+    """The rows inside a search range (ranges of a group don't overlap), with the range's columns."""
+    rows = narrow.join(open_, "_g")
+    return rows.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
 
 def _narrowed(narrow: DataFrame, search: DataFrame, ranges: int, cut: Column) -> DataFrame:
-    """The search table after one round: each open range replaced by its part that holds the rank."""
-    keep = [c for c in search.columns if c not in ("_start", "_lo", "_hi", "_rows", "_cuts")]
+    """The search table after one round: each open range replaced by its parts that hold ranks.
+
+    Parts are only counted; a sketch is made of those that hold a rank.
+    """
     done = search.where(F.col("_lo") >= F.col("_hi"))
     open_ = search.where(F.col("_lo") < F.col("_hi"))
-    rows = narrow.join(open_.select("_g", "_pi", "_lo", "_hi", "_cuts"), "_g")
-    rows = rows.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
+    rows = _in_ranges(narrow, open_.select("_g", "_lo", "_hi", "_cuts"))
     below = bucket_of(F.col("_v"), F.col("_cuts"), ranges - 1)
     equal = (below < ranges - 1) & (F.element_at("_cuts", F.least(below + 1, F.lit(ranges - 1))) == F.col("_v"))
     rows = rows.withColumn("_part", 2 * below + equal.cast("int"))  # a cut value is a part of its own
-    parts = rows.groupBy("_g", "_pi", "_part").agg(
-        F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), cut
+    parts = rows.groupBy("_g", "_lo", "_part").agg(
+        F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
-    upto = Window.partitionBy("_g", "_pi").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    parts = parts.withColumn("_end", F.sum("_n").over(upto))
-    old = open_.select(*keep, F.col("_start").alias("_before"))
-    held = parts.join(old, ["_g", "_pi"]).withColumn("_end", F.col("_before") + F.col("_end"))
-    held = held.withColumn("_start", F.col("_end") - F.col("_n"))
-    held = held.where((F.col("_start") < F.col("_k")) & (F.col("_k") <= F.col("_end")))
-    return done.unionByName(held.select(*search.columns))
+    upto = Window.partitionBy("_g", "_lo").orderBy("_part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    parts = parts.withColumn("_sum", F.sum("_n").over(upto))
+    keep = [c for c in search.columns if c not in ("_hi", "_rows", "_cuts")]
+    held = parts.join(open_.select(*keep), ["_g", "_lo"])
+    end = F.col("_start") + F.col("_sum")
+    held = held.withColumn("_ranks", F.filter("_ranks", lambda r: (r["k"] <= end) & (r["k"] > end - F.col("_n"))))
+    held = held.where(F.size("_ranks") > 0).withColumn("_start", end - F.col("_n"))
+    held = held.drop("_lo").withColumnsRenamed({"_low": "_lo", "_high": "_hi"})
+    held, _ = durable(held.select(*[c for c in search.columns if c != "_cuts"]))
+    wide = held.where(F.col("_lo") < F.col("_hi")).select("_g", "_lo", "_hi")
+    cuts = _in_ranges(narrow, wide).groupBy("_g", "_lo").agg(cut)
+    return done.unionByName(held.join(cuts, ["_g", "_lo"], "left").select(*search.columns))

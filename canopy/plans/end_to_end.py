@@ -1,8 +1,11 @@
 """The end-to-end pipeline over a prepared frame.
 
+0. **Narrow table** -- the side, the attributes, the label and the raw value of
+   every row are stored once, so that what lies before them (joins, text lengths)
+   is computed once however often they are read.
 1. **Cuts** -- exact quartiles of the raw value per side (``quantiles``): each
-   pass is one aggregation over the three columns it needs.
-2. **Cells** -- one pass with the cuts as literals: class counts per ``(side,
+   pass is one aggregation over two columns of the narrow table.
+2. **Cells** -- one pass over it with the cuts as literals: class counts per ``(side,
    attributes, bin)``.  The raw value is binned before the grouping, so the
    map-side combine leaves at most one row per combination and task, however
    many rows there are.  Stored; the training cells feed the tree, the test
@@ -44,9 +47,14 @@ class Sides:
         self._attrs, self._label, self._token = list(attrs), label, token
         self._train_rows, self._test_rows = split_train_test(prepared, key)
 
+    @cached_property
+    def _narrow(self) -> DataFrame:
+        own = [a for a in self._attrs if a != BINNED]
+        return durable(with_side(self._prepared, self._key).select("side", *own, self._label, VALUE))[0]
+
     @cached_property
     def _per_side(self) -> dict[str, tuple]:
-        found = quartile_cuts(with_side(self._prepared.select(self._key, VALUE), self._key), VALUE, by=["side"])
+        found = quartile_cuts(self._narrow, VALUE, by=["side"])
         return {r["side"]: (r["q1"], r["q2"], r["q3"]) for r in found.collect()}  # at most two rows
 
     @property
@@ -69,9 +77,8 @@ class Sides:
 
     @cached_property
     def _cells(self) -> DataFrame:
-        sided = with_side(self._prepared, self._key)
         own, other = (quartile_bin(F.col(VALUE), c) for c in (self.train_cuts, self.test_cuts))
-        binned = sided.withColumn(BINNED, F.when(F.col("side") == "train", own).otherwise(other))
+        binned = self._narrow.withColumn(BINNED, F.when(F.col("side") == "train", own).otherwise(other))
         return durable(cells(binned, ["side", *self._attrs], self._label, self._token))[0]
 
     def _cells_of(self, side: str) -> DataFrame:

@@ -134,7 +134,8 @@ def q_split_train_test(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_quartile_cuts(spark: SparkSession, d: str) -> DataFrame:
-    return quartile_cuts(with_side(fixture_l(spark, d), "key"), "body_len", by=["side"])
+    sided, _ = durable(with_side(fixture_l(spark, d), "key").select("side", "body_len"))
+    return quartile_cuts(sided, "body_len", by=["side"])
 
 
 def q_quartile_cuts_approx(spark: SparkSession, d: str) -> DataFrame:
