@@ -233,8 +233,142 @@ def _domain(domains: dict, rel: str) -> str:
     return " UNION ALL ".join(parts)
 
 
+def cut_rows(src: str, by: list[str], value: str) -> str:
+    """Every cut ``v`` of ``value`` but the greatest, per group: left counts, gain, and whether both sides have one class ratio."""
+    g = "".join(f"{c}, " for c in by)
+    part = f"PARTITION BY {', '.join(by)} " if by else ""
+    return (
+        f"SELECT *, {H('pos', 'neg')} - (CAST(left_pos + left_neg AS DOUBLE) * {H('left_pos', 'left_neg')} "
+        f"+ CAST(pos - left_pos + neg - left_neg AS DOUBLE) * {H('(pos - left_pos)', '(neg - left_neg)')}) / CAST(pos + neg AS DOUBLE) AS gain, "
+        f"CAST(left_pos AS HUGEINT) * (pos + neg) = CAST(pos AS HUGEINT) * (left_pos + left_neg) AS same FROM ("
+        f"SELECT {g}'{value}' AS attr, v AS threshold, CAST(sum(p) OVER ({part}ORDER BY v) AS BIGINT) AS left_pos, "
+        f"CAST(sum(n) OVER ({part}ORDER BY v) AS BIGINT) AS left_neg, CAST(sum(p) OVER ({part}) AS BIGINT) AS pos, "
+        f"CAST(sum(n) OVER ({part}) AS BIGINT) AS neg, count(*) OVER ({part}) AS n_values FROM ("
+        f"SELECT {g}CAST({value} AS DOUBLE) AS v, count_if(is_vote_helpful) AS p, count_if(NOT is_vote_helpful) AS n "
+        f"FROM {src} GROUP BY ALL)) WHERE left_pos + left_neg < pos + neg"
+    )
+
+
+def best_cut_rows(src: str, by: list[str], value: str) -> str:
+    part = f"PARTITION BY {', '.join(by)}" if by else ""
+    return (
+        f"SELECT * EXCLUDE (same), bool_and(same) OVER ({part}) AS zero FROM ({cut_rows(src, by, value)}) "
+        f"QUALIFY row_number() OVER ({part} ORDER BY same, round(gain, 12) DESC, threshold) = 1"
+    )
+
+
+def mixed_tree_ctes(src: str, categories: tuple, numbers: tuple, max_depth: int, min_rows: int) -> str:
+    """CTEs growing a tree over categories and cut numbers; the last is ``mixed``."""
+    cols = ", ".join([*categories, *numbers, "is_vote_helpful"])
+    names = [*categories, *numbers]
+    parts = [
+        f"m0 AS (SELECT 'root' AS node_id, NULL::VARCHAR AS parent_id, NULL::VARCHAR AS edge_attr, NULL::VARCHAR AS edge_value, "
+        f"[]::VARCHAR[] AS used, {cols} FROM {src})"
+    ]
+    place = "CASE attr " + " ".join(f"WHEN '{a}' THEN {i}" for i, a in enumerate(names)) + " END"
+    for d in range(max_depth + 1):
+        parts.append(
+            f"t{d} AS (SELECT node_id, parent_id, edge_attr, edge_value, CAST(count_if(is_vote_helpful) AS BIGINT) AS pos, "
+            f"CAST(count_if(NOT is_vote_helpful) AS BIGINT) AS neg FROM m{d} GROUP BY ALL)"
+        )
+        if d == max_depth:
+            parts.append(f"x{d} AS (SELECT *, NULL::VARCHAR AS attr, NULL::DOUBLE AS threshold, NULL::DOUBLE AS gain, true AS zero FROM t{d})")
+        else:
+            unions = " UNION ALL ".join(
+                f"SELECT node_id, '{a}' AS attr, {a} AS value, count_if(is_vote_helpful) AS p, count_if(NOT is_vote_helpful) AS n "
+                f"FROM m{d} WHERE NOT list_contains(used, '{a}') GROUP BY ALL"
+                for a in categories
+            )
+            parts.append(
+                f"c{d} AS (SELECT u.node_id, attr, NULL::DOUBLE AS threshold, "
+                f"any_value({H('t.pos', 't.neg')}) - sum(CAST(p + n AS DOUBLE) * {H('p', 'n')}) / CAST(any_value(t.pos + t.neg) AS DOUBLE) AS gain, "
+                f"bool_and(CAST(p AS HUGEINT) * (t.pos + t.neg) = CAST(t.pos AS HUGEINT) * (p + n)) AS zero "
+                f"FROM ({unions}) u JOIN t{d} t ON u.node_id = t.node_id GROUP BY u.node_id, attr)"
+            )
+            cuts = "".join(
+                f" UNION ALL SELECT node_id, attr, threshold, gain, zero FROM ({best_cut_rows(f'm{d}', ['node_id'], v)})" for v in numbers
+            )
+            parts.append(
+                f"b{d} AS (SELECT * FROM (SELECT * FROM c{d}{cuts}) QUALIFY row_number() OVER ("
+                f"PARTITION BY node_id ORDER BY zero, round(gain, 12) DESC, {place}) = 1)"
+            )
+            parts.append(f"x{d} AS (SELECT t.*, b.attr, b.threshold, b.gain, b.zero FROM t{d} t LEFT JOIN b{d} b ON t.node_id = b.node_id)")
+        parts.append(
+            f"d{d} AS (SELECT *, CASE WHEN pos = 0 OR neg = 0 THEN 'pure' WHEN {d} = {max_depth} THEN 'depth' "
+            f"WHEN pos + neg < {min_rows} THEN 'small' WHEN coalesce(zero, true) THEN 'zero_gain' ELSE 'split' END AS kind FROM x{d})"
+        )
+        if d < max_depth:
+            edge = "CASE d.attr " + " ".join(f"WHEN '{a}' THEN m.{a}" for a in categories)
+            edge += " " + " ".join(f"WHEN '{v}' THEN (CASE WHEN m.{v} <= d.threshold THEN '<=' ELSE '>' END)" for v in numbers) + " END"
+            own = ", ".join(f"m.{c}" for c in [*categories, *numbers, "is_vote_helpful"])
+            parts.append(
+                f"m{d + 1} AS (SELECT md5(m.node_id || '|' || d.attr || '=' || ({edge})) AS node_id, m.node_id AS parent_id, d.attr AS edge_attr, "
+                f"({edge}) AS edge_value, CASE WHEN d.threshold IS NULL THEN list_append(m.used, d.attr) ELSE m.used END AS used, {own} "
+                f"FROM m{d} m JOIN d{d} d ON m.node_id = d.node_id WHERE d.kind = 'split')"
+            )
+    levels = " UNION ALL ".join(
+        f"SELECT node_id, parent_id, {d} AS depth, edge_attr, edge_value, CASE WHEN kind = 'split' THEN attr END AS split_attr, "
+        f"CASE WHEN kind = 'split' THEN threshold END AS threshold, CASE WHEN kind = 'split' THEN gain END AS gain, pos, neg, kind, "
+        f"pos > neg AS label FROM d{d}"
+        for d in range(max_depth + 1)
+    )
+    return ",\n".join([*parts, f"mixed AS ({levels})"])
+
+
+def mixed_walk_ctes(rows: str, categories: tuple, numbers: tuple, max_depth: int) -> str:
+    parts = [f"y0 AS (SELECT r.*, 'root' AS _cur, NULL::BOOLEAN AS _label, NULL::INTEGER AS _depth FROM {rows} r)"]
+    edge = "CASE t.split_attr " + " ".join(f"WHEN '{a}' THEN y.{a}" for a in categories)
+    edge += " " + " ".join(f"WHEN '{v}' THEN (CASE WHEN y.{v} <= t.threshold THEN '<=' ELSE '>' END)" for v in numbers) + " END"
+    for d in range(max_depth + 1):
+        parts.append(
+            f"y{d + 1} AS (SELECT y.* REPLACE (md5(y._cur || '|' || t.split_attr || '=' || ({edge})) AS _cur, "
+            f"coalesce(t.label, y._label) AS _label, coalesce(t.depth, y._depth) AS _depth) "
+            f"FROM y{d} y LEFT JOIN mixed t ON y._cur = t.node_id)"
+        )
+    return ",\n".join(parts)
+
+
+def prune_ctes() -> str:
+    """CTEs after ``walk_ctes`` that fold the tree from below; the last is ``pruned``."""
+    k = len(A)
+    visits = " UNION ALL ".join(f"SELECT t.node_id, w.is_vote_helpful FROM w{i} w JOIN tree t ON w._cur = t.node_id" for i in range(k + 1))
+    parts = [
+        f"reach AS (SELECT node_id, CAST(count_if(is_vote_helpful) AS BIGINT) AS rp, CAST(count_if(NOT is_vote_helpful) AS BIGINT) AS rn "
+        f"FROM ({visits}) v GROUP BY node_id)",
+        "rt AS (SELECT t.*, coalesce(rp, 0) AS reach_pos, coalesce(rn, 0) AS reach_neg FROM tree t LEFT JOIN reach r ON t.node_id = r.node_id)",
+    ]
+    for d in range(k, -1, -1):
+        below = f"SELECT parent_id, sum(errors) AS e, sum(reach_pos) AS p, sum(reach_neg) AS n FROM f{d + 1} GROUP BY parent_id"
+        if d == k:
+            below = "SELECT NULL::VARCHAR AS parent_id, 0 AS e, 0 AS p, 0 AS n WHERE false"
+        parts.append(
+            f"f{d} AS (SELECT *, CAST(least(as_leaf, subtree) AS BIGINT) AS errors, split_attr IS NOT NULL AND as_leaf <= subtree AS cut FROM ("
+            f"SELECT rt.*, CASE WHEN label THEN reach_neg ELSE reach_pos END AS as_leaf, "
+            f"CASE WHEN split_attr IS NULL THEN CASE WHEN label THEN reach_neg ELSE reach_pos END ELSE "
+            f"coalesce(e, 0) + CASE WHEN label THEN reach_neg - coalesce(n, 0) ELSE reach_pos - coalesce(p, 0) END END AS subtree "
+            f"FROM rt LEFT JOIN ({below}) b ON rt.node_id = b.parent_id WHERE rt.depth = {d}))"
+        )
+    parts.append("k0 AS (SELECT * FROM f0)")
+    for d in range(1, k + 1):
+        parts.append(
+            f"k{d} AS (SELECT f.* FROM f{d} f WHERE f.parent_id IN (SELECT node_id FROM k{d - 1} WHERE NOT cut AND split_attr IS NOT NULL))"
+        )
+    kept = " UNION ALL ".join(f"SELECT * FROM k{d}" for d in range(k + 1))
+    parts.append(f"pruned AS ({kept})")
+    return ",\n".join(parts)
+
+
 def oracle_sql() -> dict[str, str]:
-    from canopy.plans.queries import DOMAINS_D, DOMAINS_L, PATH_L, UNSEEN_LANG
+    from canopy.plans.queries import (
+        CATEGORIES,
+        DOMAINS_D,
+        DOMAINS_L,
+        MIXED_DEPTH,
+        MIXED_ROWS,
+        NUMBERS,
+        PATH_L,
+        UNSEEN_LANG,
+    )
 
     path = " AND ".join(f"{a} = '{v}'" for a, v in PATH_L)
     sq: dict[str, str] = {}
@@ -343,4 +477,21 @@ def oracle_sql() -> dict[str, str]:
     sq["prediction_truth_join"] = _with(SD, tree_ctes("train"), walk_ctes("test", "tree")) + (
         "SELECT doc_id, is_vote_helpful, prediction FROM walked"
     )
+    cut_cols = f"marketplace, attr, threshold, {r9('gain')} AS gain, left_pos, left_neg, pos, neg, n_values, zero"
+    sq["continuous_cuts"] = _with(SL) + " UNION ALL ".join(
+        f"SELECT {cut_cols} FROM ({best_cut_rows('tr', ['marketplace'], v)})" for v in NUMBERS
+    )
+    mixed = mixed_tree_ctes("tr", CATEGORIES, NUMBERS, MIXED_DEPTH, MIXED_ROWS)
+    sq["continuous_tree"] = _with(SL, mixed) + f"SELECT * REPLACE ({r9('gain')} AS gain) FROM mixed"
+    sq["continuous_predict"] = _with(SL, mixed, mixed_walk_ctes("te", CATEGORIES, NUMBERS, MIXED_DEPTH)) + (
+        "SELECT l_orderkey, l_linenumber, is_vote_helpful, CASE WHEN _label THEN 'true' ELSE 'false' END AS prediction, "
+        f"_depth AS matched_depth FROM y{MIXED_DEPTH + 1}"
+    )
+    pruned = (
+        "SELECT node_id, parent_id, depth, edge_attr, edge_value, rule, CASE WHEN NOT cut THEN split_attr END AS split_attr, "
+        f"CASE WHEN NOT cut THEN {r9('gain')} END AS gain, pos, neg, CASE WHEN cut THEN 'pruned' ELSE kind END AS kind, label, "
+        "reach_pos, reach_neg, errors FROM pruned"
+    )
+    for key, base in (("pruned_tree", SD), ("pruned_tree_lineitem", SL)):
+        sq[key] = _with(base, tree_ctes("train"), walk_ctes("test", "tree"), prune_ctes()) + pruned
     return sq

@@ -33,11 +33,13 @@ from canopy.operators.contingency import (
     node_split,
     path_filter,
 )
+from canopy.operators.continuous import best_cuts, grow_mixed_tree, predict_mixed
 from canopy.operators.discretize import quartile_cuts, quartile_cuts_approx
 from canopy.operators.evaluate import mean_squared_error, prediction_truth_join
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, LABEL, row_index
+from canopy.operators.prune import prune
 from canopy.operators.sampling import split_train_test, with_side
 from canopy.operators.tree import TREE_COLUMNS, grow_tree, tree_rules
 from canopy.plans.fixtures import fixture_d, fixture_l, vowel_count
@@ -62,6 +64,9 @@ DOMAINS_D = {
     "vine": ("0",),
 }
 UNSEEN_LANG = "es"
+CATEGORIES = ("marketplace", "verified_purchase", "vine", "product_category")
+NUMBERS = ("body_len", "l_linenumber")
+MIXED_DEPTH, MIXED_ROWS = 3, 20
 
 
 def _r(c, name: str):
@@ -334,6 +339,45 @@ def q_prediction_truth_join(spark: SparkSession, d: str) -> DataFrame:
     return prediction_truth_join(s.test, predicted, "doc_id")
 
 
+# --- numeric columns cut where they separate best, pruning --------------------------------
+
+
+def q_continuous_cuts(spark: SparkSession, d: str) -> DataFrame:
+    """The best cut of each numeric column in each marketplace, of all its distinct values."""
+    rows = _train_l(spark, d).groupBy("marketplace", *NUMBERS)
+    counted = rows.agg(F.count_if(F.col(LABEL)).alias("pos"), F.count_if(~F.col(LABEL)).alias("neg"))
+    cuts = best_cuts(counted, NUMBERS, ["marketplace"])
+    return cuts.withColumn("gain", F.round("gain", ROUND))
+
+
+def _mixed_tree(spark, d):
+    return grow_mixed_tree(_train_l(spark, d), CATEGORIES, NUMBERS, max_depth=MIXED_DEPTH, min_rows=MIXED_ROWS)
+
+
+def q_continuous_tree(spark: SparkSession, d: str) -> DataFrame:
+    return _mixed_tree(spark, d).withColumn("gain", F.round("gain", ROUND))
+
+
+def q_continuous_predict(spark: SparkSession, d: str) -> DataFrame:
+    test = split_train_test(fixture_l(spark, d), "key")[1]
+    predicted = predict_mixed(test, _mixed_tree(spark, d), CATEGORIES, NUMBERS)
+    return predicted.select("l_orderkey", "l_linenumber", LABEL, "prediction", "matched_depth")
+
+
+def _pruned(sides):
+    """The tree of the training side, pruned on the test side's cells."""
+    pruned = prune(train_tree(sides), sides.test_cells)
+    return pruned.withColumn("gain", F.round("gain", ROUND))
+
+
+def q_pruned_tree(spark: SparkSession, d: str) -> DataFrame:
+    return _pruned(_sides_d(spark, d))
+
+
+def q_pruned_tree_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    return _pruned(_sides_l(spark, d))
+
+
 QUERIES: dict[str, Query] = {
     "scan_project": q_scan_project,
     "row_count": q_row_count,
@@ -374,5 +418,10 @@ QUERIES: dict[str, Query] = {
     "mean_squared_error": q_mean_squared_error,
     "mean_squared_error_lineitem": q_mean_squared_error_lineitem,
     "prediction_truth_join": q_prediction_truth_join,
+    "continuous_cuts": q_continuous_cuts,
+    "continuous_tree": q_continuous_tree,
+    "continuous_predict": q_continuous_predict,
+    "pruned_tree": q_pruned_tree,
+    "pruned_tree_lineitem": q_pruned_tree_lineitem,
 }
 
