@@ -153,9 +153,15 @@ class MatrixBPE:
             run = np.concatenate([[0], np.cumsum(np.diff(found) > 1)])  # neighbours overlap: each second one merges
             first = np.searchsorted(run, run)
             at = found[(np.arange(len(found)) - first) % 2 == 0]
+            # from left to right, up to the first one that leaves a lower pair behind: that pair comes next
+            follows = np.concatenate([[False], at[1:] == at[:-1] + 2])
+            left = np.where(follows, best, ids[np.maximum(at - 1, 0)])
+            right = ids[np.minimum(at + 2, len(ids) - 1)]
+            lower = (at > 0) & (self.pairs.find(left, np.full_like(left, best)) < best)
+            lower |= (at + 2 < len(ids)) & (self.pairs.find(np.full_like(right, best), right) < best)
+            if lower.any():
+                at = at[: int(lower.argmax()) + 1]
             merged = self._replaced(ids, at, best)
-            if len(at) > 1 and (self.pairs.find(merged[:-1], merged[1:]) < best).any():
-                merged = self._replaced(ids, at[:1], best)
             ids = merged
         return ids.tolist()
 

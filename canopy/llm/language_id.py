@@ -144,13 +144,15 @@ def fit(
     n, frequency = document_frequencies(rows, "text")
     idf = np.log((1 + n) / (1 + frequency)).astype(np.float32) + np.float32(1)
     order = F.xxhash64(F.coalesce(F.col("id").cast("string"), F.lit("")), F.lit(seed))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id"))
-    # ids first, so that only the chosen rows' texts move; a repeated id may bring its rows along
-    chosen = rows.select("lang", "id", order.alias("h")).withColumn("rank", rank).where(F.col("rank") <= sample_rows)
-    sample = rows.join(F.broadcast(chosen.select("lang", "id").distinct()), ["lang", "id"], "left_semi")
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "id", "t"))
+    # keys first, so that only the chosen rows' texts move; equal rows count once
+    keys = ["lang", "k", "t"]
+    keyed = rows.withColumn("k", F.coalesce(F.col("id").cast("string"), F.lit(""))).withColumn("t", F.xxhash64("text"))
+    chosen = keyed.select(*keys, "id", order.alias("h")).distinct().withColumn("rank", rank).where(F.col("rank") <= sample_rows)
+    sample = keyed.join(F.broadcast(chosen.select(*keys)), keys, "left_semi").dropDuplicates(keys)
 
     def cluster(group: pd.DataFrame) -> pd.DataFrame:
-        texts = sorted(group["text"])[: 4 * sample_rows]
+        texts = sorted(group["text"])
         centres, far = spherical_k_means(vectors(gram_counts([t.encode() for t in texts]), idf), clusters, rounds, seed)
         return pd.DataFrame(
             {"lang": group["lang"].iloc[0], "centroid": [c.tolist() for c in centres], "radius": (far * slack).tolist()}

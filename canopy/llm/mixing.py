@@ -108,8 +108,8 @@ def source_targets(sizes: DataFrame, weights: Sequence[int], cap: int) -> DataFr
     return t.withColumn("target", target).select("key", "n_docs", "source_size", "all_size", "target")
 
 
-def joined_small(df: DataFrame, small: DataFrame, on: list[str], rows: int) -> DataFrame:
-    return df.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, on)
+def joined_small(df: DataFrame, small: DataFrame, on: list[str], rows: int, how: str = "inner") -> DataFrame:
+    return df.join(F.broadcast(small) if rows <= BROADCAST_ROWS else small, on, how)
 
 
 def shard_plan(sizes: DataFrame, weights: Sequence[int], cap: int, block_words: int, shard_rows: int, seed: int):
@@ -197,7 +197,9 @@ def mixed(
     seed: int = 11,
 ) -> DataFrame:
     """The rows of ``df`` as often as the mix takes them: whole times of the
-    text, a part of at least a half counting as one."""
+    text, a part of at least a half counting as one.  A source of which only
+    smaller parts are taken keeps the document with the largest taken part, so no
+    source that has a share is lost; its words are then over its target."""
     named = df.select(
         F.col(id_col).alias("id"),
         source_key(F.col(source_col)).alias("key"),
@@ -206,5 +208,15 @@ def mixed(
     )
     placed = placed_rows(named, weights, cap, block_words, shard_rows, seed)
     times = F.when(F.col("size") > 0, F.floor(F.col("taken") / F.col("size") + 0.5)).otherwise(0).cast("int")
-    copies = placed.withColumn("times", times).where("times > 0")
+    placed = placed.withColumn("times", times)
+    kept = placed.groupBy("key").agg(
+        F.sum(F.col("times") * F.col("size")).alias("kept"), F.max(F.struct("taken", "shard", "start")).alias("most")
+    )
+    lost = stored(kept.where("kept = 0 and most.taken > 0").select("key", "most"), "mix-lost")
+    n_lost = lost.count()
+    if n_lost:  # rarely any
+        told = joined_small(placed, lost, ["key"], n_lost, "left")
+        largest = (F.col("size") > 0) & (F.struct("taken", "shard", "start") == F.col("most"))
+        placed = told.withColumn("times", F.when(F.coalesce(largest, F.lit(False)), 1).otherwise(F.col("times")))
+    copies = placed.where("times > 0")
     return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

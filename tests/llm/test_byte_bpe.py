@@ -40,6 +40,32 @@ def test_long_words(library):
         assert coder.encode([text])[0] == library.encode_ordinary(text)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_words_on_both_sides_of_the_matrix_width(seed, tmp_path):
+    """Ranks where a merge in the middle of a run makes a pair of lower rank than its own."""
+    rng = random.Random(seed)
+    ranks = {bytes([b]): b for b in range(256)} | {b"aba": 299, b"ab": 300}
+    if seed:
+        for n in range(12):
+            token = rng.choice(list(ranks)[-8:]) + rng.choice([b"a", b"b", rng.choice(list(ranks)[-8:])])
+            ranks.setdefault(token, 400 - 7 * n if seed % 2 else 301 + n)
+    path = tmp_path / "r.tiktoken"
+    path.write_bytes(b"\n".join(base64.b64encode(t) + b" " + str(r).encode() for t, r in ranks.items()))
+
+    def plain(word):
+        parts = [bytes([c]) for c in word]
+        while True:
+            pairs = [(ranks.get(x + y, 1 << 30), k) for k, (x, y) in enumerate(zip(parts, parts[1:], strict=False))]
+            if not pairs or min(pairs)[0] == 1 << 30:
+                return [ranks[x] for x in parts]
+            k = min(pairs)[1]
+            parts[k : k + 2] = [parts[k] + parts[k + 1]]
+
+    coder = load_ranks(str(path), r"\w+")
+    words = ["ab" * 50, "ab" * 200, "a" * 300, "aab" * 120, *("".join(rng.choices("ab", k=k)) for k in (255, 256, 257, 400))]
+    assert coder.encode(words) == [plain(w.encode()) for w in words]
+
+
 def test_cache_limit_does_not_change_results(library, monkeypatch):
     monkeypatch.setattr(byte_bpe, "CACHED_WORDS", 3)
     coder = load_ranks(PATH, P.PATTERN)

@@ -26,6 +26,39 @@ def test_nothing_is_learned_from_held_out_rows_or_their_columns(spark, docs):
     assert a.languages == b.languages and (a.centroids == b.centroids).all()
 
 
+def test_against_a_plain_version(docs):
+    """Counts, weights and cosines by dictionaries; the centroids are the model's."""
+    import math
+    from collections import Counter
+
+    import numpy as np
+
+    from canopy.llm import language_id
+
+    rows = [(i, f"the cat {i} and the dog" if i % 2 else f"der hund {i} und die katze", "en" if i % 2 else "de") for i in range(30)]
+    model = fit(docs(rows))
+    texts = ["the dog and a katze", "die katze", "word"]
+    grams = language_id.gram_counts([t.encode() for t in texts])
+    x = language_id.vectors(grams, model.idf)
+    dense = np.asarray(x.todense()) if hasattr(x, "todense") else np.asarray(x)
+    assert np.allclose((dense * dense).sum(axis=1), 1, atol=1e-5)
+    cosines = dense @ np.asarray(model.centroids).T
+    got = {r.doc_id: r for r in predict(docs([(i, t) for i, t in enumerate(texts)]), model).collect()}
+    for i in range(len(texts)):
+        best = int(np.argmax([math.fsum(a * b for a, b in zip(dense[i], c, strict=True)) for c in np.asarray(model.centroids)]))
+        assert np.isclose(cosines[i].max(), cosines[i][best], atol=1e-5)
+        assert got[i].lang_pred == model.languages[best]
+    assert Counter(r.lang_pred for r in got.values())["en"] >= 1
+
+
+def test_repeated_rows_count_once_and_the_sample_is_bounded(docs):
+    rows = [(1, "the cat and the dog", "en")] * 50 + [(1, f"other text {k}", "en") for k in range(5)]
+    once = rows[:1] + rows[50:]
+    a, b = fit(docs(rows), sample_rows=3), fit(docs(rows), sample_rows=3)
+    assert (a.centroids == b.centroids).all()
+    assert len(fit(docs(once), sample_rows=6).languages) == fit(docs(rows), sample_rows=6).languages.__len__()
+
+
 def test_edges(docs):
     rows = [(i, "the cat and the dog saw it", "en") for i in range(5)] + [(9, "le chat et le chien sont ici", "fr"), (10, "x", None)]
     model = fit(docs(rows))

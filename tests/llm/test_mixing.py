@@ -80,6 +80,15 @@ def test_mixed_repeats_rows(docs):
     assert abs(n["a"] - 15) <= 1 and abs(n["b"] - 15) <= 1 and abs(sum(n.values()) - 200) <= 2 and t[0].target == 750.0
 
 
+def test_mixed_loses_no_source(docs):
+    rows = [(0, "w " * 40000, "en", "z"), *((i, "w " * 50, "en", "ab"[i % 2]) for i in range(1, 801))]
+    taken = {r.doc_id: r.taken for r in M.shares(docs(rows)).collect()}
+    assert 0 < taken[0] < 20000  # less than half of the one document of its source
+    kept = [r.doc_id for r in M.mixed(docs(rows)).collect()]
+    assert kept.count(0) == 1
+    assert sorted(set(kept) - {0}) == sorted(i for i, t in taken.items() if i and t >= 25)
+
+
 def test_no_python_in_the_plan(docs):
     df = M.shares(docs([(1, "a b", "en", "s")]))
     plan = df._jdf.queryExecution().executedPlan().toString()
