@@ -21,8 +21,13 @@ Vectors are never coded: they go through both as they were given (``float`` as
 float32, all else as float64), arithmetic is double.  The component that makes
 up for the length is kept as its difference to the longest length, small where
 vectors are short, and vertices are compared by distance, so one long vector
-takes no digits from the others.  A vector is sent once to every block of about
-``block`` vertices that needs it, not once to every list it is on.  Equal
+takes no digits from the others.  A vector is sent once to every block that
+needs it, not once to every list it is on.  For building, blocks are cells of
+the nearest of at least ``cells`` centres, clustered from the sample of entry
+points, so the lists of near vertices share what is sent: a vector goes to about
+ten of 16 cells where there is hardly any structure, whatever the number of
+vertices.  Cells with more than ``block`` vertices (fewer, if vectors are long)
+are cut by id, and no vector goes to more than the lists it is on.  Equal
 vectors are one vertex, and its ``k + 1`` smallest ids stand for all of them,
 which is exact for ``k`` neighbours.
 
@@ -191,6 +196,8 @@ def best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
     return near[np.lexsort((ids[near], -scores[near]))][:k]
 
 
+#: Vectors that the lists of one block may need, in bytes; centres that vertices are compared with.
+CELL_BYTES, MOST_CELLS = 64 << 20, 256
 CANDIDATES = "id long, ids binary, scores binary"
 
 
@@ -268,8 +275,8 @@ def kept_neighbours(graph: DataFrame, candidates: DataFrame, degree: int) -> Dat
     return streamed(rows, "id", ["kind"], ["id", "kind", "ids", "scores"], merge, GRAPH)
 
 
-def neighbourhoods(graph: DataFrame, degree: int, blocks: int) -> DataFrame:
-    """``v, block, ids, fresh``: each vertex with its neighbours and the best ``degree`` it is a neighbour of."""
+def neighbourhoods(graph: DataFrame, degree: int) -> DataFrame:
+    """``v, ids, fresh``: each vertex with its neighbours and the best ``degree`` it is a neighbour of."""
 
     def edges(given):
         v, u, s, f, way = [], [], [], [], []
@@ -290,8 +297,7 @@ def neighbourhoods(graph: DataFrame, degree: int, blocks: int) -> DataFrame:
         vertex, back, seen = None, 0, {}
 
         def row():
-            block = int(block_of(np.array([vertex]), blocks)[0])
-            return {"v": vertex, "block": block, "ids": np.array(list(seen), "<i8").tobytes(), "fresh": bytes(seen.values())}
+            return {"v": vertex, "ids": np.array(list(seen), "<i8").tobytes(), "fresh": bytes(seen.values())}
 
         for v, rows in groups:
             if v != vertex:
@@ -306,12 +312,38 @@ def neighbourhoods(graph: DataFrame, degree: int, blocks: int) -> DataFrame:
             yield row()
 
     order = [F.col("way"), F.col("score").desc(), F.col("u")]
-    return streamed(both, "v", order, ["v", "way", "score", "u", "fresh"], choose, "v long, block long, ids binary, fresh binary")
+    return streamed(both, "v", order, ["v", "way", "score", "u", "fresh"], choose, "v long, ids binary, fresh binary")
 
 
-def compared(graph: DataFrame, nodes: DataFrame, kind: str, blocks: int, degree: int, sent: int) -> DataFrame:
+def centres(sample: np.ndarray, cells: int) -> np.ndarray:
+    """Means of the sample's clusters; a cluster that loses all its points keeps its mean."""
+    found = sample[:cells].copy()
+    for _ in range(8):
+        at = np.argmax(closeness(sample, found), axis=1)
+        size = np.bincount(at, minlength=len(found))
+        sums = np.zeros_like(found)
+        np.add.at(sums, at, sample)
+        found = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], found)
+    return found
+
+
+def homes(nodes: DataFrame, means: np.ndarray, kind: str, block: int) -> DataFrame:
+    """``id, block``: the cell each vertex is in, cut into parts of about ``block`` vertices."""
+
+    def rows(given):
+        yield {"id": given["id"], "cell": np.argmax(closeness(points_of(given["point"], kind), means), axis=1).tolist()}
+
+    placed = stored(arrow_map(nodes, ["id", "point"], rows, "id long, cell int"), "ann-cells")
+    size = dict(placed.groupBy("cell").count().collect())  # one number a centre
+    parts = F.array(*[F.lit(math.ceil(size.get(k, 0) / block) or 1) for k in range(len(means))])
+    part = F.pmod(F.xxhash64("id"), F.element_at(parts, F.col("cell") + 1))
+    return placed.select("id", (part * len(means) + F.col("cell")).alias("block"))
+
+
+def compared(graph: DataFrame, nodes: DataFrame, home: DataFrame, kind: str, degree: int, sent: int) -> DataFrame:
     """Candidates from comparing, at every vertex, each fresh neighbour with all of its neighbours."""
-    members = stored(neighbourhoods(graph, degree, blocks), "ann-members")
+    lists = neighbourhoods(graph, degree).join(home.withColumnRenamed("id", "v"), "v")
+    members = stored(lists.select("v", "block", "ids", "fresh"), "ann-members")
 
     def needed(given):
         pairs = {(b, u) for b, ids in zip(given["block"], given["ids"], strict=True) for u in np.frombuffer(ids, "<i8").tolist()}
@@ -377,12 +409,14 @@ def compared(graph: DataFrame, nodes: DataFrame, kind: str, blocks: int, degree:
     return streamed(rows, "block", ["kind", "id"], columns, compare, CANDIDATES)
 
 
-def build_graph(nodes: DataFrame, sample: np.ndarray, kind: str, *, degree: int, leaf: int, tables: int, blocks: int, sent: int, settled: float, seed: int) -> DataFrame:
+def build_graph(
+    nodes: DataFrame, home: DataFrame, sample: np.ndarray, kind: str, *, degree: int, leaf: int, tables: int, sent: int, settled: float, seed: int
+) -> DataFrame:
     n = nodes.count()
     start = nodes.select("id", F.lit(b"").alias("ids"), F.lit(b"").alias("scores"))
     graph = stored(kept_neighbours(start, first_candidates(nodes, n, sample, kind, degree, leaf, tables, seed), degree), "ann-graph")
     while True:  # lists only get better, so this ends
-        graph = stored(kept_neighbours(graph, compared(graph, nodes, kind, blocks, degree, sent), degree), "ann-graph")
+        graph = stored(kept_neighbours(graph, compared(graph, nodes, home, kind, degree, sent), degree), "ann-graph")
         if graph.agg(F.sum("changed")).first()[0] <= settled * degree * n:
             break
     return graph
@@ -543,15 +577,19 @@ def next_beams(beams: DataFrame, found: DataFrame, beam: int, width: int) -> Dat
     return streamed(rows, "id", ["kind"], columns, merge, BEAM)
 
 
-def scored_pairs(beams: DataFrame) -> DataFrame:
-    """``vertex, near, score``: the whole beams but for the queries themselves."""
+def scored_pairs(beams: DataFrame, most: int) -> DataFrame:
+    """``vertex, near, score``: the first ``most`` of each beam but for the query itself.
+
+    Beams are in order of score, then id, and a vertex goes by its smallest id:
+    no id of a later vertex is among the first ``most`` ids.
+    """
 
     def pairs(given):
         out = {"vertex": [], "near": [], "score": []}
         for q, ids, scores in zip(given["id"], given["ids"], given["scores"], strict=True):
             near, scores = np.frombuffer(ids, "<i8"), np.frombuffer(scores, "<f8")
-            other = near != q
-            out["vertex"] += [q] * int(other.sum())
+            other = np.flatnonzero(near != q)[:most]
+            out["vertex"] += [q] * len(other)
             out["near"] += near[other].tolist()
             out["score"] += scores[other].tolist()
         yield out
@@ -576,6 +614,7 @@ def nearest(
     beam: int = 400,
     width: int = 128,
     block: int = 4096,
+    cells: int = 16,
     seed: int = 3,
 ) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every row whose id ``is_query`` holds for."""
@@ -599,13 +638,15 @@ def nearest(
     if len(sample):
         queries = nodes.join(asking.select(F.col("vertex").alias("id")).distinct(), "id", "left_semi")
         beams = first_beams(queries, sample_ids, sample_x, kind, beam, starts)
+        held = min(block, max(64, CELL_BYTES // (2 * degree * len(sample[0].point))))
+        home = homes(nodes, centres(sample_x, min(MOST_CELLS, max(cells, math.ceil(n / held)))), kind, held)
         shares = [1]  # one in so many of the vertices
         while n / shares[-1] / LEVEL > entries:
             shares.append(shares[-1] * LEVEL)
         for share in reversed(shares):
             some = nodes.where(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(share)) == 0)
-            graph = build_graph(some, sample_x, kind, degree=degree, leaf=leaf, tables=tables, blocks=blocks, sent=sent, settled=settled, seed=seed)
-            lists = stored(neighbourhoods(graph, degree, blocks).select("v", "ids"), "ann-lists")
+            graph = build_graph(some, home, sample_x, kind, degree=degree, leaf=leaf, tables=tables, sent=sent, settled=settled, seed=seed)
+            lists = stored(neighbourhoods(graph, degree).select("v", "ids"), "ann-lists")
             # all starts are looked at at once, the query's own vertex as well
             size, first = beam if share == 1 else starts, max(width, starts + 1)
             beams = stored(reopened(beams, kind), "ann-beams")
@@ -613,7 +654,7 @@ def nearest(
                 beams = stored(next_beams(beams, looked_at(beams, lists, some, kind, blocks, size, first), size, first), "ann-beams")
                 if not beams.agg(F.sum("open")).first()[0]:
                     break
-        found = scored_pairs(beams)
+        found = scored_pairs(beams, k + 1)
     else:
         found = df.sparkSession.createDataFrame([], "vertex long, near long, score double")
     # a query's own vertex is as near as it gets: its other members are candidates as well
@@ -622,6 +663,11 @@ def nearest(
     order = Window.partitionBy("vertex").orderBy("id")
     first = member.withColumn("n", F.row_number().over(order)).where(F.col("n") <= k + 1)
     first = first.select(F.col("vertex").alias("near"), F.col("id").alias("vec_id"))
-    pairs = found.unionByName(own).join(first, "near").join(asking, "vertex").where("vec_id <> query_id")
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return pairs.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    pairs = found.unionByName(own).join(first, "near")
+    # equal queries have one list: its first k + 1 ids, of which each query leaves out its own
+    place = F.row_number().over(Window.partitionBy("vertex").orderBy(F.desc("score"), "vec_id"))
+    listed = pairs.withColumn("place", place).where(F.col("place") <= k + 1)
+    lists = listed.groupBy("vertex").agg(F.sort_array(F.collect_list(F.struct("place", "vec_id", "score"))).alias("near"))
+    own_list = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
+    ranked = asking.join(lists, "vertex").select("query_id", F.posexplode(own_list).alias("at", "near"))
+    return ranked.select("query_id", (F.col("at") + 1).alias("rank"), "near.vec_id", "near.score")
