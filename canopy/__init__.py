@@ -28,7 +28,7 @@ from canopy.operators.contingency import (
     path_filter,
 )
 from canopy.operators.discretize import bin_quartiles, quartile_cuts, quartile_cuts_approx
-from canopy.operators.evaluate import mean_squared_error, prediction_truth_join
+from canopy.operators.evaluate import class_report, mean_squared_error, prediction_truth_join
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import fill_missing, prepare_reviews, row_index
@@ -48,6 +48,7 @@ __all__ = [
     "bin_quartiles",
     "cells",
     "class_counts",
+    "class_report",
     "distinct_values",
     "domain_violations",
     "entropy",

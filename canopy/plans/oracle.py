@@ -473,6 +473,13 @@ def oracle_sql() -> dict[str, str]:
         "AS mse, count(*) AS n_rows FROM walked"
     )
     sq["mean_squared_error"] = _with(SD, tree_ctes("train"), walk_ctes("test", "tree")) + mse
+    sq["class_report"] = _with(SD, tree_ctes("train"), walk_ctes("test", "tree")) + (
+        f"SELECT class, n_rows, n_predicted, hits, {r9('hits / nullif(n_predicted, 0)')} AS precision, "
+        f"{r9('hits / nullif(n_rows, 0)')} AS recall, {r9('2 * hits / nullif(n_rows + n_predicted, 0)')} AS f1 FROM ("
+        "SELECT class, count_if(CAST(is_vote_helpful AS VARCHAR) = class)::BIGINT AS n_rows, count_if(prediction = class)::BIGINT AS n_predicted, "
+        "count_if(CAST(is_vote_helpful AS VARCHAR) = class AND prediction = class)::BIGINT AS hits "
+        "FROM (VALUES ('true'), ('false')) c(class), walked GROUP BY class)"
+    )
     sq["mean_squared_error_lineitem"] = _with(SL, tree_ctes("train"), walk_ctes("test", "tree")) + mse
     sq["prediction_truth_join"] = _with(SD, tree_ctes("train"), walk_ctes("test", "tree")) + (
         "SELECT doc_id, is_vote_helpful, prediction FROM walked"

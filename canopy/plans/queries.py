@@ -35,7 +35,7 @@ from canopy.operators.contingency import (
 )
 from canopy.operators.continuous import best_cuts, grow_mixed_tree, predict_mixed
 from canopy.operators.discretize import quartile_cuts, quartile_cuts_approx
-from canopy.operators.evaluate import mean_squared_error, prediction_truth_join
+from canopy.operators.evaluate import class_report, mean_squared_error, prediction_truth_join
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, LABEL, row_index
@@ -327,6 +327,11 @@ def q_mean_squared_error(spark: SparkSession, d: str) -> DataFrame:
     return m.select(_r(F.col("mse"), "mse"), "n_rows")
 
 
+def q_class_report(spark: SparkSession, d: str) -> DataFrame:
+    report = class_report(_predicted_d(spark, d))
+    return report.select("class", "n_rows", "n_predicted", "hits", *[_r(F.col(c), c) for c in ("precision", "recall", "f1")])
+
+
 def q_mean_squared_error_lineitem(spark: SparkSession, d: str) -> DataFrame:
     # scored on the test side's cells: same figure, no second pass over the rows
     s = _sides_l(spark, d)
@@ -416,6 +421,7 @@ QUERIES: dict[str, Query] = {
     "predict_unseen": q_predict_unseen,
     "squared_error": q_squared_error,
     "mean_squared_error": q_mean_squared_error,
+    "class_report": q_class_report,
     "mean_squared_error_lineitem": q_mean_squared_error_lineitem,
     "prediction_truth_join": q_prediction_truth_join,
     "continuous_cuts": q_continuous_cuts,
