@@ -3,7 +3,7 @@ import math
 import numpy as np
 import pytest
 
-from canopy.llm.nn_descent import nearest
+from canopy.llm.nn_descent import centres, homes, nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
 
@@ -102,3 +102,16 @@ def test_edges(spark):
     assert nearest(spark.createDataFrame([], SCHEMA), lambda i: i % 20 == 0).collect() == []
     one = spark.createDataFrame([(20, [1.0, 2.0], 0)], SCHEMA)
     assert nearest(one, lambda i: i % 20 == 0).collect() == []
+
+
+def test_cells_hold_every_vertex_once_and_large_ones_are_cut(spark):
+    x = unit(np.random.default_rng(10), 900, 8)
+    x[:600] = x[0] + 0.01 * x[:600]  # one cell owns most vertices
+    nodes = spark.createDataFrame([(i, bytearray(v.astype("<f4").tobytes())) for i, v in enumerate(x)], "id long, point binary")
+    means = centres(x[-300:], 4)
+    rows = homes(nodes, means, "<f4", 100).collect()
+    assert sorted(r.id for r in rows) == list(range(900))
+    cell = np.argmax(x.astype("<f4") @ means.T - (means * means).sum(axis=1) / 2, axis=1)
+    assert all(r.block % 4 == cell[r.id] for r in rows)
+    size = {b: sum(r.block == b for r in rows) for b in {r.block for r in rows}}
+    assert max(size.values()) < 200 and len(size) >= 9
