@@ -29,13 +29,14 @@ from canopy.operators.contingency import (
 )
 from canopy.operators.discretize import bin_quartiles, quartile_cuts, quartile_cuts_approx
 from canopy.operators.evaluate import class_report, mean_squared_error, prediction_truth_join
+from canopy.operators.forest import grow_forest, predict_forest
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import fill_missing, prepare_reviews, row_index
 from canopy.operators.quantiles import exact_quantiles
 from canopy.operators.sampling import random_split, split_train_test
 from canopy.operators.tree import grow_tree, tree_rules
-from canopy.plans.end_to_end import binned_sides, evaluate, score_cells, train_tree
+from canopy.plans.end_to_end import binned_sides, evaluate, score_cells, score_forest, train_forest, train_tree
 from canopy.sources.reviews import REVIEW_COLUMNS, read_review_lines, read_reviews
 from canopy.sources.trees import load_tree, save_tree
 
@@ -56,6 +57,7 @@ __all__ = [
     "exact_quantiles",
     "fill_missing",
     "flag_to_boolean",
+    "grow_forest",
     "grow_tree",
     "hash_bucket",
     "info_gain",
@@ -66,6 +68,7 @@ __all__ = [
     "node_split",
     "path_filter",
     "predict",
+    "predict_forest",
     "prediction_truth_join",
     "prepare_reviews",
     "quartile_cuts",
@@ -78,9 +81,11 @@ __all__ = [
     "row_index",
     "save_tree",
     "score_cells",
+    "score_forest",
     "split_train_test",
     "squared_error",
     "text_length",
+    "train_forest",
     "train_tree",
     "tree_rules",
 ]

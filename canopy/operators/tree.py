@@ -114,33 +114,55 @@ def grow_tree(
         if train is None:
             raise ValueError("give train or cells")
         cells = build_cells(train, attrs, label, token)
-    spark = cells.sparkSession
-    limit = broadcast_bytes(spark, broadcast_limit)
+
+    start = cells.select(
+        F.lit(ROOT_ID).alias("node_id"),
+        *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs],
+        "pos",
+        "neg",
+    )
+    tree = grow_levels(start, attrs, force_root=force_root, broadcast_limit=broadcast_limit)
+    # no training rows: a single empty root leaf
+    return durable(_empty_root(cells.sparkSession))[0] if tree is None else tree
+
+
+def grow_levels(
+    start: DataFrame, attrs: Sequence[str], *, force_root: bool, broadcast_limit: int | None = None, keep: Sequence[str] = ()
+) -> DataFrame | None:
+    """The level loop: node table of the trees whose root ids and cells ``start`` holds (None without cells).
+
+    ``start`` has ``node_id, keep..., attrs..., pos, neg``.  Ids of nodes below different
+    roots differ, so any number of trees grows in one loop; ``keep`` are columns that
+    depend on the root alone and are added to the node table.
+    """
+    attrs, keep = list(attrs), list(keep)
+    limit = broadcast_bytes(start.sparkSession, broadcast_limit)
     widest = max(map(len, attrs), default=0)
 
     # Ids are stored as columns of the written cells: a literal id would be
     # constant-folded and turn the re-keying join into a nested loop.
     open_cells, n_cells = durable(
-        cells.select(
-            F.lit(ROOT_ID).alias("node_id"),
+        start.select(
+            "node_id",
             F.lit(None).cast("string").alias("parent_id"),
             F.array().cast(T.ArrayType(T.StringType())).alias("used"),
-            *[F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs],
+            *keep,
+            *attrs,
             "pos",
             "neg",
         ),
         count=True,
     )
-    if not n_cells:  # no training rows: a single empty root leaf
+    if not n_cells:
         release(open_cells)
-        return durable(_empty_root(spark))[0]
+        return None
 
     levels: list[DataFrame] = []
     while True:
         seen = Observation()
         splitting = F.col("kind") == "split"
         # the number of children is counted while the level is written
-        decided = _decided(open_cells, attrs, force_root).observe(
+        decided = _decided(open_cells, attrs, force_root, keep).observe(
             seen,
             F.coalesce(F.sum(F.when(splitting, F.col("n_children"))), F.lit(0)).alias("children"),
             F.count(F.when(splitting, F.lit(1))).alias("splits"),
@@ -157,6 +179,7 @@ def grow_tree(
                 child_id(F.col("node_id"), F.col("split_attr"), picked).alias("node_id"),
                 F.col("node_id").alias("parent_id"),
                 F.array_append(F.col("used"), F.col("split_attr")).alias("used"),
+                *keep,
                 *attrs,
                 "pos",
                 "neg",
@@ -165,7 +188,7 @@ def grow_tree(
         release(open_cells)
         open_cells = moved
 
-    tree, _ = durable(reduce(DataFrame.unionByName, [level.select(*TREE_COLUMNS) for level in levels]))
+    tree, _ = durable(reduce(DataFrame.unionByName, [level.select(*keep, *TREE_COLUMNS) for level in levels]))
     release(open_cells, *levels)
     return tree
 
@@ -187,9 +210,9 @@ def _empty_root(spark) -> DataFrame:
     )
 
 
-def _decided(open_cells: DataFrame, attrs: Sequence[str], force_root: bool) -> DataFrame:
+def _decided(open_cells: DataFrame, attrs: Sequence[str], force_root: bool, keep: Sequence[str] = ()) -> DataFrame:
     """The nodes of a level (``TREE_COLUMNS`` and ``n_children``) from its cells."""
-    node = ["node_id", "parent_id", "used"]
+    node = ["node_id", "parent_id", "used", *keep]
     counts = open_cells.unpivot([*node, "pos", "neg"], list(attrs), "attr", "value").groupBy(*node, "attr", "value")
     counts = counts.agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
     whole = F.col("pos") + F.col("neg")
@@ -247,6 +270,7 @@ def _decided(open_cells: DataFrame, attrs: Sequence[str], force_root: bool) -> D
     nodes = nodes.withColumn("kind", kind)
     splits = F.col("kind") == "split"
     return nodes.select(
+        *keep,
         "node_id",
         "parent_id",
         depth.alias("depth"),

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from canopy.operators._lineage import durable
 from canopy.operators.contingency import cells
 from canopy.operators.discretize import bin_quartiles, quartile_bin, quartile_cuts
+from canopy.operators.forest import N_TREES, grow_forest, predict_forest
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
 from canopy.operators.sampling import split_train_test, with_side
@@ -43,14 +44,14 @@ class Sides:
     """The two sides of a prepared frame, binned, as rows and as cells (``attrs..., pos, neg``)."""
 
     def __init__(self, prepared: DataFrame, key: str, cuts: str, attrs: Sequence[str], label: str, token: str):
-        self._prepared, self._key, self._cuts = prepared, key, cuts
-        self._attrs, self._label, self._token = list(attrs), label, token
+        self._prepared, self.key, self._cuts = prepared, key, cuts
+        self._attrs, self.label, self.token = list(attrs), label, token
         self._train_rows, self._test_rows = split_train_test(prepared, key)
 
     @cached_property
     def _narrow(self) -> DataFrame:
         own = [a for a in self._attrs if a != BINNED]
-        return durable(with_side(self._prepared, self._key).select("side", *own, self._label, VALUE))[0]
+        return durable(with_side(self._prepared, self.key).select("side", *own, self.label, VALUE))[0]
 
     @cached_property
     def _per_side(self) -> dict[str, tuple]:
@@ -79,7 +80,7 @@ class Sides:
     def _cells(self) -> DataFrame:
         own, other = (quartile_bin(F.col(VALUE), c) for c in (self.train_cuts, self.test_cuts))
         binned = self._narrow.withColumn(BINNED, F.when(F.col("side") == "train", own).otherwise(other))
-        return durable(cells(binned, ["side", *self._attrs], self._label, self._token))[0]
+        return durable(cells(binned, ["side", *self._attrs], self.label, self.token))[0]
 
     def _cells_of(self, side: str) -> DataFrame:
         return self._cells.where(F.col("side") == F.lit(side)).select(*self._attrs, "pos", "neg")
@@ -117,11 +118,24 @@ def score_cells(test_cells: DataFrame, tree: DataFrame, attrs=ATTRIBUTES) -> Dat
     """Mean squared error (= error rate) of ``tree`` over the rows the cells
     stand for: a cell predicted ``true`` contributes its ``neg`` count as
     errors, one predicted ``false`` its ``pos`` count.  One row: ``mse, n_rows``."""
-    p = predict(test_cells, tree, attrs)
+    return _error_rate(predict(test_cells, tree, attrs))
+
+
+def _error_rate(p: DataFrame) -> DataFrame:
     errors = F.sum(F.when(F.col("prediction") == "true", F.col("neg")).otherwise(F.col("pos")))
     n = F.sum(F.col("pos") + F.col("neg"))
     return p.agg(F.try_divide(errors.cast("double"), n.cast("double")).alias("mse"), n.cast("bigint").alias("n_rows"))
 
 
+def train_forest(sides: Sides, n_trees: int = N_TREES, attrs=ATTRIBUTES, **kw) -> DataFrame:
+    """Bagged trees of the training side: one more pass over its rows, for their weights."""
+    return grow_forest(sides.train, sides.key, n_trees, attrs, sides.label, token=sides.token, **kw)
+
+
+def score_forest(test_cells: DataFrame, forest: DataFrame, attrs=ATTRIBUTES) -> DataFrame:
+    """``score_cells`` for the forest's majority vote."""
+    return _error_rate(predict_forest(test_cells, forest, attrs))
+
+
 def evaluate(sides: Sides, tree: DataFrame, attrs=ATTRIBUTES) -> DataFrame:
     return score_cells(sides.test_cells, tree, attrs)

@@ -101,17 +101,36 @@ def value_case(split: str, rel: str) -> str:
     return f"CASE {split} " + " ".join(f"WHEN '{a}' THEN {rel}.{a}" for a in A) + " END"
 
 
-def tree_ctes(src: str, p: str = "") -> str:
-    """CTEs growing the tree over relation ``src``; the last is ``{p}tree``."""
+def bootstrap_cte(src: str, n_trees: int, steps: list[int]) -> str:
+    """``boot_cells``: weighted class counts per tree; a row's weight is the number of steps its draw reaches."""
+    cols = ", ".join(A)
+    weight = " + ".join(f"CAST(draw >= {x} AS BIGINT)" for x in steps)
+    draw = "('0x' || substr(md5(key || '|' || CAST(tree AS VARCHAR)), 1, 8))::BIGINT % 1000000"
+    return (
+        f"boot_cells AS (SELECT tree, {cols}, CAST(coalesce(sum(w) FILTER (is_vote_helpful), 0) AS BIGINT) AS pos, "
+        f"CAST(coalesce(sum(w) FILTER (NOT is_vote_helpful), 0) AS BIGINT) AS neg FROM (SELECT *, {weight} AS w FROM ("
+        f"SELECT *, {draw} AS draw FROM {src}, (SELECT CAST(range AS INTEGER) AS tree FROM range({n_trees})))) "
+        f"WHERE w > 0 GROUP BY tree, {cols})"
+    )
+
+
+def tree_ctes(src: str, p: str = "", forest: bool = False) -> str:
+    """CTEs growing the tree over relation ``src``; the last is ``{p}tree``.
+
+    With ``forest``, ``src`` are cells with a column ``tree``, and every tree is grown.
+    """
     k = len(A)
     cols = ", ".join(A)
     o_cols = ", ".join(f"o.{a}" for a in A)
+    root = "'root#' || CAST(tree AS VARCHAR)" if forest else "'root'"
+    tree, s_tree = ("tree, ", "s.tree, ") if forest else ("", "")
     parts = [
-        cells_cte(src, f"{p}cells"),
-        f"{p}oc0 AS (SELECT 'root' AS node_id, []::VARCHAR[] AS used, {cols}, pos, neg FROM {p}cells)",
-        f"{p}n0 AS (SELECT 'root' AS node_id, NULL::VARCHAR AS parent_id, 0 AS depth, NULL::VARCHAR AS edge_attr, "
+        f"{p}cells AS (SELECT * FROM {src})" if forest else cells_cte(src, f"{p}cells"),
+        f"{p}oc0 AS (SELECT {root} AS node_id, []::VARCHAR[] AS used, {cols}, pos, neg FROM {p}cells)",
+        f"{p}n0 AS (SELECT {tree}{root} AS node_id, NULL::VARCHAR AS parent_id, 0 AS depth, NULL::VARCHAR AS edge_attr, "
         f"NULL::VARCHAR AS edge_value, '' AS rule, []::VARCHAR[] AS used, "
-        f"CAST(coalesce(sum(pos), 0) AS BIGINT) AS pos, CAST(coalesce(sum(neg), 0) AS BIGINT) AS neg FROM {p}cells)",
+        f"CAST(coalesce(sum(pos), 0) AS BIGINT) AS pos, CAST(coalesce(sum(neg), 0) AS BIGINT) AS neg FROM {p}cells"
+        f"{' GROUP BY tree' if forest else ''})",
     ]
     for d in range(k + 1):
         unions = " UNION ALL ".join(
@@ -140,7 +159,7 @@ def tree_ctes(src: str, p: str = "") -> str:
         )
         if d < k:
             parts.append(
-                f"{p}n{d + 1} AS (SELECT md5(c.node_id || '|' || c.attr || '=' || c.value) AS node_id, "
+                f"{p}n{d + 1} AS (SELECT {s_tree}md5(c.node_id || '|' || c.attr || '=' || c.value) AS node_id, "
                 f"c.node_id AS parent_id, s.depth + 1 AS depth, c.attr AS edge_attr, c.value AS edge_value, "
                 f"CASE WHEN s.rule = '' THEN c.attr || '=' || c.value ELSE s.rule || ' AND ' || c.attr || '=' || c.value END AS rule, "
                 f"list_append(s.used, c.attr) AS used, c.pos, c.neg "
@@ -152,7 +171,7 @@ def tree_ctes(src: str, p: str = "") -> str:
                 f"FROM {p}oc{d} o JOIN {p}dec{d} s ON o.node_id = s.node_id WHERE s.kind = 'split')"
             )
     levels = " UNION ALL ".join(
-        f"SELECT node_id, parent_id, depth, edge_attr, edge_value, rule, "
+        f"SELECT {tree}node_id, parent_id, depth, edge_attr, edge_value, rule, "
         f"CASE WHEN kind = 'split' THEN best_attr END AS split_attr, "
         f"CASE WHEN kind = 'split' THEN best_gain END AS gain, pos, neg, kind, pos > neg AS label FROM {p}dec{d}"
         for d in range(k + 1)
@@ -161,11 +180,11 @@ def tree_ctes(src: str, p: str = "") -> str:
     return ",\n".join(parts)
 
 
-def walk_ctes(rows: str, tree: str) -> str:
+def walk_ctes(rows: str, tree: str, root: str = "'root'") -> str:
     """Prediction walk of ``rows`` through ``tree``; the last CTE is ``walked``."""
     k = len(A)
     parts = [
-        f"w0 AS (SELECT r.*, 'root' AS _cur, NULL::VARCHAR AS _node, NULL::VARCHAR AS _split, "
+        f"w0 AS (SELECT r.*, {root} AS _cur, NULL::VARCHAR AS _node, NULL::VARCHAR AS _split, "
         f"NULL::BOOLEAN AS _label, NULL::INTEGER AS _depth FROM {rows} r)"
     ]
     for i in range(k + 1):
@@ -358,7 +377,15 @@ def prune_ctes() -> str:
     return ",\n".join(parts)
 
 
+def forest_ctes(base: str, n_trees: int, steps: list[int]) -> list[str]:
+    """Bootstraps, trees and one walk for every pair of a test row and a tree."""
+    rows = f"test_trees AS (SELECT * FROM (SELECT *, row_number() OVER () AS r_id FROM test), (SELECT CAST(range AS INTEGER) AS tree FROM range({n_trees})))"
+    walk = walk_ctes("test_trees", "tree", "'root#' || CAST(r.tree AS VARCHAR)")
+    return [base, bootstrap_cte("train", n_trees, steps), tree_ctes("boot_cells", forest=True), rows, walk]
+
+
 def oracle_sql() -> dict[str, str]:
+    from canopy.operators.forest import N_TREES, poisson_steps
     from canopy.plans.queries import (
         CATEGORIES,
         DOMAINS_D,
@@ -501,4 +528,16 @@ def oracle_sql() -> dict[str, str]:
     )
     for key, base in (("pruned_tree", SD), ("pruned_tree_lineitem", SL)):
         sq[key] = _with(base, tree_ctes("train"), walk_ctes("test", "tree"), prune_ctes()) + pruned
+    on_d, on_l = (forest_ctes(base, N_TREES, poisson_steps()) for base in (SD, SL))
+    sq["forest_trees"] = _with(*on_d[:3]) + f"SELECT tree, {TREE_COLS} FROM tree"
+    sq["forest_trees_lineitem"] = _with(*on_l[:3]) + f"SELECT tree, {TREE_COLS} FROM tree"
+    votes = "count_if(_label) AS votes, count(_label) AS n_votes, any_value(is_vote_helpful) AS truth FROM walked"
+    said = "CASE WHEN 2 * votes > n_votes THEN 'true' ELSE 'false' END"
+    sq["forest_predict"] = _with(*on_d) + (
+        f"SELECT doc_id, {said} AS prediction, CAST(votes AS BIGINT) AS votes, n_votes FROM (SELECT doc_id, {votes} GROUP BY doc_id)"
+    )
+    sq["forest_error_lineitem"] = _with(*on_l) + (
+        f"SELECT {r9(f'avg(CAST({said} <> CAST(truth AS VARCHAR) AS INTEGER))')} AS mse, count(*) AS n_rows FROM ("
+        f"SELECT {votes} GROUP BY r_id)"
+    )
     return sq

@@ -36,6 +36,7 @@ from canopy.operators.contingency import (
 from canopy.operators.continuous import best_cuts, grow_mixed_tree, predict_mixed
 from canopy.operators.discretize import quartile_cuts, quartile_cuts_approx
 from canopy.operators.evaluate import class_report, mean_squared_error, prediction_truth_join
+from canopy.operators.forest import predict_forest
 from canopy.operators.impurity import best_attribute, info_gain
 from canopy.operators.predict import predict
 from canopy.operators.prepare import ATTRIBUTES, LABEL, row_index
@@ -43,7 +44,7 @@ from canopy.operators.prune import prune
 from canopy.operators.sampling import split_train_test, with_side
 from canopy.operators.tree import TREE_COLUMNS, grow_tree, tree_rules
 from canopy.plans.fixtures import fixture_d, fixture_l, vowel_count
-from canopy.plans.end_to_end import binned_sides, evaluate, train_tree
+from canopy.plans.end_to_end import binned_sides, evaluate, score_forest, train_forest, train_tree
 from canopy.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -383,6 +384,32 @@ def q_pruned_tree_lineitem(spark: SparkSession, d: str) -> DataFrame:
     return _pruned(_sides_l(spark, d))
 
 
+# --- bagged trees --------------------------------------------------------------------------
+
+
+def _forest_out(forest: DataFrame) -> DataFrame:
+    return forest.withColumn("gain", F.round("gain", ROUND))
+
+
+def q_forest_trees(spark: SparkSession, d: str) -> DataFrame:
+    """All trees of the forest, grown in one loop."""
+    return _forest_out(train_forest(_sides_d(spark, d)))
+
+
+def q_forest_trees_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    return _forest_out(train_forest(_sides_l(spark, d)))
+
+
+def q_forest_predict(spark: SparkSession, d: str) -> DataFrame:
+    s = _sides_d(spark, d)
+    return predict_forest(s.test, train_forest(s)).select("doc_id", "prediction", "votes", "n_votes")
+
+
+def q_forest_error_lineitem(spark: SparkSession, d: str) -> DataFrame:
+    s = _sides_l(spark, d)
+    return score_forest(s.test_cells, train_forest(s)).select(_r(F.col("mse"), "mse"), "n_rows")
+
+
 QUERIES: dict[str, Query] = {
     "scan_project": q_scan_project,
     "row_count": q_row_count,
@@ -429,5 +456,9 @@ QUERIES: dict[str, Query] = {
     "continuous_predict": q_continuous_predict,
     "pruned_tree": q_pruned_tree,
     "pruned_tree_lineitem": q_pruned_tree_lineitem,
+    "forest_trees": q_forest_trees,
+    "forest_trees_lineitem": q_forest_trees_lineitem,
+    "forest_predict": q_forest_predict,
+    "forest_error_lineitem": q_forest_error_lineitem,
 }
 
