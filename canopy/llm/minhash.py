@@ -24,9 +24,11 @@ Links are confirmed on the full word sets of both texts.
 Defined results: a null text or one without words has an empty set and is
 linked with nothing; fewer words than a shingle are one shingle; a null id is
 linked with nothing, its component is null and it is kept; rows of one id are
-each linked by their own text; an empty table gives an empty table; other
+each linked by their own text, and where such an id is the smallest of several
+sets these are numbered, in order of id, instead of named by it; an empty table gives an empty table; other
 columns of the input are ignored by ``near_duplicates`` and kept by
-``drop_near_duplicates``, where also of rows equal in id and set one stays.
+``drop_near_duplicates``, where also of rows equal in id and set one stays, and
+of an id's rows those go whose own text is a copy.
 """
 
 from __future__ import annotations
@@ -41,8 +43,10 @@ from pyspark.sql import functions as F
 
 from canopy.llm.common import arrow_map, stored
 from canopy.llm.components import components
+from canopy.operators.prepare import row_index
 
 RING_BITS = 20
+SHINGLE_WORDS = 5
 #: Word hashes a Python worker keeps between slices; beyond it, it starts again.
 CACHED_WORDS = 120_000
 MIX_A, MIX_B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
@@ -107,23 +111,38 @@ def band_hashes(sig: np.ndarray, bands: int) -> np.ndarray:
     return h.view(np.int64)
 
 
+def set_digests(sets: list[np.ndarray]) -> dict[str, list[int]]:
+    """``s1, s2``: the two halves of the 128-bit digest of each set."""
+    digests = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
+    halves = {"s1": slice(8), "s2": slice(8, None)}
+    return {name: [int.from_bytes(d[half], "big", signed=True) for d in digests] for name, half in halves.items()}
+
+
 def signatures(df: DataFrame, id_col: str, text_col: str, shingle_words: int, bands: int, rows: int, seed: int) -> DataFrame:
     """``id, n`` (set size), ``s1, s2`` (128-bit digest of the set) and ``bands``."""
 
     def measure(given):
         sets = [shingle_hashes(words_of(t), shingle_words) for t in given[text_col]]
-        digests = [xxhash.xxh128_digest(s.tobytes()) for s in sets]
         yield {
             "id": given[id_col],
             "n": [len(s) for s in sets],
-            "s1": [int.from_bytes(d[:8], "big", signed=True) for d in digests],
-            "s2": [int.from_bytes(d[8:], "big", signed=True) for d in digests],
+            **set_digests(sets),
             "bands": [band_hashes(signature(s, bands * rows, seed), bands).tolist() if len(s) else [] for s in sets],
         }
 
     return arrow_map(df, [id_col, text_col], measure, "id long, n long, s1 long, s2 long, bands array<long>")
 
 
+def digested(texts: DataFrame, shingle_words: int) -> DataFrame:
+    """``id, text`` and the digest ``s1, s2`` of the text's set."""
+
+    def measure(given):
+        sets = [shingle_hashes(words_of(t), shingle_words) for t in given["text"]]
+        yield {"id": given["id"], "text": given["text"], **set_digests(sets)}
+
+    return arrow_map(texts, ["id", "text"], measure, "id long, text string, s1 long, s2 long")
+
+
 def linked(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int) -> DataFrame:
     """The pairs (``a, b``: class ids) whose full sets reach ``percent`` of their union."""
     a = texts.select(F.col("id").alias("a"), F.col("text").alias("text_a"))
@@ -154,11 +173,19 @@ def linked(pairs: DataFrame, texts: DataFrame, shingle_words: int, percent: int)
 def classes_and_components(
     df: DataFrame, *, id_col, text_col, shingle_words: int, percent: int, bands: int, rows: int, seed: int
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The signed rows, the classes (``s1, s2, rep``) and the components of the linked classes (``id, component``)."""
+    """The signed rows, the classes (``s1, s2, rep, first_id``) and the components of the linked classes (``id, component``).
+
+    ``rep`` names a class: its smallest id, or its number in order of these
+    where one id is the smallest of several sets.
+    """
     signed = stored(signatures(df, id_col, text_col, shingle_words, bands, rows, seed), "minhash-signatures")
     usable = signed.where("id is not null and n > 0")
-    groups = usable.groupBy("s1", "s2").agg(F.min("id").alias("rep"), F.min_by("bands", "id").alias("bands"), F.first("n").alias("n"))
-    classes = stored(groups, "minhash-classes")
+    groups = usable.groupBy("s1", "s2").agg(F.min("id").alias("first_id"), F.min_by("bands", "id").alias("bands"), F.first("n").alias("n"))
+    classes = stored(groups.withColumn("rep", F.col("first_id")), "minhash-classes")
+    numbered = not classes.groupBy("first_id").count().where("count > 1").isEmpty()
+    if numbered:
+        numbers = row_index(classes.select("first_id", "s1", "s2"), "first_id", "rep").drop("first_id")
+        classes = stored(classes.drop("rep").join(numbers, ["s1", "s2"]), "minhash-classes")
     entries = classes.select("rep", "n", F.explode("bands").alias("bucket"))
     sizes = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     entries = stored(entries.join(sizes, "bucket"), "minhash-buckets")
@@ -168,7 +195,13 @@ def classes_and_components(
     entries = stored(entries.join(leader_of(entries), "bucket"), "minhash-entries")
     # texts of the classes that share a bucket with another one
     texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).where("text is not null")
-    texts = texts.join(weight.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
+    if numbered:
+        # of an id's rows the one whose set is the class's own
+        met = classes.join(weight, "rep", "left_semi").select(F.col("first_id").alias("id"), "s1", "s2", "rep")
+        texts = digested(texts.join(met.select("id").distinct(), "id", "left_semi"), shingle_words)
+        texts = texts.join(met, ["id", "s1", "s2"]).select(F.col("rep").alias("id"), "text").dropDuplicates(["id"])
+    else:
+        texts = texts.join(weight.select(F.col("rep").alias("id")), "id", "left_semi").dropDuplicates(["id"])
     texts = stored(texts, "minhash-texts")
 
     def confirmed(pairs: DataFrame) -> DataFrame:
@@ -192,7 +225,11 @@ def classes_and_components(
     rest = stored(rest.join(home, "rep").select("bucket", "rep", "n", "component", "home"), "minhash-rest")
     tiled = stored(linked_tiles(rest, texts, shingle_words, percent), "minhash-links")
     links = links.union(tiled).union(confirmed(between_homes(rest, percent)))
-    return signed, classes.select("s1", "s2", "rep"), components(links)
+    found = components(links)
+    if numbered:  # numbers follow the ids, so the least number of a component stands for its smallest id
+        found = found.join(classes.select(F.col("rep").alias("component"), "first_id"), "component")
+        found = found.select("id", F.col("first_id").alias("component"))
+    return signed, classes.select("s1", "s2", "rep", "first_id"), found
 
 
 def grouped(links: DataFrame, home: DataFrame) -> DataFrame:
@@ -345,7 +382,7 @@ def near_duplicates(
     *,
     id_col: str = "doc_id",
     text_col: str = "text",
-    shingle_words: int = 5,
+    shingle_words: int = SHINGLE_WORDS,
     percent: int = 80,
     bands: int = 36,
     rows: int = 5,
@@ -357,7 +394,7 @@ def near_duplicates(
     )
     # linked classes only: the others are their own component
     moved = found.select(F.col("id").alias("rep"), "component")
-    final = classes.join(moved, "rep", "left").select("s1", "s2", F.coalesce("component", "rep").alias("component"))
+    final = classes.join(moved, "rep", "left").select("s1", "s2", F.coalesce("component", "first_id").alias("component"))
     out = signed.select("id", "n", "s1", "s2").join(final, ["s1", "s2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
@@ -374,8 +411,18 @@ def near_duplicates(
 def drop_near_duplicates(df: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``df`` without the documents that are not the smallest id of their group."""
     judged = stored(near_duplicates(df, id_col=id_col, text_col=text_col, **how), "minhash-judged")
-    gone = judged.where(~F.col("kept")).select(F.col("doc_id").alias(id_col)).distinct()
+    # an id goes as a whole, or where its rows differ in that, its rows of some texts
+    own = judged.where("doc_id is not null").groupBy(F.col("doc_id").alias("id"))
+    own = own.agg(F.max("kept").alias("some_kept"), F.min("kept").alias("all_kept"))
+    gone = own.where(~F.col("some_kept")).select(F.col("id").alias(id_col))
     rows = df.join(gone, id_col, "left_anti").select(*df.columns)
+    differ = own.where("some_kept and not all_kept").select("id")
+    if not differ.isEmpty():
+        texts = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(differ, "id", "left_semi").distinct()
+        copies = judged.where(~F.col("kept")).select(F.col("doc_id").alias("id"), "s1", "s2").distinct()
+        copies = digested(texts, how.get("shingle_words", SHINGLE_WORDS)).join(copies, ["id", "s1", "s2"], "left_semi")
+        copies = stored(copies.select(F.col("id").alias(id_col), F.col("text").alias(text_col)), "minhash-copies")
+        rows = rows.join(copies, [id_col, text_col], "left_anti").select(*df.columns)
     twice = judged.where("kept and doc_id is not null").groupBy("doc_id", "s1", "s2").count().where("count > 1")
     twice = twice.select(F.col("doc_id").alias(id_col)).distinct()
     if twice.isEmpty():

@@ -93,3 +93,19 @@ def test_edges_and_sql(docs, tmp_path):
     docs(single).write.parquet(f"{tmp_path}/d")
     want = duckdb.sql(MINHASH.replace("FROM documents", f"FROM '{tmp_path}/d/*.parquet'")).fetchall()
     assert sorted(want) == sorted({g for g in got if g[0] < 8})
+
+
+def test_an_id_with_several_texts(docs):
+    rng = random.Random(11)
+    one, two, three = (" ".join(rng.choice("abcdefghij") + str(rng.randrange(900)) for _ in range(60)) for _ in range(3))
+    rows = [(1, one), (1, two), (2, one + " x"), (3, two + " y"), (5, three), (5, one + " z"), (4, three + " w"), (6, "own words"), (6, "")]
+    for order in (rows, rows[::-1]):
+        got = [(r.doc_id, r.component_id, r.kept) for r in H.near_duplicates(docs(order)).collect()]
+        assert sorted(got) == [
+            (1, 1, True), (1, 1, True), (2, 1, False), (3, 1, False), (4, 4, True), (5, 1, False), (5, 4, False), (6, 6, True), (6, 6, True),
+        ]
+    kept = H.drop_near_duplicates(docs(rows))
+    assert sorted((r.doc_id, r.text) for r in kept.collect()) == sorted([(1, one), (1, two), (4, three + " w"), (6, "own words"), (6, "")])
+    # the second text of 7 leads a group of its own and stays, its first one is a copy
+    mixed = [(1, one), (7, one + " x"), (7, two), (8, two + " y")]
+    assert sorted((r.doc_id, r.text) for r in H.drop_near_duplicates(docs(mixed)).collect()) == [(1, one), (7, two)]
