@@ -6,8 +6,9 @@ replacement.  It depends on nothing but the key and the tree's number, so any
 partitioning and any lost executor give the same forest.
 
 * **One pass over the rows.**  Rows are summed into weighted cells per (tree,
-  attributes); the map-side combine leaves at most one row per tree and
-  combination in a task, however many rows there are.
+  attributes): a task hashes the keys of a chunk of rows for all trees at once and
+  sums the chunk by combination, and the map-side combine leaves at most one row per
+  tree and combination in a task, however many rows there are.
 * **One level loop for all trees.**  Roots are ``'root#<tree>'``, so the ids of
   all nodes differ and ``tree.grow_levels`` grows every tree at once: no more
   jobs a level than for one tree.
@@ -24,12 +25,16 @@ outputs are replaced.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute  # noqa: F401
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from canopy.functions.columns import ColumnLike, child_id, col, hash_bucket, value_of
+from canopy.functions.columns import child_id, value_of
+from canopy.functions.hashing import md5_numbers
 from canopy.operators._lineage import broadcast_bytes, durable
 from canopy.operators.predict import _free_name
 from canopy.operators.prepare import ATTRIBUTES, FILL_TOKEN, LABEL
@@ -38,6 +43,8 @@ from canopy.operators.tree import ROOT_ID, TREE_COLUMNS, _empty_root, grow_level
 N_TREES = 16
 #: Weights are drawn in millionths.
 DRAWS = 1_000_000
+#: A task sums its rows in chunks of about so many rows, or bytes.
+CHUNK_ROWS, CHUNK_BYTES = 200_000, 32 << 20
 
 
 def poisson_steps(draws: int = DRAWS) -> list[int]:
@@ -52,11 +59,6 @@ def poisson_steps(draws: int = DRAWS) -> list[int]:
         chance /= len(steps)
 
 
-def bootstrap_draw(key: ColumnLike, tree: ColumnLike, draws: int = DRAWS) -> Column:
-    own = F.concat(F.coalesce(col(key).cast("string"), F.lit("")), F.lit("|"), col(tree).cast("string"))
-    return hash_bucket(own, draws)
-
-
 def bootstrap_cells(
     rows: DataFrame,
     key: str,
@@ -68,19 +70,59 @@ def bootstrap_cells(
     """``tree, attrs..., pos, neg``: weighted class counts of each tree's bootstrap."""
     if n_trees < 1:
         raise ValueError("a forest has at least one tree")
-    own = [F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(a) for a in attrs]
+    own = [F.coalesce(F.col(a).cast("string"), F.lit(token)).alias(f"a{i}") for i, a in enumerate(attrs)]
     truth = F.coalesce(F.col(label).cast("boolean"), F.lit(False))
+    text = F.coalesce(F.col(key).cast("string"), F.lit(""))
+    narrow = rows.select(text.alias("key"), truth.alias("truth"), *own)
+    columns = [f"a{i}" for i in range(len(attrs))]
+    chunked = ", ".join(["pos array<bigint>", "neg array<bigint>", *[f"{c} string" for c in columns]])
+    summed = narrow.mapInArrow(_chunk_sums(n_trees), chunked)
     # under names of their own, so that no attribute can clash with them
-    narrow = rows.select(F.struct(*own).alias("_attrs"), F.col(key).alias("_key"), truth.alias("_truth"))
-    dealt = narrow.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(n_trees - 1))))
-    drawn = dealt.withColumn("_draw", bootstrap_draw("_key", "tree"))
-    weight = sum((F.col("_draw") >= step).cast("bigint") for step in poisson_steps())
-    counted = drawn.withColumn("_weight", weight).where("_weight > 0").groupBy("tree", "_attrs")
-    summed = counted.agg(
-        F.sum(F.when(F.col("_truth"), F.col("_weight")).otherwise(0)).alias("pos"),
-        F.sum(F.when(F.col("_truth"), 0).otherwise(F.col("_weight"))).alias("neg"),
-    )
-    return summed.select("tree", *[F.col(f"_attrs.{a}").alias(a) for a in attrs], "pos", "neg")
+    each = F.posexplode(F.arrays_zip("pos", "neg")).alias("tree", "_counts")
+    dealt = summed.select(F.struct(*columns).alias("_attrs"), each)
+    counted = dealt.where("_counts.pos > 0 or _counts.neg > 0").groupBy("tree", "_attrs")
+    sums = counted.agg(F.sum("_counts.pos").alias("pos"), F.sum("_counts.neg").alias("neg"))
+    return sums.select("tree", *[F.col(f"_attrs.a{i}").alias(a) for i, a in enumerate(attrs)], "pos", "neg")
+
+
+def _chunk_sums(n_trees: int):
+    """Batches of ``key, truth, attrs...`` to one row a chunk and combination: its weights in each tree by class."""
+
+    def sums(table: pa.Table) -> pa.RecordBatch:
+        key = pa.compute.cast(table["key"], pa.large_binary()).combine_chunks()
+        offsets = np.frombuffer(key.buffers()[1], np.int64)[key.offset : key.offset + len(key) + 1]
+        data = np.frombuffer(key.buffers()[2] or b"", np.uint8)
+        drawn = md5_numbers(offsets, data, [f"|{t}".encode() for t in range(n_trees)])
+        combo, first = np.zeros(len(key), np.int64), np.zeros(1, np.int64)
+        for name in table.schema.names[2:]:
+            coded = table[name].combine_chunks().dictionary_encode()
+            combo = combo * len(coded.dictionary) + coded.indices.to_numpy(zero_copy_only=False)
+            # numbered anew by each column, so the product stays small
+            _, first, combo = np.unique(combo, return_index=True, return_inverse=True)
+        truth = table["truth"].combine_chunks().to_numpy(zero_copy_only=False)
+        steps, n = np.array(poisson_steps()), len(first)
+        counts = np.empty((2 * n, n_trees), np.int64)
+        for tree, number in enumerate(drawn):
+            weight = np.searchsorted(steps, number % DRAWS, side="right")
+            counts[:, tree] = np.bincount(combo + n * ~truth, weight, 2 * n)
+        ends = pa.array(np.arange(n + 1, dtype=np.int32) * n_trees)
+        lists = [pa.ListArray.from_arrays(ends, pa.array(part.ravel())) for part in (counts[:n], counts[n:])]
+        kept = table.select(table.schema.names[2:]).take(pa.array(first)).combine_chunks()
+        values = [c.combine_chunks() for c in kept.columns]
+        return pa.RecordBatch.from_arrays([*lists, *values], names=["pos", "neg", *kept.schema.names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows, size = [], 0, 0
+        for batch in batches:
+            held.append(batch)
+            rows, size = rows + batch.num_rows, size + batch.nbytes
+            if rows >= CHUNK_ROWS or size >= CHUNK_BYTES:
+                yield sums(pa.Table.from_batches(held))
+                held, rows, size = [], 0, 0
+        if rows:
+            yield sums(pa.Table.from_batches(held))
+
+    return run
 
 
 def grow_forest(

@@ -37,6 +37,7 @@ from canopy.operators.tree import grow_tree
 
 BINNED = "review_body"
 VALUE = "body_len"
+KEY = "_key"
 NO_CUTS = (None, None, None)
 
 
@@ -46,12 +47,14 @@ class Sides:
     def __init__(self, prepared: DataFrame, key: str, cuts: str, attrs: Sequence[str], label: str, token: str):
         self._prepared, self.key, self._cuts = prepared, key, cuts
         self._attrs, self.label, self.token = list(attrs), label, token
+        self._keyed = False
         self._train_rows, self._test_rows = split_train_test(prepared, key)
 
     @cached_property
     def _narrow(self) -> DataFrame:
         own = [a for a in self._attrs if a != BINNED]
-        return durable(with_side(self._prepared, self.key).select("side", *own, self.label, VALUE))[0]
+        keys = [F.col(self.key).cast("string").alias(KEY)] if self._keyed else []
+        return durable(with_side(self._prepared, self.key).select("side", *own, self.label, VALUE, *keys))[0]
 
     @cached_property
     def _per_side(self) -> dict[str, tuple]:
@@ -76,6 +79,17 @@ class Sides:
         """Test rows, binned with the test cuts (or the training cuts)."""
         return bin_quartiles(self._test_rows, self.test_cuts, VALUE, BINNED)
 
+    @property
+    def train_draws(self) -> DataFrame:
+        """``_key, attrs..., label`` of the training rows: from the narrow table, which then holds the
+        keys, unless it has been stored without."""
+        if "_narrow" not in self.__dict__:
+            self._keyed = True
+        if not self._keyed:
+            return self.train.select(F.col(self.key).cast("string").alias(KEY), *self._attrs, self.label)
+        training = self._narrow.where(F.col("side") == F.lit("train"))
+        return bin_quartiles(training, self.train_cuts, VALUE, BINNED).select(KEY, *self._attrs, self.label)
+
     @cached_property
     def _cells(self) -> DataFrame:
         own, other = (quartile_bin(F.col(VALUE), c) for c in (self.train_cuts, self.test_cuts))
@@ -128,8 +142,8 @@ def _error_rate(p: DataFrame) -> DataFrame:
 
 
 def train_forest(sides: Sides, n_trees: int = N_TREES, attrs=ATTRIBUTES, **kw) -> DataFrame:
-    """Bagged trees of the training side: one more pass over its rows, for their weights."""
-    return grow_forest(sides.train, sides.key, n_trees, attrs, sides.label, token=sides.token, **kw)
+    """Bagged trees of the training side: one more pass over its rows as stored, for their weights."""
+    return grow_forest(sides.train_draws, KEY, n_trees, attrs, sides.label, token=sides.token, **kw)
 
 
 def score_forest(test_cells: DataFrame, forest: DataFrame, attrs=ATTRIBUTES) -> DataFrame:

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -122,3 +123,19 @@ def test_no_nested_loops(spark):
     forest = grow_forest(some, "key", 4, ATTRS, "y")
     plan = forest_votes(some.select(*ATTRS).distinct(), forest, ATTRS)._jdf.queryExecution().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_key_is_hashed_once_a_tree(spark):
+    from canopy.functions.hashing import md5_numbers
+
+    keys = [b"", b"k", "\u00e4\u4e2d".encode(), *[bytes([65 + n % 26]) * n for n in range(48, 70)], b"z" * 300]
+    offsets = [0]
+    for k in keys:
+        offsets.append(offsets[-1] + len(k))
+    endings = [f"|{t}".encode() for t in (0, 9, 10, 100, 3)]
+    got = md5_numbers(np.array(offsets), np.frombuffer(b"".join(keys), np.uint8), endings)
+    for ending, numbers in zip(endings, got):
+        assert numbers.tolist() == [int(hashlib.md5(k + ending).hexdigest()[:8], 16) for k in keys]
+    # the filter on the weight repeated the hash for each of its steps
+    cells = bootstrap_cells(spark.createDataFrame([("k", "x", "u", "k", True)], SCHEMA), "key", 3, ATTRS, "y")
+    assert cells._jdf.queryExecution().executedPlan().toString().count("md5(") == 0
