@@ -15,6 +15,9 @@ scale it is unbounded.  This operator narrows down instead:
 3. The rows of the last ranges -- and only they -- are summed by value and one
    running sum a range finds all its ranks.
 
+The rows inside the search ranges are stored after each round, so all rows are read
+three times at most, whatever the number of rounds.
+
 Nothing is capped: more rows take more rounds (each divides a range by about
 ``RANGES``), and no task sorts more than about ``range_rows`` values.  The
 sketch only decides how the work is cut; the result is exact.
@@ -85,7 +88,7 @@ def exact_quantiles(
     names = list(names) if names is not None else [f"q{i}" for i in range(len(probs))]
     by = list(by)
     w = F.lit(1) if weight is None else (F.col(weight) if isinstance(weight, str) else weight)
-    group = F.to_json(F.struct(*by)) if by else F.lit("")  # one non-null key for any number of columns
+    group = F.struct(*by) if by else F.lit("")  # one non-null key for any number of columns
     src = df.select(*by, group.alias("_g"), F.col(value).cast("double").alias("_v"), w.cast("bigint").alias("_w"))
     src = src.where(F.col("_v").isNotNull() & ~F.isnan("_v") & (F.col("_w") > 0))
     cut = F.percentile_approx("_v", [i / ranges for i in range(1, ranges)], 10 * ranges).alias("_cuts")
@@ -103,8 +106,10 @@ def exact_quantiles(
     )
     narrow = src.select("_g", "_v", "_w")
     while (search.agg(F.max(F.when(F.col("_lo") < F.col("_hi"), F.col("_rows")))).first()[0] or 0) > range_rows:
-        last, search = search, durable(_narrowed(narrow, search, ranges, cut))[0]
-        release(last)
+        found, inside = _narrowed(narrow, search, ranges, cut)
+        last, search = search, durable(found)[0]
+        release(last, narrow)
+        narrow = inside
 
     # a search range of one value is the answer; in the others a running sum serves all ranks
     open_ = search.where(F.col("_lo") < F.col("_hi")).select("_g", "_ranks", "_start", "_lo", "_hi")
@@ -127,17 +132,33 @@ def _in_ranges(narrow: DataFrame, open_: DataFrame) -> DataFrame:
     return rows.where((F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi")))
 
 
-def _narrowed(narrow: DataFrame, search: DataFrame, ranges: int, cut: Column) -> DataFrame:
-    """The search table after one round: each open range replaced by its parts that hold ranks.
+def _with_bucket(rows: DataFrame, value: str, bounds: str, n_bounds: int, name: str) -> DataFrame:
+    """``rows`` with ``bucket_of`` the value among an array column of bounds.
+
+    A binary search, one projection a step: ``log2(n)`` comparisons of code as well, where a
+    tree of comparisons has ``n`` and outgrows what is compiled.
+    """
+    step = 1 << max(n_bounds.bit_length() - 1, 0)
+    rows = rows.withColumn(name, F.lit(0))
+    while step:
+        # beyond the last bound: null, which is not below
+        above = F.col(value) > F.get(bounds, F.col(name) + (step - 1))
+        rows = rows.withColumn(name, F.when(above, F.col(name) + step).otherwise(F.col(name)))
+        step >>= 1
+    return rows
+
+
+def _narrowed(narrow: DataFrame, search: DataFrame, ranges: int, cut: Column) -> tuple[DataFrame, DataFrame]:
+    """The search table after one round, each open range replaced by its parts that hold ranks; the rows in them, stored.
 
     Parts are only counted; a sketch is made of those that hold a rank.
     """
     done = search.where(F.col("_lo") >= F.col("_hi"))
     open_ = search.where(F.col("_lo") < F.col("_hi"))
     rows = _in_ranges(narrow, open_.select("_g", "_lo", "_hi", "_cuts"))
-    below = bucket_of(F.col("_v"), F.col("_cuts"), ranges - 1)
-    equal = (below < ranges - 1) & (F.element_at("_cuts", F.least(below + 1, F.lit(ranges - 1))) == F.col("_v"))
-    rows = rows.withColumn("_part", 2 * below + equal.cast("int"))  # a cut value is a part of its own
+    rows = _with_bucket(rows, "_v", "_cuts", ranges - 1, "_below")
+    equal = F.coalesce(F.get("_cuts", F.col("_below")) == F.col("_v"), F.lit(False))
+    rows = rows.withColumn("_part", 2 * F.col("_below") + equal.cast("int"))  # a cut value is a part of its own
     parts = rows.groupBy("_g", "_lo", "_part").agg(
         F.sum("_w").alias("_n"), F.count(F.lit(1)).alias("_rows"), F.min("_v").alias("_low"), F.max("_v").alias("_high")
     )
@@ -151,5 +172,6 @@ def _narrowed(narrow: DataFrame, search: DataFrame, ranges: int, cut: Column) ->
     held = held.drop("_lo").withColumnsRenamed({"_low": "_lo", "_high": "_hi"})
     held, _ = durable(held.select(*[c for c in search.columns if c != "_cuts"]))
     wide = held.where(F.col("_lo") < F.col("_hi")).select("_g", "_lo", "_hi")
-    cuts = _in_ranges(narrow, wide).groupBy("_g", "_lo").agg(cut)
-    return done.unionByName(held.join(cuts, ["_g", "_lo"], "left").select(*search.columns))
+    inside, _ = durable(_in_ranges(narrow, wide).select(*narrow.columns))
+    cuts = _in_ranges(inside, wide).groupBy("_g", "_lo").agg(cut)
+    return done.unionByName(held.join(cuts, ["_g", "_lo"], "left").select(*search.columns)), inside

@@ -33,12 +33,10 @@ def fixture_l(spark: SparkSession, sf_dir: str) -> DataFrame:
     cu = read_table(spark, sf_dir, "customer")
     na = read_table(spark, sf_dir, "nation")
     rg = read_table(spark, sf_dir, "region")
-    joined = (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(cu, od.o_custkey == cu.c_custkey)
-        .join(na, cu.c_nationkey == na.n_nationkey)
-        .join(rg, na.n_regionkey == rg.r_regionkey)
-    )
+    # the smaller tables first: the lines, by far the most rows, are shuffled once at most
+    placed = cu.join(na, cu.c_nationkey == na.n_nationkey).join(rg, na.n_regionkey == rg.r_regionkey)
+    ordered = od.join(placed, od.o_custkey == cu.c_custkey)
+    joined = li.join(ordered, li.l_orderkey == od.o_orderkey)
     return joined.select(
         F.concat_ws("-", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string")).alias("key"),
         "l_orderkey",

@@ -134,3 +134,28 @@ def test_row_index_of_text_date_and_hot_keys(spark):
         assert [i for i, _ in got] == list(range(n)) and [k for _, k in got] == sorted(r[0 if key == "k" else 1] for r in rows)
     spread = df.repartitionByRange(8, "k", "d", "_place").groupBy(F.spark_partition_id()).count().collect()
     assert max(r["count"] for r in spread) < 0.3 * n  # the hot key is cut by the other columns
+
+
+def test_buckets_by_binary_search(spark):
+    from canopy.operators.quantiles import _with_bucket, bucket_of
+
+    values = [-5.0, 0.0, 1.0, 1.5, 2.0, 7.0, 7.5, 9.0, 1e9]
+    for bounds in ([1.0], [0.0, 1.0], [1.0, 1.0, 2.0, 7.0, 9.0], [float(b) for b in range(7)]):
+        df = spark.createDataFrame([(v, bounds) for v in values], "v double, b array<double>")
+        got = _with_bucket(df, "v", "b", len(bounds), "k").select("k", bucket_of(F.col("v"), bounds).alias("want")).collect()
+        assert [r.k for r in got] == [r.want for r in got] == [sum(b < v for b in bounds) for v in values]
+
+
+def test_the_lines_are_shuffled_once(spark):
+    """Whatever is too large to broadcast: the lines join last, as they are."""
+    from canopy.plans.fixtures import fixture_l
+    from tests.conftest import SF001
+
+    was = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = fixture_l(spark, SF001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", was)
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "l_orderkey" in joins[0] and not any("l_orderkey" in j for j in joins[1:])
