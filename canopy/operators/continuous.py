@@ -37,6 +37,8 @@ from canopy.operators.tree import NODE_BYTES, ROOT_ID
 LOW, HIGH = "<=", ">"
 GAIN_DIGITS = 12
 BIG = "decimal(38,0)"
+#: Products of numbers up to this one fit 64 bits.
+PRODUCT_ROOT = 3_037_000_499
 
 MIXED_COLUMNS = (
     "node_id", "parent_id", "depth", "edge_attr", "edge_value", "split_attr", "threshold", "gain", "pos", "neg", "kind", "label",
@@ -56,6 +58,12 @@ def _gain(left_pos, left_neg, pos, neg):
     return entropy(pos, neg) - F.try_divide(below, (pos + neg).cast("double"))
 
 
+def _equal_products(a, b, c, d, most):
+    """Whether ``a * b == c * d``, exactly; none of the four is above ``most``."""
+    small = F.when(most <= PRODUCT_ROOT, a * b == c * d)
+    return small.otherwise(a.cast(BIG) * b.cast(BIG) == c.cast(BIG) * d.cast(BIG))
+
+
 def best_cuts(cells: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     """``by..., attr, threshold, gain, left_pos, left_neg, pos, neg, n_values, zero`` from rows of ``by..., values..., pos, neg``.
 
@@ -90,10 +98,12 @@ def best_cuts(cells: DataFrame, values: Sequence[str], by: Sequence[str] = ()) -
     )
     left, total = F.col("left_pos") + F.col("left_neg"), F.col("pos") + F.col("neg")
     cuts = run.where(left < total)  # the greatest value leaves nothing above
-    same = F.col("left_pos").cast(BIG) * total.cast(BIG) == F.col("pos").cast(BIG) * left.cast(BIG)
+    same = _equal_products(F.col("left_pos"), total, F.col("pos"), left, total)
     gain = _gain(F.col("left_pos"), F.col("left_neg"), F.col("pos"), F.col("neg"))
     cuts = cuts.withColumn("gain", gain).withColumn("_same", same)
-    first = F.struct((~F.col("_same")).alias("a"), F.round("gain", GAIN_DIGITS).alias("b"), (-F.col("_v")).alias("c"))
+    # units of the last digit: what round() orders by, without a decimal a row
+    units = F.floor(F.col("gain") * 10.0**GAIN_DIGITS + 0.5)
+    first = F.struct((~F.col("_same")).alias("a"), units.alias("b"), (-F.col("_v")).alias("c"))
     best = cuts.groupBy(*key).agg(
         F.max_by(F.struct(F.col("_v").alias("threshold"), "gain", "left_pos", "left_neg", "pos", "neg", "n_values"), first).alias("best"),
         F.bool_and("_same").alias("zero"),
