@@ -158,3 +158,21 @@ def test_edges_of_the_input(spark):
     with pytest.raises(ValueError):
         grow_mixed_tree(alike, ["c"], ["c"], "label")
     assert [r[0] for r in spark.createDataFrame([(None,), (math.nan,), (2.0,)], "v double").select(number("v")).collect()] == [-math.inf, -math.inf, 2.0]
+
+
+def test_products_are_compared_exactly(spark):
+    from canopy.operators.continuous import PRODUCT_ROOT, _equal_products
+
+    near, far = PRODUCT_ROOT, 1 << 61
+    rows = [(2, 6, 3, 4, 6), (2, 6, 3, 5, 6), (near, near, near, near, near), (near, near, near, near - 1, near)]
+    rows += [(near + 1, near + 1, near + 1, near + 1, near + 1), (far, far, far, far, far), (far, far - 1, far - 1, far - 1, far), (0, far, 0, 7, far)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint, c bigint, d bigint, most bigint")
+    got = df.select(_equal_products(F.col("a"), F.col("b"), F.col("c"), F.col("d"), F.col("most")).alias("same")).collect()
+    assert [r.same for r in got] == [a * b == c * d for a, b, c, d, _ in rows]
+
+
+def test_no_decimal_is_made_for_each_cut(spark):
+    """Gains were rounded through a decimal for every distinct value."""
+    cells = spark.createDataFrame([("n", 1.0, 1, 2), ("n", 2.0, 3, 0)], "node_id string, v double, pos bigint, neg bigint")
+    plan = best_cuts(cells, ["v"], ["node_id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "round(" not in plan and "floor(" in plan.lower()
