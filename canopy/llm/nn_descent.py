@@ -10,8 +10,9 @@ that beats the worst neighbour of one of the two goes to it, and each keeps its
 best ``degree``.  Rounds end when at most ``settled`` of all neighbours change.
 
 *Searching.*  All queries search at once.  Each holds a beam of its best
-``beam`` vertices; a round sends the best ones not looked at yet to the vertices'
-adjacency lists (ids of neighbours in both directions).  What comes back is
+``beam`` vertices; a round joins the best ones not looked at yet (``width``, twice
+as many each round) with the vertices' adjacency lists (ids of neighbours in both
+directions).  What comes back is
 scored block by block of vertices, and what isn't worse than the beam's worst
 goes into the beam.  Scores are those of the vectors as given, so the whole
 beam is exact and near copies are told apart.  Rounds end when no beam holds a
@@ -481,29 +482,17 @@ def looked_at(beams: DataFrame, lists: DataFrame, nodes: DataFrame, kind: str, b
     """Neighbours of each beam's best unseen vertices that aren't worse than the beam's worst."""
 
     def ask(given):
-        out = {c: [] for c in ("vertex", "kind", "query")}
+        out = {c: [] for c in ("vertex", "query")}
         for q, ids, seen in zip(*(given[c] for c in ("id", "ids", "seen")), strict=True):
             unseen = np.flatnonzero(~np.frombuffer(seen, bool))[:width]
             out["vertex"] += np.frombuffer(ids, "<i8")[unseen].tolist()
-            out["kind"] += [1] * len(unseen)
             out["query"] += [q] * len(unseen)
         yield out
 
     asking = beams.where("open > 0")
-    asked = arrow_map(asking, ["id", "ids", "seen"], ask, "vertex long, kind int, query long", slice_rows=64)
-    told = lists.select(F.col("v").alias("vertex"), F.lit(0).alias("kind"), "ids")
-
-    def answer(groups: Groups) -> Iterator[dict]:
-        vertex = ids = None
-        for v, rows in groups:
-            start = 0
-            if rows["kind"][0] == 0:
-                vertex, ids, start = v, rows["ids"][0], 1
-            if vertex == v:  # or a vertex without neighbours
-                for q in rows["query"][start:]:
-                    yield {"id": q, "ids": ids}
-
-    heard = streamed(asked.unionByName(told, allowMissingColumns=True), "vertex", ["kind"], ["vertex", "kind", "query", "ids"], answer, "id long, ids binary")
+    asked = arrow_map(asking, ["id", "ids", "seen"], ask, "vertex long, query long", slice_rows=64)
+    # a vertex that many beams look at is a skewed key of a plain join, which AQE splits
+    heard = asked.join(lists.select(F.col("v").alias("vertex"), "ids"), "vertex").select(F.col("query").alias("id"), "ids")
     both = asking.select("id", F.lit(0).alias("kind"), "point", "ids", "scores")
     both = both.unionByName(heard.withColumn("kind", F.lit(1)), allowMissingColumns=True)
 
@@ -654,6 +643,7 @@ def nearest(
                 beams = stored(next_beams(beams, looked_at(beams, lists, some, kind, blocks, size, first), size, first), "ann-beams")
                 if not beams.agg(F.sum("open")).first()[0]:
                     break
+                first = min(2 * first, size)  # what is still in a beam later on mostly stays, so it is looked at sooner
         found = scored_pairs(beams, k + 1)
     else:
         found = df.sparkSession.createDataFrame([], "vertex long, near long, score double")

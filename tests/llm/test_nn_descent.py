@@ -3,6 +3,7 @@ import math
 import numpy as np
 import pytest
 
+from canopy.llm import nn_descent
 from canopy.llm.nn_descent import centres, homes, nearest
 
 SCHEMA = "vec_id long, embedding array<float>, label int"
@@ -115,3 +116,12 @@ def test_cells_hold_every_vertex_once_and_large_ones_are_cut(spark):
     assert all(r.block % 4 == cell[r.id] for r in rows)
     size = {b: sum(r.block == b for r in rows) for b in {r.block for r in rows}}
     assert max(size.values()) < 200 and len(size) >= 9
+
+
+def test_later_rounds_look_at_more_of_a_beam(spark, monkeypatch):
+    rounds, stored = [], nn_descent.stored
+    monkeypatch.setattr(nn_descent, "stored", lambda df, name: (rounds.append(name), stored(df, name))[1])
+    rows = vector_rows(unit(np.random.default_rng(9), 600, 24))
+    got = nearest(spark.createDataFrame(rows, SCHEMA), lambda i: i % 50 == 0, degree=6, leaf=64, beam=60, width=6, entries=600, starts=4).collect()
+    assert recall(got, brute(rows, 50)) >= 0.9
+    assert 2 <= rounds.count("ann-beams") <= 10  # of 60 places 6 a round: more than 10
