@@ -31,7 +31,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -43,7 +43,7 @@ from pyspark.sql.window import Window
 
 from canopy.llm.common import stored
 from canopy.llm.token_count import sentence_pieces
-from canopy.llm.word_ids import json_ids, piece_ids
+from canopy.llm.word_ids import json_ids, piece_ids, ragged
 
 DOC = ("doc_id", "n_a", "n_b", "n_groups", "n_links")
 SLICE = (
@@ -180,6 +180,50 @@ def place_type(n: int) -> str:
     return "<u2" if n <= 1 << 16 else "<u4"
 
 
+@lru_cache(maxsize=2)
+def token_bytes(path: str, tokens_of: Callable[[str], list[bytes]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All tokens' bytes one after the other, and where each token starts and how long it is."""
+    tokens = tokens_of(path)
+    long = np.array([len(t) for t in tokens], np.int64)
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(long) - long, long
+
+
+def same_bytes(texts: list[str], ids: list[np.ndarray], path: str, tokens_of: Callable[[str], list[bytes]]) -> list[bool]:
+    """Whether the bytes of each text's tokens joined are the text's, for many short texts at a time."""
+    data, starts, long = token_bytes(path, tokens_of)
+    found = []
+    for first, last in spans([len(i) for i in ids], 1 << 16):
+        some = np.concatenate(ids[first:last]).astype(np.int64)
+        joined = data[ragged(starts[some], long[some])].tobytes()
+        ends = np.concatenate([[0], np.cumsum(long[some])])
+        stops = ends[np.cumsum([len(i) for i in ids[first:last]])].tolist()
+        for text, a, b in zip(texts[first:last], [0, *stops], stops, strict=False):
+            found.append(joined[a:b] == text.encode())
+    return found
+
+
+def spans(sizes: list[int], most: int) -> Iterator[tuple[int, int]]:
+    """Consecutive stretches of about ``most`` in sum, or of one."""
+    first, total = 0, 0
+    for k, size in enumerate(sizes):
+        if k > first and total + size > most:
+            yield first, k
+            first, total = k, 0
+        total += size
+    if sizes:
+        yield first, len(sizes)
+
+
+def distinct_places(pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct pairs in ascending order, the place of each pair among them, and how often each occurs; by hash, not by sorting all."""
+    coded = pa.array(pairs).dictionary_encode()
+    met, at = coded.dictionary.to_numpy(), coded.indices.to_numpy()
+    order = np.argsort(met)
+    place = np.empty(len(met), np.int64)
+    place[order] = np.arange(len(met))
+    return met[order], place[at], np.bincount(at, minlength=len(met))[order]
+
+
 def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_path: str, piece: int) -> dict[str, list]:
     """One stored row: the documents of a slice, its distinct pairs and every link as a pair's place."""
     tokens_a, tokens_b = byte_level_tokens(a_path), piece_tokens(b_path)
@@ -187,16 +231,8 @@ def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_pa
     spaced = [" " + t if t else "" for t in texts]
     all_a = json_ids(a_path, True, 3 << 17)(spaced)
     all_b = piece_ids(b_path)([t or "" for t in texts])
-    kept = []
-    for k, text in enumerate(spaced):
-        if text:
-            data = text.encode()
-            same = all(
-                b"".join(map(tokens.__getitem__, ids[k].tolist())) == data
-                for tokens, ids in ((tokens_a, all_a), (tokens_b, all_b))
-            )
-            if same:
-                kept.append(k)
+    same_a, same_b = same_bytes(spaced, all_a, a_path, byte_level_tokens), same_bytes(spaced, all_b, b_path, piece_tokens)
+    kept = [k for k, text in enumerate(spaced) if text and same_a[k] and same_b[k]]
     out = {c: np.zeros(len(docs), np.int64) for c in DOC[1:]}
     digests = [""] * len(docs)
     if kept:
@@ -217,7 +253,7 @@ def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_pa
         out["n_a"][kept], out["n_b"][kept] = n_a, n_b
         out["n_links"][kept] = np.diff(stop_links, prepend=0)
         pairs = (ids_a[merge.link_a].astype(np.int64) << B_BITS) | ids_b[merge.link_b]
-        distinct, links, times = np.unique(pairs, return_inverse=True, return_counts=True)
+        distinct, links, times = distinct_places(pairs)
     else:
         distinct = times = np.empty(0, np.int64)
         links = np.empty(0, np.int64)

@@ -30,6 +30,7 @@ import json
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -158,7 +159,9 @@ class WordIds:
                 found.update((w, data[a:b]) for w, a, b in cut)
         if single:
             ids = self.encode([self._whole(w) for w in single])
-            found.update((w, np.array(i, "<u4").tobytes()) for w, i in zip(single, ids, strict=True))
+            data = np.fromiter(chain.from_iterable(ids), "<u4").tobytes()
+            ends = (np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids))) * 4).tolist()
+            found.update((w, data[a:b]) for w, a, b in zip(single, [0, *ends[:-1]], ends, strict=True))
         return found
 
     def _parts(self, word: str) -> tuple[str, str] | None:
@@ -208,16 +211,16 @@ class WordIds:
     def _forget(self) -> None:
         """Keep the half of ``kept`` words used most; long words go."""
         n = len(self.words)
-        short = np.fromiter((len(w) <= self.longest for w in self.words), bool, n)
-        by_use = np.argsort(np.where(short, -self.uses[:n], 1), kind="stable")[: min(self.kept // 2, int(short.sum()))]
+        short = np.fromiter(map(len, self.words), np.int64, n) <= self.longest
+        most = min(self.kept // 2, int(short.sum()))
+        by_use = np.argpartition(np.where(short, -self.uses[:n], 1), most - 1)[:most] if most else np.zeros(0, np.int64)
         words, start, size, uses = self.words, self.start[by_use], self.size[by_use], self.uses[by_use] // 2
         ids = self.ids[ragged(start, size)]
         self.words = [words[k] for k in by_use.tolist()]
         self.places = Places()
-        for w in self.words:
-            self.places[w]
-        self.places.new = []
-        m = max(len(self.words), 1)
+        self.places.update(zip(self.words, range(most), strict=True))
+        self.places.n = most
+        m = max(most, 1)
         self.start, self.size, self.uses = (np.zeros(2 * m, np.int64) for _ in range(3))
         self.start[: len(size)], self.size[: len(size)], self.uses[: len(size)] = np.cumsum(size) - size, size, uses
         self.ids, self.n_ids = np.resize(ids, 2 * len(ids) + 1), len(ids)

@@ -10,7 +10,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from canopy.llm.queries import JSON_50K, PIECES_32K
-from canopy.llm.token_alignment import Merge, align, byte_level_tokens, diagonal, piece_tokens
+from canopy.llm.token_alignment import Merge, align, byte_level_tokens, diagonal, distinct_places, piece_tokens, same_bytes, spans
 from canopy.llm.token_count import sentence_pieces
 
 A, B = public_tokenizers.path(JSON_50K), public_tokenizers.path(PIECES_32K)
@@ -105,3 +105,23 @@ def test_null_and_repeated_ids_and_empty_table(spark):
     rows = sorted((r.doc_id is None, r.n_a, r.n_links) for r in align(df, A, B).collect())
     assert rows[0] == (False, 0, 0) and rows[1][1:] == rows[2][1:] and rows[2][0]
     assert align(df.limit(0), A, B).collect() == []
+
+
+def test_pairs_are_told_apart_by_hash_as_by_sorting():
+    rng = np.random.default_rng(4)
+    for pairs in (rng.integers(0, 50, 3000) << 32, rng.integers(-5, 1 << 50, 200), np.array([7]), np.zeros(9, np.int64)):
+        want = np.unique(pairs, return_inverse=True, return_counts=True)
+        assert all((a == b).all() for a, b in zip(distinct_places(pairs), want, strict=True))
+
+
+def test_tokens_that_differ_from_their_text_are_found_among_others():
+    path = public_tokenizers.path(JSON_50K)
+    tokenizer = Tokenizer.from_file(path)
+    texts = ["", " a plain text", " é ▁ 你好", "", " another one " * 9000, " last"]
+    ids = [np.array(tokenizer.encode(t, add_special_tokens=False).ids, np.uint32) for t in texts]
+    assert same_bytes(texts, ids, path, byte_level_tokens) == [True] * 6
+    # one byte moved to the neighbour leaves the whole as it was
+    assert same_bytes([*texts[:1], " a plain tex", "t é ▁ 你好", *texts[3:]], ids, path, byte_level_tokens) == [True, False, False, True, True, True]
+    assert same_bytes(texts, [*ids[:-1], ids[1]], path, byte_level_tokens) == [True] * 5 + [False]
+    assert same_bytes([], [], path, byte_level_tokens) == []
+    assert list(spans([3, 9, 1, 1, 0, 2], 4)) == [(0, 1), (1, 2), (2, 6)]

@@ -5,6 +5,7 @@ import random
 import public_tokenizers
 import pytest
 
+from canopy.llm import word_ids
 from canopy.llm.token_count import load_json, sentence_pieces
 from canopy.llm.word_ids import WordIds, json_ids, piece_ids
 
@@ -44,3 +45,15 @@ def test_without_a_known_shape_texts_are_encoded_whole():
     plain = WordIds(lambda texts: [[len(t)] for t in texts])
     assert [i.tolist() for i in plain(["a b", "", "xyz"])] == [[3], [0], [3]]
     assert plain([]) == []
+
+
+def test_words_kept_after_forgetting_are_placed_at_once(monkeypatch):
+    texts = [" ".join(f"w{i % 40} x{i * k} {'long' * 30}{i}" for i in range(200)) for k in range(1, 6)]
+    words = json_ids.__wrapped__(public_tokenizers.path("byte_bpe_50k.json"), kept=300)
+    want = [load_json(public_tokenizers.path("byte_bpe_50k.json")).encode(t, add_special_tokens=False).ids for t in texts]
+    assert [words([t])[0].tolist() for t in texts] == want
+    monkeypatch.setattr(word_ids.Places, "__missing__", None)  # a word kept is not asked for again
+    words._forget()
+    assert len(words.words) == words.places.n == 150 and [words.places[w] for w in words.words] == list(range(150))
+    monkeypatch.undo()
+    assert [words([t])[0].tolist() for t in texts] == want
