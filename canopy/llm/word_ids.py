@@ -61,8 +61,10 @@ def single_spaces(text: str) -> bool:
 
 def cut_before_space(text: str) -> list[str]:
     """Stretches without the one space each begins with; the first, which may have none, is led by a space."""
-    words = text.split(" ") if single_spaces(text) else [w[k > 0 :] for k, w in enumerate(BEFORE_SPACE.split(text))]
-    words[0] = " " + words[0]
+    led = text[0] == " "
+    rest = text[1:] if led else text  # nothing is cut before the first space
+    words = rest.split(" ") if rest and single_spaces(rest) else [w[k > 0 :] for k, w in enumerate(BEFORE_SPACE.split(rest))]
+    words[0] = "  " + words[0] if led else " " + words[0]
     return words
 
 

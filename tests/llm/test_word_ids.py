@@ -57,3 +57,13 @@ def test_words_kept_after_forgetting_are_placed_at_once(monkeypatch):
     assert len(words.words) == words.places.n == 150 and [words.places[w] for w in words.words] == list(range(150))
     monkeypatch.undo()
     assert [words([t])[0].tolist() for t in texts] == want
+
+
+def test_a_leading_space_needs_no_pattern(monkeypatch):
+    rng, marks = random.Random(6), [" ", " ", "a", "b.", "\n", "\u3000", "\x1c", "é"]
+    texts = [first + "".join(rng.choice(marks) for _ in range(rng.randint(0, 7))) for first in (" ", "x", "\n") for _ in range(400)]
+    for text in texts:
+        plain = [w[k > 0 :] for k, w in enumerate(word_ids.BEFORE_SPACE.split(text))]
+        assert word_ids.cut_before_space(text) == [" " + plain[0], *plain[1:]], text
+    monkeypatch.setattr(word_ids, "BEFORE_SPACE", None)
+    assert word_ids.cut_before_space(" some plain words") == ["  some", "plain", "words"]
