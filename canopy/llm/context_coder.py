@@ -26,39 +26,38 @@ import numpy as np
 
 #: Ids are 16-bit numbers.
 ID_LIMIT = 1 << 16
-TOP, BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
+WORD, WORD_BITS, ALL_BITS = np.uint64(1 << 32), np.uint64(32), np.uint64((1 << 64) - 1)
+#: Words an id can shift out: one for each of its at most two decisions and four digits.
+MOST_WORDS = 6
 SLOT_BITS = 10
 ONE = 4096  # probabilities are of so many parts
 STEP, FULL = 24, 1 << 13  # of digit frequencies
 
 
 class Encoder:
-    """Carry-less range encoder, one lane a block."""
+    """Carry-less range encoder, one lane a block; 64-bit numbers, of which 32 bits at a time go out."""
 
-    def __init__(self, lanes: int, capacity: int):
-        self.low = np.zeros(lanes, np.uint32)
-        self.range = np.full(lanes, 0xFFFFFFFF, np.uint32)
-        self.out = np.zeros((lanes, capacity), np.uint8)
+    def __init__(self, lanes: int, words: int):
+        self.low = np.zeros(lanes, np.uint64)
+        self.range = np.full(lanes, ALL_BITS, np.uint64)
+        self.out = np.zeros((lanes, words), ">u4")
         self.at = np.zeros(lanes, np.int64)
 
     def pick(self, lanes, total, known, bounds):
         """Code symbol ``known`` of each lane; ``bounds`` gives (low, size) of symbols."""
         low, size = bounds(known)
         part = self.range.take(lanes) // total
-        self.low[lanes] = self.low.take(lanes) + low * part
-        self.range[lanes] = size * part
-        settle(self, lanes)
+        settle(self, lanes, self.low.take(lanes) + low * part, size * part)
         return known
 
     def shift(self, lanes, low):
-        self.out[lanes, self.at[lanes]] = low >> np.uint32(24)
-        self.at[lanes] += 1
+        at = self.at.take(lanes)
+        self.out[lanes, at] = low >> WORD_BITS
+        self.at[lanes] = at + 1
 
     def finish(self) -> list[bytes]:
-        lanes = np.arange(len(self.low))
-        for _ in range(4):
-            self.shift(lanes, self.low)
-            self.low <<= np.uint32(8)
+        # the first number of 32 bits, then zeros, that isn't below ``low``; the range reaches farther
+        self.shift(np.arange(len(self.low)), self.low + (WORD - np.uint64(1)))
         return [self.out[k, :n].tobytes() for k, n in enumerate(self.at.tolist())]
 
 
@@ -66,43 +65,38 @@ class Decoder:
     """The counterpart of ``Encoder``."""
 
     def __init__(self, data: list[bytes]):
-        lanes, width = len(data), max(map(len, data)) + 8
-        self.data = np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), np.uint8).reshape(lanes, width)
-        self.low = np.zeros(lanes, np.uint32)
-        self.range = np.full(lanes, 0xFFFFFFFF, np.uint32)
-        self.at = np.full(lanes, 4)
-        self.code = np.ascontiguousarray(self.data[:, :4]).view(">u4")[:, 0].astype(np.uint32)
+        lanes, width = len(data), max(map(len, data)) // 4 * 4 + 8
+        self.data = np.frombuffer(b"".join(d.ljust(width, b"\0") for d in data), ">u4").reshape(lanes, width // 4)
+        self.low = np.zeros(lanes, np.uint64)
+        self.range = np.full(lanes, ALL_BITS, np.uint64)
+        self.at = np.full(lanes, 2)
+        self.code = (self.data[:, 0].astype(np.uint64) << WORD_BITS) | self.data[:, 1]
 
     def pick(self, lanes, total, find, bounds):
         """The coded symbol of each lane; ``find`` turns a place below ``total`` into its symbol."""
         part, start = self.range.take(lanes) // total, self.low.take(lanes)
-        place = np.minimum((self.code.take(lanes) - start) // part, total - np.uint32(1))
+        place = np.minimum((self.code.take(lanes) - start) // part, total - np.uint64(1))
         symbol = find(place)
         low, size = bounds(symbol)
-        self.low[lanes] = start + low * part
-        self.range[lanes] = size * part
-        settle(self, lanes)
+        settle(self, lanes, start + low * part, size * part)
         return symbol
 
     def shift(self, lanes, low):
-        self.code[lanes] = (self.code[lanes] << np.uint32(8)) | self.data[lanes, self.at[lanes]]
-        self.at[lanes] += 1
-
-
-def settle(coder, lanes) -> None:
-    """Shift bytes out (or in) of the lanes whose range got small."""
-    low, size = coder.low.take(lanes), coder.range.take(lanes)
-    while True:
-        same = (low ^ (low + size)) < TOP
-        need = same | (size < BOTTOM)
-        at = np.flatnonzero(need)
-        if not len(at):
-            return
-        lanes, low, size, same = lanes.take(at), low.take(at), size.take(at), same.take(at)
-        size = np.where(same, size, (np.uint32(0) - low) & (BOTTOM - np.uint32(1)))
+        at = self.at.take(lanes)
+        self.code[lanes] = (self.code.take(lanes) << WORD_BITS) | self.data[lanes, at]
+        self.at[lanes] = at + 1
+
+
+def settle(coder, lanes, low, size) -> None:
+    """Take over the lanes' new range; those whose range got small shift 32 bits out (or in), once."""
+    coder.low[lanes], coder.range[lanes] = low, size
+    at = np.flatnonzero(size < WORD)
+    if len(at):
+        lanes, low, size = lanes.take(at), low.take(at), size.take(at)
+        # a range that reaches over a multiple of 2**32 ends there
+        size = np.minimum(size, WORD - (low & (WORD - np.uint64(1))))
         coder.shift(lanes, low)
-        low, size = low << np.uint32(8), size << np.uint32(8)
-        coder.low[lanes], coder.range[lanes] = low, size
+        coder.low[lanes], coder.range[lanes] = low << WORD_BITS, size << WORD_BITS
 
 
 #: How sure a guess is after a miss (first half) or a hit, by how sure it was: up by one to 7, else halved, 1 for a new id.
@@ -136,12 +130,12 @@ class Decision:
         said = [c.take(k) for c, k in zip(self.counters, at, strict=True)]
         weights = [w.take(lanes) for w in self.weights]
         p = sum(x * w for x, w in zip(said, weights, strict=True)) // sum(weights)
-        p = np.minimum(np.maximum(p, 16), ONE - 16).astype(np.uint32)
+        p = np.minimum(np.maximum(p, 16), ONE - 16).astype(np.uint64)
 
         def bounds(hit):  # a hit lies below p
-            return np.where(hit, np.uint32(0), p), np.where(hit, p, np.uint32(ONE) - p)
+            return np.where(hit, np.uint64(0), p), np.where(hit, p, np.uint64(ONE) - p)
 
-        hit = coder.pick(lanes, np.uint32(ONE), known if known is not None else (lambda place: place < p), bounds)
+        hit = coder.pick(lanes, np.uint64(ONE), known if known is not None else (lambda place: place < p), bounds)
         truth = np.where(hit, ONE, 0).astype(np.int32)
         for c, w, k, x, weight in zip(self.counters, self.weights, at, said, weights, strict=True):
             off = truth - x
@@ -156,6 +150,7 @@ class Digits:
     def __init__(self, lanes: int, contexts: int):
         self.contexts = contexts
         self.table = np.tile(np.arange(1, 17, dtype=np.uint16), (lanes * contexts, 1))
+        self.rows = self.table.view("V32").ravel()  # a row as one item, which is faster to put
 
     def code(self, coder, lanes, context, known):
         at = lanes * self.contexts + context
@@ -165,22 +160,25 @@ class Digits:
 
         def bounds(digit):
             where = first + digit
-            low = np.where(digit == 0, 0, flat.take(where - 1, mode="wrap")).astype(np.uint32)
+            low = np.where(digit == 0, 0, flat.take(where - 1, mode="wrap")).astype(np.uint64)
             return low, flat.take(where) - low
 
         def find(place):
-            return (upto <= place.astype(np.uint16)[:, None]).sum(axis=1, dtype=np.uint8)
+            below = (upto <= place.astype(np.uint16)[:, None]).view(np.uint64)  # eight truth values each
+            return ((below[:, 0] + below[:, 1]) * BYTES >> np.uint64(56)).astype(np.uint8)
 
-        digit = coder.pick(lanes, upto[:, 15].astype(np.uint32), known if known is not None else find, bounds)
+        digit = coder.pick(lanes, upto[:, 15].astype(np.uint64), known if known is not None else find, bounds)
         upto += AT_LEAST.take(digit, axis=0)
         full = np.flatnonzero(upto[:, 15] > FULL)
         if len(full):
             frequency = np.diff(upto[full], axis=1, prepend=np.uint16(0))
             upto[full] = np.cumsum((frequency + 1) >> 1, axis=1, dtype=np.uint16)
-        self.table[at] = upto
+        self.rows[at] = upto.view(self.rows.dtype).ravel()
         return digit
 
 
+#: A product with this has the sum of a number's bytes as its highest byte.
+BYTES = np.uint64(0x0101010101010101)
 #: Row d: what seeing digit d adds to the running sums.
 AT_LEAST = np.where(np.arange(16)[None, :] >= np.arange(16)[:, None], STEP, 0).astype(np.uint16)
 
@@ -258,7 +256,7 @@ def encode_group(ids: np.ndarray, block: int) -> list[bytes]:
     lengths[-1] = len(ids) - block * (len(lengths) - 1)
     table = np.zeros((len(lengths), block), np.uint16)
     table.ravel()[: len(ids)] = ids
-    coder = Encoder(len(lengths), 4 * block + 16)
+    coder = Encoder(len(lengths), MOST_WORDS * block + 1)
     code_lanes(coder, lengths, table)
     return coder.finish()
 
@@ -273,7 +271,7 @@ def decode_blocks(blocks: list[bytes], lengths: list[int]) -> np.ndarray:
 
 
 # Fixed values of the segment format: name and version, then little-endian fields.
-MAGIC = b"CMRC\x01"
+MAGIC = b"CMRC\x02"
 HEAD = struct.Struct("<III")  # documents, blocks, ids a block
 BLOCK = struct.Struct("<III")  # ids, bytes, checksum
 

@@ -42,6 +42,29 @@ def test_blocks_are_independent():
     assert C.encode_blocks(ids[2048:3072], 1024) == [blocks[2]]
 
 
+def test_ranges_over_a_multiple_of_a_word_are_cut():
+    rng = np.random.default_rng(1)
+    lanes, steps = 300, 400
+    total = np.uint64(8192)
+    said = rng.integers(0, 8192, (steps, lanes)).astype(np.uint64)
+    one = lambda x: (x, np.ones(lanes, np.uint64))
+    every, coder = np.arange(lanes), C.Encoder(lanes, steps + 1)
+    coder.low[:] = np.uint64((1 << 40) - 1)  # just below a multiple
+    coder.range[:] = np.uint64((1 << 33) + 5)
+    for row in said:
+        coder.pick(every, total, row, one)
+    back = C.Decoder(coder.finish())
+    back.low[:], back.range[:] = np.uint64((1 << 40) - 1), np.uint64((1 << 33) + 5)
+    assert all((back.pick(every, total, lambda place: place, one) == row).all() for row in said)
+
+
+def test_a_step_shifts_each_lane_once_at_most(monkeypatch):
+    shifts, shift = [], C.Encoder.shift
+    monkeypatch.setattr(C.Encoder, "shift", lambda self, lanes, low: (shifts.append(len(lanes)), shift(self, lanes, low))[1])
+    blocks = C.encode_blocks(np.random.default_rng(2).integers(0, 65536, 6400).astype(np.uint16), 64)
+    assert len(shifts) <= C.MOST_WORDS * 64 + 1 and sum(shifts) * 4 == sum(map(len, blocks))  # 32 bits each
+
+
 def test_every_changed_byte_is_noticed():
     data = C.pack_segment([5, None, 7], [3, 0, 4], np.array([1, 2, 0, 9, 9, 9, 0]), 4)
     assert C.unpack_segment(data)[:2] == ([5, None, 7], [3, 0, 4])
