@@ -57,6 +57,10 @@ RESULT = (
 #: Slices a task can make before numbers of two tasks could meet.
 TASK_SLICES = 1 << 32
 B_BITS = 32  # a pair is A's id and, in the lower bits, B's
+#: Characters of a slice that are cut into words at a time: a word takes far more memory than its ids.
+PART_CHARS = 1 << 18
+#: Words a worker keeps with their ids, of A and of B; more would cost memory, fewer CPU time.
+KEPT_A, KEPT_B = 1 << 17, 1 << 16
 
 
 @lru_cache(maxsize=2)
@@ -108,7 +112,7 @@ class Merge:
     ``group_a, group_b``: the group of each token.
     """
 
-    def __init__(self, a: np.ndarray, b: np.ndarray, piece: int = 128, batch: int = 1 << 20):
+    def __init__(self, a: np.ndarray, b: np.ndarray, piece: int = 128, batch: int = 1 << 18):
         total = len(a) + len(b)
         far = np.int64(np.iinfo(np.int64).max)
         more_a, more_b = np.append(a, far), np.append(b, far)
@@ -228,11 +232,14 @@ def slice_of(number: int, docs: list, texts: list[str | None], a_path: str, b_pa
     """One stored row: the documents of a slice, its distinct pairs and every link as a pair's place."""
     tokens_a, tokens_b = byte_level_tokens(a_path), piece_tokens(b_path)
     long_a, long_b = (np.array([len(t) for t in tokens]) for tokens in (tokens_a, tokens_b))
-    spaced = [" " + t if t else "" for t in texts]
-    all_a = json_ids(a_path, True, 3 << 17)(spaced)
-    all_b = piece_ids(b_path)([t or "" for t in texts])
-    same_a, same_b = same_bytes(spaced, all_a, a_path, byte_level_tokens), same_bytes(spaced, all_b, b_path, piece_tokens)
-    kept = [k for k, text in enumerate(spaced) if text and same_a[k] and same_b[k]]
+    all_a, all_b, kept = [], [], []
+    for first, last in spans([len(t or "") for t in texts], PART_CHARS):
+        spaced = [" " + t if t else "" for t in texts[first:last]]
+        ids_a, ids_b = json_ids(a_path, True, KEPT_A)(spaced), piece_ids(b_path, KEPT_B)([t or "" for t in texts[first:last]])
+        same_a, same_b = same_bytes(spaced, ids_a, a_path, byte_level_tokens), same_bytes(spaced, ids_b, b_path, piece_tokens)
+        kept += [first + k for k, text in enumerate(spaced) if text and same_a[k] and same_b[k]]
+        all_a += ids_a
+        all_b += ids_b
     out = {c: np.zeros(len(docs), np.int64) for c in DOC[1:]}
     digests = [""] * len(docs)
     if kept:

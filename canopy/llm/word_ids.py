@@ -300,12 +300,11 @@ def _word_ends(path: str) -> bool:
 @lru_cache(maxsize=4)
 def json_ids(path: str, plain_specials: bool = False, kept: int = 1 << 18) -> WordIds:
     """Of a ``.json`` file, without added special tokens; ``plain_specials``: their strings are plain text."""
-    tokenizer = load_json(path)
-    if plain_specials:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(path)
+    if plain_specials:  # one of its own, and no other is loaded
+        tokenizer = load_json.__wrapped__(path)
         tokenizer.encode_special_tokens = True
+    else:
+        tokenizer = load_json(path)
 
     def encode(texts: list[str]) -> list[list[int]]:
         return [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]

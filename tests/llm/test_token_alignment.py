@@ -9,9 +9,11 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from canopy.llm import token_alignment as T
 from canopy.llm.queries import JSON_50K, PIECES_32K
 from canopy.llm.token_alignment import Merge, align, byte_level_tokens, diagonal, distinct_places, piece_tokens, same_bytes, spans
-from canopy.llm.token_count import sentence_pieces
+from canopy.llm.token_count import load_json, sentence_pieces
+from canopy.llm.word_ids import json_ids
 
 A, B = public_tokenizers.path(JSON_50K), public_tokenizers.path(PIECES_32K)
 
@@ -125,3 +127,29 @@ def test_tokens_that_differ_from_their_text_are_found_among_others():
     assert same_bytes(texts, [*ids[:-1], ids[1]], path, byte_level_tokens) == [True] * 5 + [False]
     assert same_bytes([], [], path, byte_level_tokens) == []
     assert list(spans([3, 9, 1, 1, 0, 2], 4)) == [(0, 1), (1, 2), (2, 6)]
+
+
+def test_a_slice_is_cut_into_words_part_by_part(monkeypatch):
+    texts = [None, *(f"word{k} other " * 40 for k in range(60)), "", "x " * 3000, "end"]
+    whole = T.slice_of(0, list(range(len(texts))), texts, A, B, 128)
+    seen, of = [], {n: getattr(T, n) for n in ("json_ids", "piece_ids")}
+
+    def noted(name):
+        def get(*how):
+            encode = of[name](*how)
+            return lambda some: (seen.append([len(t) for t in some]), encode(some))[1]
+
+        return get
+
+    for name in of:
+        monkeypatch.setattr(T, name, noted(name))
+    monkeypatch.setattr(T, "PART_CHARS", 2000)
+    parts = T.slice_of(0, list(range(len(texts))), texts, A, B, 128)
+    assert all(len(sizes) == 1 or sum(sizes) <= 2000 + len(sizes) for sizes in seen) and len(seen) > 20
+    assert all(np.array_equal(whole[c][0], parts[c][0]) for c in whole)
+
+
+def test_the_tokenizer_of_plain_specials_is_the_only_one_loaded():
+    load_json.cache_clear()
+    json_ids.__wrapped__(A, True)
+    assert load_json.cache_info().currsize == 0
