@@ -25,9 +25,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from canopy.llm.byte_words import byte_words
 from canopy.llm.common import arrow_map
 from canopy.llm.context_coder import pack_segment, unpack_segment
-from canopy.llm.word_ids import json_ids
 
 SEGMENT = "part int, segment int, n_docs int, n_ids long, data binary"
 
@@ -57,17 +57,20 @@ def encode_segments(
                 ["part", "segment", "n_docs", "n_ids", "data"],
             )
 
-        encode = json_ids(tokenizer_path)
+        encode = byte_words(tokenizer_path, end_id)
         for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                rows = batch.slice(at, 128)
-                encoded = encode([t or "" for t in rows.column(1).to_pylist()])
-                for doc, found in zip(rows.column(0).to_pylist(), encoded, strict=True):
-                    ids = np.append(found, np.uint32(end_id))
-                    docs.append(doc)
-                    counts.append(len(ids))
-                    parts.append(ids)
-                    total += len(ids)
+            for at in range(0, batch.num_rows, 256):
+                rows = batch.slice(at, 256)
+                found, sizes = encode(rows.column(1))
+                names, ends, a = rows.column(0).to_pylist(), np.cumsum(sizes), 0
+                while a < len(names):
+                    done = int(ends[a] - sizes[a])
+                    b = min(int(np.searchsorted(ends, done + segment_ids - total)) + 1, len(names))
+                    docs += names[a:b]
+                    counts += sizes[a:b].tolist()
+                    parts.append(found[done : ends[b - 1]])
+                    total += len(parts[-1])
+                    a = b
                     if total >= segment_ids:
                         yield segment()
                         n += 1
@@ -101,14 +104,15 @@ def read_token_files(segments: DataFrame, *, ids: bool = False) -> DataFrame:
         for part, segment, data in zip(given["part"], given["segment"], given["data"], strict=True):
             docs, counts, values = unpack_segment(data)
             at = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            cut = [values[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
+            wide = values.astype("<u4")
+            cut = [wide[a:b] for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             out = {
                 "part": [part] * len(docs),
                 "segment": [segment] * len(docs),
                 "doc_id": docs,
                 "offset": at[:-1].tolist(),
                 "n_tokens": counts,
-                "ids_crc32": [zlib.crc32(c.astype("<u4").tobytes()) for c in cut],
+                "ids_crc32": [zlib.crc32(c) for c in cut],
             }
             if ids:
                 out["ids"] = [c.tolist() for c in cut]
