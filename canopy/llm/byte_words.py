@@ -87,16 +87,17 @@ SHOWN = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >=
 AS_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in SHOWN)}
 
 
+SHOWN_SPACE = chr(AS_LETTERS[SPACE])
+
+
 def as_letters(word: str) -> str:
-    if word.isascii():
-        return "\u0120" + word[1:] if word[0] == " " else word
     return word.encode().decode("latin-1").translate(AS_LETTERS)
 
 
 def one_token(word: str) -> bool:
     """Whether ``word`` is letters, with or without a space before them, and stays in one part."""
-    name = word[1:] if word[0] == " " else word
-    return name.isalpha() and (name.isascii() or max(name) < LETTERS_END)
+    name = word.removeprefix(" ")
+    return name.isalpha() and max(name) < LETTERS_END
 
 
 def joinable(word: str) -> bool:
@@ -147,19 +148,29 @@ class ByteWords:
 
     def _encoded(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different words by the library, one word's after the other's, and how many each has."""
-        names = list(map(bytes.decode, words))
-        sizes, parts = np.zeros(len(names), np.int64), []
-        letters, joined, single = [], [], []
-        for k, w in enumerate(names):
-            (letters if one_token(w) else joined if joinable(w) else single).append(k)
-        if letters:  # the splitter leaves these whole, so the model alone will do
-            tokens = [self.model.tokenize(as_letters(names[k])) for k in letters]
-            sizes[letters] = list(map(len, tokens))
-            parts.append(np.fromiter((t.id for own in tokens for t in own), np.uint32))
+        sizes, flat, parts, names = np.zeros(len(words), np.int64), [], [], {}
+        letters, joined, single = [k for k, w in enumerate(words) if w.removeprefix(b" ").isalpha()], [], []
+        shown = b"\n".join([words[k] for k in letters]).decode().replace(" ", SHOWN_SPACE).split("\n") if letters else []
+        left = set(range(len(words))).difference(letters)
+        for k in left:
+            names[k] = word = words[k].decode()
+            if one_token(word):
+                letters.append(k)
+                shown.append(as_letters(word))
+            else:
+                (joined if joinable(word) else single).append(k)
+        # the splitter leaves letters whole, so the model alone will do
+        tokenize, counts = self.model.tokenize, []
+        for word in shown:
+            own = [t.id for t in tokenize(word)]
+            counts.append(len(own))
+            flat += own
+        sizes[letters] = counts
+        parts.append(np.array(flat, np.uint32))
         for a in range(0, len(joined), 64):
             own = joined[a : a + 64]
             # a word, the mark, a word, the mark, ...; each mark is one id
-            row = np.array(self.plain.encode([MARK.join([*map(names.__getitem__, own), ""])])[0], np.uint32)
+            row = np.array(self.plain.encode([MARK.join([*(names[k] for k in own), ""])])[0], np.uint32)
             ends = np.flatnonzero(row == self.plain.mark_id)
             sizes[own] = np.diff(ends, prepend=-1) - 1
             parts.append(row[row != self.plain.mark_id])
@@ -168,10 +179,9 @@ class ByteWords:
             sizes[single] = list(map(len, found))
             parts.append(np.fromiter(chain.from_iterable(found), np.uint32))
         order = np.array(letters + joined + single, np.int64)  # as the ids come
-        starts = np.zeros(len(names), np.int64)
+        starts = np.zeros(len(words), np.int64)
         starts[order] = np.cumsum(sizes[order]) - sizes[order]
-        flat = np.concatenate(parts) if parts else np.zeros(0, np.uint32)
-        return flat[ragged(starts, sizes)], sizes
+        return np.concatenate(parts)[ragged(starts, sizes)], sizes
 
     def _slots(self, key0: np.ndarray, key1: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """For each key its slot, or the first free one where it would be, and whether it is there."""

@@ -265,7 +265,7 @@ def code_lanes(coder, lengths: np.ndarray, known: np.ndarray | None, found: np.n
     kind, bits, lanes = pairs.dtype.type, pairs.dtype.itemsize * 4, len(lengths)
     cell = np.uint16 if steps <= 1 << 13 else np.uint32  # a place and how sure it is
     out = np.zeros((steps, lanes) if known is None else (0, lanes), cell)
-    slots = max(8, int(steps - 1).bit_length())  # bits of a context's hash
+    slots = max(8, (steps - 1).bit_length())
     tables = zeros(lanes * steps + (lanes << slots), cell)
     table1, table2 = tables[: lanes * steps], tables[lanes * steps :]
     hit2, hit1 = Mixed(lanes, (16, 8)), Mixed(lanes, (8,))
@@ -273,16 +273,16 @@ def code_lanes(coder, lengths: np.ndarray, known: np.ndarray | None, found: np.n
     every, last, lane_step = np.arange(lanes), np.uint64(steps - 1), np.int64(lanes)
     base, base2 = every * steps, every << slots
     sizes = np.array([(m - 1).bit_length() for m in lengths.tolist()], np.uint64)  # a place is of so many bits
-    sizes = np.stack([sizes * 0, sizes * 0, sizes])
-    half, low_bits, down = kind(bits), kind((1 << bits) - 1), np.uint32(32 - slots)
+    down = np.uint32(32) - np.maximum(sizes, 8).astype(np.uint32)  # leaves the bits of a context's hash
+    half, low_bits = kind(bits), kind((1 << bits) - 1)
     n, edges, answers = lanes, np.zeros((4, lanes), np.uint64), np.zeros((3, lanes), cell)
-    flat_edges, flat_answers, flat_sizes = edges.ravel(), answers.ravel(), sizes.ravel()
+    flat_edges, flat_answers = edges.ravel(), answers.ravel()
     for step in range(steps):
         while lengths[n - 1] <= step:  # lanes that ended are the last ones
             n -= 1
         x1 = before[:n].astype(np.uint32)
         at1 = base[:n] + before[:n]
-        at2 = (x1 * np.uint32(0x85EBCA6B) + mixed2[:n]) >> down
+        at2 = (x1 * np.uint32(0x85EBCA6B) + mixed2[:n]) >> down[:n]
         at2 = at2 + base2[:n]
         said1, said2 = table1.take(at1), table2.take(at2)
         sure1, sure2 = said1 & cell(7), said2 & cell(7)
@@ -314,13 +314,14 @@ def code_lanes(coder, lengths: np.ndarray, known: np.ndarray | None, found: np.n
         begin = flat_edges.take(where)
         size = flat_edges.take(where + lanes)
         size -= begin
-        size >>= flat_sizes.take(where)
+        miss = which == 2
+        size >>= miss * sizes[:n]
         if known is None:
             at -= begin
             at //= size
             np.minimum(at, last, out=at)
             pair = pairs.take(at.view(np.int64) + base[:n])
-        pair = pair & -(which == 2).astype(kind)  # a guess that is right begins at 0 and has the whole size
+        pair = pair & -miss.astype(kind)  # a guess that is right begins at 0 and has the whole size
         place = pair >> half
         begin += place * size
         begin += low
@@ -341,7 +342,7 @@ def code_lanes(coder, lengths: np.ndarray, known: np.ndarray | None, found: np.n
 
 
 #: Blocks coded side by side: enough to make numpy's calls cheap, few enough to keep their tables (about 8 kB each) near.
-LANES = 4096
+LANES = 8192
 
 
 def runs(lengths: list[int], most: int = 256) -> list[tuple[int, int, int]]:
@@ -374,7 +375,7 @@ def encode_group(ids: np.ndarray, block: int) -> list[bytes]:
         key.sort(axis=1)
         ordered = (key >> half).astype(np.uint16)
         put_sorted(coder, lane, ordered.T)
-        at = (key & kind((1 << int(half)) - 1)) + np.arange(0, m * n, n)[:, None]
+        at = (key & kind((1 << int(half)) - 1)).astype(np.int64) + np.arange(0, m * n, n)[:, None]
         own = np.empty(m * n, kind)
         own[at.ravel()] = paired(ordered, kind).ravel()
         known[:n, lane : lane + m] = own.reshape(m, n).T

@@ -103,3 +103,31 @@ def test_files(spark, docs, tmp_path, segment_ids):
 def test_empty_table(spark, docs, tmp_path):
     write_token_files(docs([]), PATH, f"{tmp_path}/t")
     assert read_token_files(spark.read.parquet(f"{tmp_path}/t")).collect() == []
+
+
+def test_lanes_step_together_by_few_array_operations(monkeypatch):
+    settled, settle = [], C.settle
+    monkeypatch.setattr(C, "settle", lambda coder, lanes, low, size: (settled.append(len(size)), settle(coder, lanes, low, size)))
+    ids = np.random.default_rng(3).integers(0, 50257, 64 * 100).astype(np.uint16)
+    blocks = C.encode_blocks(ids, 64)
+    assert len(settled) == 64  # an id takes one range, whichever prediction holds
+    assert (C.decode_blocks(blocks, [64] * 100) == ids).all() and len(settled) == 128
+
+
+def test_blocks_of_other_lengths_and_too_long_ones(monkeypatch):
+    ids = np.random.default_rng(4).integers(0, 900, 8300).astype(np.uint16)
+
+    def check(part, block):
+        blocks = C.encode_blocks(part, block)
+        sizes = [min(block, len(part) - k) for k in range(0, len(part), block)]
+        assert (C.decode_blocks(blocks, sizes) == part).all()
+        assert (C.decode_blocks(blocks[-1:], sizes[-1:]) == part[-sizes[-1] :]).all()
+        return blocks
+
+    for n, block in ((50, 1), (100, 3), (1000, 300), (100, 70000), (8300, 8200)):
+        check(ids[:n], block)
+    plain = check(ids[:1000], 300)
+    monkeypatch.setattr(C, "pair_type", lambda steps: np.uint64)  # as for blocks of more than 65,536 ids
+    assert check(ids[:1000], 300) == plain
+    with pytest.raises(ValueError):
+        C.encode_blocks(ids, C.MOST_IDS + 1)
